@@ -70,7 +70,7 @@ def test_groups_with_long_jobs(spark, large):
     }
     rows = [(g, i, int(d)) for g, ds in groups.items() for i, d in enumerate(ds)]
     df = spark.createDataFrame(rows, "grp string, seq long, dur long").repartition(4)
-    limits = dict(max_rows=20, chunks=9) if large else {}
+    limits = dict(max_rows=20) if large else {}
     got = packing.pack_lanes(df, "grp", ["seq"], "dur", 60, **limits).collect()
     assert len(got) == len(rows)
     found = {(r.grp, r.seq): (r.lane, r.start_s) for r in got}
@@ -113,7 +113,7 @@ def test_running_total(spark, max_rows):
     rng = np.random.default_rng(5)
     rows = [("hot" if i % 3 else None, i, int(v)) for i, v in enumerate(rng.integers(0, 9, 2000))]
     df = spark.createDataFrame(rows, "k string, seq long, v long").repartition(6)
-    got = running_total(df, ["k"], ["seq"], F.col("v"), "before", max_rows, 7).collect()
+    got = running_total(df, ["k"], ["seq"], F.col("v"), "before", max_rows).collect()
     sums, expected = {}, {}
     for k, i, v in rows:
         expected[(k, i)] = sums.get(k, 0)

@@ -47,7 +47,7 @@ def test_streams_in_chunks(spark, large):
     rows += [("small", i, int(s)) for i, s in enumerate(rng.integers(1, 300, 40))]
     rows += [(None, i, 50) for i in range(30)] + [("one", 0, 999)]
     df = spark.createDataFrame(rows, "stream string, seq long, bytes long").repartition(5)
-    limits = dict(max_rows=100, chunks=23, fan_in=3) if large else {}
+    limits = dict(max_rows=100, fan_in=3) if large else {}
     got = parts.assign_parts(df, "stream", ["seq"], "bytes", 250, **limits).collect()
     found = {(r.stream, r.seq): r.part for r in got}
     assert len(got) == len(rows)

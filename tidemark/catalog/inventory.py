@@ -162,11 +162,9 @@ def distinct_exact(spark, folder):
 @query("distinct_count_within_two_percent", """
     select true as within, count(distinct o_custkey) as n_distinct from orders""")
 def distinct_approx(spark, folder):
-    orders = table(spark, folder, "orders")
-    about = rollups.distinct_count(orders, "o_custkey", rsd=0.005).withColumnRenamed("n_distinct", "about")
-    exact = rollups.distinct_count(orders, "o_custkey", exact=True)
-    return exact.join(about).select(
-        (F.abs(F.col("about") - F.col("n_distinct")) <= 0.02 * F.col("n_distinct")).alias("within"), "n_distinct")
+    both = table(spark, folder, "orders").agg(
+        rollups.distinct_values("o_custkey").alias("about"), rollups.distinct_values("o_custkey", exact=True).alias("n_distinct"))
+    return both.select((F.abs(F.col("about") - F.col("n_distinct")) <= 0.02 * F.col("n_distinct")).alias("within"), "n_distinct")
 
 
 NESTED_SQL = f"""
@@ -193,14 +191,11 @@ def nested_stats(spark, folder):
 
 
 @query("nest_buckets", """
-    with c as (select event_type, user_id, count(*) as n, min(event_id) as first_id from events where user_id < 100 group by all),
-    t as (select event_type, user_id, n, first_id from (select *, row_number() over (
-        partition by event_type order by n desc, user_id) as r from c) where r <= 100000)
+    with c as (select event_type, user_id, count(*) as n, min(event_id) as first_id from events group by all)
     select event_type, '{' || string_agg('"' || user_id || '":{"n":' || n || ',"first_id":' || first_id || '}', ','
-        order by cast(user_id as varchar)) || '}' as buckets from t group by 1""")
+        order by cast(user_id as varchar)) || '}' as buckets from c group by 1""")
 def nest_buckets(spark, folder):
-    events = table(spark, folder, "events").filter("user_id < 100")
-    buckets = events.groupBy("event_type", "user_id").agg(
+    buckets = table(spark, folder, "events").groupBy("event_type", "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
     return rollups.nest_buckets(buckets, ["event_type", "user_id"])
 
@@ -232,11 +227,11 @@ def exec_rollup(spark, folder):
 
 
 REQUEST = fleet.FleetRequest(
-    start=datetime(2024, 1, 5), end=datetime(2024, 1, 20), status=("Production",), dims=("pri_owner", "service"),
+    start=datetime(2023, 12, 1), end=datetime(2024, 3, 1), status=("Production",), dims=("pri_owner", "service"),
     services=("odcbatch",), terms={"service": ["signup", "click", "purchase"]}, bucket_size=4,
     order={"compute": ("ts", "row_id"), "storage": fx.STORAGE_ORDER},
 )
-SELECTED_SQL = f"""(select * from {fx.COMPUTE_SQL} where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20'
+SELECTED_SQL = f"""(select * from {fx.COMPUTE_SQL} where ts >= timestamp '2023-12-01' and ts < timestamp '2024-03-01'
     and pri_owner is distinct from 'na' and odc_hv is distinct from 1 and status_name = 'Production'
     and service in ('signup', 'click', 'purchase'))"""
 

@@ -56,9 +56,10 @@ def trend_windows(spark, folder):
     return windows.trend_windows(requests, 2)
 
 
-START, END = datetime(2024, 1, 3, 17, 30), datetime(2024, 1, 25, 6, 0)
+# Both ends lie inside a local day, and all events between them.
+START, END = datetime(2024, 1, 1), datetime(2024, 1, 31, 6)
 TREND_LABEL = f"""least(
-    cast(date '2024-01-03' + to_days(cast(floor(({LOCAL_DAY} - date '2024-01-03') / {{n}}) * {{n}} + {{n}} - 1 as int)) as date),
+    cast(date '2023-12-31' + to_days(cast(floor(({LOCAL_DAY} - date '2023-12-31') / {{n}}) * {{n}} + {{n}} - 1 as int)) as date),
     cast(timezone('{ZONE}', timezone('UTC', timestamp '{END}')) - interval 1 microsecond as date))"""
 
 
@@ -86,11 +87,11 @@ def compute_trend_by_service(spark, folder):
 
 
 @query("storage_trend_by_owner", fx.storage_stats_sql(
-    f"(select *, least(cast(date '1998-01-01' + to_days(cast(floor((cast(ts as date) - date '1998-01-01') / 30) * 30 + 29 as int)) as date), "
-    f"date '1999-12-31') as trend_day from {fx.STORAGE_SQL} where ts >= timestamp '1998-01-01' and ts < timestamp '2000-01-01')",
+    f"(select *, least(cast(date '1995-01-01' + to_days(cast(floor((cast(ts as date) - date '1995-01-01') / 30) * 30 + 29 as int)) as date), "
+    f"date '2002-06-30') as trend_day from {fx.STORAGE_SQL} where ts >= timestamp '1995-01-01' and ts < timestamp '2002-07-01')",
     ["trend_day", "owner"], "mount_point"))
 def storage_trend_by_owner(spark, folder):
-    return trends.trend(fx.storage(spark, folder), "ts", "UTC", datetime(1998, 1, 1), datetime(2000, 1, 1),
+    return trends.trend(fx.storage(spark, folder), "ts", "UTC", datetime(1995, 1, 1), datetime(2002, 7, 1),
                         _storage("mount_point"), ["owner"], days=30)
 
 

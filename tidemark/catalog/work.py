@@ -45,26 +45,27 @@ def reconcile_counts(spark, folder):
 
 
 @query("upsert", """
-    select o_orderkey, o_orderstatus from orders where o_orderkey % 10 <> 3
-    union all select o_orderkey, 'X' from orders where o_orderkey % 10 = 3
-    union all select -1 - o_orderkey, 'N' from orders where o_orderkey % 100 = 7""")
+    select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'P'
+    union all select o_orderkey, 'X' from orders where o_orderstatus = 'P'
+    union all select -1 - o_orderkey, 'N' from orders where o_orderpriority = '5-LOW'""")
 def upsert(spark, folder):
-    base = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    changed = base.filter("o_orderkey % 10 = 3").withColumn("o_orderstatus", F.lit("X"))
-    added = base.filter("o_orderkey % 100 = 7").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"))
+    orders = table(spark, folder, "orders")
+    base = orders.select("o_orderkey", "o_orderstatus")
+    changed = base.filter("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X"))
+    added = orders.filter("o_orderpriority = '5-LOW'").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"))
     return led.upsert(base, changed.unionAll(added), "o_orderkey")
 
 
 @query("not_yet_loaded", """
     select o_orderkey, cast(isoyear(o_orderdate) as int) as iso_year, cast(weekofyear(o_orderdate) as int) as iso_week
     from orders where (isoyear(o_orderdate), weekofyear(o_orderdate)) not in
-      (select (isoyear(ts), weekofyear(ts)) from (select l_shipdate as ts from lineitem where l_suppkey % 20 = 3 and l_quantity > 30))""")
+      (select (isoyear(l_shipdate), weekofyear(l_shipdate)) from lineitem where l_shipdate < timestamp '1997-03-01')""")
 def not_yet_loaded(spark, folder):
     def weeks(df, day):
         return df.withColumns({"iso_year": clock.iso_year(F.col(day)), "iso_week": clock.iso_week(F.col(day))})
 
     orders = weeks(table(spark, folder, "orders"), "o_orderdate").select("o_orderkey", "iso_year", "iso_week")
-    shipped = weeks(table(spark, folder, "lineitem").filter("l_suppkey % 20 = 3 and l_quantity > 30"), "l_shipdate")
+    shipped = weeks(table(spark, folder, "lineitem").filter("l_shipdate < timestamp_ntz'1997-03-01'"), "l_shipdate")
     return led.not_yet_loaded(orders, shipped)
 
 
@@ -116,14 +117,23 @@ def find_stuck(spark, folder):
     return led.find_stuck(_ledger(spark, folder), NOW, AGE).select("record_id", "window_start", "stuck_stage")
 
 
-@query("reset_stuck", f"""
+RESET_SQL = f"""
     select * exclude (stuck, st) replace (case when stuck then 'pending' else status end as status,
       case when stuck and st = 'export' then 'open' else stage_export end as stage_export,
       case when stuck and st = 'transfer' then 'open' else stage_transfer end as stage_transfer,
       case when stuck and st = 'audit' then 'open' else stage_audit end as stage_audit)
-    from (select *, status = 'in_progress' and window_start < timestamp '{OLDEST}' as stuck, {STUCK} as st from {fx.LEDGER_SQL})""")
+    from (select *, status = 'in_progress' and window_start < timestamp '{OLDEST}' as stuck, {STUCK} as st from {fx.LEDGER_SQL})"""
+
+
+@query("reset_stuck", RESET_SQL)
 def reset_stuck(spark, folder):
-    return ingest.recover(_ledger(spark, folder), NOW, AGE)
+    ledger = _ledger(spark, folder)
+    return led.reset_stuck(ledger, led.find_stuck(ledger, NOW, AGE))
+
+
+@query("recover_ledger", RESET_SQL)
+def recover_ledger(spark, folder):
+    return led.recover(_ledger(spark, folder), NOW, AGE)
 
 
 ALERTS_SQL = f"""(select run_id, run_s, case when run_s <= 0 or k * 300 < 1400 then 'completed' else 'timeout' end as outcome,

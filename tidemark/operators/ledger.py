@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
+from tidemark.operators.ordered import small_side
 
 # Stages in flow order, and the ledger's columns.
 STAGES = ("export", "transfer", "audit")
@@ -88,12 +89,20 @@ def next_batch(ledger: DataFrame, counts: DataFrame, n: int, now, max_age: timed
     return open_records.filter(F.col("action") != "completed").orderBy("window_start", KEY).limit(n)
 
 
-def settled(ledger: DataFrame, counts: DataFrame, now, max_age: timedelta, accessible_from) -> DataFrame:
-    """The ledger rows changed by a pick: failed windows and records found complete."""
-    tested = classify_window(ledger.filter(F.col("status") == "pending"), now, max_age, accessible_from)
-    failed = tested.filter(F.col("status") == "failed_permanently")
-    done = classify_processed(tested.filter(F.col("status") == "pending"), counts, now)
-    return failed.unionByName(done.filter(F.col("action") == "completed").drop("action"), allowMissingColumns=True)
+def settle(ledger: DataFrame, counts: DataFrame, now, max_age: timedelta, accessible_from) -> DataFrame:
+    """The whole ledger after a check of its pending records: impossible ones failed, finished ones completed.
+
+    Every record keeps its row, so the new status is computed in place: one join to the counts.
+    """
+    tested = classify_window(ledger, now, max_age, accessible_from)
+    judged = classify_processed(tested.withColumn("_status", F.col("status")), counts, now)
+    done = (F.col("_status") == "pending") & (F.col("action") == "completed")
+    return judged.withColumns({
+        "status": F.when(done, "completed").otherwise(F.col("_status")),
+        "source_count": F.when(done, F.col("source_count")),
+        "target_count": F.when(done, F.col("target_count")),
+        "completed_at": F.when(done, F.col("completed_at")),
+    }).select(*ledger.columns, "reason", "source_count", "target_count", "completed_at")
 
 
 def stuck_stage(stages=STAGES) -> Column:
@@ -103,16 +112,19 @@ def stuck_stage(stages=STAGES) -> Column:
     ])
 
 
-def find_stuck(ledger: DataFrame, now, threshold: timedelta, since: str = "window_start", stages=STAGES) -> DataFrame:
-    """Records in progress for longer than ``threshold``, with the stage they stopped in."""
+def is_stuck(now, threshold: timedelta, since: str = "window_start") -> Column:
+    """In progress for longer than ``threshold``."""
     limit = clock.instant(clock.utc_naive(now) - threshold)
-    return ledger.filter((F.col("status") == "in_progress") & (F.col(since) < limit)).withColumn(
-        "stuck_stage", stuck_stage(stages)
-    )
+    return F.coalesce((F.col("status") == "in_progress") & (F.col(since) < limit), F.lit(False))
+
+
+def find_stuck(ledger: DataFrame, now, threshold: timedelta, since: str = "window_start", stages=STAGES) -> DataFrame:
+    """Stuck records, with the stage they stopped in."""
+    return ledger.filter(is_stuck(now, threshold, since)).withColumn("stuck_stage", stuck_stage(stages))
 
 
 def reset_stuck(ledger: DataFrame, stuck: DataFrame, stages=STAGES) -> DataFrame:
-    """The ledger with stuck records pending again and only their stuck stage reopened."""
+    """The ledger with the given stuck records pending again and only their stuck stage reopened."""
     fresh = stuck.withColumns({
         **{f"stage_{s}": F.when(F.col("stuck_stage") == s, F.lit("open")).otherwise(F.col(f"stage_{s}")) for s in stages},
         "status": F.lit("pending"),
@@ -120,6 +132,17 @@ def reset_stuck(ledger: DataFrame, stuck: DataFrame, stages=STAGES) -> DataFrame
     return upsert(ledger, fresh, KEY)
 
 
+def recover(ledger: DataFrame, now, threshold: timedelta, since: str = "window_start", stages=STAGES) -> DataFrame:
+    """Find and reset in one pass over the ledger, without a join."""
+    marked = ledger.withColumn("_stuck", is_stuck(now, threshold, since)).withColumn("_stage", stuck_stage(stages))
+    reopened = {
+        f"stage_{s}": F.when(F.col("_stuck") & (F.col("_stage") == s), F.lit("open")).otherwise(F.col(f"stage_{s}"))
+        for s in stages
+    }
+    status = F.when(F.col("_stuck"), F.lit("pending")).otherwise(F.col("status"))
+    return marked.withColumns({**reopened, "status": status}).select(*ledger.columns)
+
+
 def upsert(base: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFrame:
     """``base`` with rows of equal key replaced by ``changes``, and new keys added."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -127,8 +150,9 @@ def upsert(base: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFra
 
 
 def not_yet_loaded(candidates: DataFrame, loaded: DataFrame, week=("iso_year", "iso_week")) -> DataFrame:
-    """Candidates of weeks that are not at the target yet."""
-    return candidates.join(loaded.select(*week), list(week), "left_anti")
+    """Candidates of weeks that are not at the target yet; only the distinct weeks are joined."""
+    weeks = small_side(loaded.select(*week).distinct())
+    return candidates.join(weeks, list(week), "left_anti")
 
 
 def alert_outcome(runs: DataFrame, interval_s: int, max_s: int, run_s: str = "run_s") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from tidemark.session import cut_lineage
 
 GROUP_ROWS = 2_000_000
+GROUP_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 
 
@@ -26,18 +27,28 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(right.withColumnsRenamed(renamed), same, how).drop(*renamed.values())
 
 
-def has_large_group(df: DataFrame, keys: list[str], max_rows: int = GROUP_ROWS) -> bool:
-    return not df.groupBy(*keys).count().filter(F.col("count") > max_rows).isEmpty()
+def chunks_needed(df: DataFrame, keys: list[str], max_rows: int = GROUP_ROWS, size: str | None = None,
+                  max_size: int = GROUP_BYTES) -> int:
+    """0 when every group fits one task, else how many chunks bring all rows down to that measure.
+
+    One count per group over the key columns (and ``size``), reduced before its shuffle.
+    """
+    amount = F.coalesce(F.sum(size), F.lit(0)) if size else F.lit(0)
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), amount.alias("size"))
+    most = groups.agg(F.max("rows"), F.max("size"), F.sum("rows"), F.sum("size")).first()
+    if most[0] is None or (most[0] <= max_rows and most[1] <= max_size):
+        return 0
+    # Range bounds come from a sample, so aim at half the measure.
+    return 2 * max(-(-most[2] // max_rows), -(-int(most[3]) // max_size))
 
 
-def ordered_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
+def ordered_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int) -> DataFrame:
     """Add ``_chunk``: consecutive pieces of the (keys, order) sequence, each one partition in size.
 
     A large group spans many chunks. Range bounds are sampled, so they are fixed by a reliable
     checkpoint before two branches of a plan rely on them.
     """
-    columns = [F.col(c) for c in (*keys, *order)]
-    ranged = df.repartitionByRange(chunks, *columns) if chunks else df.repartitionByRange(*columns)
+    ranged = df.repartitionByRange(chunks, *[F.col(c) for c in (*keys, *order)])
     return cut_lineage(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
@@ -47,10 +58,13 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], amount: Colu
 
     Groups of at most ``max_rows`` rows are one sorted window. When any group is larger, rows are
     cut into ordered chunks: a window per chunk, plus the totals of the chunks before it.
+    ``chunks`` states their number (0 for none) where the caller knows the group sizes already.
     """
+    if chunks is None:
+        chunks = chunks_needed(df, keys, max_rows)
     df = df.withColumn("_amount", amount)
     zero = F.lit(0).cast(df.schema["_amount"].dataType)
-    if not has_large_group(df, keys, max_rows):
+    if not chunks:
         before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.coalesce(F.sum("_amount").over(before), zero)).drop("_amount")
     cut = ordered_chunks(df, keys, order, chunks)

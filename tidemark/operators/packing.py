@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ordered import GROUP_ROWS, null_safe_join, running_total
+from tidemark.session import cut_lineage
 
 
 def clock_offsets(start_min: Column) -> tuple[Column, Column]:
@@ -28,10 +29,9 @@ def _with_clock(df: DataFrame) -> DataFrame:
     return df.withColumns({"cron_minute": minute, "second_offset": second})
 
 
-def lane_schedule(df: DataFrame, lane: str, order: list[str], dur: str, max_rows: int = GROUP_ROWS,
-                  chunks: int | None = None) -> DataFrame:
+def lane_schedule(df: DataFrame, lane: str, order: list[str], dur: str, max_rows: int = GROUP_ROWS) -> DataFrame:
     """Start of each job after all earlier ones of its lane, its end, cron minute and second."""
-    timed = running_total(df, [lane], order, F.col(dur), "start_min", max_rows, chunks)
+    timed = running_total(df, [lane], order, F.col(dur), "start_min", max_rows)
     return _with_clock(timed.withColumn("end_min", F.col("start_min") + F.col(dur)))
 
 
@@ -151,11 +151,11 @@ _PIECES = "_pieces array<struct<lo:long,hi:long,per_lane:long,lane:long,step:lon
 
 
 def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int = 3600,
-               max_rows: int = GROUP_ROWS, chunks: int | None = None) -> DataFrame:
+               max_rows: int = GROUP_ROWS) -> DataFrame:
     """Add ``lane``, ``start_s`` and ``end_s``: longest job first, into the least loaded lane that fits.
 
     ``dur`` is whole seconds (any integer unit) and ``seq`` the input order, which breaks ties.
-    Jobs are counted per (group, length) first; at most ``horizon`` lengths can share lanes, so the
+    Jobs are counted per (group, length) in a first pass; at most ``horizon`` lengths share lanes, so the
     sequential part sees a bounded table per group however many jobs the group has. Jobs then look
     up their place by their rank among jobs of the same length. A job longer than the horizon has a
     lane of its own, after the others.
@@ -163,9 +163,12 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
     if not isinstance(df.schema[dur].dataType, (T.IntegerType, T.LongType, T.ShortType)):
         raise TypeError(f"{dur} must hold whole units, not {df.schema[dur].dataType.simpleString()}")
     is_long = F.col(dur) > F.lit(int(horizon))
-    lengths = df.groupBy(group, F.when(~is_long, F.col(dur)).cast("long").alias("_dur")).agg(
+    lengths = cut_lineage(df.groupBy(group, F.when(~is_long, F.col(dur)).cast("long").alias("_dur")).agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ))
+    long = F.col("_dur").isNull()
+    sizes = lengths.groupBy(long.alias("long")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).collect()
+    chunks = {r.long: 2 * -(-r["all"] // max_rows) if r.most > max_rows else 0 for r in sizes}
     field = df.schema[group]
     schema = T.StructType([
         field, T.StructField("_dur", T.LongType()), T.StructField("_ahead", T.LongType()),
@@ -193,7 +196,7 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
 
     plan = lengths.groupBy(group).applyInPandas(simulate, schema)
     short = running_total(df.filter(~is_long).withColumn("_dur", F.col(dur).cast("long")),
-                          [group, "_dur"], seq, F.lit(1).cast("long"), "_rank", max_rows, chunks)
+                          [group, "_dur"], seq, F.lit(1).cast("long"), "_rank", chunks=chunks.get(False, 0))
     placed = null_safe_join(short, plan.filter(F.col("_dur").isNotNull()), [group, "_dur"])
     mine = F.element_at(F.filter("_pieces", lambda p: (p["lo"] <= F.col("_rank")) & (F.col("_rank") < p["hi"])), 1)
     at = F.col("_rank") - F.col("_p.lo")
@@ -202,18 +205,18 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
         "lane": (F.col("_p.lane") + F.col("_p.step") * nth).cast("long"),
         "start_s": (F.col("_p.start") + (at % F.col("_p.per_lane")) * F.col("_dur")).cast("long"),
     })
-    wide = _long_jobs(df.filter(is_long), plan.filter(F.col("_dur").isNull()), group, seq, dur, max_rows, chunks)
-    out = placed.select(*df.columns, "lane", "start_s").unionByName(wide)
+    out = placed.select(*df.columns, "lane", "start_s")
+    if True in chunks:
+        out = out.unionByName(_long_jobs(df.filter(is_long), plan.filter(long), group, seq, dur, chunks[True]))
     return out.withColumn("end_s", F.col("start_s") + F.col(dur))
 
 
-def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], dur: str, max_rows: int,
-               chunks: int | None) -> DataFrame:
+def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], dur: str, chunks: int) -> DataFrame:
     """Jobs over the horizon: one lane each, shortest first, after the shared lanes.
 
     In a group of only such jobs the last one placed stays at the end of the list.
     """
-    ranked = running_total(jobs, [group], [dur, *seq], F.lit(1).cast("long"), "_rank", max_rows, chunks)
+    ranked = running_total(jobs, [group], [dur, *seq], F.lit(1).cast("long"), "_rank", chunks=chunks)
     least = jobs.groupBy(group).agg(F.min(dur).alias("_least"), F.count(F.lit(1)).alias("_n"))
     at_least = null_safe_join(jobs.withColumnRenamed(dur, "_least"), least, [group, "_least"]).groupBy(group).agg(
         F.count(F.lit(1)).alias("_ties"), F.first("_n").alias("_n")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.operators.ordered import GROUP_ROWS, has_large_group, null_safe_join, ordered_chunks
+from tidemark.operators.ordered import GROUP_BYTES, GROUP_ROWS, chunks_needed, null_safe_join, ordered_chunks
 from tidemark.session import cut_lineage
 
 _STEP_SCHEMA = "total long, edges array<long>, opened array<long>, filled array<long>, zero_opened long, zero_filled long"
@@ -150,7 +150,7 @@ def _chunk_entries(cut: DataFrame, stream: str, size: str, cap: int, fan_in: int
 
     narrow = cut.select(stream, "_chunk", "_pos", size)
     levels = [cut_lineage(narrow.groupBy(stream, "_chunk").applyInPandas(summarise, schema))]
-    width = (cut.agg(F.max("_chunk")).first()[0] or 0) + 1
+    width = levels[0].agg(F.max("node")).first()[0] + 1
     parent = F.floor(F.col("node") / fan_in).alias("_parent")
     while width > fan_in:
         grouped = levels[-1].select("*", parent).groupBy(stream, "_parent")
@@ -166,17 +166,18 @@ def _chunk_entries(cut: DataFrame, stream: str, size: str, cap: int, fan_in: int
 
 
 def assign_parts(df: DataFrame, stream: str, order: list[str], size: str, cap: int = 250 * 1024 * 1024,
-                 max_rows: int = GROUP_ROWS, chunks: int | None = None, fan_in: int = 32) -> DataFrame:
+                 max_rows: int = GROUP_ROWS, max_bytes: int = GROUP_BYTES, fan_in: int = 32) -> DataFrame:
     """Add ``part``: records of a stream, in ``order``, share a part while their sizes stay within ``cap``.
 
     A record larger than the cap has a part of its own. ``size`` counts bytes as an integer of at
-    least 0. Streams of up to ``max_rows`` rows are numbered in one go; longer ones in chunks.
+    least 0. While all streams stay within ``max_rows`` and ``max_bytes`` each is numbered in one go;
+    otherwise all are cut into chunks within those measures.
     """
-    large = has_large_group(df, [stream], max_rows)
-    cut = ordered_chunks(df, [stream], order, chunks) if large else df.withColumn("_chunk", F.lit(0))
+    chunks = chunks_needed(df, [stream], max_rows, size, max_bytes)
+    cut = ordered_chunks(df, [stream], order, chunks) if chunks else df.withColumn("_chunk", F.lit(0))
     inside = Window.partitionBy(stream, "_chunk").orderBy(*order)
     cut = cut.withColumn("_pos", F.row_number().over(inside))
-    if large:
+    if chunks:
         entries = _chunk_entries(cut, stream, size, cap, fan_in)
         ready = null_safe_join(cut.withColumn("_chunk", F.col("_chunk").cast("long")), entries, [stream, "_chunk"])
     else:

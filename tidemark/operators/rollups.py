@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import clock
 from tidemark.operators.ordered import small_side
+from tidemark.session import cut_lineage
 
 
 def count_window(df: DataFrame, ts: str, start, end, closed: str = "both") -> DataFrame:
@@ -20,7 +21,13 @@ def count_window(df: DataFrame, ts: str, start, end, closed: str = "both") -> Da
 
 
 def latest(fields: list[str], order: list[str]) -> Column:
-    """Aggregate: ``fields`` of the row that is last in ``order``, as a struct."""
+    """Aggregate: ``fields`` of the row that is last in ``order``, as a struct.
+
+    With one order column each field is kept beside it in a fixed-width buffer, which hashes; a
+    compound order needs a struct to compare and is aggregated by sorting.
+    """
+    if len(order) == 1:
+        return F.struct(*[F.max_by(f, order[0]).alias(f) for f in fields])
     return F.max_by(F.struct(*fields), F.struct(*order))
 
 
@@ -80,29 +87,31 @@ def storage_stats(df: DataFrame, dims: list[str], disk: str = "mount_point", ord
                       "total_size", "used_size", share.alias("disk_efficiency"))
 
 
+def distinct_values(column: str, exact: bool = False, rsd: float = 0.01) -> Column:
+    """Aggregate: distinct values; the approximate form keeps a sketch of fixed size per group."""
+    return F.count_distinct(column) if exact else F.approx_count_distinct(column, rsd)
+
+
 def distinct_count(df: DataFrame, column: str, exact: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct values; the approximate form keeps a fixed-size sketch per task."""
-    count = F.count_distinct(column) if exact else F.approx_count_distinct(column, rsd)
-    return df.agg(count.alias("n_distinct"))
+    return df.agg(distinct_values(column, exact, rsd).alias("n_distinct"))
 
 
 def nested_terms(df: DataFrame, dims: list[str], size: int = 1000) -> DataFrame:
     """Row counts of nested buckets: at each level the ``size`` largest keys of each parent.
 
     Ranks use a bucket's full count, before its children are cut; ties go to the smaller key.
-    Rows are counted once; each level works on counts. The top level is a plain top-n, deeper ones
-    are ranked per parent with the rank limit applied before the shuffle.
+    Rows are read and counted once, when this is called; the counts are checkpointed and each level
+    works on them. The top level is a plain top-n, deeper ones are ranked per parent with the rank
+    limit applied before the shuffle.
     """
     present = reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])
-    counts = df.filter(present).groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(df.filter(present).groupBy(*dims).agg(F.count(F.lit(1)).alias("n")))
     kept = None
     for depth in range(1, len(dims) + 1):
         path, parent, name = dims[:depth], dims[: depth - 1], dims[depth - 1]
+        level = counts if kept is None else counts.join(kept.select(*parent), parent, "left_semi")
         if depth < len(dims):
-            level = counts if kept is None else counts.join(kept.select(*parent), parent, "left_semi")
             level = level.groupBy(*path).agg(F.sum("n").alias("n"))
-        else:
-            level = counts if kept is None else counts.join(kept.select(*parent), parent, "left_semi")
         order = [F.col("n").desc(), F.col(name).asc()]
         if not parent:
             kept = level.orderBy(*order).limit(size)
@@ -117,7 +126,7 @@ def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000) -> Dat
 
     There are at most ``size ** len(dims)`` survivors; they are broadcast when their count is small.
     """
-    kept = small_side(nested_terms(df, dims, size).drop("n"))
+    kept = small_side(cut_lineage(nested_terms(df, dims, size).drop("n")))
     return stats(df.join(kept, dims, "left_semi"), dims)
 
 

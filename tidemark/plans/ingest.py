@@ -11,11 +11,6 @@ from tidemark.operators import ledger as led
 from tidemark.operators.parts import assign_parts
 
 
-def recover(ledger: DataFrame, now, threshold: timedelta) -> DataFrame:
-    """The ledger with stuck records reset to pending."""
-    return led.reset_stuck(ledger, led.find_stuck(ledger, now, threshold))
-
-
 def extract_records(source: DataFrame, batch: DataFrame, key: str = led.KEY) -> DataFrame:
     """Source rows of all picked records in one join, instead of one read per record."""
     return source.join(batch.select(key), key, "left_semi")
@@ -34,8 +29,5 @@ def part_lines(lines: DataFrame, order: list[str], cap: int, key: str = led.KEY)
 
 
 def settle(ledger: DataFrame, source: DataFrame, target: DataFrame, now, max_age: timedelta, accessible_from) -> DataFrame:
-    """The ledger after a check of all pending records: impossible ones failed, finished ones completed."""
-    pending = ledger.filter(F.col("status") == "pending")
-    counts = led.reconcile_counts(source, target, windows=pending)
-    changed = led.settled(ledger, counts, now, max_age, accessible_from)
-    return led.upsert(ledger, changed, led.KEY)
+    """The ledger after counting both sides and checking all pending records."""
+    return led.settle(ledger, led.reconcile_counts(source, target), now, max_age, accessible_from)
