@@ -180,6 +180,8 @@ def test_query_rows_checks_names(spark):
     spark.createDataFrame([(1, "O'Reilly"), (2, None)], "c3 int, c1 string").createOrReplaceTempView("edge_rows")
     assert extract.query_rows(spark, "edge_rows", {"c1": "O'Reilly"}, "c3").count() == 1
     assert extract.query_rows(spark, "edge_rows", {"c1": None}, "c3").count() == 0
+    text = "select c3 from edge_rows where c1 = :who or c3 > :low"
+    assert values(extract.query_rows(spark, text, {"who": "O'Reilly", "low": 1}, "c3")) == [(1,), (2,)]
     for bad in ("edge_rows; drop", "a b", "x`y"):
         with pytest.raises(ValueError):
             extract.query_rows(spark, bad, {}, "c3")

@@ -68,7 +68,8 @@ def test_groups_with_long_jobs(spark, large):
         "lone": [75],
         None: [10, 70, 20, 40, 60, 60],
     }
-    rows = [(g, i, int(d)) for g, ds in groups.items() for i, d in enumerate(ds)]
+    groups["unknown"] = [0, 30, 50]
+    rows = [(g, i, None if (g, i) == ("unknown", 0) else int(d)) for g, ds in groups.items() for i, d in enumerate(ds)]
     df = spark.createDataFrame(rows, "grp string, seq long, dur long").repartition(4)
     limits = dict(max_rows=20) if large else {}
     got = packing.pack_lanes(df, "grp", ["seq"], "dur", 60, **limits).collect()

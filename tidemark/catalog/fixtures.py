@@ -56,7 +56,7 @@ PAGES = [
     "else concat('{\"result\":[{\"sys_id\":\"', cast(o_orderkey as varchar(20)), '\",\"x\":', "
     "cast(o_custkey as varchar(20)), '},{\"sys_id\":\"b\",\"x\":', cast(o_orderkey as varchar(20)), '}]}') end as body",
 ]
-STORAGE_ORDER = ("ts", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "totalsize", "usedsize")
+STORAGE_ORDER = ("ts", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def select(spark: SparkSession, folder: str, name: str, columns: list[str]) -> DataFrame:

@@ -201,7 +201,7 @@ def nest_buckets(spark, folder):
 
 
 @query("direct_reports", f"""
-    select distinct e.n_nationkey as exec_id, u.user_id from {fx.sql('customer', fx.PEOPLE)} u
+    select distinct cast(e.n_nationkey as bigint) as exec_id, u.user_id from {fx.sql('customer', fx.PEOPLE)} u
     join nation e on u.manager = e.n_nationkey where u.status = 'Active'""")
 def direct_reports(spark, folder):
     users = fx.select(spark, folder, "customer", fx.PEOPLE)

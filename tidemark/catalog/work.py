@@ -181,7 +181,28 @@ def _packed(spark, folder):
     return packing.pack_lanes(jobs, "grp", fx.JOB_ORDER, "dur", 60)
 
 
-@query("pack_lanes")
+# The packing job by job: the lane list is sorted by load before each job, ties in list order, and a
+# lane's number is its place in the list after the group's last job.
+PACK_SQL = f"""
+    with recursive jobs as (select *, cast(dur as bigint) as d, row_number() over (
+        partition by grp order by dur desc, {', '.join(fx.JOB_ORDER)}) as step from {fx.sql('lineitem', fx.JOBS)}),
+    walk as (
+      select grp, step, [{{'load': d, 'pos': 1::bigint, 'id': 1::bigint}}] as lanes, 1::bigint as id, 0::bigint as start_s
+        from jobs where step = 1
+      union all
+      select grp, step, case when fits then [{{'load': s[1].load + d, 'pos': 1::bigint, 'id': s[1].id}}] || s[2:]
+          else s || [{{'load': d, 'pos': 0::bigint, 'id': len(s) + 1}}] end,
+        case when fits then s[1].id else len(s) + 1 end, case when fits then s[1].load else 0 end
+      from (select j.grp, j.step, j.d, w.s, w.s[1].load + j.d <= 60 as fits
+        from (select grp, step, list_sort(list_transform(lanes, lambda x, i: {{'load': x.load, 'pos': i, 'id': x.id}})) as s from walk) w
+        join jobs j on j.grp = w.grp and j.step = w.step + 1)),
+    final as (select grp, unnest(lanes).id as id, generate_subscripts(lanes, 1) as lane from walk
+      where (grp, step) in (select (grp, max(step)) from jobs group by grp))
+    select j.grp, j.l_orderkey, j.l_linenumber, j.l_partkey, j.d as dur, cast(f.lane as bigint) as lane, w.start_s, w.start_s + j.d as end_s
+    from jobs j join walk w on w.grp = j.grp and w.step = j.step join final f on f.grp = w.grp and f.id = w.id"""
+
+
+@query("pack_lanes", PACK_SQL)
 def pack_lanes(spark, folder):
     return _packed(spark, folder).select("grp", "l_orderkey", "l_linenumber", "l_partkey", "dur", "lane", "start_s", "end_s")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
@@ -89,6 +90,7 @@ def week_folder(day: Column) -> Column:
 # Formats of the worksheet contract, tried in this order.
 WORKSHEET_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
 # ISO texts that carry their own offset.
+_OFFSET_TAIL = r"\d(Z|[+-]\d\d:\d\d)$"
 OFFSET_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]XXX")
 
 
@@ -98,15 +100,41 @@ def parse_utc(text: Column, formats=WORKSHEET_FORMATS, assume_zone: str | None =
     A format without an offset reads a wall clock of ``assume_zone``; with no zone given such text
     stays null, because its instant is unknown. A quoted ``'Z'`` in a format means UTC.
     """
-    tries = [naive(F.try_to_timestamp(text, F.lit(f))) for f in OFFSET_FORMATS]
+    tries = [F.when(text.rlike(_OFFSET_TAIL), read_as(text, f)) for f in OFFSET_FORMATS]
     for fmt in formats:
         if fmt.endswith("'Z'"):
-            tries.append(naive(F.try_to_timestamp(text, F.lit(fmt))))
+            tries.append(read_as(text, fmt))
         elif assume_zone is not None:
-            tries.append(to_utc(naive(F.try_to_timestamp(text, F.lit(fmt))), assume_zone))
+            tries.append(to_utc(read_as(text, fmt), assume_zone))
     return F.coalesce(*tries)
 
 
+def read_as(text: Column, fmt: str) -> Column:
+    """Text of one format -> wall clock, or null. Text of another shape is never parsed: a failed
+    parse costs far more than a look at its digits."""
+    parsed = naive(F.try_to_timestamp(text, F.lit(fmt)))
+    shape = _shape(fmt)
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
+
+
+def _shape(fmt: str) -> str | None:
+    """Regex of the texts a format of fixed-width digits can read; null for any other format."""
+    out, quoted = "", False
+    for piece in re.findall(r"([A-Za-z])(\1*)|(.)", fmt, re.S):
+        letters, other = piece[0] + piece[1], piece[2]
+        if other == "'":
+            quoted = not quoted
+        elif other:
+            out += re.escape(other)
+        elif quoted:
+            out += letters
+        elif letters in ("yyyy", "MM", "dd", "HH", "mm", "ss"):
+            out += rf"\d{{{len(letters)}}}"
+        else:
+            return None
+    return None if re.search(r"[\[\]]", fmt) else f"^{out}$"
+
+
 def seconds_between(later: Column, earlier: Column) -> Column:
     """Whole seconds, cut toward zero."""
     micros = F.timestamp_diff("MICROSECOND", naive(earlier), naive(later))

@@ -11,10 +11,12 @@ from tidemark.operators.windows import LOG_ZONES
 # The line layout
 # LEVEL | [Thread] | logger func: message | UTC: ts | zone: ts | ... | ctx={json}
 _LINE = (
-    r"(?s)^(\w+) \| \[(.*?)\] \| (\S+) (\S+): (.*?) \| UTC: "
-    r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d[+-]\d\d:\d\d)(?: \| [^|]*?: \S+)* \| ctx=(\{.*\})$"
+    r"(?s)^(\w+) \| \[([^\x01]*?)\] \| ([^\s\x01]+) ([^\s\x01]+): (.*?) \| UTC: "
+    r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d[+-]\d\d:\d\d)(?: \| [^|]*?: \S+)* \| ctx=(\{[^\x01]*\})$"
 )
-_FIELDS = ("level", "thread", "logger", "function", "message", "utc_text", "ctx_json")
+# One pass over the line sets a mark between the pieces; the message, which may hold any text, is last.
+_PIECES = "\x01".join(["$1", "$2", "$3", "$4", "$6", "$7", "$5"])
+_FIELDS = ("level", "thread", "logger", "function", "utc_text", "ctx_json", "message")
 
 
 def flatten_context(user_message: Column, extra_json: Column) -> Column:
@@ -48,24 +50,30 @@ def format_log_lines(df: DataFrame, ts: str, ctx_json: str, zones=LOG_ZONES) ->
     ))
 
 
-def _matched(df: DataFrame, line: str) -> Column:
-    return F.coalesce(F.col(line).rlike(_LINE), F.lit(False))
+def _pieces(line: Column) -> Column:
+    """The seven pieces of a line of the known layout; fewer for any other line."""
+    return F.split(F.regexp_replace(line, _LINE, _PIECES), "\x01", len(_FIELDS))
 
 
 def parse_log_lines(df: DataFrame, line: str = "value") -> DataFrame:
-    """Columns of every line of the known layout; the context becomes ``map<string,string>``."""
-    out = df.filter(_matched(df, line)).withColumns({
-        name: F.regexp_extract(F.col(line), _LINE, at) for at, name in enumerate(_FIELDS, start=1)
-    })
+    """Columns of every line of the known layout; the context becomes ``map<string,string>``.
+
+    Keeping the good lines by an explode, not by a filter, lets the pattern run once per line: a
+    filter would be pushed below and run it again.
+    """
+    good = F.filter(F.array(_pieces(F.col(line))), lambda p: F.size(p) == len(_FIELDS))
+    cut = df.select("*", F.explode(good).alias("_p"))
+    out = cut.withColumns({name: F.col("_p")[at] for at, name in enumerate(_FIELDS)})
     return out.withColumns({
         "ts_utc": clock.parse_utc(F.col("utc_text"), ()),
         "ctx": F.from_json("ctx_json", "map<string,string>"),
-    }).drop("utc_text", "ctx_json")
+    }).drop("_p", "utc_text", "ctx_json")
 
 
 def unparsed_lines(df: DataFrame, line: str = "value") -> DataFrame:
     """Quarantine: lines of any other layout."""
-    return df.filter(~_matched(df, line))
+    known = F.coalesce(F.size(_pieces(F.col(line))) == len(_FIELDS), F.lit(False))
+    return df.filter(~known)
 
 
 def spans(df: DataFrame, corr_id: str, ts: str, mark: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -147,7 +148,8 @@ def _pieces(lengths: list[tuple[int, int]], horizon: int, long_lanes: int) -> tu
     return out, ahead
 
 
-_PIECES = "_pieces array<struct<lo:long,hi:long,per_lane:long,lane:long,step:long,start:long>>"
+_PLAN = ("_len long, _ahead long, _short boolean, "
+         "_pieces array<struct<lo:long,hi:long,per_lane:long,lane:long,step:long,start:long>>")
 
 
 def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int = 3600,
@@ -156,79 +158,75 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
 
     ``dur`` is whole seconds (any integer unit) and ``seq`` the input order, which breaks ties.
     Jobs are counted per (group, length) in a first pass; at most ``horizon`` lengths share lanes, so the
-    sequential part sees a bounded table per group however many jobs the group has. Jobs then look
+    sequential part sees a bounded list per group however many jobs the group has. Jobs then look
     up their place by their rank among jobs of the same length. A job longer than the horizon has a
-    lane of its own, after the others.
+    lane of its own, after the others; one without a length takes no time.
     """
     if not isinstance(df.schema[dur].dataType, (T.IntegerType, T.LongType, T.ShortType)):
         raise TypeError(f"{dur} must hold whole units, not {df.schema[dur].dataType.simpleString()}")
-    is_long = F.col(dur) > F.lit(int(horizon))
-    lengths = cut_lineage(df.groupBy(group, F.when(~is_long, F.col(dur)).cast("long").alias("_dur")).agg(
+    jobs = df.withColumn("_len", F.coalesce(F.col(dur).cast("long"), F.lit(0).cast("long")))
+    is_long = F.col("_len") > F.lit(int(horizon))
+    lengths = cut_lineage(jobs.groupBy(group, F.when(~is_long, F.col("_len")).alias("_len")).agg(
         F.count(F.lit(1)).alias("n")
     ))
-    long = F.col("_dur").isNull()
+    long = F.col("_len").isNull()
     sizes = lengths.groupBy(long.alias("long")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).collect()
     chunks = {r.long: 2 * -(-r["all"] // max_rows) if r.most > max_rows else 0 for r in sizes}
-    field = df.schema[group]
-    schema = T.StructType([
-        field, T.StructField("_dur", T.LongType()), T.StructField("_ahead", T.LongType()),
-        T.StructField("_short", T.BooleanType()),
-        *T.StructType.fromDDL(_PIECES).fields,
-    ])
-
-    def simulate(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = pdf[group].iloc[0]
-        short = pdf[pdf["_dur"].notna()].sort_values("_dur", ascending=False)
-        long_lanes = int(pdf.loc[pdf["_dur"].isna(), "n"].sum())
-        rows = []
-        ahead = 0
-        if len(short):
-            pairs = list(zip(short["_dur"].astype("int64").tolist(), short["n"].astype("int64").tolist()))
-            pieces, ahead = _pieces(pairs, horizon, long_lanes)
-            by_dur: dict[int, list[dict]] = {}
-            for piece in pieces:
-                by_dur.setdefault(piece.pop("dur"), []).append(piece)
-            rows = [(name, d, ahead, True, p) for d, p in by_dur.items()]
-        if long_lanes:
-            rows.append((name, None, ahead, len(short) > 0, None))
-        return pd.DataFrame(rows, columns=["group", "_dur", "_ahead", "_short", "_pieces"]).rename(
-            columns={"group": group}).astype({"_dur": "Int64"})
-
-    plan = lengths.groupBy(group).applyInPandas(simulate, schema)
-    short = running_total(df.filter(~is_long).withColumn("_dur", F.col(dur).cast("long")),
-                          [group, "_dur"], seq, F.lit(1).cast("long"), "_rank", chunks=chunks.get(False, 0))
-    placed = null_safe_join(short, plan.filter(F.col("_dur").isNotNull()), [group, "_dur"])
+    # At most horizon + 1 lengths per group, so the gathered list is bounded whatever the group's size.
+    listed = lengths.groupBy(group).agg(
+        F.collect_list(F.when(~long, F.struct("_len", "n"))).alias("pairs"),
+        F.coalesce(F.sum(F.when(long, F.col("n"))), F.lit(0)).alias("long_lanes"),
+    )
+    schema = T.StructType([df.schema[group], *T.StructType.fromDDL(_PLAN).fields])
+
+    def simulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name, pairs, long_lanes in pdf[[group, "pairs", "long_lanes"]].itertuples(index=False):
+                pairs = sorted(((p["_len"], p["n"]) for p in pairs), reverse=True)
+                pieces, ahead = _pieces(pairs, horizon, int(long_lanes)) if pairs else ([], 0)
+                by_length: dict[int, list[dict]] = {}
+                for piece in pieces:
+                    by_length.setdefault(piece.pop("dur"), []).append(piece)
+                rows += [(name, length, ahead, True, p) for length, p in by_length.items()]
+                if long_lanes:
+                    rows.append((name, None, ahead, bool(pairs), None))
+            yield pd.DataFrame(rows, columns=schema.names).astype({"_len": "Int64"})
+
+    plan = listed.mapInPandas(simulate, schema)
+    short = running_total(jobs.filter(~is_long), [group, "_len"], seq, F.lit(1).cast("long"), "_rank",
+                          chunks=chunks.get(False, 0))
+    placed = null_safe_join(short, plan.filter(~long), [group, "_len"])
     mine = F.element_at(F.filter("_pieces", lambda p: (p["lo"] <= F.col("_rank")) & (F.col("_rank") < p["hi"])), 1)
     at = F.col("_rank") - F.col("_p.lo")
     nth = F.call_function("div", at, F.col("_p.per_lane"))
     placed = placed.withColumn("_p", mine).withColumns({
         "lane": (F.col("_p.lane") + F.col("_p.step") * nth).cast("long"),
-        "start_s": (F.col("_p.start") + (at % F.col("_p.per_lane")) * F.col("_dur")).cast("long"),
+        "start_s": (F.col("_p.start") + (at % F.col("_p.per_lane")) * F.col("_len")).cast("long"),
     })
     out = placed.select(*df.columns, "lane", "start_s")
     if True in chunks:
-        out = out.unionByName(_long_jobs(df.filter(is_long), plan.filter(long), group, seq, dur, chunks[True]))
-    return out.withColumn("end_s", F.col("start_s") + F.col(dur))
+        wide = _long_jobs(jobs.filter(is_long), plan.filter(long), group, seq, chunks[True])
+        out = out.unionByName(wide.select(*out.columns))
+    return out.withColumn("end_s", F.col("start_s") + F.coalesce(F.col(dur), F.lit(0)))
 
 
-def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], dur: str, chunks: int) -> DataFrame:
+def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], chunks: int) -> DataFrame:
     """Jobs over the horizon: one lane each, shortest first, after the shared lanes.
 
     In a group of only such jobs the last one placed stays at the end of the list.
     """
-    ranked = running_total(jobs, [group], [dur, *seq], F.lit(1).cast("long"), "_rank", chunks=chunks)
-    least = jobs.groupBy(group).agg(F.min(dur).alias("_least"), F.count(F.lit(1)).alias("_n"))
-    at_least = null_safe_join(jobs.withColumnRenamed(dur, "_least"), least, [group, "_least"]).groupBy(group).agg(
-        F.count(F.lit(1)).alias("_ties"), F.first("_n").alias("_n")
-    )
-    both = null_safe_join(null_safe_join(ranked, plan.select(group, "_ahead", "_short"), [group]), at_least, [group])
+    ranked = running_total(jobs, [group], ["_len", *seq], F.lit(1).cast("long"), "_rank", chunks=chunks)
+    by_length = jobs.groupBy(group, "_len").agg(F.count(F.lit(1)).alias("n"))
+    shortest = by_length.groupBy(group).agg(F.min_by("n", "_len").alias("_ties"), F.sum("n").alias("_n"))
+    both = null_safe_join(null_safe_join(ranked, plan.select(group, "_ahead", "_short"), [group]), shortest, [group])
     last = F.col("_ties") - 1
     moved = (
         F.when(F.col("_short") | (F.col("_rank") < last), F.col("_rank"))
         .when(F.col("_rank") == last, F.col("_n") - 1)
         .otherwise(F.col("_rank") - 1)
     )
-    return both.select(*jobs.columns, (F.col("_ahead") + moved + 1).alias("lane"), F.lit(0).cast("long").alias("start_s"))
+    return both.withColumns({"lane": F.col("_ahead") + moved + 1, "start_s": F.lit(0).cast("long")})
 
 
 def pack_schedule(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int = 3600, **limits) -> DataFrame:

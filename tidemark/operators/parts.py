@@ -8,6 +8,7 @@ chained in a tree of bounded fan-in, and then every chunk is numbered on its own
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tidemark.operators.ordered import GROUP_BYTES, GROUP_ROWS, chunks_needed, null_safe_join, ordered_chunks
 from tidemark.session import cut_lineage
@@ -103,16 +103,27 @@ def chain(first: Steps, second: Steps, cap: int) -> Steps:
     ).compact(cap)
 
 
-def part_numbers(sizes: np.ndarray, cap: int, held: int, part: int) -> np.ndarray:
-    """Part of each record, entering with ``held`` bytes in part number ``part``."""
+def part_numbers(sizes: np.ndarray, cap: int, held: int, part: int) -> tuple[np.ndarray, int]:
+    """Part of each record, entering with ``held`` bytes in part number ``part``; and the bytes held after."""
     ends, following = next_starts(sizes, cap)
     n = len(sizes)
     starts = np.zeros(n, dtype=np.int64)
     at = int(following[0]) if held == 0 else int(np.searchsorted(ends, cap - held, side="right"))
+    left = held + int(ends[-1])
     while at < n:
         starts[at] = 1
+        left = int(ends[-1] - ends[at] + sizes[at])
         at = int(following[at])
-    return part + np.cumsum(starts)
+    return part + np.cumsum(starts), left
+
+
+def _runs(pdf: pd.DataFrame, stream: str) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Neighbouring rows of the same stream and chunk, under a key in which null equals null."""
+    codes, chunk = pd.factorize(pdf[stream])[0], pdf["_chunk"].to_numpy()
+    cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (chunk[1:] != chunk[:-1])) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(pdf)]):
+        name = pdf[stream].iloc[low]
+        yield (None if codes[low] < 0 else name, int(chunk[low])), pdf.iloc[low:high]
 
 
 def _entries(nodes: DataFrame, stream: str, group: list[str], cap: int, field: T.StructField) -> DataFrame:
@@ -132,14 +143,30 @@ def _entries(nodes: DataFrame, stream: str, group: list[str], cap: int, field: T
     return nodes.groupBy(*group).applyInPandas(walk, schema)
 
 
-def _chunk_entries(cut: DataFrame, stream: str, size: str, cap: int, fan_in: int) -> DataFrame:
+def _chunk_entries(cut: DataFrame, stream: str, order: list[str], size: str, cap: int, fan_in: int) -> DataFrame:
+    """(stream, chunk, held, part) on entering each chunk of the streams that lie in several.
+
+    At most two rows per chunk: a chunk holds whole streams and at most the ends of two others.
+    """
     field = cut.schema[stream]
     schema = T.StructType([field, T.StructField("node", T.LongType()), *T.StructType.fromDDL(_STEP_SCHEMA).fields])
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        steps = steps_of(pdf[size].to_numpy(dtype=np.int64), cap)
-        return pd.DataFrame([{stream: pdf[stream].iloc[0], "node": int(pdf["_chunk"].iloc[0]), **steps.row()}])
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, steps = None, None
+        for pdf in batches:
+            done = []
+            for run_key, run in _runs(pdf, stream):
+                one = steps_of(run[size].to_numpy(dtype=np.int64), cap)
+                if run_key == key:
+                    steps = chain(steps, one, cap)
+                    continue
+                if key is not None:
+                    done.append({stream: key[0], "node": key[1], **steps.row()})
+                key, steps = run_key, one
+            if done:
+                yield pd.DataFrame(done)
+        if key is not None:
+            yield pd.DataFrame([{stream: key[0], "node": key[1], **steps.row()}])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
@@ -148,9 +175,12 @@ def _chunk_entries(cut: DataFrame, stream: str, size: str, cap: int, fan_in: int
             steps = Steps.of(row) if steps is None else chain(steps, Steps.of(row), cap)
         return pd.DataFrame([{stream: pdf[stream].iloc[0], "node": int(pdf["_parent"].iloc[0]), **steps.row()}])
 
-    narrow = cut.select(stream, "_chunk", "_pos", size)
-    levels = [cut_lineage(narrow.groupBy(stream, "_chunk").applyInPandas(summarise, schema))]
-    width = levels[0].agg(F.max("node")).first()[0] + 1
+    spread = cut.groupBy(stream).agg(F.min("_chunk").alias("_low"), F.max("_chunk").alias("_high"))
+    spread = F.broadcast(spread.filter("_low < _high").select(stream))
+    narrow = null_safe_join(cut.select(stream, "_chunk", *order, size), spread, [stream], "left_semi")
+    narrow = narrow.sortWithinPartitions(stream, *order).select(stream, "_chunk", size)
+    levels = [cut_lineage(narrow.mapInPandas(summarise, schema))]
+    width = (levels[0].agg(F.max("node")).first()[0] or 0) + 1
     parent = F.floor(F.col("node") / fan_in).alias("_parent")
     while width > fan_in:
         grouped = levels[-1].select("*", parent).groupBy(stream, "_parent")
@@ -170,24 +200,34 @@ def assign_parts(df: DataFrame, stream: str, order: list[str], size: str, cap: i
     """Add ``part``: records of a stream, in ``order``, share a part while their sizes stay within ``cap``.
 
     A record larger than the cap has a part of its own. ``size`` counts bytes as an integer of at
-    least 0. While all streams stay within ``max_rows`` and ``max_bytes`` each is numbered in one go;
-    otherwise all are cut into chunks within those measures.
+    least 0. While all streams stay within ``max_rows`` and ``max_bytes`` a task numbers whole
+    streams; otherwise the sequence is cut into chunks within those measures, and a chunk starts
+    from what the chunks before it leave. Rows pass through Python in sorted batches, so no task
+    holds a stream in memory.
     """
     chunks = chunks_needed(df, [stream], max_rows, size, max_bytes)
-    cut = ordered_chunks(df, [stream], order, chunks) if chunks else df.withColumn("_chunk", F.lit(0))
-    inside = Window.partitionBy(stream, "_chunk").orderBy(*order)
-    cut = cut.withColumn("_pos", F.row_number().over(inside))
     if chunks:
-        entries = _chunk_entries(cut, stream, size, cap, fan_in)
-        ready = null_safe_join(cut.withColumn("_chunk", F.col("_chunk").cast("long")), entries, [stream, "_chunk"])
+        cut = ordered_chunks(df, [stream], order, chunks).withColumn("_chunk", F.col("_chunk").cast("long"))
+        entries = F.broadcast(_chunk_entries(cut, stream, order, size, cap, fan_in))
+        ready = null_safe_join(cut, entries, [stream, "_chunk"], "left")
     else:
-        ready = cut.withColumns({"held": F.lit(0).cast("long"), "part": F.lit(1).cast("long")})
+        ready = df.repartition(stream).withColumns({c: F.lit(None).cast("long") for c in ("held", "part")})
+        ready = ready.withColumn("_chunk", F.lit(0).cast("long"))
+    ready = ready.fillna({"held": 0, "part": 1}).sortWithinPartitions(stream, *order)
     columns = list(df.columns)
 
-    def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        parts = part_numbers(pdf[size].to_numpy(dtype=np.int64), cap, int(pdf["held"].iloc[0]), int(pdf["part"].iloc[0]))
-        return pdf[columns].assign(part=parts)
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, part = None, 0, 1
+        for pdf in batches:
+            numbers = []
+            for run_key, run in _runs(pdf, stream):
+                if run_key != key:
+                    key, held, part = run_key, int(run["held"].iloc[0]), int(run["part"].iloc[0])
+                parts, held = part_numbers(run[size].to_numpy(dtype=np.int64), cap, held, part)
+                part = int(parts[-1])
+                numbers.append(parts)
+            if numbers:
+                yield pdf[columns].assign(part=np.concatenate(numbers))
 
     schema = T.StructType([*df.schema.fields, T.StructField("part", T.LongType())])
-    return ready.groupBy(stream, "_chunk").applyInPandas(number, schema)
+    return ready.mapInPandas(number, schema)

@@ -24,8 +24,11 @@ def write_parquet_capped(df: DataFrame, path: str, max_bytes: int = PART_BYTES,
     df.write.mode(mode).option("maxRecordsPerFile", int(rows)).option("compression", "snappy").parquet(path)
 
 
-def write_csv_gz_parts(df: DataFrame, path: str, rows: int, mode: str = "errorifexists") -> None:
-    """Gzip CSV files of at most ``rows`` whole rows, each with one header line."""
+def write_csv_gz_parts(df: DataFrame, path: str, rows: int | None = None, max_bytes: int = PART_BYTES,
+                       mode: str = "errorifexists") -> None:
+    """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, or about
+    ``max_bytes`` before compression, by the real bytes of a sample."""
+    rows = rows or rows_per_part(df, max_bytes).first()["rows_per_part"]
     df.write.mode(mode).options(header=True, compression="gzip", maxRecordsPerFile=int(rows), escape='"').csv(path)
 
 

@@ -48,15 +48,20 @@ def flatten_envelope(df: DataFrame, body: str, row_schema: str, keep: tuple[str,
     return df.select(*keep, F.explode(pages["result"]).alias("_row")).select(*keep, "_row.*")
 
 
-def query_rows(spark: SparkSession, table: str, equals: dict[str, object], order_by: str, limit: int = 1000) -> DataFrame:
-    """``SELECT * WHERE c1 = :a AND ... ORDER BY ... LIMIT n`` with bound values.
+def query_rows(spark: SparkSession, sql_or_table: str, params: dict[str, object], order_by: str | None = None,
+               limit: int | None = 1000) -> DataFrame:
+    """``SELECT * FROM table WHERE c1 = :c1 AND ... ORDER BY ... LIMIT n``, or a SQL text with ``:name`` marks.
 
     Names are checked and values are bound, never pasted; a null value matches no row, as in SQL.
     """
-    tests = " AND ".join(f"{checked_column(c)} = :{c}" for c in equals)
-    where = f" WHERE {tests}" if tests else ""
-    text = f"SELECT * FROM {checked_table(table)}{where} ORDER BY {checked_column(order_by)} LIMIT {int(limit)}"
-    return spark.sql(text, args=dict(equals))
+    if re.match(r"\s*(select|with)\s", sql_or_table, re.I):
+        rows = spark.sql(sql_or_table, args=dict(params))
+    else:
+        tests = " AND ".join(f"{checked_column(c)} = :{c}" for c in params)
+        where = f" WHERE {tests}" if tests else ""
+        rows = spark.sql(f"SELECT * FROM {checked_table(sql_or_table)}{where}", args=dict(params))
+    rows = rows.orderBy(checked_column(order_by)) if order_by else rows
+    return rows if limit is None else rows.limit(limit)
 
 
 def read_lines_utf8(spark: SparkSession, path: str) -> DataFrame:
