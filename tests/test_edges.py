@@ -213,42 +213,30 @@ def test_jdbc_options_are_checked():
             window_options("jdbc:x", table, column, datetime(2025, 1, 1), datetime(2025, 1, 2), 4)
 
 
-def plain_links(result):
-    """The rules for one parsed result, step by step."""
-    def full(x):
-        return isinstance(x, str) and bool(x.strip())
-
-    out = []
-    if isinstance(result, dict):
-        if isinstance(result.get("urls"), list) and result["urls"]:
-            return [("url", u) for u in result["urls"] if full(u)]
-        return [("prefix", result["prefix"])] if full(result.get("prefix")) else []
-    if all(isinstance(x, str) for x in result):
-        return [("url", u) for u in result if full(u)]
-    for item in (x for x in result if isinstance(x, dict)):
-        if (isinstance(item.get("urls"), list) and item["urls"]) or full(item.get("prefix")):
-            out += plain_links(item)
-            continue
-        for v in item.values():
-            if isinstance(v, str) and v.startswith(("http://", "https://", "s3://")):
-                link = ("url" if v.startswith("http") else "prefix", v)
-                if link not in out:
-                    out.append(link)
-    return out
+# A result and the links it holds, as (kind, value).
+LINKS = [
+    ('{"urls": ["http://a", "", " ", null, 7], "prefix": "s3://p"}', [("url", "http://a")]),
+    ('{"urls": [""], "prefix": "s3://p"}', []),
+    ('{"urls": [], "prefix": "s3://p"}', [("prefix", "s3://p")]),
+    ('{"urls": "x", "prefix": " "}', []),
+    ('{"prefix": 5, "other": "http://a"}', []),
+    ("{}", []),
+    ("[]", []),
+    ('["http://a", "", "http://a"]', [("url", "http://a"), ("url", "http://a")]),
+    ('["http://a", 1]', []),
+    ('["http://a", null]', []),
+    ('[{"urls": ["http://a", "http://a"]}, {"k": "http://a", "m": "https://b", "n": "s3://c"}, {"z": "https://b"}, 4, "http://x"]',
+     [("prefix", "s3://c"), ("url", "http://a"), ("url", "http://a"), ("url", "https://b")]),
+    ('[{"k": "http://a"}, {"urls": ["http://a"]}, {"prefix": "s3://c"}, {"q": "s3://c", "r": {"deep": "http://no"}}]',
+     [("prefix", "s3://c"), ("url", "http://a"), ("url", "http://a")]),
+    ('[{"urls": [], "prefix": "", "k": "s3://d"}, null]', [("prefix", "s3://d")]),
+]
 
 
 def test_link_shapes(spark):
-    import json
-
-    bodies = [
-        {"urls": ["http://a", "", " ", None, 7], "prefix": "s3://p"}, {"urls": [], "prefix": "s3://p"}, {"urls": "x", "prefix": " "},
-        {"prefix": 5}, {}, [], ["http://a", "", "http://a"], ["http://a", 1], ["http://a", None],
-        [{"urls": ["http://a", "http://a"]}, {"k": "http://a", "m": "https://b", "n": "s3://c"}, {"z": "https://b"}, 4, "http://x"],
-        [{"k": "http://a"}, {"urls": ["http://a"]}, {"prefix": "s3://c"}, {"q": "s3://c", "r": {"deep": "http://no"}}],
-    ]
-    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "id int, body string")
+    df = spark.createDataFrame([(i, body) for i, (body, _) in enumerate(LINKS)], "id int, body string")
     got = sorted(values(links.extract_links(df, "id", "body")))
-    assert got == sorted((i, *link) for i, b in enumerate(bodies) for link in plain_links(b))
+    assert got == sorted((i, *link) for i, (_, found) in enumerate(LINKS) for link in found)
     bad = spark.createDataFrame([(1, "42"), (2, '"text"'), (3, "{broken"), (4, None), (5, "null"), (6, "[]")], "id int, body string")
     assert [r.id for r in links.bad_results(bad, "body").collect()] == [1, 2, 3, 4, 5]
     assert links.extract_links(bad, "id", "body").count() == 0

@@ -141,12 +141,17 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return F.call_function("div", micros, F.lit(1_000_000).cast("bigint"))
 
 
+# A count and its unit, and the seconds a unit is worth.
+DURATION_PIECE = r"(\d+)\s*([dhms])"
+UNIT_SECONDS = {"d": 86400, "h": 3600, "m": 60, "s": 1}
+
+
 def duration_s(text: Column) -> Column:
     """``1m:40s``, ``2d 3h`` -> seconds; text without a number and unit gives 0."""
     clean = F.lower(F.regexp_replace(F.trim(text), ":", " "))
-    pattern = F.lit(r"(\d+)\s*([dhms])")
+    pattern = F.lit(DURATION_PIECE)
     counts = F.regexp_extract_all(clean, pattern, F.lit(1))
     units = F.regexp_extract_all(clean, pattern, F.lit(2))
-    worth = F.create_map(*[F.lit(x) for x in ("d", 86400, "h", 3600, "m", 60, "s", 1)])
+    worth = F.create_map(*[F.lit(x) for pair in UNIT_SECONDS.items() for x in pair])
     parts = F.zip_with(counts, units, lambda n, u: n.cast("bigint") * worth[u])
     return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc + x)

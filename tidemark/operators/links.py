@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import texts
 
+# The marks around a tagged reply.
+_TAGGED = r"(?s)BEGIN_JSON_RESULT\s*(\{.*?\})\s*END_JSON_RESULT"
 _LINK = "array<struct<kind:string,value:string,fallback:boolean>>"
 
 
@@ -127,7 +129,7 @@ def split_object_uri(df: DataFrame, column: str) -> DataFrame:
 
 def extract_tagged_json(df: DataFrame, column: str, result_schema: str) -> DataFrame:
     """The JSON between BEGIN_JSON_RESULT and END_JSON_RESULT: its ``result``, or an error text."""
-    body = F.regexp_extract(F.col(column), r"(?s)BEGIN_JSON_RESULT\s*(\{.*?\})\s*END_JSON_RESULT", 1)
+    body = F.regexp_extract(F.col(column), _TAGGED, 1)
     reply = F.from_json(body, f"struct<ok:boolean,result:{result_schema}>", {"mode": "PERMISSIVE"})
     parsed = df.withColumn("_body", body).withColumn("_reply", reply)
     good = F.coalesce(F.col("_reply.ok"), F.lit(False))

@@ -12,9 +12,7 @@ from tidemark.operators.links import extract_links, plan_destinations
 
 def weekly_prefix(base: str, run_date: date) -> str:
     """``<base>/<ISO year>/week_<ISO week>``."""
-    year, week, _ = run_date.isocalendar()
-    stem = f"{base.rstrip('/')}/" if base else ""
-    return f"{stem}{year:04d}/week_{week:02d}"
+    return "/".join([*filter(None, [base.rstrip("/")]), run_date.strftime("%G/week_%V")])
 
 
 def transfer_plan(results: DataFrame, src: str, body: str, base: str, run_date: date) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clock, texts
 
+# Names that may appear in a query text.
 _TABLE = re.compile(r"^[A-Za-z0-9_.]+$")
 _COLUMN = re.compile(r"^[A-Za-z0-9_]+$")
 
