@@ -9,7 +9,7 @@ from tidemark.functions import texts
 
 # The marks around a tagged reply.
 _TAGGED = r"(?s)BEGIN_JSON_RESULT\s*(\{.*?\})\s*END_JSON_RESULT"
-_LINK = "array<struct<kind:string,value:string,fallback:boolean>>"
+_LINKS = "array<struct<kind:string,value:string,loose:boolean>>"
 
 
 def _text(value: Column) -> Column:
@@ -17,67 +17,80 @@ def _text(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def _link(kind: Column | str, value: Column, fallback: bool) -> Column:
+def _link(kind: Column | str, value: Column, loose: bool) -> Column:
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    return F.struct(kind.alias("kind"), value.alias("value"), F.lit(fallback).alias("fallback"))
+    return F.struct(kind.alias("kind"), value.alias("value"), F.lit(loose).alias("loose"))
 
 
 def _filled(value: Column) -> Column:
     return F.coalesce(F.trim(value) != "", F.lit(False))
 
 
+def _facts(item: Column) -> Column:
+    """What one element of a result offers: its text, or an object's urls, prefix and loose values."""
+    urls = F.try_variant_get(item, "$.urls", "array<variant>")
+    loose = F.transform(F.map_values(F.try_variant_get(item, "$", "map<string,variant>")), _text)
+    return F.struct(
+        _text(item).alias("text"),
+        F.coalesce(F.schema_of_variant(item).startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        (F.coalesce(F.size(urls), F.lit(0)) > 0).alias("has_urls"),
+        F.filter(F.transform(urls, _text), _filled).alias("urls"),
+        _text(F.try_variant_get(item, "$.prefix", "variant")).alias("prefix"),
+        F.filter(loose, lambda v: F.coalesce(v.rlike("^(https?|s3)://"), F.lit(False))).alias("loose"),
+    )
+
+
 def _urls(values: Column) -> Column:
-    """Non-blank strings of an array of variants, as url links."""
-    return F.transform(F.filter(F.transform(values, _text), _filled), lambda u: _link("url", u, False))
+    return F.transform(values, lambda u: _link("url", u, False))
 
 
-def _object_links(item: Column, scan_values: bool) -> Column:
-    """Links of one object: its ``urls``, else its ``prefix``, else (in lists) any link-like value."""
-    urls = F.try_variant_get(item, "$.urls", "array<variant>")
-    prefix = _text(F.try_variant_get(item, "$.prefix", "variant"))
-    rest = F.array().cast(_LINK)
-    if scan_values:
-        values = F.map_values(F.try_variant_get(item, "$", "map<string,variant>"))
-        linked = F.filter(F.transform(values, _text), lambda v: F.coalesce(
-            v.startswith("http://") | v.startswith("https://") | v.startswith("s3://"), F.lit(False)))
-        rest = F.transform(linked, lambda v: _link(F.when(v.startswith("http"), "url").otherwise("prefix"), v, True))
+def _object_links(facts: Column, otherwise: Column) -> Column:
+    """Links of one object: its ``urls``, else its ``prefix``, else what the caller makes of it."""
     return (
-        F.when(F.coalesce(F.size(urls), F.lit(0)) > 0, _urls(urls))
-        .when(_filled(prefix), F.array(_link("prefix", prefix, False)))
-        .otherwise(rest)
+        F.when(facts["has_urls"], _urls(facts["urls"]))
+        .when(_filled(facts["prefix"]), F.array(_link("prefix", facts["prefix"], False)))
+        .otherwise(otherwise)
     )
 
 
-def link_array(body: Column) -> Column:
-    """All links of one JSON result, in order; null when it is neither an object nor a list."""
-    tree = F.try_parse_json(body)
-    lead = F.substring(F.ltrim(body), 1, 1)
-    items = F.try_variant_get(tree, "$", "array<variant>")
-    # A JSON null inside the list arrives as a null element; it is neither text nor object.
-    of_text = F.forall(items, lambda i: F.coalesce(F.schema_of_variant(i) == "STRING", F.lit(False)))
-    of_objects = F.flatten(F.transform(
-        F.filter(items, lambda i: F.coalesce(F.schema_of_variant(i).startswith("OBJECT"), F.lit(False))),
-        lambda i: _object_links(i, True),
-    ))
-    return (
-        F.when(tree.isNull(), F.lit(None).cast(_LINK))
-        .when(lead == "{", _object_links(tree, False))
-        .when(lead == "[", F.when(of_text, _urls(items)).otherwise(of_objects))
-    )
+def _listed_object(facts: Column) -> Column:
+    """In a list, any value that looks like a link counts when an object has neither urls nor prefix."""
+    return _object_links(facts, F.transform(
+        facts["loose"], lambda v: _link(F.when(v.startswith("http"), "url").otherwise("prefix"), v, True)))
 
 
 def _first_mentions(links: Column) -> Column:
-    """Drop a fallback link that repeats any earlier link of the same result; keep all others."""
+    """Drop a loose link that repeats any earlier link of the same result; keep all others."""
     def keeps(link: Column, at: Column) -> Column:
         seen = F.exists(F.slice(links, 1, at), lambda e: (e["kind"] == link["kind"]) & (e["value"] == link["value"]))
-        return ~link["fallback"] | ~seen
+        return ~link["loose"] | ~seen
 
     return F.filter(links, keeps)
 
 
+def _lead(body: Column) -> Column:
+    return F.substring(F.ltrim(body), 1, 1)
+
+
 def extract_links(df: DataFrame, src: str, body: str) -> DataFrame:
-    """Rows (src, kind, value) of every link; results of another shape are left to ``bad_results``."""
-    links = df.select(src, link_array(F.col(body)).alias("_links"))
+    """Rows (src, kind, value) of every link; results of another shape are left to ``bad_results``.
+
+    Each step is a column of its own, so a result is parsed once and every element read once.
+    """
+    tree = F.col("_tree")
+    parsed = df.select(src, F.try_parse_json(F.col(body)).alias("_tree"), _lead(F.col(body)).alias("_lead"))
+    items = F.when(F.col("_lead") == "[", F.try_variant_get(tree, "$", "array<variant>")).when(
+        F.col("_lead") == "{", F.array(tree))
+    facts = parsed.select(src, "_lead", F.transform(items, _facts).alias("_facts"))
+    of_text = F.forall("_facts", lambda f: f["text"].isNotNull())
+    texts_only = _urls(F.filter(F.transform("_facts", lambda f: f["text"]), _filled))
+    objects = F.filter("_facts", lambda f: f["is_object"])
+    found = (
+        F.when(F.col("_lead") == "{", F.flatten(F.transform(objects, lambda f: _object_links(f, F.array().cast(_LINKS)))))
+        .when(of_text, texts_only)
+        .otherwise(F.flatten(F.transform(objects, _listed_object)))
+    )
+    links = facts.select(src, found.alias("_links"))
     return links.select(src, F.explode(_first_mentions(F.col("_links"))).alias("_l")).select(
         src, "_l.kind", "_l.value"
     )
@@ -85,7 +98,8 @@ def extract_links(df: DataFrame, src: str, body: str) -> DataFrame:
 
 def bad_results(df: DataFrame, body: str) -> DataFrame:
     """Quarantine: rows whose result is no JSON object or list."""
-    return df.filter(link_array(F.col(body)).isNull())
+    shaped = F.try_parse_json(F.col(body)).isNotNull() & _lead(F.col(body)).isin("{", "[")
+    return df.filter(~F.coalesce(shaped, F.lit(False)))
 
 
 def dedupe_links(df: DataFrame, keys=("src_id", "kind", "value")) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,9 @@ def lane_load(df: DataFrame, lane: str, dur: str, horizon: float = 60.0) -> Data
     )
 
 
+_load = itemgetter(0)
+
+
 class _Lanes:
     """Lanes of one group as runs of equal load, in list order.
 
@@ -60,16 +64,10 @@ class _Lanes:
         self.events.append(dict(dur=dur, lo=rank, hi=rank + count, per_lane=per_lane, first=first, step=step, start=start))
 
     def _insert_before_equals(self, run):
-        at = 0
-        while at < len(self.runs) and self.runs[at][0] < run[0]:
-            at += 1
-        self.runs.insert(at, run)
+        self.runs.insert(bisect_left(self.runs, run[0], key=_load), run)
 
     def _insert_after_equals(self, run):
-        at = 0
-        while at < len(self.runs) and self.runs[at][0] <= run[0]:
-            at += 1
-        self.runs.insert(at, run)
+        self.runs.insert(bisect_right(self.runs, run[0], key=_load), run)
 
     def place(self, dur: int, rank: int, count: int):
         """Place ``count`` jobs of length ``dur``, the first of which has number ``rank``."""
