@@ -136,3 +136,35 @@ def test_stream_equals_batch_below_the_watermark_and_resumes(spark, tmp_path):
 
 def test_scratch_needs_a_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_batch_completes_only_what_can_be_read_back(spark, tmp_path):
+    from datetime import timedelta
+
+    from tidemark.plans import ingest
+
+    day = datetime(2025, 1, 1)
+    rows = [(1, "pending", day, True), (2, "pending", day + timedelta(days=1), False), (3, "pending", day + timedelta(days=2), True),
+            (4, "in_progress", day, True), (5, "pending", day - timedelta(days=900), True), (6, "pending", day + timedelta(days=3), True)]
+    ledger = spark.createDataFrame(rows, "record_id long, status string, window_start timestamp_ntz, audit_enabled boolean").selectExpr(
+        "*", "window_start + interval 1 day as window_end", "'done' as stage_export", "'open' as stage_transfer", "'open' as stage_audit")
+    source = spark.createDataFrame([(k, i, "x" * 40) for k in (1, 2, 4, 6) for i in range(10)], "record_id long, seq int, body string")
+    target = source.filter("record_id = 1").select("record_id")
+    rules = ingest.LoadRules(day + timedelta(days=30), timedelta(days=100), day - timedelta(days=99), timedelta(days=2), 3, 200)
+    path = str(tmp_path / "load")
+    out = {r.record_id: r for r in ingest.load_batch(ledger, source, target, ("seq",), path, rules).collect()}
+    assert {k: (r.status, r.reason, r.source_count) for k, r in out.items()} == {
+        1: ("completed", None, 10),                             # found complete, not loaded again
+        2: ("completed", None, 10),                             # not audited, loaded
+        3: ("completed", None, 0),                              # nothing on either side
+        4: ("completed", None, 10),                             # was stuck, reset and loaded
+        5: ("failed_permanently", "window_outside_range", None),
+        6: ("completed", None, 10),
+    }
+    assert out[4].stage_transfer == "open" and out[2].completed_at == rules.now
+    loaded = spark.read.schema("value string, record_id long, part long").text(path)
+    assert {(r.record_id, r["count"]) for r in loaded.groupBy("record_id").count().collect()} == {(2, 10), (4, 10), (6, 10)}
+    per_part = loaded.groupBy("record_id", "part").agg(F.sum(F.octet_length("value") + 1).alias("b")).collect()
+    assert len(per_part) > 3 and max(r.b for r in per_part) <= 200
+    with pytest.raises(Exception, match="already exists"):
+        ingest.load_batch(ledger, source, target, ("seq",), path, rules)

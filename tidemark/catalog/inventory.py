@@ -190,14 +190,15 @@ def nested_stats(spark, folder):
     return rollups.nested_stats(fx.compute(spark, folder), DIMS, lambda df, dims: _compute(df, ["pri_owner", "service"]), 5)
 
 
-@query("nest_buckets", """
-    with c as (select event_type, user_id, count(*) as n, min(event_id) as first_id from events group by all)
-    select event_type, '{' || string_agg('"' || user_id || '":{"n":' || n || ',"first_id":' || first_id || '}', ','
-        order by cast(user_id as varchar)) || '}' as buckets from c group by 1""")
+@query("nest_buckets", f"""
+    with c as (select service, hostname, count(*) as n from {fx.COMPUTE_SQL} group by all),
+    t as (select *, row_number() over (partition by service order by n desc, hostname) as r from c)
+    select service, '{{' || string_agg('"' || hostname || '":{{"n":' || n || '}}', ',' order by cast(hostname as varchar)) || '}}'
+      as buckets from t where r <= 50 group by 1""")
 def nest_buckets(spark, folder):
-    buckets = table(spark, folder, "events").groupBy("event_type", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
-    return rollups.nest_buckets(buckets, ["event_type", "user_id"])
+    """At most 50 buckets per level, so each tree is bounded however many hosts there are."""
+    dims = ["service", "hostname"]
+    return rollups.nest_buckets(rollups.nested_terms(fx.compute(spark, folder), dims, 50), dims)
 
 
 @query("direct_reports", f"""

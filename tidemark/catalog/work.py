@@ -12,7 +12,7 @@ from tidemark.functions import clock
 from tidemark.operators import ledger as led
 from tidemark.operators import packing
 from tidemark.plans import ingest
-from tidemark.session import table
+from tidemark.session import scratch_path, table
 
 NOW, AGE, OPEN_FROM = datetime(2000, 6, 1), timedelta(days=1500), datetime(1997, 1, 1)
 OLDEST = NOW - AGE
@@ -98,15 +98,6 @@ def next_batch(spark, folder):
     return led.next_batch(_ledger(spark, folder), counts, 400, NOW, AGE, OPEN_FROM).select("record_id", "window_start", "action")
 
 
-@query("settle_ledger", f"""
-    select record_id, coalesce(case when a.action = 'completed' then 'completed' end, c.status) as status, c.reason,
-      case when a.action = 'completed' then a.sc end as source_count
-    from {CHECKED_SQL} c left join (select record_id, action, sc from {ACTION_SQL}) a using (record_id)""")
-def settle_ledger(spark, folder):
-    out = ingest.settle(_ledger(spark, folder), *_sides(spark, folder), NOW, AGE, OPEN_FROM)
-    return out.select("record_id", "status", "reason", "source_count")
-
-
 STUCK = "case when stage_export <> 'done' then 'export' when stage_transfer <> 'done' then 'transfer' when stage_audit <> 'done' then 'audit' end"
 
 
@@ -136,6 +127,39 @@ def recover_ledger(spark, folder):
     return led.recover(_ledger(spark, folder), NOW, AGE)
 
 
+@query("settle_ledger", f"""
+    select record_id, coalesce(case when a.action = 'completed' then 'completed' end, c.status) as status, c.reason,
+      case when a.action = 'completed' then a.sc end as source_count
+    from {CHECKED_SQL} c left join (select record_id, action, sc from {ACTION_SQL}) a using (record_id)""")
+def settle_ledger(spark, folder):
+    out = led.settle(_ledger(spark, folder), led.reconcile_counts(*_sides(spark, folder)), NOW, AGE, OPEN_FROM)
+    return out.select("record_id", "status", "reason", "source_count")
+
+
+RULES = ingest.LoadRules(NOW, AGE, OPEN_FROM, AGE, batch=120, part_bytes=500)
+FLOW_SQL = f"""
+    with r as (select record_id, window_start, window_end, audit_enabled, case when status = 'in_progress' and
+        window_start < timestamp '{OLDEST}' then 'pending' else status end as status from {fx.LEDGER_SQL}),
+    k as (select *, {REASON} as reason from r),
+    a as (select k.*, coalesce(source_count, 0) as sc, coalesce(target_count, 0) as tc from k left join {COUNTS_SQL} using (record_id)),
+    b as (select *, case when reason is not null then 'failed_permanently' when status = 'pending' and audit_enabled and sc = tc
+        then 'completed' else status end as checked from a),
+    p as (select record_id from b where checked = 'pending' order by window_start, record_id limit {RULES.batch})
+    select record_id, case when record_id in (from p) then 'completed' else checked end as status, reason,
+      case when record_id in (from p) or (status = 'pending' and checked = 'completed') then sc end as source_count,
+      case when record_id in (from p) then sc when status = 'pending' and checked = 'completed' then tc end as target_count
+    from b"""
+
+
+@query("load_batch", FLOW_SQL)
+def load_batch(spark, folder):
+    lines = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "record_id")
+    there = lines.filter("l_linestatus = 'F'").select("record_id")
+    order = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    out = ingest.load_batch(_ledger(spark, folder), lines, there, order, scratch_path(spark, "load"), RULES)
+    return out.select("record_id", "status", "reason", "source_count", "target_count")
+
+
 ALERTS_SQL = f"""(select run_id, run_s, case when run_s <= 0 or k * 300 < 1400 then 'completed' else 'timeout' end as outcome,
     case when run_s <= 0 then 0 when k * 300 < 1400 then k else 5 end as alerts,
     case when run_s <= 0 then 1 when k * 300 < 1400 then k + 1 else 5 end as checks

@@ -133,7 +133,8 @@ def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000) -> Dat
 def nest_buckets(df: DataFrame, dims: list[str]) -> DataFrame:
     """Fold bucket rows into one nested JSON object per top-level key; leaves hold the metrics.
 
-    One row per top-level key, so no task ever holds the whole tree.
+    Made for what ``nested_terms`` or ``nested_stats`` leave: their ``size`` bounds each tree. There
+    is one row per top-level key, so no task holds all trees.
     """
     metrics = [c for c in df.columns if c not in dims]
     out = df.withColumn("_tree", F.struct(*metrics))

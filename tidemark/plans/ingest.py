@@ -1,33 +1,76 @@
-"""Ledger-driven loads: recover, pick, extract, write, reconcile, settle."""
+"""Ledger-driven loads: recover, check, pick, extract, write, reconcile, complete."""
 
 from __future__ import annotations
 
-from datetime import timedelta
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import clock
 from tidemark.operators import ledger as led
+from tidemark.operators.ordered import small_side
 from tidemark.operators.parts import assign_parts
+from tidemark.session import cut_lineage
+from tidemark.sinks.export import PART_BYTES, write_line_parts
+
+
+@dataclass(frozen=True)
+class LoadRules:
+    """Which windows may run, when a record counts as stuck, and how a load is cut."""
+
+    now: datetime
+    max_age: timedelta
+    accessible_from: datetime
+    stuck_after: timedelta
+    batch: int
+    part_bytes: int = PART_BYTES
 
 
 def extract_records(source: DataFrame, batch: DataFrame, key: str = led.KEY) -> DataFrame:
     """Source rows of all picked records in one join, instead of one read per record."""
-    return source.join(batch.select(key), key, "left_semi")
+    return source.join(small_side(batch.select(key)), key, "left_semi")
+
+
+def record_lines(rows: DataFrame, key: str = led.KEY, order: tuple[str, ...] = ()) -> DataFrame:
+    """NDJSON line and its size in bytes, newline included, per row; ``order`` columns are kept beside it."""
+    line = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    return rows.select(key, *order, line.alias("line")).withColumn("bytes", (F.octet_length("line") + 1).cast("bigint"))
 
 
-def record_lines(rows: DataFrame, key: str = led.KEY) -> DataFrame:
-    """NDJSON line and its size in bytes, newline included, per row."""
-    line = F.to_json(F.struct(*[c for c in rows.columns]), {"ignoreNullFields": "false"})
-    return rows.select(key, line.alias("line")).withColumn(
-        "bytes", (F.octet_length("line") + 1).cast("bigint")
-    )
+def check_ledger(ledger: DataFrame, source: DataFrame, target: DataFrame, rules: LoadRules) -> DataFrame:
+    """The ledger with stuck records reset, impossible windows failed, and finished records completed.
 
+    What is still pending afterwards needs work.
+    """
+    recovered = led.recover(ledger, rules.now, rules.stuck_after)
+    counts = led.reconcile_counts(source, target)
+    return led.settle(recovered, counts, rules.now, rules.max_age, rules.accessible_from)
 
-def part_lines(lines: DataFrame, order: list[str], cap: int, key: str = led.KEY) -> DataFrame:
-    return assign_parts(lines, key, order, "bytes", cap)
 
+def load_batch(ledger: DataFrame, source: DataFrame, target: DataFrame, order: tuple[str, ...], path: str,
+               rules: LoadRules) -> DataFrame:
+    """Load the first pending records into ``path`` as capped NDJSON parts; return the new ledger.
 
-def settle(ledger: DataFrame, source: DataFrame, target: DataFrame, now, max_age: timedelta, accessible_from) -> DataFrame:
-    """The ledger after counting both sides and checking all pending records."""
-    return led.settle(ledger, led.reconcile_counts(source, target), now, max_age, accessible_from)
+    ``path`` is a new folder for this batch alone, so an earlier load that failed cannot mix with it.
+    The picked keys are fixed by a checkpoint before the load, so the rows written and the records
+    completed are the same ones. A record is completed only when what can be read back equals its
+    source; otherwise it stays pending for a later batch.
+    """
+    checked = check_ledger(ledger, source, target, rules)
+    batch = cut_lineage(led.pick_pending(checked, rules.batch).select(led.KEY))
+    rows = extract_records(source, batch)
+    lines = record_lines(rows, order=order)
+    write_line_parts(assign_parts(lines, led.KEY, list(order), "bytes", rules.part_bytes), path, led.KEY)
+    key_type = ledger.schema[led.KEY].dataType.simpleString()
+    loaded = ledger.sparkSession.read.schema(f"value string, {led.KEY} {key_type}, part bigint").text(path)
+    proof = led.reconcile_counts(rows.select(led.KEY), loaded.select(led.KEY), windows=batch).filter("equal")
+    proof = proof.select(led.KEY, F.col("source_count").alias("_loaded"))
+    done = F.col("_loaded").isNotNull()
+    return checked.join(small_side(proof), led.KEY, "left").withColumns({
+        "status": F.when(done, "completed").otherwise(F.col("status")),
+        "source_count": F.coalesce("_loaded", "source_count"),
+        "target_count": F.coalesce("_loaded", "target_count"),
+        "completed_at": F.when(done, clock.instant(rules.now)).otherwise(F.col("completed_at")),
+    }).drop("_loaded")

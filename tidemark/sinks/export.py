@@ -45,6 +45,12 @@ def write_part_files(parted: DataFrame, path: str, stream: str, mode: str = "err
     by_part.write.mode(mode).partitionBy(stream, "part").option("ignoreNullFields", "false").json(path)
 
 
+def write_line_parts(parted: DataFrame, path: str, stream: str, line: str = "line", mode: str = "errorifexists") -> None:
+    """Ready-made lines as text with one directory per (stream, part)."""
+    rows = parted.select(stream, "part", line).hint("rebalance", F.col(stream), F.col("part"))
+    rows.write.mode(mode).partitionBy(stream, "part").text(path)
+
+
 def write_buckets(df: DataFrame, path: str, ts: str, minutes: int = 5, mode: str = "errorifexists") -> None:
     """NDJSON with one directory per time slice.
 
