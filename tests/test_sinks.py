@@ -168,3 +168,16 @@ def test_batch_completes_only_what_can_be_read_back(spark, tmp_path):
     assert len(per_part) > 3 and max(r.b for r in per_part) <= 200
     with pytest.raises(Exception, match="already exists"):
         ingest.load_batch(ledger, source, target, ("seq",), path, rules)
+
+
+def test_compression_ratio(spark, tmp_path):
+    from tidemark.operators import rollups
+
+    rows = spark.range(5000).select(F.lit("s").alias("part"), F.concat(F.lit("row "), F.col("id").cast("string")).alias("text"))
+    path = str(tmp_path / "out")
+    export.write_csv_gz_parts(rows.select("text"), path, rows=2000)
+    packed = export.manifest(extract.read_header_csv(spark, path)).agg(F.sum("bytes").alias("packed"))
+    raw = rollups.part_sizes(rows, "part", F.col("text")).first()
+    saved = packed.select(rollups.compression_ratio(F.lit(raw.raw_bytes), F.col("packed")).alias("saved")).first().saved
+    assert raw.lines == 5000 and 50 < saved < 100
+    assert spark.range(1).select(rollups.compression_ratio(F.lit(0), F.lit(20)).alias("s")).first().s == 0.0

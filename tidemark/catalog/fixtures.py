@@ -18,13 +18,14 @@ COMPUTE = [
     "cast(value as decimal(18,2)) as total_runrate", "cast(value * 2 as decimal(18,2)) as core_hours",
     "cast(value * 3 as decimal(18,2)) as ram_hours", "cast(value / 100 as decimal(18,4)) as cpu_30d",
 ]
+# Quantities are whole numbers, so their sums are exact as doubles; other measures are summed as decimals.
 STORAGE = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate as ts", "l_suppkey as mount_point",
     "l_partkey as clust_vol_mount", "l_returnflag as owner", "l_returnflag as service",
     "case when l_linestatus = 'F' then 'offline' when l_orderkey % 7 = 0 then null else 'online' end as state",
-    "cast(l_extendedprice as decimal(18,2)) as totalsize", "cast(l_quantity as decimal(18,2)) as usedsize",
+    "cast(l_extendedprice as decimal(18,2)) as totalsize", "l_quantity as usedsize",
     "cast(l_discount * 100 as decimal(18,4)) as used_pct", "cast(l_tax as decimal(18,2)) as runrate",
-    "cast(l_quantity as decimal(18,2)) as disk_hours",
+    "l_quantity as disk_hours",
 ]
 LEDGER = [
     "o_orderkey as record_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -265,3 +266,43 @@ def fleet_details(spark, folder):
     found = fleet.details(inventories, request, ["pri_owner", "hostname", "status_name"])
     return found.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count("pri_owner").alias("owners"),
                                      F.count_distinct("hostname").alias("hosts"))
+
+
+@query("fleet_trend", fx.compute_stats_sql(
+    f"(select *, cast(ts as date) as trend_day from {SELECTED_SQL})", ["trend_day", "pri_owner", "service"]))
+def fleet_trend(spark, folder):
+    request = replace(REQUEST, zone="UTC")
+    return fleet.fleet_trend(_inventories(spark, folder), request)["compute"]
+
+
+@query("fleet_storage_snapshot", fx.storage_stats_sql(
+    f"(select * from {fx.STORAGE_SQL} where state = 'offline')", ["owner"], "clust_vol_mount"))
+def fleet_storage_snapshot(spark, folder):
+    request = replace(REQUEST, start=datetime(1990, 1, 1), end=datetime(2010, 1, 1), status=("Retired",),
+                      services=("storage",), dims=("pri_owner",), terms={}, bucket_size=1000)
+    return fleet.snapshot(_inventories(spark, folder), request)["storage"]
+
+
+EXEC_SQL = f"""
+    e as (select cast(s_suppkey as varchar) as exec_id from supplier),
+    u as (select cast(user_id as varchar) as user_id, cast(manager as varchar) as exec_id
+        from {fx.sql('customer', fx.PEOPLE)} where status = 'Active'),
+    t as (select e.exec_id, coalesce(u.user_id, e.exec_id) as person, u.user_id is not null as has_reports
+        from e left join u using (exec_id)),
+    x as (select * from {fx.COMPUTE_SQL} where odc_hv is distinct from 1),
+    m as (select x.*, t.exec_id, t.person from x join t on t.person = cast(x.hostname % 25 as varchar) or (t.has_reports
+        and (t.person = cast(x.hostname % 40 as varchar) or t.person = cast(x.hostname % 60 as varchar))))"""
+
+
+@query("exec_snapshot", "with " + EXEC_SQL + fx.compute_stats_sql("m", ["exec_id", "person"]))
+def exec_snapshot(spark, folder):
+    request = replace(REQUEST, status=(), terms={}, dims=())
+    people_rows = fx.select(spark, folder, "customer", fx.PEOPLE)
+    users = people_rows.withColumns({c: F.col(c).cast("string") for c in ("user_id", "manager")})
+    execs = table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("exec_id"))
+    hosts = fx.compute(spark, folder).withColumns({
+        "pri_owner": F.expr("cast(hostname % 25 as string)"),
+        "owner_mgr_chain": F.expr("array(cast(hostname % 40 as string), cast(hostname % 60 as string))"),
+        "hostname": F.col("hostname").cast("string"),
+    })
+    return fleet.exec_snapshot({"compute": hosts}, request, users, execs)["compute"]

@@ -16,8 +16,12 @@ BROADCAST_ROWS = 500_000
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast only when a count shows at most ``max_rows`` narrow rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """The narrow side of a join, computed once (checkpointed) and counted when this is called.
+
+    It is marked for broadcast only if it has at most ``max_rows`` rows; otherwise the planner decides.
+    """
+    fixed = cut_lineage(df)
+    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
