@@ -268,8 +268,17 @@ def fleet_details(spark, folder):
                                      F.count_distinct("hostname").alias("hosts"))
 
 
-@query("fleet_trend", fx.compute_stats_sql(
-    f"(select *, cast(ts as date) as trend_day from {SELECTED_SQL})", ["trend_day", "pri_owner", "service"]))
+DAILY_SQL = f"(select *, cast(ts as date) as trend_day from {SELECTED_SQL})"
+
+
+@query("fleet_trend", f"""
+    with c as (select trend_day, pri_owner, service, count(*) as n from {DAILY_SQL} where pri_owner is not null group by all),
+    a as (select trend_day, pri_owner from (select trend_day, pri_owner, row_number() over (
+        partition by trend_day order by sum(n) desc, pri_owner) as r from c group by 1, 2) where r <= 4),
+    k as (select trend_day, pri_owner, service from (select c.*, row_number() over (
+        partition by trend_day, pri_owner order by n desc, service) as r from c join a using (trend_day, pri_owner)) where r <= 4)
+    """ + fx.compute_stats_sql(f"(select x.* from {DAILY_SQL} x join k using (trend_day, pri_owner, service))",
+                               ["trend_day", "pri_owner", "service"]))
 def fleet_trend(spark, folder):
     request = replace(REQUEST, zone="UTC")
     return fleet.fleet_trend(_inventories(spark, folder), request)["compute"]

@@ -96,19 +96,23 @@ def distinct_count(df: DataFrame, column: str, exact: bool = False, rsd: float =
     return df.agg(distinct_values(column, exact, rsd).alias("n_distinct"))
 
 
-def nested_terms(df: DataFrame, dims: list[str], size: int = 1000) -> DataFrame:
+def nested_terms(df: DataFrame, dims: list[str], size: int = 1000, within: tuple[str, ...] = ()) -> DataFrame:
     """Row counts of nested buckets: at each level the ``size`` largest keys of each parent.
 
-    Ranks use a bucket's full count, before its children are cut; ties go to the smaller key.
+    Ranks use a bucket's full count, before its children are cut; ties go to the smaller key. Each
+    combination of ``within`` values has buckets of its own and is never cut.
+
     Rows are read and counted once, when this is called; the counts are checkpointed and each level
     works on them. The top level is a plain top-n, deeper ones are ranked per parent with the rank
     limit applied before the shuffle.
     """
+    outer = list(within)
     present = reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])
-    counts = cut_lineage(df.filter(present).groupBy(*dims).agg(F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(df.filter(present).groupBy(*outer, *dims).agg(F.count(F.lit(1)).alias("n")))
     kept = None
-    for depth in range(1, len(dims) + 1):
-        path, parent, name = dims[:depth], dims[: depth - 1], dims[depth - 1]
+    for depth, name in enumerate(dims, start=1):
+        path = [*outer, *dims[:depth]]
+        parent = path[:-1]
         level = counts if kept is None else counts.join(kept.select(*parent), parent, "left_semi")
         if depth < len(dims):
             level = level.groupBy(*path).agg(F.sum("n").alias("n"))
@@ -121,13 +125,14 @@ def nested_terms(df: DataFrame, dims: list[str], size: int = 1000) -> DataFrame:
     return kept
 
 
-def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000) -> DataFrame:
+def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000, within: tuple[str, ...] = ()) -> DataFrame:
     """``stats(df, dims)`` for the surviving buckets only; rows of cut buckets never reach the shuffle.
 
-    There are at most ``size ** len(dims)`` survivors; they are broadcast when their count is small.
+    The survivors are at most ``size ** len(dims)`` per ``within`` value; a small list is broadcast.
     """
-    kept = small_side(nested_terms(df, dims, size).drop("n"))
-    return stats(df.join(kept, dims, "left_semi"), dims)
+    keys = [*within, *dims]
+    kept = small_side(nested_terms(df, dims, size, within).drop("n"))
+    return stats(df.join(kept, keys, "left_semi"), keys)
 
 
 def nest_buckets(df: DataFrame, dims: list[str]) -> DataFrame:
@@ -161,13 +166,17 @@ def compression_ratio(raw: Column, packed: Column) -> Column:
     return F.when(raw > 0, F.lit(100.0) * (1 - packed / raw)).otherwise(F.lit(0.0))
 
 
-def rows_per_part(df: DataFrame, max_bytes: int = 250 * 1024 * 1024, sample_rows: int = 1000) -> DataFrame:
-    """Estimate rows per part from the first ``sample_rows`` rows; reads are clamped to 100..200,000 rows."""
-    line = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+def rows_per_part(df: DataFrame, max_bytes: int = 250 * 1024 * 1024, sample_rows: int = 1000,
+                  text: Column | None = None) -> DataFrame:
+    """Rows that fill a part, from the first ``sample_rows`` rows; reads are clamped to 100..200,000 rows.
+
+    A row's bytes are those of ``text``, or of the row as compact JSON.
+    """
+    raw = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if text is None else text
     per_row = F.greatest(F.lit(1.0), F.coalesce(F.avg("_b"), F.lit(1.0)))
     rows = F.greatest(F.lit(1), F.floor(F.lit(float(max_bytes)) / per_row)).cast("bigint")
     return (
-        df.limit(sample_rows).select(line.alias("_b"))
+        df.limit(sample_rows).select(F.octet_length(raw).alias("_b"))
         .agg(F.count(F.lit(1)).alias("sampled"), per_row.alias("bytes_per_row"), rows.alias("rows_per_part"))
         .withColumn("read_rows", F.least(F.greatest("rows_per_part", F.lit(100)), F.lit(200_000)).cast("bigint"))
     )

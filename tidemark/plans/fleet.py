@@ -83,7 +83,7 @@ def fleet_trend(inventories: dict[str, DataFrame], request: FleetRequest) -> dic
     """Statistics per trend window and inventory. Trends tell disks apart by mount point."""
     return {
         kind: trend(selected(inventories[kind], kind, request), "ts", request.zone, request.start, request.end,
-                    _stats(kind, request, "mount_point"), _dims(kind, request), request.days)
+                    _stats(kind, request, "mount_point"), _dims(kind, request), request.days, request.bucket_size)
         for kind in request.kinds()
     }
 
