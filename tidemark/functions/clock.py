@@ -1,4 +1,9 @@
-"""Column helpers for instants, zones and calendars. Naive timestamps mean UTC."""
+"""Column helpers for instants, zones and calendars.
+
+Naive timestamps mean UTC and the session clock is UTC (see ``session.prepare``), so a cast between
+naive and zoned timestamps moves nothing. Zone shifts use ``from_utc_timestamp``, which resolves a
+constant zone once; ``convert_timezone`` resolves it for every row.
+"""
 
 from __future__ import annotations
 
@@ -14,19 +19,22 @@ def naive(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
+def _shifted(ts: Column, zone: str) -> Column:
+    return F.from_utc_timestamp(ts.cast("timestamp"), zone)
+
+
 def to_local(ts: Column, zone: str) -> Column:
     """UTC wall clock -> wall clock of ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), naive(ts))
+    return naive(_shifted(ts, zone))
 
 
-def to_utc(local: Column, zone: str | Column) -> Column:
+def to_utc(local: Column, zone: str) -> Column:
     """Wall clock of ``zone`` -> UTC wall clock."""
-    zone = F.lit(zone) if isinstance(zone, str) else zone
-    return F.convert_timezone(zone, F.lit("UTC"), naive(local))
+    return naive(F.to_utc_timestamp(local.cast("timestamp"), zone))
 
 
 def local_date(ts: Column, zone: str) -> Column:
-    return F.to_date(to_local(ts, zone))
+    return F.to_date(_shifted(ts, zone))
 
 
 def instant(value: datetime | str) -> Column:
@@ -58,20 +66,23 @@ def within(ts: Column, start: Column, end: Column, closed: str = "left") -> Colu
 
 def offset_text(ts: Column, zone: str) -> Column:
     """UTC offset of ``zone`` at the instant, as ``+05:30``."""
-    utc = naive(ts)
-    minutes = F.timestamp_diff("MINUTE", utc, to_local(ts, zone))
-    size = F.abs(minutes)
+    shift = F.unix_micros(_shifted(ts, zone)) - F.unix_micros(ts.cast("timestamp"))
+    minutes = _whole(F.abs(shift), 60_000_000)
     return F.concat(
-        F.when(minutes < 0, "-").otherwise("+"),
-        F.lpad(F.floor(size / 60).cast("string"), 2, "0"),
+        F.when(shift < 0, "-").otherwise("+"),
+        F.lpad(_whole(minutes, 60).cast("string"), 2, "0"),
         F.lit(":"),
-        F.lpad((size % 60).cast("string"), 2, "0"),
+        F.lpad((minutes % 60).cast("string"), 2, "0"),
     )
 
 
+def _whole(value: Column, by: int) -> Column:
+    return F.call_function("div", value, F.lit(by).cast("bigint"))
+
+
 def iso_text(ts: Column, zone: str) -> Column:
     """ISO 8601 text in ``zone`` with offset, to the second."""
-    return F.concat(F.date_format(to_local(ts, zone), "yyyy-MM-dd'T'HH:mm:ss"), offset_text(ts, zone))
+    return F.concat(F.date_format(_shifted(ts, zone), "yyyy-MM-dd'T'HH:mm:ss"), offset_text(ts, zone))
 
 
 def iso_year(day: Column) -> Column:
@@ -137,8 +148,7 @@ def _shape(fmt: str) -> str | None:
 
 def seconds_between(later: Column, earlier: Column) -> Column:
     """Whole seconds, cut toward zero."""
-    micros = F.timestamp_diff("MICROSECOND", naive(earlier), naive(later))
-    return F.call_function("div", micros, F.lit(1_000_000).cast("bigint"))
+    return _whole(F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp")), 1_000_000)
 
 
 # A count and its unit, and the seconds a unit is worth.
