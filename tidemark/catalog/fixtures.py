@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.session import table
 
+
+def _cents(value: str) -> str:
+    """Measures with two decimals as whole hundredths: their sums are exact in any order."""
+    return f"cast(floor({value} * 100 + 0.5) as bigint)"
+
+
 COMPUTE = [
     "event_id as row_id", "ts", "user_id as hostname", "event_type as service",
     "case when user_id % 10 = 0 then 'na' when user_id % 10 = 1 then null "
@@ -14,18 +20,17 @@ COMPUTE = [
     "case when user_id % 5 = 0 then 'Retired' else 'Production' end as status_name",
     "case when user_id % 17 = 0 then 1 when user_id % 3 = 0 then null else 0 end as odc_hv",
     "case when user_id % 11 = 0 then null else cast(user_id % 16 as int) end as core_count",
-    "case when user_id % 13 = 0 then null else cast(value as decimal(18,2)) end as ram",
-    "cast(value as decimal(18,2)) as total_runrate", "cast(value * 2 as decimal(18,2)) as core_hours",
-    "cast(value * 3 as decimal(18,2)) as ram_hours", "cast(value / 100 as decimal(18,4)) as cpu_30d",
+    f"case when user_id % 13 = 0 then null else {_cents('value')} end as ram",
+    f"{_cents('value')} as total_runrate", f"{_cents('value * 2')} as core_hours",
+    f"{_cents('value * 3')} as ram_hours", f"{_cents('value')} as cpu_30d",
 ]
-# Quantities are whole numbers, so their sums are exact as doubles; other measures are summed as decimals.
 STORAGE = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate as ts", "l_suppkey as mount_point",
     "l_partkey as clust_vol_mount", "l_returnflag as owner", "l_returnflag as service",
     "case when l_linestatus = 'F' then 'offline' when l_orderkey % 7 = 0 then null else 'online' end as state",
-    "cast(l_extendedprice as decimal(18,2)) as totalsize", "l_quantity as usedsize",
-    "cast(l_discount * 100 as decimal(18,4)) as used_pct", "cast(l_tax as decimal(18,2)) as runrate",
-    "l_quantity as disk_hours",
+    f"{_cents('l_extendedprice')} as totalsize", f"{_cents('l_quantity')} as usedsize",
+    f"{_cents('l_discount')} as used_pct", f"{_cents('l_tax')} as runrate",
+    f"{_cents('l_quantity')} as disk_hours",
 ]
 LEDGER = [
     "o_orderkey as record_id",
