@@ -158,6 +158,24 @@ def test_rows_without_host_count_in_sums_only(spark):
     assert (got["count"], got.run_rate, got.core_count, got.ram, got.efficiency) == (1, 7.0, 3.0, 1.0, 50.0)
 
 
+def test_latest_by_any_order(spark):
+    t = datetime(2025, 1, 1)
+    rows = [("a", t, 5, "x", 1), ("a", t, -(2**63), "z", 2), ("a", t - timedelta(days=1), 2**63 - 1, "y", 3), ("a", None, 9, "w", 4),
+            ("b", None, 1, "p", 5), ("b", None, 2, "q", 6), ("c", datetime(1900, 1, 1), None, "r", 7), ("c", datetime(1900, 1, 1), -4, "s", None)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, tie long, name string, v int")
+
+    def got(*order):
+        return dict(values(rollups.latest_per_key(df, "k", list(order), ["v"]), "k", "v"))
+
+    assert got("ts", "tie") == {"a": 1, "b": 6, "c": None}
+    assert got("ts", "tie", "name") == {"a": 1, "b": 6, "c": None}
+    assert got("name") == {"a": 2, "b": 6, "c": None}
+    assert got("tie") == {"a": 3, "b": 6, "c": None}
+    assert got("ts", "name") == {"a": 2, "b": 6, "c": None}
+    plan = rollups.latest_per_key(df.drop("name"), "k", ["ts", "tie"], ["v"])._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
+
+
 def test_nested_terms_ties_and_nulls(spark):
     rows = [("a", "x")] * 3 + [("a", "y")] * 3 + [("a", "z")] + [("b", "x")] * 2 + [("c", "q")] * 7 + [(None, "x")] * 9 + [("b", None)] * 9
     df = spark.createDataFrame(rows, "d1 string, d2 string")

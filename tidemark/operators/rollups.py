@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions import clock
@@ -20,26 +22,52 @@ def count_window(df: DataFrame, ts: str, start, end, closed: str = "both") -> Da
     ).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def latest(fields: list[str], order: list[str]) -> Column:
-    """Aggregate: ``fields`` of the row that is last in ``order``, as a struct.
+def _as_long(column: str, kind: T.DataType) -> Column | None:
+    """A time, date or whole number as a long in the same order; null for any other type."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col(column).cast("bigint")
+    return None
 
-    With one order column each field is kept beside it in a fixed-width buffer, which hashes; a
-    compound order needs a struct to compare and is aggregated by sorting.
+
+def with_order_key(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``_order``, by which ``latest`` compares rows; a null sorts first.
+
+    Aggregation hashes only while its buffers have fixed width. So an order of one time or number,
+    or of a time and a number that breaks its ties, becomes one number. Any other order stays a
+    struct, which makes Spark sort the rows before it reduces them.
     """
-    if len(order) == 1:
-        return F.struct(*[F.max_by(f, order[0]).alias(f) for f in fields])
-    return F.max_by(F.struct(*fields), F.struct(*order))
+    kinds = [df.schema[c].dataType for c in order]
+    longs = [_as_long(c, k) for c, k in zip(order, kinds)]
+    timed = isinstance(kinds[0], (T.TimestampType, T.TimestampNTZType, T.DateType))
+    lowest = F.lit(-(2**63)).cast("bigint")
+    if len(order) == 1 and longs[0] is not None:
+        key = F.coalesce(longs[0], lowest)
+    elif len(order) == 2 and timed and longs[1] is not None:
+        # The factor exceeds the span of a long, so the second number never reaches into the first.
+        wide = F.coalesce(longs[0], F.lit(-(10**17))).cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19))
+        key = wide + F.coalesce(longs[1], lowest).cast("decimal(19,0)")
+    else:
+        key = F.struct(*order)
+    return df.withColumn("_order", key)
+
+
+def latest(df: DataFrame, fields: list[str]) -> Column:
+    """Aggregate over ``with_order_key`` rows: ``fields`` of the last row, as a struct."""
+    if isinstance(df.schema["_order"].dataType, T.StructType):
+        return F.max_by(F.struct(*fields), "_order")
+    return F.struct(*[F.max_by(f, "_order").alias(f) for f in fields])
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: list[str], fields: list[str]) -> DataFrame:
     """The last row of each key. Reduced before the shuffle, so one hot key costs one row per task."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (
-        df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(latest(fields, order).alias("_last"))
-        .select(*keys, "_last.*")
-    )
+    known = df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    ordered = with_order_key(known, order)
+    return ordered.groupBy(*keys).agg(latest(ordered, fields).alias("_last")).select(*keys, "_last.*")
 
 
 def _two_step(df: DataFrame, dims: list[str], unit: str, order: list[str], sums: dict[str, str],
@@ -49,11 +77,12 @@ def _two_step(df: DataFrame, dims: list[str], unit: str, order: list[str], sums:
     Step 1 groups by (dims, unit): partial sums and the unit's latest row. Step 2 folds the units.
     The distinct count is then a plain count, with no distinct shuffle and no join back.
     """
-    first = df.groupBy(*dims, unit).agg(
+    ordered = with_order_key(df, order)
+    first = ordered.groupBy(*dims, unit).agg(
         *[F.sum(c).alias(f"_{n}") for n, c in sums.items()],
         F.sum(mean).alias("_mean_sum"),
         F.count(mean).alias("_mean_n"),
-        latest(list(held.values()), order).alias("_last"),
+        latest(ordered, list(held.values())).alias("_last"),
     )
     known = F.col(unit).isNotNull()
     return first.groupBy(*dims).agg(
