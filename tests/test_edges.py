@@ -34,6 +34,26 @@ def test_daily_counts_zero_days_and_edges(spark):
     assert got == [(date(2025, 3, 8), 1), (date(2025, 3, 9), 2), (date(2025, 3, 10), 1), (date(2025, 3, 11), 0)]
 
 
+def test_zoned_timestamps_count_like_naive_ones(spark):
+    zone = "America/Los_Angeles"
+    naive = spark.range(400).select(F.expr("timestamp_ntz'2025-03-07 20:00:00' + make_dt_interval(0, 0, id * 17)").alias("ts"))
+    zoned = naive.select(F.col("ts").cast("timestamp").alias("ts"))
+
+    def stats(df, dims):
+        return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
+
+    span = (datetime(2025, 3, 7, 20), datetime(2025, 3, 12, 1))
+    for first, second in (
+        [windows.daily_counts(df, "ts", zone, date(2025, 3, 6), date(2025, 3, 13)) for df in (naive, zoned)],
+        [trends.trend(df, "ts", zone, *span, stats, days=2) for df in (naive, zoned)],
+        [windows.count_buckets(df, "ts").select(F.col("bucket_start").cast("timestamp_ntz"), "n") for df in (naive, zoned)],
+        [windows.render_zones(df, "ts").drop("ts") for df in (naive, zoned)],
+    ):
+        assert sorted(values(first)) == sorted(values(second)) != []
+    counted = windows.daily_counts(zoned, "ts", zone, date(2025, 3, 6), date(2025, 3, 13))
+    assert counted.agg(F.sum("row_count")).first()[0] == 400
+
+
 def test_trend_windows_align_and_clip(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 15), datetime(2024, 1, 4, 6))], "start_ts timestamp_ntz, end_ts timestamp_ntz")
     got = values(windows.trend_windows(df, 2), "window_start", "window_end")

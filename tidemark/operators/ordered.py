@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tidemark.session import cut_lineage
 
 GROUP_ROWS = 2_000_000
-GROUP_BYTES = 256 * 1024 * 1024
+GROUP_BYTES = 2 * 1024**3
 BROADCAST_ROWS = 500_000
 
 
