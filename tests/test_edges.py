@@ -155,8 +155,8 @@ def test_exec_rollup_isolates_execs(spark):
     users = spark.createDataFrame([("u1", "boss", "Active"), ("u2", "boss", "Active"), ("u3", "boss", "Inactive")],
                                   "user_id string, manager string, status string")
     execs = spark.createDataFrame([("boss",), ("solo",)], "exec_id string")
-    rows = [(1, "u1", ["boss", "u1"], "h1", 1.0), (2, "x", ["boss", "u1"], "h2", 2.0), (3, "solo", ["top"], "h3", 4.0),
-            (4, "y", ["solo"], "h4", 8.0), (5, None, None, "h5", 16.0), (6, "u2", None, "h6", 32.0)]
+    rows = [(1, "u1", ["boss", "u1"], "h1", 1.0), (2, "x", ["boss", "u1"], "h2", 2.0),
+            (3, "solo", ["top"], "h3", 4.0), (4, "y", ["solo"], "h4", 8.0), (5, None, None, "h5", 16.0), (6, "u2", None, "h6", 32.0)]
     inventory = spark.createDataFrame(rows, "id int, pri_owner string, owner_mgr_chain array<string>, hostname string, v double")
     got = people.exec_rollup(inventory, users, execs, lambda df, dims: df.groupBy(*dims).agg(F.sum("v").alias("v")))
     assert sorted(values(got, "exec_id", "person", "v")) == [("boss", "u1", 3.0), ("boss", "u2", 32.0), ("solo", "solo", 4.0)]
@@ -386,3 +386,10 @@ def test_record_policies(spark):
         records.map_records(df, half, "h long").collect()
     with pytest.raises(ValueError):
         records.map_records(df, half, "h long", "ignore")
+
+
+def test_records_keep_nulls_and_large_numbers(spark):
+    big = 2**62 + 1
+    df = spark.createDataFrame([(big, None), (None, 2)], "a long, b int")
+    got = records.map_records(df, lambda r: {"a": r["a"], "missing": r["b"] is None}, "a long, missing boolean")
+    assert sorted(values(got), key=str) == sorted([(big, True), (None, False)], key=str)

@@ -117,3 +117,13 @@ def test_running_total(spark, max_rows):
         expected[(k, i)] = sums.get(k, 0)
         sums[k] = sums.get(k, 0) + v
     assert {(r.k, r.seq): r.before for r in got} == expected
+
+
+def test_large_group_keys_beside_nulls(spark):
+    big = 2**60 + 1
+    rows = [(big, i, 40) for i in range(3)] + [(None, i, 20) for i in range(3)] + [(big + 1, 0, 70)]
+    df = spark.createDataFrame(rows, "grp long, seq long, dur int")
+    got = packing.pack_lanes(df, "grp", ["seq"], "dur", 60).collect()
+    assert {(r.grp, r.seq): (r.lane, r.start_s) for r in got} == {
+        **{(big, i): p for i, p in enumerate(loop([40] * 3, 60))},
+        **{(None, i): p for i, p in enumerate(loop([20] * 3, 60))}, (big + 1, 0): (1, 0)}

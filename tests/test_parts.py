@@ -64,3 +64,12 @@ def test_oversize_exact_fit_and_empty(spark):
     got = parts.assign_parts(df, "stream", ["seq"], "bytes", 100).orderBy("seq").collect()
     assert [r.part for r in got] == [1, 1, 2, 3, 4]
     assert parts.assign_parts(df.limit(0), "stream", ["seq"], "bytes", 100).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [1000, 3])
+def test_large_keys_beside_nulls(spark, max_rows):
+    big = 2**60 + 1
+    rows = [(None, i, 10, None) for i in range(5)] + [(big, i, 10, big) for i in range(5)] + [(big + 1, 0, 10, None)]
+    df = spark.createDataFrame(rows, "stream long, seq long, bytes int, note long")
+    got = parts.assign_parts(df, "stream", ["seq"], "bytes", 20, max_rows=max_rows).collect()
+    assert {(r.stream, r.seq, r.note): r.part for r in got} == {(k, i, n): 1 + i // 2 for k, i, _, n in rows}

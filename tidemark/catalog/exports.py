@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import fixtures as fx
 from tidemark.catalog.registry import query
 from tidemark.operators import parts, records, rollups
 from tidemark.plans import ingest

@@ -6,7 +6,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,6 +146,7 @@ def _pieces(lengths: list[tuple[int, int]], horizon: int, long_lanes: int) -> tu
     return out, ahead
 
 
+_PIECE = pa.struct([(name, pa.int64()) for name in ("lo", "hi", "per_lane", "lane", "step", "start")])
 _PLAN = ("_len long, _ahead long, _short boolean, "
          "_pieces array<struct<lo:long,hi:long,per_lane:long,lane:long,step:long,start:long>>")
 
@@ -177,21 +178,24 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
     )
     schema = T.StructType([df.schema[group], *T.StructType.fromDDL(_PLAN).fields])
 
-    def simulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def simulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for name, pairs, long_lanes in pdf[[group, "pairs", "long_lanes"]].itertuples(index=False):
+            for name, pairs, long_lanes in zip(*(batch.column(c).to_pylist() for c in (group, "pairs", "long_lanes"))):
                 pairs = sorted(((p["_len"], p["n"]) for p in pairs), reverse=True)
-                pieces, ahead = _pieces(pairs, horizon, int(long_lanes)) if pairs else ([], 0)
+                pieces, ahead = _pieces(pairs, horizon, long_lanes) if pairs else ([], 0)
                 by_length: dict[int, list[dict]] = {}
                 for piece in pieces:
                     by_length.setdefault(piece.pop("dur"), []).append(piece)
                 rows += [(name, length, ahead, True, p) for length, p in by_length.items()]
                 if long_lanes:
                     rows.append((name, None, ahead, bool(pairs), None))
-            yield pd.DataFrame(rows, columns=schema.names).astype({"_len": "Int64"})
+            if rows:
+                kinds = [batch.schema.field(group).type, pa.int64(), pa.int64(), pa.bool_(), pa.list_(_PIECE)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)], names=schema.names)
 
-    plan = listed.mapInPandas(simulate, schema)
+    plan = listed.mapInArrow(simulate, schema)
     short = running_total(jobs.filter(~is_long), [group, "_len"], seq, F.lit(1).cast("long"), "_rank",
                           chunks=chunks.get(False, 0))
     placed = null_safe_join(short, plan.filter(~long), [group, "_len"])

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,13 +118,30 @@ def part_numbers(sizes: np.ndarray, cap: int, held: int, part: int) -> tuple[np.
     return part + np.cumsum(starts), left
 
 
-def _runs(pdf: pd.DataFrame, stream: str) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Neighbouring rows of the same stream and chunk, under a key in which null equals null."""
-    codes, chunk = pd.factorize(pdf[stream])[0], pdf["_chunk"].to_numpy()
-    cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (chunk[1:] != chunk[:-1])) + 1
-    for low, high in zip([0, *cuts], [*cuts, len(pdf)]):
-        name = pdf[stream].iloc[low]
-        yield (None if codes[low] < 0 else name, int(chunk[low])), pdf.iloc[low:high]
+def _runs(batch: pa.RecordBatch, stream: str) -> Iterator[tuple[tuple, int, int]]:
+    """Neighbouring rows of the same stream and chunk: their key, first row and end."""
+    if not batch.num_rows:
+        return
+    names, chunk = batch.column(stream), batch.column("_chunk").to_numpy()
+    codes = names.dictionary_encode().indices.fill_null(-1).to_numpy()
+    cuts = (np.flatnonzero((codes[1:] != codes[:-1]) | (chunk[1:] != chunk[:-1])) + 1).tolist()
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield (names[low].as_py(), int(chunk[low])), low, high
+
+
+def _sizes(batch: pa.RecordBatch, size: str) -> np.ndarray:
+    return batch.column(size).fill_null(0).to_numpy().astype(np.int64)
+
+
+def _steps_batch(rows: list[tuple[tuple, Steps]], stream: str, kind: pa.DataType) -> pa.RecordBatch:
+    keys, steps = zip(*rows)
+    numbers = pa.list_(pa.int64())
+    columns = {stream: pa.array([k[0] for k in keys], kind), "node": pa.array([k[1] for k in keys], pa.int64())}
+    for name, type_ in (("total", pa.int64()), ("edges", numbers), ("opened", numbers), ("filled", numbers)):
+        columns[name] = pa.array([getattr(s, name) for s in steps], type_)
+    for at, name in enumerate(("zero_opened", "zero_filled")):
+        columns[name] = pa.array([s.zero[at] for s in steps], pa.int64())
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _entries(nodes: DataFrame, stream: str, group: list[str], cap: int, field: T.StructField) -> DataFrame:
@@ -151,22 +169,22 @@ def _chunk_entries(cut: DataFrame, stream: str, order: list[str], size: str, cap
     field = cut.schema[stream]
     schema = T.StructType([field, T.StructField("node", T.LongType()), *T.StructType.fromDDL(_STEP_SCHEMA).fields])
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, steps = None, None
-        for pdf in batches:
-            done = []
-            for run_key, run in _runs(pdf, stream):
-                one = steps_of(run[size].to_numpy(dtype=np.int64), cap)
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, steps, kind = None, None, None
+        for batch in batches:
+            sizes, kind, done = _sizes(batch, size), batch.schema.field(stream).type, []
+            for run_key, low, high in _runs(batch, stream):
+                one = steps_of(sizes[low:high], cap)
                 if run_key == key:
                     steps = chain(steps, one, cap)
                     continue
                 if key is not None:
-                    done.append({stream: key[0], "node": key[1], **steps.row()})
+                    done.append((key, steps))
                 key, steps = run_key, one
             if done:
-                yield pd.DataFrame(done)
+                yield _steps_batch(done, stream, kind)
         if key is not None:
-            yield pd.DataFrame([{stream: key[0], "node": key[1], **steps.row()}])
+            yield _steps_batch([(key, steps)], stream, kind)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
@@ -179,7 +197,7 @@ def _chunk_entries(cut: DataFrame, stream: str, order: list[str], size: str, cap
     spread = F.broadcast(spread.filter("_low < _high").select(stream))
     narrow = null_safe_join(cut.select(stream, "_chunk", *order, size), spread, [stream], "left_semi")
     narrow = narrow.sortWithinPartitions(stream, *order).select(stream, "_chunk", size)
-    levels = [cut_lineage(narrow.mapInPandas(summarise, schema))]
+    levels = [cut_lineage(narrow.mapInArrow(summarise, schema))]
     width = (levels[0].agg(F.max("node")).first()[0] or 0) + 1
     parent = F.floor(F.col("node") / fan_in).alias("_parent")
     while width > fan_in:
@@ -202,8 +220,8 @@ def assign_parts(df: DataFrame, stream: str, order: list[str], size: str, cap: i
     A record larger than the cap has a part of its own. ``size`` counts bytes as an integer of at
     least 0. While all streams stay within ``max_rows`` and ``max_bytes`` a task numbers whole
     streams; otherwise the sequence is cut into chunks within those measures, and a chunk starts
-    from what the chunks before it leave. Rows pass through Python in sorted batches, so no task
-    holds a stream in memory.
+    from what the chunks before it leave. Rows pass through Python in sorted Arrow batches, so no
+    task holds a stream in memory and no value changes its type.
     """
     chunks = chunks_needed(df, [stream], max_rows, size, max_bytes)
     if chunks:
@@ -216,18 +234,19 @@ def assign_parts(df: DataFrame, stream: str, order: list[str], size: str, cap: i
     ready = ready.fillna({"held": 0, "part": 1}).sortWithinPartitions(stream, *order)
     columns = list(df.columns)
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, part = None, 0, 1
-        for pdf in batches:
-            numbers = []
-            for run_key, run in _runs(pdf, stream):
+        for batch in batches:
+            sizes, numbers = _sizes(batch, size), []
+            for run_key, low, high in _runs(batch, stream):
                 if run_key != key:
-                    key, held, part = run_key, int(run["held"].iloc[0]), int(run["part"].iloc[0])
-                parts, held = part_numbers(run[size].to_numpy(dtype=np.int64), cap, held, part)
+                    key, held, part = run_key, batch.column("held")[low].as_py(), batch.column("part")[low].as_py()
+                parts, held = part_numbers(sizes[low:high], cap, held, part)
                 part = int(parts[-1])
                 numbers.append(parts)
             if numbers:
-                yield pdf[columns].assign(part=np.concatenate(numbers))
+                kept = [batch.column(c) for c in columns]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(numbers))], names=[*columns, "part"])
 
     schema = T.StructType([*df.schema.fields, T.StructField("part", T.LongType())])
-    return ready.mapInPandas(number, schema)
+    return ready.mapInArrow(number, schema)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def map_records(df: DataFrame, fn: Callable[[dict], dict], schema: str, on_error: str = "fail") -> DataFrame:
@@ -16,14 +18,13 @@ def map_records(df: DataFrame, fn: Callable[[dict], dict], schema: str, on_error
     """
     if on_error not in ("fail", "collect", "skip"):
         raise ValueError(f"unknown policy {on_error!r}")
-    names = [part.strip().split(" ")[0] for part in schema.split(",")]
-    out_schema = f"{schema}, ok boolean, error string" if on_error == "collect" else schema
-    columns = names + (["ok", "error"] if on_error == "collect" else [])
+    out_schema = T.StructType.fromDDL(f"{schema}, ok boolean, error string" if on_error == "collect" else schema)
+    arrow_schema = to_arrow_schema(out_schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for record in batch.to_dict("records"):
+            for record in batch.to_pylist():
                 try:
                     row = fn(record)
                 except Exception as error:
@@ -33,6 +34,6 @@ def map_records(df: DataFrame, fn: Callable[[dict], dict], schema: str, on_error
                         rows.append({"ok": False, "error": f"{type(error).__name__}: {error}"})
                     continue
                 rows.append({**row, "ok": True} if on_error == "collect" else row)
-            yield pd.DataFrame(rows, columns=columns, dtype=object)
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    return df.mapInPandas(run, out_schema)
+    return df.mapInArrow(run, out_schema)
