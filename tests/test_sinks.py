@@ -75,6 +75,13 @@ def test_week_survives_failure_and_is_written_once(spark, tmp_path):
     assert export.finished_weeks(spark, done).count() == 2
 
 
+def test_no_rows_write_no_week(spark, tmp_path):
+    path, done = str(tmp_path / "data"), str(tmp_path / "done")
+    rows = spark.createDataFrame([], "id int, day timestamp_ntz")
+    assert export.write_week_once(rows, path, "day", done).count() == 0
+    assert export.finished_weeks(spark, done).count() == 0
+
+
 def test_part_files_keep_to_the_cap(spark, tmp_path):
     lines = spark.range(500).select(F.lit("s").alias("stream"), "id", F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("body"))
     line = F.to_json(F.struct("id", "body"))

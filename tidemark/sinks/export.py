@@ -90,7 +90,7 @@ def write_week_once(df: DataFrame, path: str, day: str, manifest_path: str) -> D
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*weeks).parquet(path)
     written = (
-        spark.read.parquet(path).groupBy(*weeks).agg(F.count(F.lit(1)).alias("rows"))
+        spark.read.schema(todo.schema).parquet(path).groupBy(*weeks).agg(F.count(F.lit(1)).alias("rows"))
         .join(todo.select(*weeks).distinct(), weeks, "left_semi")
         .select("iso_year", "iso_week", "rows", F.current_timestamp().alias("finished_at"))
     )
