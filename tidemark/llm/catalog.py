@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from tidemark.llm.exact import exact_dedup
+from tidemark.llm.piece_bpe import encode_pieces
+from tidemark.llm.tokens import token_files
 from tidemark.session import table
 
 QUERIES = {}
@@ -26,3 +30,13 @@ def query(name, sql=None):
     select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from w""")
 def op9(spark, folder):
     return exact_dedup(table(spark, folder, "documents"))
+
+
+@query("op3_token_files")
+def op3(spark, folder):
+    return token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query("op4_sentencepiece")
+def op4(spark, folder):
+    return encode_pieces(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), end_id=2)
