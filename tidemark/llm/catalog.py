@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 
 from tidemark.llm.exact import exact_dedup
+from tidemark.llm.language import identify_languages
 from tidemark.llm.piece_bpe import encode_pieces
+from tidemark.llm.quality import score_quality
+from tidemark.llm.secrets import find_secrets
 from tidemark.llm.tokens import token_files
 from tidemark.session import table
 
@@ -40,3 +43,18 @@ def op3(spark, folder):
 @query("op4_sentencepiece")
 def op4(spark, folder):
     return encode_pieces(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), end_id=2)
+
+
+@query("op5_language")
+def op5(spark, folder):
+    return identify_languages(table(spark, folder, "documents"))
+
+
+@query("op8_secrets")
+def op8(spark, folder):
+    return find_secrets(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op10_quality")
+def op10(spark, folder):
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
