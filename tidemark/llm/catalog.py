@@ -9,6 +9,7 @@ from tidemark.llm.language import identify_languages
 from tidemark.llm.piece_bpe import encode_pieces
 from tidemark.llm.quality import score_quality
 from tidemark.llm.secrets import find_secrets
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.tokens import token_files
 from tidemark.session import table
 
@@ -58,3 +59,8 @@ def op8(spark, folder):
 @query("op10_quality")
 def op10(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op1_simhash")
+def op1(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
