@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.exact import exact_dedup
 from tidemark.llm.language import identify_languages
 from tidemark.llm.piece_bpe import encode_pieces
@@ -64,3 +65,8 @@ def op10(spark, folder):
 @query("op1_simhash")
 def op1(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_decontamination")
+def op6(spark, folder):
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Characters of text that one step inside a task works on, so that memory does not follow the batch.
@@ -73,7 +74,7 @@ def row_wise(df: DataFrame, keep: Sequence[str], text: str, schema: str, make: C
 
 
 def _names(schema: str) -> list[str]:
-    return [part.strip().split()[0] for part in schema.split(",")]
+    return [f.name for f in StructType.fromDDL(schema)]
 
 
 def _renamed(fn, names):
