@@ -12,6 +12,7 @@ from tidemark.llm.quality import score_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.tokens import token_files
+from tidemark.llm.warc import archive_round_trip
 from tidemark.session import table
 
 QUERIES = {}
@@ -70,3 +71,8 @@ def op1(spark, folder):
 @query("op6_decontamination")
 def op6(spark, folder):
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_warc")
+def op2(spark, folder):
+    return archive_round_trip(table(spark, folder, "pages"))
