@@ -6,6 +6,7 @@ import public_tokenizers
 
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.exact import exact_dedup
+from tidemark.llm.html_text import extract_main_text
 from tidemark.llm.language import identify_languages
 from tidemark.llm.piece_bpe import encode_pieces
 from tidemark.llm.quality import score_quality
@@ -76,3 +77,8 @@ def op6(spark, folder):
 @query("op2_warc")
 def op2(spark, folder):
     return archive_round_trip(table(spark, folder, "pages"))
+
+
+@query("op7_html_text")
+def op7(spark, folder):
+    return extract_main_text(table(spark, folder, "pages"))
