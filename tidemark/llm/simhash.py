@@ -62,7 +62,7 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def distances(fingerprints: np.ndarray, other) -> np.ndarray:
-    return np.bitwise_count(fingerprints ^ other)
+    return np.bitwise_count((fingerprints ^ other).view(np.uint64))  # of signed numbers it would count the absolute value
 
 
 def build(members: np.ndarray, leaf: int, radius: int = BITS) -> Node | Leaf:
