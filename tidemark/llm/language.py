@@ -37,7 +37,10 @@ class Model(NamedTuple):
 
 
 def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton as a table, in which a missing one starts anew at the root, marked."""
+    """Transitions of the suffix automaton as a table, in which a missing one starts anew at the root, marked.
+
+    The last state stands after a symbol that the sample does not have: a phrase of its own.
+    """
     links, lengths, moves = [-1], [0], [{}]
     last = 0
     for s in symbols:
@@ -63,10 +66,11 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[at] = copy
         last = at
-    root = np.zeros(width, np.uint32)
+    root = np.full(width, len(moves) * width, np.uint32)
     for s, to in moves[0].items():
         root[s] = to * width
-    table = np.tile(root | _RESTART, (len(moves), 1))
+    table = np.tile(root | _RESTART, (len(moves) + 1, 1))
+    table[0] = root
     for state, out in enumerate(moves):
         table[state, list(out)] = np.fromiter(out.values(), np.uint32, len(out)) * width
     return table.ravel()
