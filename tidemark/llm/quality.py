@@ -14,6 +14,8 @@ from tidemark.llm.common import fold_of, row_wise, text_of
 
 #: Bounds of the labelled sample: documents per class, and bytes of one document that are used for learning.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES = 1_500, 16_384
+#: Parts of the sample that are measured in turn.
+PARTS = 4
 DICTIONARY_BYTES = 48 * 1024
 #: Texts are compressed in pieces of so many bytes, so that a dictionary counts in all of a long text.
 PIECE = 2_048
@@ -43,6 +45,14 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"".join(parts)[:DICTIONARY_BYTES]
 
 
+def _dictionaries(classes: dict[int, list[bytes]]) -> tuple[bytes, bytes]:
+    """Of good and of bad text; of equally much of both, so that neither serves better for knowing more."""
+    most = min(sum(map(len, classes[v])) for v in (0, 1))
+    ends = {v: np.cumsum([len(t) for t in classes[v]]) for v in (0, 1)}
+    good, bad = (_dictionary(classes[v][:max(1, int(np.searchsorted(ends[v], most, "right")))]) for v in (1, 0))
+    return good, bad
+
+
 def measure(good: bytes, bad: bytes):
     """A function from a text's bytes to (size by the bad dictionary - size by the good one) / bytes; 0 if empty."""
     import zstandard
@@ -81,8 +91,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 4, held: int = 2) -> Model:
     """Dictionaries and calibration from a bounded sample of the labelled rows outside the held-out fold.
 
-    Per class at most SAMPLE_DOCS documents by a hash of the id. One half makes the dictionaries, the other
-    calibrates in the classes' true proportion, then the halves change places; the calibration takes both.
+    Per class about SAMPLE_DOCS documents by a hash of the id. Each part of them is measured by dictionaries of
+    the other parts, which calibrates what dictionaries say about texts they have not seen; all make the final ones.
     """
     known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & (fold_of("doc_id", folds) != held)).distinct()
@@ -98,17 +108,18 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     if not classes[0] or not classes[1]:
         only = 0.5 if not sample else float(sample[0][0])
         return Model(b"", b"", (0.0, 0.0, float(np.log((only + 0.01) / (1.01 - only)))))
-    halves = [{v: classes[v][i::2] or classes[v] for v in (0, 1)} for i in (0, 1)]
     x, y = [], []
-    for own, other in (halves, halves[::-1]):
-        of = measure(_dictionary(own[1]), _dictionary(own[0]))
+    for part in range(PARTS):
+        rest = {v: [t for i, t in enumerate(classes[v]) if i % PARTS != part] or classes[v] for v in (0, 1)}
+        of = measure(*_dictionaries(rest))
         for v in (0, 1):
-            x += [features(of(t), len(t)) for t in other[v]]
-            y += [v] * len(other[v])
+            own = classes[v][part::PARTS]
+            x += [features(of(t), len(t)) for t in own]
+            y += [v] * len(own)
     weights = fit_logistic(np.array(x), np.array(y, float))
     # The sample has the classes in other proportions than the labels; the offset takes the true odds back.
     weights[-1] += np.log((counts[1] / counts[0]) / (y.count(1) / y.count(0)))
-    return Model(_dictionary(classes[1]), _dictionary(classes[0]), tuple(map(float, weights)))
+    return Model(*_dictionaries(classes), tuple(map(float, weights)))
 
 
 def score_quality(
