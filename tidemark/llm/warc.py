@@ -139,7 +139,7 @@ def write_archives(
     ready.mapInArrow(_write_archive(folder, date), CAPTURE).write.parquet(f"{folder}/captures")
 
 
-def _write_index(folder: str):
+def _write_index(folder: str, block_lines: int):
     def run(batches):
         files, place = filesystem(folder)
         name, blocks, at, lines, keys, total = fresh("index"), [], 0, [], [], 0
@@ -159,7 +159,7 @@ def _write_index(folder: str):
                     lines.append(json.dumps(row))
                     keys.append(row[0])
                     total += 1
-                    if len(lines) == BLOCK_LINES:
+                    if len(lines) == block_lines:
                         last = close_block()
             if lines:
                 last = close_block()
@@ -171,12 +171,12 @@ def _write_index(folder: str):
     return run
 
 
-def write_index(spark: SparkSession, folder: str) -> None:
+def write_index(spark: SparkSession, folder: str, block_lines: int = BLOCK_LINES) -> None:
     """Sort the captures of ``folder`` into index parts; a key with very many captures runs over several parts."""
     captures = spark.read.schema(CAPTURE).parquet(f"{folder}/captures")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = captures.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset")
-    ordered.mapInArrow(_write_index(folder), "name string, first string, last string, blocks long, lines long").write.parquet(f"{folder}/index")
+    ordered.mapInArrow(_write_index(folder, block_lines), "name string, first string, last string, blocks long, lines long").write.parquet(f"{folder}/index")
 
 
 class IndexPart:
