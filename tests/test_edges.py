@@ -1,6 +1,7 @@
 """Literal rows for the edges of each operator."""
 
 from datetime import date, datetime, timedelta
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def test_trend_windows_align_and_clip(spark):
 def test_trend_without_rows_is_zero(spark):
     df = spark.createDataFrame([], "ts timestamp_ntz, hostname string, total_runrate double, core_hours double, "
                                    "ram_hours double, cpu_30d double, core_count int, ram double")
-    got = trends.trend(df, "ts", "UTC", datetime(2024, 1, 1), datetime(2024, 1, 3), rollups.compute_stats).orderBy("trend_day")
+    got = trends.trend(df, "ts", "UTC", datetime(2024, 1, 1), datetime(2024, 1, 3), partial(rollups.compute_stats, order=("ts",))).orderBy("trend_day")
     assert values(got, "trend_day", "count", "run_rate", "efficiency") == [
         (date(2024, 1, 1), 0, 0.0, None), (date(2024, 1, 2), 0, 0.0, None)]
 
@@ -166,7 +167,7 @@ def test_storage_without_size(spark):
     df = spark.createDataFrame([("m1", datetime(2025, 1, 1), 0.0, 0.0), ("m2", datetime(2025, 1, 1), None, None)],
                                "mount_point string, ts timestamp_ntz, totalsize double, usedsize double"
                                ).withColumns({"runrate": F.lit(1.0), "disk_hours": F.lit(2.0), "used_pct": F.lit(None).cast("double")})
-    got = rollups.storage_stats(df, []).first()
+    got = rollups.storage_stats(df, [], ("ts",)).first()
     assert (got.disk_count, got.total_size, got.used_size, got.disk_efficiency, got.efficiency) == (2, 0.0, 0.0, 0.0, None)
 
 
@@ -174,7 +175,7 @@ def test_rows_without_host_count_in_sums_only(spark):
     rows = [(None, datetime(2025, 1, 1), 1.0, 5), ("h", datetime(2025, 1, 2), 2.0, 3), ("h", datetime(2025, 1, 1), 4.0, 9)]
     df = spark.createDataFrame(rows, "hostname string, ts timestamp_ntz, total_runrate double, core_count int").withColumns(
         {"core_hours": F.lit(0.0), "ram_hours": F.lit(0.0), "cpu_30d": F.lit(0.5), "ram": F.lit(1.0)})
-    got = rollups.compute_stats(df, []).first()
+    got = rollups.compute_stats(df, [], ("ts",)).first()
     assert (got["count"], got.run_rate, got.core_count, got.ram, got.efficiency) == (1, 7.0, 3.0, 1.0, 50.0)
 
 
@@ -393,3 +394,18 @@ def test_records_keep_nulls_and_large_numbers(spark):
     df = spark.createDataFrame([(big, None), (None, 2)], "a long, b int")
     got = records.map_records(df, lambda r: {"a": r["a"], "missing": r["b"] is None}, "a long, missing boolean")
     assert sorted(values(got), key=str) == sorted([(big, True), (None, False)], key=str)
+
+
+def test_no_rows_are_dropped_unasked(spark):
+    spark.range(3000).selectExpr("id as c1").createOrReplaceTempView("edge_long")
+    assert extract.query_rows(spark, "edge_long", {}).count() == 3000
+    with pytest.raises(ValueError):
+        extract.query_rows(spark, "edge_long", {}, limit=5)
+    assert rollups.nested_terms(spark.range(3000).selectExpr("id as d"), ["d"]).count() == 3000
+    spread = spark.range(2000).selectExpr("case when id < 1000 then 'x' else repeat('x', 999) end as t").coalesce(1)
+    assert rollups.rows_per_part(spread, 100_000, F.col("t")).first()["rows_per_part"] == 200
+
+
+def test_terms_on_an_array(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, None), (4, [None])], "k int, owner_mgr_chain array<string>")
+    assert values(filters.filter_terms(df, {"owner_mgr_chain": ["b", "z"]}, {"owner_mgr_chain"}), "k") == [(1,)]

@@ -127,3 +127,10 @@ def test_large_group_keys_beside_nulls(spark):
     assert {(r.grp, r.seq): (r.lane, r.start_s) for r in got} == {
         **{(big, i): p for i, p in enumerate(loop([40] * 3, 60))},
         **{(None, i): p for i, p in enumerate(loop([20] * 3, 60))}, (big + 1, 0): (1, 0)}
+
+
+def test_running_total_of_fractions_is_the_same_by_both_plans(spark):
+    df = spark.range(3000).selectExpr("case when id % 10 = 0 then 'cold' else 'hot' end as lane", "id as seq", "cast(id * 7919 % 1000 as double) / 7 as dur")
+    plans = [packing.lane_schedule(df, "lane", ["seq"], "dur", n).orderBy("seq").collect() for n in (10_000, 400, 50)]
+    assert [tuple(r) for r in plans[0]] == [tuple(r.asDict()[c] for c in plans[0][0].asDict()) for r in plans[1]]
+    assert [r.start_min for r in plans[0]] == [r.start_min for r in plans[2]]

@@ -88,9 +88,9 @@ def part_sizes(spark, folder):
 
 @query("rows_per_part", """
     select *, cast(least(greatest(rows_per_part, 100), 200000) as bigint) as read_rows from (
-      select count(*) as sampled, greatest(avg(strlen(text)), 1.0) as bytes_per_row,
+      select count(*) as measured, greatest(avg(strlen(text)), 1.0) as bytes_per_row,
         cast(greatest(floor(262144000.0::double / greatest(avg(strlen(text)), 1.0)), 1) as bigint) as rows_per_part
-      from (select text from documents limit 1000))""")
+      from documents)""")
 def rows_per_part(spark, folder):
     return rollups.rows_per_part(table(spark, folder, "documents"), text=F.col("text"))
 

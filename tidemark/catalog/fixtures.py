@@ -18,7 +18,7 @@ COMPUTE = [
     "case when user_id % 10 = 0 then 'na' when user_id % 10 = 1 then null "
     "else concat('u', cast(user_id % 7 as varchar(10))) end as pri_owner",
     "case when user_id % 5 = 0 then 'Retired' else 'Production' end as status_name",
-    "case when user_id % 17 = 0 then 1 when user_id % 3 = 0 then null else 0 end as odc_hv",
+    "case when user_id % 17 = 0 then 1 when user_id % 3 = 0 then null else 0 end as virtual_host",
     "case when user_id % 11 = 0 then null else cast(user_id % 16 as int) end as core_count",
     f"case when user_id % 13 = 0 then null else {_cents('value')} end as ram",
     f"{_cents('value')} as total_runrate", f"{_cents('value * 2')} as core_hours",
@@ -26,7 +26,8 @@ COMPUTE = [
 ]
 STORAGE = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate as ts", "l_suppkey as mount_point",
-    "l_partkey as clust_vol_mount", "l_returnflag as owner", "l_returnflag as service",
+    "l_partkey as clust_vol_mount", "l_returnflag as owner",
+    "case when l_partkey % 9 = 0 then 'archive' else 'storage' end as service",
     "case when l_linestatus = 'F' then 'offline' when l_orderkey % 7 = 0 then null else 'online' end as state",
     f"{_cents('l_extendedprice')} as totalsize", f"{_cents('l_quantity')} as usedsize",
     f"{_cents('l_discount')} as used_pct", f"{_cents('l_tax')} as runrate",

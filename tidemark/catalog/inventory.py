@@ -44,25 +44,26 @@ def count_window_empty(spark, folder):
     return rollups.count_window(table(spark, folder, "orders"), "o_orderdate", datetime(2090, 1, 1), datetime(2091, 1, 1))
 
 
-@query("query_rows", """
-    select * from orders where o_orderstatus = 'P' and o_orderpriority = '5-LOW' order by o_orderkey limit 1000""")
+@query("query_rows", "select * from orders where o_orderstatus = 'P' and o_orderpriority = '5-LOW'")
 def rows_by_parameters(spark, folder):
     table(spark, folder, "orders").createOrReplaceTempView("ledger_orders")
     return query_rows(spark, "ledger_orders", {"o_orderstatus": "P", "o_orderpriority": "5-LOW"}, "o_orderkey")
 
 
-@query("query_rows_null", "select * from orders where o_orderstatus = null")
-def rows_by_null(spark, folder):
+@query("query_rows_limit", """
+    select * from orders where o_orderstatus = 'P' order by o_orderkey limit 50""")
+def first_rows_by_parameters(spark, folder):
     table(spark, folder, "orders").createOrReplaceTempView("ledger_orders")
-    return query_rows(spark, "ledger_orders", {"o_orderstatus": None}, "o_orderkey")
+    text = "select * from ledger_orders where o_orderstatus = :status"
+    return query_rows(spark, text, {"status": "P"}, "o_orderkey", 50)
 
 
 @query("filter_terms", f"""
-    select row_id, hostname, service, pri_owner from {fx.COMPUTE_SQL}
-    where service in ('signup', 'error') and pri_owner in ('u1', 'u2', 'na')""")
+    select row_id, hostname, service, pri_owner from {fx.CHAINED_SQL}
+    where service in ('signup', 'error') and pri_owner in ('u1', 'u2', 'na') and list_has_any(owner_mgr_chain, [3, 17, 55])""")
 def filter_terms(spark, folder):
-    terms = {"service": ["signup", "error"], "pri_owner": ["u1", "u2", "na"], "unknown_field": ["x"]}
-    return filters.filter_terms(fx.compute(spark, folder), terms, filters.FILTERABLE["compute"]).select(
+    terms = {"service": ["signup", "error"], "pri_owner": ["u1", "u2", "na"], "owner_mgr_chain": [3, 17, 55], "unknown_field": ["x"]}
+    return filters.filter_terms(fx.chained(spark, folder), terms, filters.FILTERABLE["compute"]).select(
         "row_id", "hostname", "service", "pri_owner")
 
 
@@ -74,11 +75,11 @@ def filter_owner_or_chain(spark, folder):
 
 
 @query("exclude", f"""
-    select row_id, pri_owner, odc_hv from {fx.COMPUTE_SQL}
-    where pri_owner is distinct from 'na' and odc_hv is distinct from 1 and service not like '%-hv%'""")
+    select row_id, pri_owner, virtual_host, service from {fx.COMPUTE_SQL}
+    where pri_owner is distinct from 'na' and virtual_host is distinct from 1 and service not like '%ur%'""")
 def exclude(spark, folder):
-    return filters.exclude(fx.compute(spark, folder), {"pri_owner": "na", "odc_hv": 1}, {"service": "%-hv%"}).select(
-        "row_id", "pri_owner", "odc_hv")
+    return filters.exclude(fx.compute(spark, folder), {"pri_owner": "na", "virtual_host": 1}, {"service": "%ur%"}).select(
+        "row_id", "pri_owner", "virtual_host", "service")
 
 
 @query("filter_status_compute", f"select row_id, status_name from {fx.COMPUTE_SQL} where status_name = 'Retired'")
@@ -114,13 +115,11 @@ def filter_level(spark, folder):
 
 
 @query("union_kinds", f"""
-    select kind, count(*) as n, count(pri_owner) as owners, count(mount_point) as mounts from (
-      select 'compute' as kind, pri_owner, null as mount_point from {fx.COMPUTE_SQL}
-      union all select 'storage', null, mount_point from {fx.STORAGE_SQL}) group by kind""")
+    select 'compute' as kind, row_id, pri_owner, service, null as line_no, null as mount_point from {fx.COMPUTE_SQL}
+    union all select 'storage', null, null, service, line_no, mount_point from {fx.STORAGE_SQL}""")
 def union_kinds(spark, folder):
     both = filters.union_kinds({"compute": fx.compute(spark, folder), "storage": fx.storage(spark, folder)})
-    return both.groupBy("kind").agg(
-        F.count(F.lit(1)).alias("n"), F.count("pri_owner").alias("owners"), F.count("mount_point").alias("mounts"))
+    return both.select("kind", "row_id", "pri_owner", "service", "line_no", "mount_point")
 
 
 @query("latest_per_key", f"""
@@ -137,7 +136,7 @@ def _compute(df, dims):
 
 
 def _storage(df, dims):
-    return rollups.storage_stats(df, dims, "clust_vol_mount", order=fx.STORAGE_ORDER)
+    return rollups.storage_stats(df, dims, fx.STORAGE_ORDER, "clust_vol_mount")
 
 
 @query("compute_stats", fx.compute_stats_sql(fx.COMPUTE_SQL, ["service", "status_name"]))
@@ -192,14 +191,12 @@ def nested_stats(spark, folder):
 
 
 @query("nest_buckets", f"""
-    with c as (select service, hostname, count(*) as n from {fx.COMPUTE_SQL} group by all),
-    t as (select *, row_number() over (partition by service order by n desc, hostname) as r from c)
+    with t as (select service, hostname, count(*) as n from {fx.COMPUTE_SQL} group by all)
     select service, '{{' || string_agg('"' || hostname || '":{{"n":' || n || '}}', ',' order by cast(hostname as varchar)) || '}}'
-      as buckets from t where r <= 50 group by 1""")
+      as buckets from t where hostname is not null group by 1""")
 def nest_buckets(spark, folder):
-    """At most 50 buckets per level, so each tree is bounded however many hosts there are."""
     dims = ["service", "hostname"]
-    return rollups.nest_buckets(rollups.nested_terms(fx.compute(spark, folder), dims, 50), dims)
+    return rollups.nest_buckets(rollups.nested_terms(fx.compute(spark, folder), dims), dims)
 
 
 @query("direct_reports", f"""
@@ -230,12 +227,14 @@ def exec_rollup(spark, folder):
 
 REQUEST = fleet.FleetRequest(
     start=datetime(2023, 12, 1), end=datetime(2024, 3, 1), status=("Production",), dims=("pri_owner", "service"),
-    services=("odcbatch",), terms={"service": ["signup", "click", "purchase"]}, bucket_size=4,
+    services={"compute": ("signup", "click", "purchase")}, bucket_size=4,
     order={"compute": ("ts", "row_id"), "storage": fx.STORAGE_ORDER},
+    exclusions={"compute": fleet.Exclusion({"pri_owner": "na", "virtual_host": 1}, {"hostname": "%99"}),
+                "storage": fleet.Exclusion({"owner": "na"})},
 )
 SELECTED_SQL = f"""(select * from {fx.COMPUTE_SQL} where ts >= timestamp '2023-12-01' and ts < timestamp '2024-03-01'
-    and pri_owner is distinct from 'na' and odc_hv is distinct from 1 and status_name = 'Production'
-    and service in ('signup', 'click', 'purchase'))"""
+    and pri_owner is distinct from 'na' and virtual_host is distinct from 1 and status_name = 'Production'
+    and cast(hostname as varchar) not like '%99' and service in ('signup', 'click', 'purchase'))"""
 
 
 def _inventories(spark, folder):
@@ -255,17 +254,19 @@ def fleet_snapshot(spark, folder):
 
 
 @query("fleet_details", f"""
-    select kind, count(*) as n, count(pri_owner) as owners, count(distinct hostname) as hosts from (
-      select 'compute' as kind, pri_owner, cast(hostname as varchar) as hostname from {fx.COMPUTE_SQL}
-        where ts >= timestamp '1990-01-01' and pri_owner is distinct from 'na' and odc_hv is distinct from 1
-      union all select 'storage', owner, cast(mount_point as varchar) from {fx.STORAGE_SQL}) group by kind""")
+    select 'compute' as kind, ts, pri_owner, cast(hostname as varchar) as hostname, status_name, core_count,
+      null as totalsize, null as usedsize from {fx.COMPUTE_SQL}
+    where ts between timestamp '1990-01-01' and timestamp '2024-01-01' and pri_owner is distinct from 'na'
+      and virtual_host is distinct from 1 and cast(hostname as varchar) not like '%99' and service in ('view', 'error')
+    union all select 'storage', ts, owner, cast(mount_point as varchar), state, null, totalsize, usedsize from {fx.STORAGE_SQL}
+    where service = 'storage'""")
 def fleet_details(spark, folder):
-    request = fleet.FleetRequest(start=datetime(1990, 1, 1), end=datetime(2090, 1, 1))
+    request = replace(REQUEST, start=datetime(1990, 1, 1), end=datetime(2024, 1, 1), closed="both", status=("Production", "Retired"),
+                      services={"compute": ("view", "error"), "storage": ("storage",)})
     inventories = _inventories(spark, folder)
     inventories["storage"] = inventories["storage"].withColumn("mount_point", F.col("mount_point").cast("string"))
     found = fleet.details(inventories, request, ["pri_owner", "hostname", "status_name"])
-    return found.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count("pri_owner").alias("owners"),
-                                     F.count_distinct("hostname").alias("hosts"))
+    return found.select("kind", "ts", "pri_owner", "hostname", "status_name", "core_count", "totalsize", "usedsize")
 
 
 DAILY_SQL = f"(select *, cast(ts as date) as trend_day from {SELECTED_SQL})"
@@ -285,10 +286,10 @@ def fleet_trend(spark, folder):
 
 
 @query("fleet_storage_snapshot", fx.storage_stats_sql(
-    f"(select * from {fx.STORAGE_SQL} where state = 'offline')", ["owner"], "clust_vol_mount"))
+    f"(select * from {fx.STORAGE_SQL} where state = 'offline' and service = 'archive')", ["owner"], "clust_vol_mount"))
 def fleet_storage_snapshot(spark, folder):
     request = replace(REQUEST, start=datetime(1990, 1, 1), end=datetime(2010, 1, 1), status=("Retired",),
-                      services=("storage",), dims=("pri_owner",), terms={}, bucket_size=1000)
+                      services={"storage": ("archive",)}, dims=("pri_owner",), bucket_size=None)
     return fleet.snapshot(_inventories(spark, folder), request)["storage"]
 
 
@@ -298,14 +299,14 @@ EXEC_SQL = f"""
         from {fx.sql('customer', fx.PEOPLE)} where status = 'Active'),
     t as (select e.exec_id, coalesce(u.user_id, e.exec_id) as person, u.user_id is not null as has_reports
         from e left join u using (exec_id)),
-    x as (select * from {fx.COMPUTE_SQL} where odc_hv is distinct from 1),
-    m as (select x.*, t.exec_id, t.person from x join t on t.person = cast(x.hostname % 25 as varchar) or (t.has_reports
+    x as (select * replace (cast(hostname % 25 as varchar) as pri_owner) from {fx.COMPUTE_SQL}
+        where virtual_host is distinct from 1 and cast(hostname as varchar) not like '%99'
+        and service in ('signup', 'click', 'purchase') and ts >= timestamp '2023-12-01' and ts < timestamp '2024-03-01'),
+    m as (select x.*, t.exec_id, t.person from x join t on t.person = x.pri_owner or (t.has_reports
         and (t.person = cast(x.hostname % 40 as varchar) or t.person = cast(x.hostname % 60 as varchar))))"""
 
 
-@query("exec_snapshot", "with " + EXEC_SQL + fx.compute_stats_sql("m", ["exec_id", "person"]))
-def exec_snapshot(spark, folder):
-    request = replace(REQUEST, status=(), terms={}, dims=())
+def _exec_snapshot(spark, folder, **changes):
     people_rows = fx.select(spark, folder, "customer", fx.PEOPLE)
     users = people_rows.withColumns({c: F.col(c).cast("string") for c in ("user_id", "manager")})
     execs = table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("exec_id"))
@@ -314,4 +315,39 @@ def exec_snapshot(spark, folder):
         "owner_mgr_chain": F.expr("array(cast(hostname % 40 as string), cast(hostname % 60 as string))"),
         "hostname": F.col("hostname").cast("string"),
     })
+    request = replace(REQUEST, status=(), **changes)
     return fleet.exec_snapshot({"compute": hosts}, request, users, execs)["compute"]
+
+
+@query("exec_snapshot", "with " + EXEC_SQL + fx.compute_stats_sql("m", ["exec_id", "person"]))
+def exec_snapshot(spark, folder):
+    return _exec_snapshot(spark, folder, dims=())
+
+
+@query("exec_snapshot_by_service", "with " + EXEC_SQL + """,
+    c as (select exec_id, person, pri_owner, service, count(*) as n from m group by all),
+    a as (select exec_id, person, pri_owner from (select exec_id, person, pri_owner, row_number() over (
+        partition by exec_id, person order by sum(n) desc, pri_owner) as r from c group by 1, 2, 3) where r <= 3),
+    k as (select exec_id, person, pri_owner, service from (select c.*, row_number() over (
+        partition by exec_id, person, pri_owner order by n desc, service) as r
+        from c join a using (exec_id, person, pri_owner)) where r <= 3)
+    """ + fx.compute_stats_sql("(select m.* from m join k using (exec_id, person, pri_owner, service))",
+                               ["exec_id", "person", "pri_owner", "service"]))
+def exec_snapshot_by_service(spark, folder):
+    return _exec_snapshot(spark, folder, dims=("pri_owner", "service"), bucket_size=3)
+
+
+@query("fleet_chain", f"""
+    select ts, pri_owner, hostname from (select * exclude (pri_owner, hostname), cast(hostname % 25 as varchar) as pri_owner,
+        cast(hostname as varchar) as hostname, hostname as h from {fx.COMPUTE_SQL})
+    where ts >= timestamp '2023-12-01' and ts < timestamp '2024-03-01' and virtual_host is distinct from 1
+      and hostname not like '%99' and status_name = 'Production' and service in ('signup', 'click', 'purchase')
+      and (pri_owner in ('3', '17') or h % 40 in (3, 17) or h % 60 in (3, 17))""")
+def fleet_chain(spark, folder):
+    hosts = fx.compute(spark, folder).withColumns({
+        "pri_owner": F.expr("cast(hostname % 25 as string)"),
+        "owner_mgr_chain": F.expr("array(cast(hostname % 40 as string), cast(hostname % 60 as string))"),
+        "hostname": F.col("hostname").cast("string"),
+    })
+    request = replace(REQUEST, terms={"owner_mgr_chain": ["3", "17"]}, owner_or_chain=True)
+    return fleet.details({"compute": hosts}, request, ["pri_owner", "hostname"]).select("ts", "pri_owner", "hostname")

@@ -73,7 +73,7 @@ def _compute(df, dims):
 
 
 def _storage(disk):
-    return lambda df, dims: rollups.storage_stats(df, dims, disk, order=fx.STORAGE_ORDER)
+    return lambda df, dims: rollups.storage_stats(df, dims, fx.STORAGE_ORDER, disk)
 
 
 @query("compute_trend", fx.compute_stats_sql(_trended(fx.COMPUTE_SQL, 1), ["trend_day"]))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # One concept has another column name in each inventory.
 CONCEPTS = {
@@ -23,11 +24,10 @@ CONCEPTS = {
     "farm": {"storage": "farm", "compute": "farm"},
     "service": {"storage": "service", "compute": "service"},
     "cpu_class": {"storage": "class", "compute": "cpu_class"},
-    "cluster": {"storage": "cluster", "compute": "cage_location"},
+    "cluster": {"storage": "cluster", "compute": "cluster"},
     "cpu": {"storage": "cpu_model", "compute": "cpu"},
     "server_category": {"storage": "category", "compute": "server_category"},
     "os_version": {"storage": "os_name", "compute": "os_version"},
-    "qsc": {"storage": "qsc", "compute": "qsc"},
     "status_name": {"storage": "state", "compute": "status_name"},
     "cpu_speed": {"storage": "cpu_speed", "compute": "cpu_speed"},
     "bu_project": {"storage": "bu_project", "compute": "bu_project"},
@@ -51,12 +51,23 @@ FILTERABLE = {
 
 
 def filter_terms(df: DataFrame, terms: dict[str, list], allowed, rename: dict[str, str] | None = None) -> DataFrame:
-    """AND over fields of IN over values; fields outside ``allowed`` are ignored, as is an empty dict."""
+    """AND over fields of IN over values; fields outside ``allowed`` are ignored, as is an empty dict.
+
+    An array matches when it holds any of the values.
+    """
     rename = rename or {}
-    tests = [F.col(rename.get(f, f)).isin(list(v)) for f, v in terms.items() if f in allowed]
+    tests = [holds_any(df, rename.get(f, f), v) for f, v in terms.items() if f in allowed]
     return df.filter(reduce(Column.__and__, tests)) if tests else df
 
 
+def holds_any(df: DataFrame, column: str, values) -> Column:
+    """True where the column, or an element of an array column, is one of the values; a null is none of them."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.arrays_overlap(column, F.array(*[F.lit(v) for v in values]).cast(kind)), F.lit(False))
+    return F.col(column).isin(list(values))
+
+
 def filter_owner_or_chain(df: DataFrame, names: list[str], owner: str = "pri_owner", chain: str = "owner_mgr_chain") -> DataFrame:
     """Rows owned by one of ``names``, or with one of them anywhere in the management chain."""
     wanted = F.array(*[F.lit(n) for n in names])
@@ -75,13 +86,6 @@ def exclude(df: DataFrame, equals: dict[str, object] | None = None, like: dict[s
     return df.filter(none_of(*tests)) if tests else df
 
 
-# Rows never counted in each inventory.
-def standing_exclusions(df: DataFrame, kind: str) -> DataFrame:
-    if kind == "compute":
-        return exclude(df, {"pri_owner": "na", "odc_hv": 1}, {"hostname": "%-hv%"})
-    return exclude(df, {"owner": "na"})
-
-
 def status_test(kind: str, status: str) -> Column:
     """Production or Retired. Storage knows only 'offline': anything else, or nothing, is in production."""
     if status not in ("Production", "Retired"):

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.session import cut_lineage
@@ -13,15 +14,19 @@ from tidemark.session import cut_lineage
 GROUP_ROWS = 2_000_000
 GROUP_BYTES = 2 * 1024**3
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024**2
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The narrow side of a join, computed once (checkpointed) and counted when this is called.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The narrow side of a join, computed once (checkpointed) and measured when this is called.
 
-    It is marked for broadcast only if it has at most ``max_rows`` rows; otherwise the planner decides.
+    It is marked for broadcast only if it has at most ``max_rows`` rows and, written as JSON,
+    ``max_bytes``; otherwise the planner decides.
     """
     fixed = cut_lineage(df)
-    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    rows, size = fixed.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(fixed) if rows <= max_rows and size <= max_bytes else fixed
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -56,27 +61,51 @@ def ordered_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int
     return cut_lineage(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
+def exact(amount: Column, kind: T.DataType, scale: int) -> Column:
+    """Fractions as decimals of ``scale`` digits, whose sums are the same in any order."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return amount.cast(T.DecimalType(28, scale))
+    return amount
+
+
 def running_total(df: DataFrame, keys: list[str], order: list[str], amount: Column, name: str,
-                  max_rows: int = GROUP_ROWS, chunks: int | None = None) -> DataFrame:
+                  max_rows: int = GROUP_ROWS, chunks: int | None = None, scale: int = 6) -> DataFrame:
     """Add the sum of ``amount`` over the group's earlier rows; ``order`` must tell rows apart.
 
-    Groups of at most ``max_rows`` rows are one sorted window. When any group is larger, rows are
-    cut into ordered chunks: a window per chunk, plus the totals of the chunks before it.
-    ``chunks`` states their number (0 for none) where the caller knows the group sizes already.
+    A fractional amount is rounded to ``scale`` digits and summed exactly, so the plan does not
+    change the answer. Groups of at most ``max_rows`` rows are one sorted window. The rows of a
+    larger group are cut into ordered chunks: a window per chunk, plus the totals of the chunks
+    before it. Only keys, order and amount of such groups are fixed on disk. ``chunks`` states the
+    number of chunks (0 for none) where the caller knows that.
     """
     if chunks is None:
         chunks = chunks_needed(df, keys, max_rows)
-    df = df.withColumn("_amount", amount)
+    kind = df.select(amount.alias("a")).schema["a"].dataType
+    df = df.withColumn("_amount", exact(amount, kind, scale))
+    total = kind if isinstance(kind, (T.FloatType, T.DoubleType)) else None
     zero = F.lit(0).cast(df.schema["_amount"].dataType)
-    if not chunks:
+
+    def shown(column: Column) -> Column:
+        return column.cast(total) if total else column
+
+    def by_window(rows: DataFrame) -> DataFrame:
         before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum("_amount").over(before), zero)).drop("_amount")
-    cut = ordered_chunks(df, keys, order, chunks)
+        return rows.withColumn(name, shown(F.coalesce(F.sum("_amount").over(before), zero))).drop("_amount")
+
+    if not chunks:
+        return by_window(df)
+    # At most rows / max_rows groups are larger than max_rows.
+    large = small_side(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys))
+    hot = null_safe_join(df, large, keys, "left_semi")
+    cut = ordered_chunks(hot.select(*dict.fromkeys([*keys, *order]), "_amount"), keys, order, chunks)
     whole = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy(*keys, "_chunk").agg(F.sum("_amount").alias("_sum")).select(
         *keys, "_chunk", F.coalesce(F.sum("_sum").over(whole), zero).alias("_offset")
     )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("_local", F.coalesce(F.sum("_amount").over(inside), zero))
-    joined = null_safe_join(local, offsets, [*keys, "_chunk"])
-    return joined.withColumn(name, F.col("_local") + F.col("_offset")).drop("_amount", "_local", "_offset", "_chunk")
+    placed = null_safe_join(local, offsets, [*keys, "_chunk"])
+    where = list(dict.fromkeys([*keys, *order]))
+    totals = placed.select(*where, shown(F.col("_local") + F.col("_offset")).alias(name))
+    return by_window(null_safe_join(df, large, keys, "left_anti")).unionByName(
+        null_safe_join(hot.drop("_amount"), totals, where))

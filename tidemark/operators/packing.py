@@ -197,7 +197,7 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
 
     plan = listed.mapInArrow(simulate, schema)
     short = running_total(jobs.filter(~is_long), [group, "_len"], seq, F.lit(1).cast("long"), "_rank",
-                          chunks=chunks.get(False, 0))
+                          max_rows, chunks.get(False, 0))
     placed = null_safe_join(short, plan.filter(~long), [group, "_len"])
     mine = F.element_at(F.filter("_pieces", lambda p: (p["lo"] <= F.col("_rank")) & (F.col("_rank") < p["hi"])), 1)
     at = F.col("_rank") - F.col("_p.lo")
@@ -208,17 +208,17 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
     })
     out = placed.select(*df.columns, "lane", "start_s")
     if True in chunks:
-        wide = _long_jobs(jobs.filter(is_long), plan.filter(long), group, seq, chunks[True])
+        wide = _long_jobs(jobs.filter(is_long), plan.filter(long), group, seq, max_rows, chunks[True])
         out = out.unionByName(wide.select(*out.columns))
     return out.withColumn("end_s", F.col("start_s") + F.coalesce(F.col(dur), F.lit(0)))
 
 
-def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], chunks: int) -> DataFrame:
+def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], max_rows: int, chunks: int) -> DataFrame:
     """Jobs over the horizon: one lane each, shortest first, after the shared lanes.
 
     In a group of only such jobs the last one placed stays at the end of the list.
     """
-    ranked = running_total(jobs, [group], ["_len", *seq], F.lit(1).cast("long"), "_rank", chunks=chunks)
+    ranked = running_total(jobs, [group], ["_len", *seq], F.lit(1).cast("long"), "_rank", max_rows, chunks)
     by_length = jobs.groupBy(group, "_len").agg(F.count(F.lit(1)).alias("n"))
     shortest = by_length.groupBy(group).agg(F.min_by("n", "_len").alias("_ties"), F.sum("n").alias("_n"))
     both = null_safe_join(null_safe_join(ranked, plan.select(group, "_ahead", "_short"), [group]), shortest, [group])

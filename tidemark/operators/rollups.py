@@ -94,8 +94,11 @@ def _two_step(df: DataFrame, dims: list[str], unit: str, order: list[str], sums:
     )
 
 
-def compute_stats(df: DataFrame, dims: list[str], host: str = "hostname", order=("ts",)) -> DataFrame:
-    """Compute metrics per group; cores and memory are summed over each host's latest row."""
+def compute_stats(df: DataFrame, dims: list[str], order, host: str = "hostname") -> DataFrame:
+    """Compute metrics per group; cores and memory are summed over each host's latest row.
+
+    ``order`` must tell a host's rows apart, or the latest of equals is left open.
+    """
     out = _two_step(
         df, dims, host, list(order),
         {"run_rate": "total_runrate", "core_hours": "core_hours", "ram_hours": "ram_hours"},
@@ -105,8 +108,8 @@ def compute_stats(df: DataFrame, dims: list[str], host: str = "hostname", order=
                       (F.col("_mean") * 100).alias("efficiency"), "core_count", "ram")
 
 
-def storage_stats(df: DataFrame, dims: list[str], disk: str = "mount_point", order=("ts",)) -> DataFrame:
-    """Storage metrics per group; sizes are summed over each disk's latest row."""
+def storage_stats(df: DataFrame, dims: list[str], order, disk: str = "mount_point") -> DataFrame:
+    """Storage metrics per group; sizes are summed over each disk's latest row by a unique ``order``."""
     out = _two_step(
         df, dims, disk, list(order), {"run_rate": "runrate", "disk_hours": "disk_hours"},
         "used_pct", {"total_size": "totalsize", "used_size": "usedsize"}, "disk_count",
@@ -125,8 +128,8 @@ def distinct_count(df: DataFrame, column: str, exact: bool = False, rsd: float =
     return df.agg(distinct_values(column, exact, rsd).alias("n_distinct"))
 
 
-def nested_terms(df: DataFrame, dims: list[str], size: int = 1000, within: tuple[str, ...] = ()) -> DataFrame:
-    """Row counts of nested buckets: at each level the ``size`` largest keys of each parent.
+def nested_terms(df: DataFrame, dims: list[str], size: int | None = None, within: tuple[str, ...] = ()) -> DataFrame:
+    """Row counts of nested buckets: all of them, or at each level the ``size`` largest keys of each parent.
 
     Ranks use a bucket's full count, before its children are cut; ties go to the smaller key. Each
     combination of ``within`` values has buckets of its own and is never cut.
@@ -137,7 +140,10 @@ def nested_terms(df: DataFrame, dims: list[str], size: int = 1000, within: tuple
     """
     outer = list(within)
     present = reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])
-    counts = cut_lineage(df.filter(present).groupBy(*outer, *dims).agg(F.count(F.lit(1)).alias("n")))
+    counts = df.filter(present).groupBy(*outer, *dims).agg(F.count(F.lit(1)).alias("n"))
+    if size is None:
+        return counts
+    counts = cut_lineage(counts)
     kept = None
     for depth, name in enumerate(dims, start=1):
         path = [*outer, *dims[:depth]]
@@ -154,12 +160,14 @@ def nested_terms(df: DataFrame, dims: list[str], size: int = 1000, within: tuple
     return kept
 
 
-def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000, within: tuple[str, ...] = ()) -> DataFrame:
-    """``stats(df, dims)`` for the surviving buckets only; rows of cut buckets never reach the shuffle.
+def nested_stats(df: DataFrame, dims: list[str], stats, size: int | None = None, within: tuple[str, ...] = ()) -> DataFrame:
+    """``stats(df, dims)`` for all buckets, or the surviving ones; rows of cut buckets never reach the shuffle.
 
     The survivors are at most ``size ** len(dims)`` per ``within`` value; a small list is broadcast.
     """
     keys = [*within, *dims]
+    if size is None:
+        return stats(df.filter(reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])), keys)
     kept = small_side(nested_terms(df, dims, size, within).drop("n"))
     return stats(df.join(kept, keys, "left_semi"), keys)
 
@@ -167,8 +175,8 @@ def nested_stats(df: DataFrame, dims: list[str], stats, size: int = 1000, within
 def nest_buckets(df: DataFrame, dims: list[str]) -> DataFrame:
     """Fold bucket rows into one nested JSON object per top-level key; leaves hold the metrics.
 
-    Made for what ``nested_terms`` or ``nested_stats`` leave: their ``size`` bounds each tree. There
-    is one row per top-level key, so no task holds all trees.
+    There is one row per top-level key, so no task holds all trees, but a key's tree is one value:
+    state a ``size`` for ``nested_terms`` or ``nested_stats`` where a key may have very many buckets.
     """
     metrics = [c for c in df.columns if c not in dims]
     out = df.withColumn("_tree", F.struct(*metrics))
@@ -195,17 +203,18 @@ def compression_ratio(raw: Column, packed: Column) -> Column:
     return F.when(raw > 0, F.lit(100.0) * (1 - packed / raw)).otherwise(F.lit(0.0))
 
 
-def rows_per_part(df: DataFrame, max_bytes: int = 250 * 1024 * 1024, sample_rows: int = 1000,
-                  text: Column | None = None) -> DataFrame:
-    """Rows that fill a part, from the first ``sample_rows`` rows; reads are clamped to 100..200,000 rows.
+def rows_per_part(df: DataFrame, max_bytes: int = 250 * 1024 * 1024, text: Column | None = None,
+                  least_read: int = 100, most_read: int = 200_000) -> DataFrame:
+    """Rows that fill a part on average, over all rows; ``read_rows`` is kept within the given bounds.
 
-    A row's bytes are those of ``text``, or of the row as compact JSON.
+    A row's bytes are those of ``text``, or of the row as compact JSON. This is a mean: writers
+    that must keep a cap add up the bytes of their rows instead.
     """
     raw = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if text is None else text
     per_row = F.greatest(F.lit(1.0), F.coalesce(F.avg("_b"), F.lit(1.0)))
     rows = F.greatest(F.lit(1), F.floor(F.lit(float(max_bytes)) / per_row)).cast("bigint")
     return (
-        df.limit(sample_rows).select(F.octet_length(raw).alias("_b"))
-        .agg(F.count(F.lit(1)).alias("sampled"), per_row.alias("bytes_per_row"), rows.alias("rows_per_part"))
-        .withColumn("read_rows", F.least(F.greatest("rows_per_part", F.lit(100)), F.lit(200_000)).cast("bigint"))
+        df.select(F.octet_length(raw).alias("_b"))
+        .agg(F.count(F.lit(1)).alias("measured"), per_row.alias("bytes_per_row"), rows.alias("rows_per_part"))
+        .withColumn("read_rows", F.least(F.greatest("rows_per_part", F.lit(least_read)), F.lit(most_read)).cast("bigint"))
     )

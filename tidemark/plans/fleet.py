@@ -14,45 +14,65 @@ from tidemark.operators.people import exec_rollup
 from tidemark.operators.rollups import compute_stats, nested_stats, storage_stats
 from tidemark.operators.trends import trend
 
-# Service names of the compute inventory.
-COMPUTE_SERVICES = ("odcbatch", "odcres", "odcdynamic", "traditional")
+@dataclass(frozen=True)
+class Exclusion:
+    """Rows that a report never counts: those equal to, or like, one of the values."""
+
+    equals: dict[str, object] = field(default_factory=dict)
+    like: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class FleetRequest:
-    """What to report. An empty filter, dimension list or status list places no condition."""
+    """What to report. An empty filter, dimension list or status list places no condition.
+
+    ``services`` names, per inventory, the services whose rows count; an inventory without any is left
+    out. ``order`` names, per inventory, columns that tell the rows of a host or disk apart. A term on
+    ``chain`` also finds rows owned by one of its values if ``owner_or_chain`` is set. ``bucket_size``
+    keeps only the largest buckets of each dimension.
+    """
 
     start: object
     end: object
+    services: dict[str, tuple[str, ...]]
+    order: dict[str, tuple[str, ...]]
     status: tuple[str, ...] = ("Production", "Retired")
-    services: tuple[str, ...] = (*COMPUTE_SERVICES, "storage")
     terms: dict[str, list] = field(default_factory=dict)
     dims: tuple[str, ...] = ()
     days: int = 1
     zone: str = "America/Los_Angeles"
-    bucket_size: int = 1000
-    order: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"compute": ("ts",), "storage": ("ts",)})
+    closed: str = "left"
+    bucket_size: int | None = None
     disk: str = "clust_vol_mount"
+    chain: str = "owner_mgr_chain"
+    owner_or_chain: bool = False
+    exclusions: dict[str, Exclusion] = field(default_factory=lambda: {
+        "compute": Exclusion({"pri_owner": "na"}), "storage": Exclusion({"owner": "na"})})
 
     def kinds(self) -> list[str]:
-        compute = any(s in COMPUTE_SERVICES for s in self.services)
-        return (["compute"] if compute else []) + (["storage"] if "storage" in self.services else [])
+        return [k for k in ("compute", "storage") if self.services.get(k)]
 
 
 def selected(inventory: DataFrame, kind: str, request: FleetRequest, ts: str = "ts") -> DataFrame:
-    """Rows of one inventory that the request covers: window, standing exclusions, status, terms."""
-    df = inventory.filter(clock.within(F.col(ts), clock.instant(request.start), clock.instant(request.end)))
-    df = filters.standing_exclusions(df, kind)
+    """Rows of one inventory that the request covers: window, services, exclusions, status, terms."""
+    window = clock.within(F.col(ts), clock.instant(request.start), clock.instant(request.end), request.closed)
+    df = inventory.filter(window & F.col("service").isin(list(request.services[kind])))
+    never = request.exclusions.get(kind, Exclusion())
+    df = filters.exclude(df, never.equals, never.like)
     if request.status:
         df = df.filter(reduce(Column.__or__, [filters.status_test(kind, s) for s in request.status]))
-    return filters.filter_terms(df, request.terms, filters.FILTERABLE[kind])
+    terms = dict(request.terms)
+    if request.owner_or_chain and request.chain in terms:
+        names = terms.pop(request.chain)
+        df = filters.filter_owner_or_chain(df, names, filters.CONCEPTS["pri_owner"][kind], request.chain)
+    return filters.filter_terms(df, terms, filters.FILTERABLE[kind])
 
 
 def _stats(kind: str, request: FleetRequest, disk: str):
     order = request.order[kind]
     if kind == "compute":
-        return lambda df, dims: compute_stats(df, dims, order=order)
-    return lambda df, dims: storage_stats(df, dims, disk, order=order)
+        return lambda df, dims: compute_stats(df, dims, order)
+    return lambda df, dims: storage_stats(df, dims, order, disk)
 
 
 def _dims(kind: str, request: FleetRequest) -> list[str]:
@@ -90,10 +110,18 @@ def fleet_trend(inventories: dict[str, DataFrame], request: FleetRequest) -> dic
 
 def exec_snapshot(inventories: dict[str, DataFrame], request: FleetRequest, users: DataFrame,
                   execs: DataFrame) -> dict[str, DataFrame]:
-    """The snapshot per (exec, report); each exec's filter applies to that exec alone."""
+    """The snapshot per (exec, report), with its dimensions; each exec's filter applies to that exec alone."""
     out = {}
     for kind in request.kinds():
-        owner = filters.CONCEPTS["pri_owner"][kind]
-        rows = selected(inventories[kind], kind, request).withColumnRenamed(owner, "pri_owner")
-        out[kind] = exec_rollup(rows, users, execs, _stats(kind, request, request.disk))
+        owner, stats, dims = filters.CONCEPTS["pri_owner"][kind], _stats(kind, request, request.disk), _dims(kind, request)
+        rows = selected(inventories[kind], kind, request)
+        if owner not in dims:
+            rows = rows.withColumnRenamed(owner, "pri_owner")
+        else:
+            rows = rows.withColumn("pri_owner", F.col(owner))
+
+        def report(df, people, stats=stats, dims=dims):
+            return nested_stats(df, dims, stats, request.bucket_size, tuple(people)) if dims else stats(df, people)
+
+        out[kind] = exec_rollup(rows, users, execs, report)
     return out

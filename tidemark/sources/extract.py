@@ -27,20 +27,22 @@ def checked_column(name: str) -> str:
 
 
 def extract_window(df: DataFrame, ts: str, start, end, closed: str = "both", fields=None, extra=None,
-                   max_rows: int | None = None) -> DataFrame:
-    """Rows of a time window, optionally narrowed by a predicate, to some fields, and to a row cap.
+                   max_rows: int | None = None, order=()) -> DataFrame:
+    """Rows of a time window, optionally narrowed by a predicate, to some fields, and to the first rows in an order.
 
     The bounds are literals on the bare column, so they and the fields reach the file scan.
     """
+    if max_rows is not None and not order:
+        raise ValueError("max_rows needs an order")
     opened, closing = clock.instant(start), clock.instant(end)
     if clock.utc_naive(start) > clock.utc_naive(end):
         raise ValueError("start is after end")
     out = df.filter(clock.within(F.col(ts), opened, closing, closed))
     if extra is not None:
         out = out.filter(extra)
-    if fields:
-        out = out.select(*fields)
-    return out if max_rows is None else out.limit(max_rows)
+    if max_rows is not None:
+        out = out.orderBy(*order).limit(max_rows)
+    return out.select(*fields) if fields else out
 
 
 def flatten_envelope(df: DataFrame, body: str, row_schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -50,11 +52,15 @@ def flatten_envelope(df: DataFrame, body: str, row_schema: str, keep: tuple[str,
 
 
 def query_rows(spark: SparkSession, sql_or_table: str, params: dict[str, object], order_by: str | None = None,
-               limit: int | None = 1000) -> DataFrame:
+               limit: int | None = None) -> DataFrame:
     """``SELECT * FROM table WHERE c1 = :c1 AND ... ORDER BY ... LIMIT n``, or a SQL text with ``:name`` marks.
 
+    All rows, unless the caller states a limit, which needs an order.
+
     Names are checked and values are bound, never pasted; a null value matches no row, as in SQL.
     """
+    if limit is not None and not order_by:
+        raise ValueError("a limit needs order_by")
     if re.match(r"\s*(select|with)\s", sql_or_table, re.I):
         rows = spark.sql(sql_or_table, args=dict(params))
     else:
