@@ -320,7 +320,7 @@ def test_reset_opens_the_stuck_stage_only(spark):
     rows = [(1, "in_progress", t, "done", "partial", "open"), (2, "in_progress", t + timedelta(days=9), "open", "open", "open"),
             (3, "in_progress", t, "done", "done", "done"), (4, "pending", t, "x", "x", "x")]
     df = spark.createDataFrame(rows, "record_id int, status string, window_start timestamp_ntz, stage_export string, stage_transfer string, stage_audit string")
-    stuck = ledger.find_stuck(df, t + timedelta(days=5), timedelta(days=1))
+    stuck = ledger.find_stuck(df, t + timedelta(days=5), timedelta(days=1), "window_start")
     assert sorted(values(stuck, "record_id", "stuck_stage")) == [(1, "transfer"), (3, None)]
     got = sorted(values(ledger.reset_stuck(df, stuck), "record_id", "status", "stage_export", "stage_transfer", "stage_audit"))
     assert got == [(1, "pending", "done", "open", "open"), (2, "in_progress", "open", "open", "open"),
@@ -409,3 +409,72 @@ def test_no_rows_are_dropped_unasked(spark):
 def test_terms_on_an_array(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, None), (4, [None])], "k int, owner_mgr_chain array<string>")
     assert values(filters.filter_terms(df, {"owner_mgr_chain": ["b", "z"]}, {"owner_mgr_chain"}), "k") == [(1,)]
+
+
+def test_naive_iso_text_needs_a_zone(spark):
+    texts_in = ["2025-10-14T14:33:21", "2025-10-14 14:33:21.250", "2025-10-14T14:33:21.250000", "2025-10-14T14:33", "2025-10-14T14:33:21Z"]
+    df = spark.createDataFrame([(t,) for t in texts_in], "s string")
+    day = datetime(2025, 10, 14)
+    got = values(df.select(clock.parse_utc(F.col("s"), assume_zone="Asia/Kolkata")))
+    assert got == [(day.replace(hour=9, minute=3, second=21),), (day.replace(hour=9, minute=3, second=21, microsecond=250_000),),
+                   (day.replace(hour=9, minute=3, second=21, microsecond=250_000),), (None,), (day.replace(hour=14, minute=33, second=21),)]
+    assert values(df.select(clock.parse_utc(F.col("s"))))[:4] == [(None,)] * 4
+
+
+@pytest.mark.parametrize("policy", ["collect", "skip"])
+def test_bad_outputs_follow_the_policy(spark, policy):
+    outputs = [{"a": 1}, None, {"a": "no number"}, {"a": 2}]
+    df = spark.createDataFrame([(i,) for i in range(4)], "i int").coalesce(1)
+    got = records.map_records(df, lambda r: outputs[r["i"]], "a int", policy).collect()
+    assert [r.a for r in got if r.a] == [1, 2]
+    if policy == "collect":
+        assert [r.ok for r in got] == [True, False, False, True] and got[1].error.startswith("TypeError")
+
+
+def test_whole_batches(spark):
+    import pyarrow.compute as pc
+
+    got = records.map_record_batches(spark.range(5), lambda b: b.append_column("twice", pc.multiply(b["id"], 2)), "twice long, id long")
+    assert sorted(values(got)) == [(2 * i, i) for i in range(5)]
+
+
+def test_very_many_loose_links_in_one_result(spark):
+    body = "[" + ",".join(f'{{"a":"http://h/{i % 30_000}"}}' for i in range(60_000)) + ',{"urls":["http://h/1","http://h/1"]}]'
+    df = spark.createDataFrame([(1, body)], "src int, body string")
+    assert links.extract_links(df, "src", "body").count() == 30_002
+
+
+def test_addresses_with_odd_signs(spark):
+    urls = ["http://h/a b|c{d}.csv?x", "ftp://h", "http://h/x/", "no address", None]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert values(df.select(texts.url_base_name(F.col("u")))) == [("a b|c{d}.csv",), ("h",), ("h",), (None,), (None,)]
+
+
+def test_loading_over_a_partial_target_doubles_nothing(spark):
+    t = datetime(2025, 1, 1)
+    pending = spark.createDataFrame([(1, True), (2, True)], "record_id long, audit_enabled boolean").withColumn("status", F.lit("pending"))
+    source = spark.createDataFrame([(1, i) for i in range(5)] + [(2, i) for i in range(3)], "record_id long, seq int")
+    target = source.filter("record_id = 2 or seq < 2")
+    judged = ledger.classify_processed(pending, ledger.reconcile_counts(source, target), t)
+    todo = judged.filter("action <> 'completed'").select("record_id")
+    loaded = ledger.clean_target(target, judged).unionByName(source.join(todo, "record_id", "left_semi"))
+    assert sorted(values(loaded)) == sorted(values(source))
+
+
+def test_counts_by_window(spark):
+    t = datetime(2025, 1, 1)
+    records_in = [(1, t, t + timedelta(hours=6)), (2, t + timedelta(hours=6), t + timedelta(days=2)), (3, t + timedelta(days=9), t + timedelta(days=10)), (4, t, t)]
+    windows_in = spark.createDataFrame(records_in, "record_id long, window_start timestamp_ntz, window_end timestamp_ntz")
+    source = spark.createDataFrame([(t + timedelta(hours=h),) for h in (-1, 0, 5, 6, 30, 48)], "ts timestamp_ntz")
+    got = ledger.reconcile_windows(source, source.filter(F.col("ts") > t), windows_in, "ts")
+    assert sorted(values(got)) == [(1, 2, 1, False), (2, 2, 2, True), (3, 0, 0, True), (4, 0, 0, True)]
+    assert ledger.reconcile_windows(source, source, windows_in.limit(0), "ts").count() == 0
+
+
+def test_paged_tasks_are_bounded():
+    from tidemark.sources.paged import paged_source
+
+    source = paged_source(lambda: (0, 10**12), None, "k bigint")(options={"pagesize": "1000"})
+    ranges = source.reader(None).partitions()
+    assert len(ranges) <= 10_000 and ranges[0].low == 0 and ranges[-1].high == 10**12
+    assert all(a.high == b.low for a, b in zip(ranges, ranges[1:]))

@@ -44,6 +44,28 @@ def test_parquet_parts_are_capped(spark, tmp_path):
     assert spark.read.parquet(path).count() == 20_000
 
 
+def test_caps_hold_for_unequal_rows(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 1).selectExpr("id", "case when id < 1000 then 'x' else repeat(uuid(), 20) end as t")
+    for name, suffix, write in (("parquet", ".parquet", export.write_parquet_capped), ("csv", ".csv.gz", export.write_csv_gz_parts)):
+        path = str(tmp_path / name)
+        write(rows, path, max_bytes=100_000)
+        found = files(path, suffix)
+        sizes = [len(gzip.open(p).read()) if suffix == ".csv.gz" else p.stat().st_size for p in found]
+        assert len(sizes) > 10 and max(sizes) <= 100_000
+    assert spark.read.parquet(str(tmp_path / "parquet")).select("id").distinct().count() == 4000
+
+
+def test_undated_rows_are_refused_or_set_aside(spark, tmp_path):
+    path, done, aside = str(tmp_path / "data"), str(tmp_path / "done"), str(tmp_path / "aside")
+    rows = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, None)], "id int, day timestamp_ntz")
+    with pytest.raises(Exception, match="without a day"):
+        export.write_week_once(rows, path, "day", done)
+    for n in (1, 2):
+        assert export.write_week_once(rows, path, "day", done, aside).count() == (n == 1)
+        assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+        assert [r.id for r in spark.read.option("recursiveFileLookup", "true").parquet(aside).collect()] == [2] * n
+
+
 def test_failed_write_leaves_no_files(spark, tmp_path):
     rows = spark.range(0, 10_000, 1, 8)
     bad = rows.withColumn("x", F.when(F.col("id") == 9_999, F.raise_error(F.lit("broken row"))).otherwise(F.col("id").cast("string")))
@@ -154,7 +176,7 @@ def test_batch_completes_only_what_can_be_read_back(spark, tmp_path):
     rows = [(1, "pending", day, True), (2, "pending", day + timedelta(days=1), False), (3, "pending", day + timedelta(days=2), True),
             (4, "in_progress", day, True), (5, "pending", day - timedelta(days=900), True), (6, "pending", day + timedelta(days=3), True)]
     ledger = spark.createDataFrame(rows, "record_id long, status string, window_start timestamp_ntz, audit_enabled boolean").selectExpr(
-        "*", "window_start + interval 1 day as window_end", "'done' as stage_export", "'open' as stage_transfer", "'open' as stage_audit")
+        "*", "window_start + interval 1 day as window_end", "window_start as started_at", "'done' as stage_export", "'open' as stage_transfer", "'open' as stage_audit")
     source = spark.createDataFrame([(k, i, "x" * 40) for k in (1, 2, 4, 6) for i in range(10)], "record_id long, seq int, body string")
     target = source.filter("record_id = 1").select("record_id")
     rules = ingest.LoadRules(day + timedelta(days=30), timedelta(days=100), day - timedelta(days=99), timedelta(days=2), 3, 200)

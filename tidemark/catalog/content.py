@@ -68,11 +68,21 @@ def plan_destinations(spark, folder):
     return links.plan_destinations(pages, "url", weekly.weekly_prefix("load", date(2025, 3, 5)))
 
 
+@query("plan_destinations_odd", """
+    select page_id, url, dest_key, count(*) over (partition by dest_key) > 1 as duplicate from (select page_id,
+        'http://h.example/a b|' || page_id % 50 || '{x}?q=1' as url, 'w/a b|' || page_id % 50 || '{x}' as dest_key from pages)""")
+def plan_destinations_odd(spark, folder):
+    odd = "concat('http://h.example/a b|', cast(page_id % 50 as string), '{x}?q=1')"
+    return links.plan_destinations(table(spark, folder, "pages").selectExpr("page_id", f"{odd} as url"), "url", "w")
+
+
 @query("transfer_plan", f"""
     select page_id, kind, value, dest_key, count(*) over (partition by dest_key) > 1 as duplicate from (
       select page_id, 'url' as kind, url as value, 'load/2025/week_01/' || {BASE_NAME} as dest_key
       from pages where page_id % 5 in (0, 2, 3)
-      union all select page_id, 'url', url, 'load/2025/week_01/' || {BASE_NAME} from pages where page_id % 5 = 2)""")
+      union all select page_id, 'url', url, 'load/2025/week_01/' || {BASE_NAME} from pages where page_id % 5 = 2)
+    union all select page_id, 'prefix', case page_id % 5 when 1 then 's3://b/' || page_id else 's3://b/x' end,
+      'load/2025/week_01', false from pages where page_id % 5 in (1, 3)""")
 def transfer_plan(spark, folder):
     return weekly.transfer_plan(fx.select(spark, folder, "pages", RESULTS), "page_id", "body", "load/", date(2024, 12, 30))
 

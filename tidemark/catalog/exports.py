@@ -30,7 +30,17 @@ def ndjson_round_trip(spark, folder):
 def parquet_round_trip(spark, folder):
     path = scratch_path(spark, "parquet")
     export.write_parquet_capped(table(spark, folder, "orders"), path, max_bytes=200_000)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("part")
+
+
+@query("parquet_part_sizes", "select true as capped, count(*) as rows, cast(sum(strlen(text)) as bigint) as bytes from documents")
+def parquet_part_sizes(spark, folder):
+    """Texts of a few and of many thousand bytes, in the order of their sizes, under a cap of 300,000."""
+    path = scratch_path(spark, "sizes")
+    texts = table(spark, folder, "documents").select("doc_id", "text").coalesce(2).sortWithinPartitions(F.length("text"))
+    export.write_parquet_capped(texts, path, max_bytes=300_000)
+    rows = spark.read.parquet(path).select((F.col("_metadata.file_size") <= 300_000).alias("capped"), F.octet_length("text").alias("b"))
+    return rows.groupBy("capped").agg(F.count(F.lit(1)).alias("rows"), F.sum("b").alias("bytes"))
 
 
 @query("write_csv_gz_parts", ALL_ORDERS)
@@ -52,14 +62,14 @@ def details_round_trip(spark, folder):
 
 @query("write_week_once", """
     select cast(isoyear(o_orderdate) as int) as iso_year, cast(weekofyear(o_orderdate) as int) as iso_week, count(*) as rows,
-      1 as runs from orders group by 1, 2""")
+      1 as runs from orders where o_orderkey % 50 <> 7 group by 1, 2""")
 def weeks_once(spark, folder):
-    """Half the rows first, then all twice: each week is written by the first run that sees it."""
-    path, done = scratch_path(spark, "weeks"), scratch_path(spark, "weeks-manifest")
-    orders = table(spark, folder, "orders")
+    """Half the rows first, then all twice: each week is written by the first run that sees it; some rows have no day."""
+    path, done, undated = (scratch_path(spark, n) for n in ("weeks", "weeks-manifest", "weeks-undated"))
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 50 != 7, F.col("o_orderdate")))
     early = orders.filter("o_orderdate < timestamp_ntz'1998-01-05'")  # a Monday, so no week is cut
     for run in (early, orders, orders):
-        export.write_week_once(run, path, "o_orderdate", done)
+        export.write_week_once(run, path, "o_orderdate", done, undated)
     runs = export.finished_weeks(spark, done).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).cast("int").alias("runs"))
     rows = spark.read.parquet(path).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).alias("rows"))
     return rows.join(runs, ["iso_year", "iso_week"])
@@ -115,13 +125,29 @@ def assign_parts(spark, folder):
     return parts.assign_parts(_documents(spark, folder), "source", ["doc_id"], "bytes", PART_CAP)
 
 
-@query("part_files", """
-    select source, count(*) as n, cast(sum(strlen(text)) as bigint) as bytes from documents group by 1""")
+FILE_CAP = 100_000
+
+
+@query("part_files", f"""
+    with recursive d as (select source, doc_id, octet_length(encode(to_json({{'source': source, 'doc_id': doc_id, 'text': text}}))) + 1 as bytes,
+        row_number() over (partition by source order by doc_id) as pos from documents),
+    walk as (select source, doc_id, bytes, pos, cast(1 as bigint) as part, bytes as held from d where pos = 1
+      union all select d.source, d.doc_id, d.bytes, d.pos,
+        case when w.held > 0 and w.held + d.bytes > {FILE_CAP} then w.part + 1 else w.part end,
+        case when w.held > 0 and w.held + d.bytes > {FILE_CAP} then d.bytes else w.held + d.bytes end
+      from walk w join d on d.source = w.source and d.pos = w.pos + 1)
+    select source, part, count(*) as n, cast(sum(bytes) as bigint) as bytes, md5(string_agg(doc_id, ',' order by doc_id)) as docs
+    from walk group by 1, 2""")
 def part_files(spark, folder):
+    """Whole documents as JSON lines in parts, read back."""
     path = scratch_path(spark, "parts")
-    export.write_part_files(assign_parts(spark, folder), path, "source")
-    back = spark.read.schema("source string, part bigint, doc_id bigint, bytes bigint").json(path)
-    return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    lines = ingest.record_lines(table(spark, folder, "documents").select("source", "doc_id", "text"), "source", ("doc_id",))
+    export.write_line_parts(parts.assign_parts(lines, "source", ["doc_id"], "bytes", FILE_CAP), path, "source")
+    back = spark.read.schema("value string, source string, part bigint").text(path)
+    doc = F.get_json_object("value", "$.doc_id").cast("bigint")
+    return back.groupBy("source", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes"),
+        F.md5(F.array_join(F.array_sort(F.collect_list(doc)), ",").cast("binary")).alias("docs"))
 
 
 @query("record_lines", """

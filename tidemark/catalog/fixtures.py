@@ -39,6 +39,7 @@ LEDGER = [
     "o_orderkey as record_id",
     "case o_orderstatus when 'O' then 'pending' when 'P' then 'in_progress' else 'completed' end as status",
     "o_orderdate as window_start", "o_orderdate + interval '1' day as window_end",
+    "o_orderdate + interval '1' day * cast(o_orderkey % 200 as int) as started_at",
     "o_orderkey % 4 <> 0 as audit_enabled",
     "case when o_orderkey % 3 = 0 then 'done' else 'open' end as stage_export",
     "case when o_orderkey % 6 = 0 then 'done' else 'open' end as stage_transfer",

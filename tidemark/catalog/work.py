@@ -44,6 +44,29 @@ def reconcile_counts(spark, folder):
     return led.reconcile_counts(*_sides(spark, folder))
 
 
+@query("reconcile_windows", f"""
+    select record_id, source_count, target_count, source_count = target_count as equal from (
+      select r.record_id, (select count(*) from orders o where o.o_orderdate >= r.window_start and o.o_orderdate < r.window_end) as source_count,
+        (select count(*) from orders o where o.o_orderdate >= r.window_start and o.o_orderdate < r.window_end and o_orderstatus <> 'P') as target_count
+      from {fx.LEDGER_SQL} r where status = 'pending' and window_start >= timestamp '1997-06-01')""")
+def reconcile_windows(spark, folder):
+    pending = _ledger(spark, folder).filter("status = 'pending' and window_start >= timestamp_ntz'1997-06-01'")
+    orders = table(spark, folder, "orders")
+    return led.reconcile_windows(orders, orders.filter("o_orderstatus <> 'P'"), pending, "o_orderdate")
+
+
+@query("clean_target", f"""
+    select l_orderkey as record_id, l_linenumber, l_partkey from lineitem where l_linestatus = 'F'
+      and l_orderkey not in (select record_id from {ACTION_SQL} where action = 'clean_and_process')""")
+def clean_target(spark, folder):
+    source, _ = _sides(spark, folder)
+    lines = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "record_id").filter("l_linestatus = 'F'")
+    target = lines.select("record_id", "l_linenumber", "l_partkey")
+    checked = led.classify_window(_ledger(spark, folder), NOW, AGE, OPEN_FROM).filter("status = 'pending'")
+    judged = led.classify_processed(checked, led.reconcile_counts(source, target.select("record_id")), NOW)
+    return led.clean_target(target, judged)
+
+
 @query("upsert", """
     select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'P'
     union all select o_orderkey, 'X' from orders where o_orderstatus = 'P'
@@ -103,7 +126,7 @@ STUCK = "case when stage_export <> 'done' then 'export' when stage_transfer <> '
 
 @query("find_stuck", f"""
     select record_id, window_start, {STUCK} as stuck_stage from {fx.LEDGER_SQL}
-    where status = 'in_progress' and window_start < timestamp '{OLDEST}'""")
+    where status = 'in_progress' and started_at < timestamp '{OLDEST}'""")
 def find_stuck(spark, folder):
     return led.find_stuck(_ledger(spark, folder), NOW, AGE).select("record_id", "window_start", "stuck_stage")
 
@@ -113,7 +136,7 @@ RESET_SQL = f"""
       case when stuck and st = 'export' then 'open' else stage_export end as stage_export,
       case when stuck and st = 'transfer' then 'open' else stage_transfer end as stage_transfer,
       case when stuck and st = 'audit' then 'open' else stage_audit end as stage_audit)
-    from (select *, status = 'in_progress' and window_start < timestamp '{OLDEST}' as stuck, {STUCK} as st from {fx.LEDGER_SQL})"""
+    from (select *, status = 'in_progress' and started_at < timestamp '{OLDEST}' as stuck, {STUCK} as st from {fx.LEDGER_SQL})"""
 
 
 @query("reset_stuck", RESET_SQL)
@@ -139,7 +162,7 @@ def settle_ledger(spark, folder):
 RULES = ingest.LoadRules(NOW, AGE, OPEN_FROM, AGE, batch=120, part_bytes=500)
 FLOW_SQL = f"""
     with r as (select record_id, window_start, window_end, audit_enabled, case when status = 'in_progress' and
-        window_start < timestamp '{OLDEST}' then 'pending' else status end as status from {fx.LEDGER_SQL}),
+        started_at < timestamp '{OLDEST}' then 'pending' else status end as status from {fx.LEDGER_SQL}),
     k as (select *, {REASON} as reason from r),
     a as (select k.*, coalesce(source_count, 0) as sc, coalesce(target_count, 0) as tc from k left join {COUNTS_SQL} using (record_id)),
     b as (select *, case when reason is not null then 'failed_permanently' when status = 'pending' and audit_enabled and sc = tc

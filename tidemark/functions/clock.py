@@ -102,16 +102,22 @@ def week_folder(day: Column) -> Column:
 WORKSHEET_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
 # ISO texts that carry their own offset.
 _OFFSET_TAIL = r"\d(Z|[+-]\d\d:\d\d)$"
+_NAIVE = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{3}|\.\d{6})?$"
 OFFSET_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]XXX")
 
 
 def parse_utc(text: Column, formats=WORKSHEET_FORMATS, assume_zone: str | None = None) -> Column:
     """Text -> naive UTC, or null. Offset-carrying ISO text wins; then ``formats`` in order.
 
-    A format without an offset reads a wall clock of ``assume_zone``; with no zone given such text
-    stays null, because its instant is unknown. A quoted ``'Z'`` in a format means UTC.
+    A format without an offset, and ISO text without one, reads a wall clock of ``assume_zone``; with
+    no zone given such text stays null, because its instant is unknown. A quoted ``'Z'`` in a format
+    means UTC.
     """
     tries = [F.when(text.rlike(_OFFSET_TAIL), read_as(text, f)) for f in OFFSET_FORMATS]
+    if assume_zone is not None:
+        clean = F.replace(text, F.lit("T"), F.lit(" "))
+        wall = naive(F.try_to_timestamp(clean, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]")))
+        tries.append(F.when(text.rlike(_NAIVE), to_utc(wall, assume_zone)))
     for fmt in formats:
         if fmt.endswith("'Z'"):
             tries.append(read_as(text, fmt))

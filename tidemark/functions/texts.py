@@ -25,10 +25,17 @@ def uri_name(uri: Column) -> Column:
     return F.regexp_extract(F.regexp_extract(uri, _KEY, 1), r"([^/]*)$", 1)
 
 
+_URL = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)"
+
+
 def url_base_name(url: Column) -> Column:
-    """Last path segment of a URL, or its host when there is none."""
-    name = F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), r"([^/]*)$", 1)
-    return F.when(name != "", name).otherwise(F.try_parse_url(url, F.lit("AUTHORITY")))
+    """Last path segment of a URL, or its host when there is none; null for what is no URL.
+
+    Addresses are only cut apart, so blanks, bars and braces in them do no harm.
+    """
+    name = F.regexp_extract(F.regexp_extract(url, _URL, 2), r"([^/]*)$", 1)
+    host = F.regexp_extract(url, _URL, 1)
+    return F.when(name != "", name).when(host != "", host)
 
 
 def under(prefix: str, name: Column) -> Column:

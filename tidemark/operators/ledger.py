@@ -58,6 +58,33 @@ def reconcile_counts(source: DataFrame, target: DataFrame, key: str = KEY, windo
     ).withColumn("equal", F.col("source_count") == F.col("target_count"))
 
 
+def with_record(rows: DataFrame, records: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+    """Rows of a table that knows no records, each with the record in whose window its time lies.
+
+    Windows are half-open. They are cut into days, so the match is an equi join on the day; rows
+    outside the span of all windows are filtered at the scan. A row in two windows appears twice.
+    """
+    span = records.agg(F.min("window_start"), F.max("window_end")).first()
+    if span[0] is None:
+        return rows.limit(0).join(records.select(key).limit(0), how="cross")
+    days = F.sequence(F.to_date("window_start"), F.to_date(F.col("window_end") - F.expr("interval 1 microsecond")))
+    cut = small_side(records.filter("window_start < window_end").select(key, "window_start", "window_end", F.explode(days).alias("_day")))
+    near = rows.filter((F.col(ts) >= clock.instant(span[0])) & (F.col(ts) < clock.instant(span[1])))
+    met = near.withColumn("_day", F.to_date(ts)).join(cut, "_day")
+    return met.filter((F.col(ts) >= F.col("window_start")) & (F.col(ts) < F.col("window_end"))).select(*rows.columns, key)
+
+
+def reconcile_windows(source: DataFrame, target: DataFrame, records: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+    """``reconcile_counts`` for tables without a record id: rows in each record's window, on both sides."""
+    return reconcile_counts(with_record(source.select(ts), records, ts, key), with_record(target.select(ts), records, ts, key), key, records)
+
+
+def clean_target(target: DataFrame, judged: DataFrame, key: str = KEY) -> DataFrame:
+    """The target without the rows of records to ``clean_and_process``, so that loading them again doubles nothing."""
+    dirty = judged.filter(F.col("action") == "clean_and_process").select(key)
+    return target.join(small_side(dirty), key, "left_anti")
+
+
 def classify_processed(records: DataFrame, counts: DataFrame, now) -> DataFrame:
     """Audited records whose counts agree are done and get counts and time; all others need work.
 
@@ -112,13 +139,13 @@ def stuck_stage(stages=STAGES) -> Column:
     ])
 
 
-def is_stuck(now, threshold: timedelta, since: str = "window_start") -> Column:
-    """In progress for longer than ``threshold``."""
+def is_stuck(now, threshold: timedelta, since: str = "started_at") -> Column:
+    """In progress for longer than ``threshold``, counted from when work began."""
     limit = clock.instant(clock.utc_naive(now) - threshold)
     return F.coalesce((F.col("status") == "in_progress") & (F.col(since) < limit), F.lit(False))
 
 
-def find_stuck(ledger: DataFrame, now, threshold: timedelta, since: str = "window_start", stages=STAGES) -> DataFrame:
+def find_stuck(ledger: DataFrame, now, threshold: timedelta, since: str = "started_at", stages=STAGES) -> DataFrame:
     """Stuck records, with the stage they stopped in."""
     return ledger.filter(is_stuck(now, threshold, since)).withColumn("stuck_stage", stuck_stage(stages))
 
@@ -132,7 +159,7 @@ def reset_stuck(ledger: DataFrame, stuck: DataFrame, stages=STAGES) -> DataFrame
     return upsert(ledger, fresh, KEY)
 
 
-def recover(ledger: DataFrame, now, threshold: timedelta, since: str = "window_start", stages=STAGES) -> DataFrame:
+def recover(ledger: DataFrame, now, threshold: timedelta, since: str = "started_at", stages=STAGES) -> DataFrame:
     """Find and reset in one pass over the ledger, without a join."""
     marked = ledger.withColumn("_stuck", is_stuck(now, threshold, since)).withColumn("_stage", stuck_stage(stages))
     reopened = {

@@ -59,13 +59,21 @@ def _listed_object(facts: Column) -> Column:
         facts["loose"], lambda v: _link(F.when(v.startswith("http"), "url").otherwise("prefix"), v, True)))
 
 
-def _first_mentions(links: Column) -> Column:
-    """Drop a loose link that repeats any earlier link of the same result; keep all others."""
-    def keeps(link: Column, at: Column) -> Column:
-        seen = F.exists(F.slice(links, 1, at), lambda e: (e["kind"] == link["kind"]) & (e["value"] == link["value"]))
-        return ~link["loose"] | ~seen
+def _first_mentions(links: DataFrame, src: str) -> DataFrame:
+    """Rows of all links but the loose ones that repeat an earlier link of the same result.
 
-    return F.filter(links, keeps)
+    Results without loose links are exploded where they are. In the others, equal links of a result
+    meet in one group, which keeps its stated links and, if it came first, one loose link.
+    """
+    some = F.exists("_links", lambda e: e["loose"])
+    stated = links.filter(~some).select(src, F.explode("_links").alias("_l")).select(src, "_l.kind", "_l.value")
+    mixed = links.filter(some).withColumn("_row", F.monotonically_increasing_id())
+    each = mixed.select(src, "_row", F.posexplode("_links").alias("_at", "_l")).select(src, "_row", "_at", "_l.*")
+    groups = each.groupBy(src, "_row", "kind", "value").agg(
+        F.count_if(~F.col("loose")).alias("_n"), F.min("_at").alias("_first"), F.min(F.when(F.col("loose"), F.col("_at"))).alias("_loose"))
+    times = F.col("_n") + F.when(F.col("_loose") == F.col("_first"), 1).otherwise(0)
+    again = groups.withColumn("_again", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+    return stated.unionByName(again.select(src, "kind", "value"))
 
 
 def _lead(body: Column) -> Column:
@@ -90,10 +98,7 @@ def extract_links(df: DataFrame, src: str, body: str) -> DataFrame:
         .when(of_text, texts_only)
         .otherwise(F.flatten(F.transform(objects, _listed_object)))
     )
-    links = facts.select(src, found.alias("_links"))
-    return links.select(src, F.explode(_first_mentions(F.col("_links"))).alias("_l")).select(
-        src, "_l.kind", "_l.value"
-    )
+    return _first_mentions(facts.select(src, found.alias("_links")), src)
 
 
 def bad_results(df: DataFrame, body: str) -> DataFrame:

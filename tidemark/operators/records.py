@@ -21,19 +21,33 @@ def map_records(df: DataFrame, fn: Callable[[dict], dict], schema: str, on_error
     out_schema = T.StructType.fromDDL(f"{schema}, ok boolean, error string" if on_error == "collect" else schema)
     arrow_schema = to_arrow_schema(out_schema)
 
+    def checked(record: dict) -> dict:
+        """One output row, converted as it will be, so that a wrong value is the record's own error."""
+        row = {**fn(record), "ok": True} if on_error == "collect" else {**fn(record)}
+        return pa.RecordBatch.from_pylist([row], schema=arrow_schema).to_pylist()[0] if on_error != "fail" else row
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for record in batch.to_pylist():
                 try:
-                    row = fn(record)
+                    rows.append(checked(record))
                 except Exception as error:
                     if on_error == "fail":
                         raise
                     if on_error == "collect":
                         rows.append({"ok": False, "error": f"{type(error).__name__}: {error}"})
-                    continue
-                rows.append({**row, "ok": True} if on_error == "collect" else row)
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
     return df.mapInArrow(run, out_schema)
+
+
+def map_record_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``fn`` over whole Arrow batches, for functions that work on columns; any error stops the job."""
+    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield fn(batch).select(names)
+
+    return df.mapInArrow(run, schema)

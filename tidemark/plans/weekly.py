@@ -16,6 +16,12 @@ def weekly_prefix(base: str, run_date: date) -> str:
 
 
 def transfer_plan(results: DataFrame, src: str, body: str, base: str, run_date: date) -> DataFrame:
-    """One row per URL to fetch, with its destination and whether another URL claims the same one."""
-    urls = extract_links(results, src, body).filter(F.col("kind") == "url")
-    return plan_destinations(urls, "value", weekly_prefix(base, run_date))
+    """One row per link: its destination, and whether another URL claims the same one.
+
+    A URL is stored under its own name. A prefix is copied object by object (``plan_copies``) below
+    the week's folder, which is its destination here and may be shared.
+    """
+    links, folder = extract_links(results, src, body), weekly_prefix(base, run_date)
+    urls = plan_destinations(links.filter(F.col("kind") == "url"), "value", folder)
+    prefixes = links.filter(F.col("kind") == "prefix").withColumns({"dest_key": F.lit(folder), "duplicate": F.lit(False)})
+    return urls.unionByName(prefixes)

@@ -1,16 +1,29 @@
-"""Writers. Each leaves complete output or none: files appear only when the whole job commits."""
+"""Writers. Files appear only when the whole job commits.
+
+A week load replaces the folders of its weeks one after another at that moment, so a reader should go by the
+manifest, whose rows come last.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import clock
-from tidemark.operators.rollups import rows_per_part
+from tidemark.operators.parts import part_numbers
 from tidemark.operators.windows import bucket_minutes
+from tidemark.session import scratch_path
 
 PART_BYTES = 250 * 1024 * 1024
+#: Bytes that a parquet file takes besides its rows, at least, and more per column.
+FILE_BYTES, COLUMN_BYTES = 2_048, 512
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -18,18 +31,47 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def cut_by_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Add ``part``: each task numbers its rows so that a part's rows, as compact JSON lines, stay within ``max_bytes``.
+
+    A part belongs to one task, so writing by part needs no shuffle and gives one file each; a larger
+    row has a part of its own. Bytes are added up over all rows, whatever their sizes.
+    """
+    names = [*df.columns, "part"]
+    sized = df.withColumn("_bytes", (F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1).cast("bigint"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, part = TaskContext.get().partitionId(), 0, 1
+        for batch in batches:
+            sizes = batch.column(batch.num_columns - 1).to_numpy()
+            if not len(sizes):
+                continue
+            numbers, held = part_numbers(np.asarray(sizes), max_bytes, held, part)
+            part = int(numbers[-1])
+            labels = pa.array([f"{task:05d}-{n:05d}" for n in numbers])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], labels], names=names)
+
+    return sized.mapInArrow(number, T.StructType([*df.schema.fields, T.StructField("part", T.StringType())]))
+
+
 def write_parquet_capped(df: DataFrame, path: str, max_bytes: int = PART_BYTES, mode: str = "errorifexists") -> None:
-    """Snappy parquet files of about ``max_bytes`` at most; rows per file come from a 1000-row sample."""
-    rows = rows_per_part(df, max_bytes).first()["rows_per_part"]
-    df.write.mode(mode).option("maxRecordsPerFile", int(rows)).option("compression", "snappy").parquet(path)
+    """Snappy parquet files of at most ``max_bytes`` (but for a single larger row), one per folder ``part=...``.
+
+    Rows are measured as JSON lines, which are longer than the same rows in parquet.
+    """
+    room = max(1, max_bytes - FILE_BYTES - COLUMN_BYTES * len(df.columns))
+    cut_by_bytes(df, room).write.mode(mode).option("compression", "snappy").partitionBy("part").parquet(path)
 
 
 def write_csv_gz_parts(df: DataFrame, path: str, rows: int | None = None, max_bytes: int = PART_BYTES,
                        mode: str = "errorifexists") -> None:
-    """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, or about
-    ``max_bytes`` before compression, by the real bytes of a sample."""
-    rows = rows or rows_per_part(df, max_bytes).first()["rows_per_part"]
-    df.write.mode(mode).options(header=True, compression="gzip", maxRecordsPerFile=int(rows), escape='"').csv(path)
+    """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, or ``max_bytes``
+    before compression, by the bytes of all rows and then one per folder ``part=...``."""
+    if rows:
+        df.write.mode(mode).options(header=True, compression="gzip", maxRecordsPerFile=int(rows), escape='"').csv(path)
+        return
+    room = max(1, max_bytes - sum(len(c) + 3 for c in df.columns))
+    cut_by_bytes(df, room).write.mode(mode).options(header=True, compression="gzip", escape='"').partitionBy("part").csv(path)
 
 
 def write_details_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -75,34 +117,46 @@ def finished_weeks(spark: SparkSession, manifest_path: str) -> DataFrame:
         return spark.createDataFrame([], _WEEKS)
 
 
-def write_week_once(df: DataFrame, path: str, day: str, manifest_path: str) -> DataFrame:
+def write_week_once(df: DataFrame, path: str, day: str, manifest_path: str, undated_path: str | None = None) -> DataFrame:
     """Write the rows of every ISO week that is not finished yet; return the weeks written now.
 
     A week counts as finished only by its manifest row, appended after its data is committed. A run
     that dies in between repeats that week and replaces its directory; other weeks stay untouched.
-    The one job replaces only the partitions it holds, so the number of weeks needs no loop.
+    The weeks to write are counted first, over the day column alone, and fixed; rows are then read
+    once, and nothing is read back. Rows without a day belong to no week: each run puts them into a
+    new folder below ``undated_path``, or is refused where none is given.
     """
     spark = df.sparkSession
     weeks = ["iso_year", "iso_week"]
-    dated = df.withColumns({"iso_year": clock.iso_year(F.col(day)), "iso_week": clock.iso_week(F.col(day))})
-    todo = dated.join(finished_weeks(spark, manifest_path).select(*weeks).distinct(), weeks, "left_anti")
-    todo.hint("rebalance", F.col("iso_year"), F.col("iso_week")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*weeks).parquet(path)
-    written = (
-        spark.read.schema(todo.schema).parquet(path).groupBy(*weeks).agg(F.count(F.lit(1)).alias("rows"))
-        .join(todo.select(*weeks).distinct(), weeks, "left_semi")
-        .select("iso_year", "iso_week", "rows", F.current_timestamp().alias("finished_at"))
-    )
-    rows = written.collect()  # one row per week written
-    fresh = spark.createDataFrame(rows, _WEEKS)
+    known = F.col(day).isNotNull()
+    if undated_path is None:
+        checked = df.withColumn(day, F.when(known, F.col(day)).otherwise(F.raise_error(F.lit("row without a day"))))
+    else:
+        df.filter(~known).write.parquet(f"{undated_path}/{scratch_path(spark, 'run').rpartition('/')[2]}")
+        checked = df.filter(known)
+    dated = checked.withColumns({"iso_year": clock.iso_year(F.col(day)), "iso_week": clock.iso_week(F.col(day))})
+    new = dated.groupBy(*weeks).agg(F.count(F.lit(1)).alias("rows")).join(
+        finished_weeks(spark, manifest_path).select(*weeks).distinct(), weeks, "left_anti")
+    rows = [(r.iso_year, r.iso_week, r.rows) for r in new.collect()]  # one row per week
+    fresh = spark.createDataFrame(rows, "iso_year int, iso_week int, rows bigint")
+    if rows:
+        seen = Observation()
+        todo = dated.join(F.broadcast(fresh.select(*weeks)), weeks, "left_semi").observe(seen, F.count(F.lit(1)).alias("n"))
+        todo.hint("rebalance", F.col("iso_year"), F.col("iso_week")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*weeks).parquet(path)
+        if seen.get["n"] != sum(r[2] for r in rows):
+            raise RuntimeError("the input changed while its weeks were written")
+    fresh = spark.createDataFrame(fresh.withColumn("finished_at", F.current_timestamp()).collect(), _WEEKS)
     if rows:
         fresh.coalesce(1).write.mode("append").parquet(manifest_path)
     return fresh
 
 
-def manifest(df: DataFrame) -> DataFrame:
-    """Files behind a freshly read folder: path, bytes and rows."""
-    return df.groupBy(
+def manifest(df: DataFrame, started=None, finished=None) -> DataFrame:
+    """Files behind a freshly read folder: path, bytes and rows; with the run's start and finish where they are given."""
+    files = df.groupBy(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("bytes")
     ).agg(F.count(F.lit(1)).alias("rows"))
+    times = {"started_at": started, "finished_at": finished}
+    return files.withColumns({k: clock.instant(v) for k, v in times.items() if v is not None})

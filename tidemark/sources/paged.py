@@ -25,17 +25,21 @@ def paged_source(bounds: Callable[[], tuple[int, int]], fetch: Callable[[int, in
     with ``low <= key < high`` as tuples. Pages are ranges of a stated key, not offsets: ranges stay
     disjoint however the table is ordered or grows, and a lost task simply reads its range again.
 
-    Options: ``pagesize`` (keys per call) and ``pagespertask``.
+    Options: ``pagesize`` (keys per call), ``pagespertask``, and ``maxtasks``, within which a wide span of
+    keys is divided, so that the number of tasks does not follow the keys.
     """
 
     class PagedReader(DataSourceReader):
         def __init__(self, options: dict):
             self.page = int(options.get("pagesize", 1000))
             self.span = self.page * int(options.get("pagespertask", 16))
+            self.tasks = int(options.get("maxtasks", 10_000))
 
         def partitions(self) -> list[PageRange]:
             first, stop = bounds()
-            return [PageRange(low, min(low + self.span, stop), self.page) for low in range(first, stop, self.span)]
+            pages = -(-(stop - first) // self.page)
+            span = max(self.span, self.page * -(-pages // self.tasks))
+            return [PageRange(low, min(low + span, stop), self.page) for low in range(first, stop, span)]
 
         def read(self, partition: PageRange) -> Iterator[tuple]:
             for low in range(partition.low, partition.high, partition.page):
