@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +27,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import filesystem, fresh, pieces, text_of
 from tidemark.session import scratch_path
 
-#: Distinct units whose ids a Python worker remembers, and the longest unit it remembers.
+#: Half of the distinct units whose ids a Python worker remembers, and the longest unit it remembers.
 CACHED, CACHED_CHARS = 300_000, 48
+BLANK = "Ġ"  # how byte-level vocabularies write a blank
 _SPACE = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|$)")
 _LINE = re.compile(r" ?\S+")
-#: A word with a mark after it, and maybe a line's end and the first word of the next line. The vocabulary's splitting
-#: pattern parts letters from marks, marks from a line's end, and that from letters.
-_MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?))?")
+#: A word with marks after it, and maybe a line's end and the first word of the next line with its marks. The
+#: vocabulary's splitting pattern parts letters from a run of marks (apostrophes are special), marks from a line's
+#: end, and that from letters.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]*"
+_MARKED = re.compile(rf"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
 _encoders: dict[tuple, UnitEncoder] = {}
 
 
@@ -50,11 +53,18 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
+        self.model = self.tokenizer.model
         self.kind = np.dtype(f"<u{width}")
         if self.tokenizer.get_vocab_size() > np.iinfo(self.kind).max + 1:
             raise ValueError(f"ids of {path} need more than {width} bytes")
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # byte-level vocabularies write the other bytes as 256 and on
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.one = [np.array(i, self.kind).tobytes() for i in range(self.tokenizer.get_vocab_size())]
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  #: ids of units that follow a blank, the blank's included
+        self.older: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  #: ids of words that start a line, and of runs of marks
 
     def _encode(self, units: list[str]) -> list[bytes]:
         """Ids of each unit. Units without white space inside go as the lines of one text, whose line ends are then cut out."""
@@ -68,31 +78,70 @@ class UnitEncoder:
         cut.update(zip(others, self._each(others)))
         return [cut[u] for u in units]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of letters, the first maybe after BLANK, or of marks: one piece to the splitting pattern, so merges alone decide."""
+        if not word.isascii():
+            blank = word[0] == BLANK
+            word = BLANK * blank + word[blank:].encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.one[t.id] for t in self.model.tokenize(word)])
+
     def _each(self, units: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
+    def _bare(self, piece: str) -> bytes:
+        found = self.bare.get(piece)
+        if found is None:
+            found = self.bare[piece] = self._word(piece) if piece != "\n" else self._each(["\n"])[0]
+        return found
+
     def _learn(self, units: set[str]) -> None:
-        """Remember units, each starting with its blank if it has one."""
-        made: dict[str, list[str]] = {}
+        """Remember units, with the blank before them."""
+        known, older, odd = self.cache, self.older, []
         for unit in units:
-            found = _MARKED.fullmatch(unit, unit[:1] == " ")
-            parts = [p for p in found.groups() if p] if found else [unit]
-            made[unit] = [" " + parts[0], *parts[1:]] if found and unit[0] == " " else parts
-        known = self.cache
-        new = [p for p in {p for parts in made.values() for p in parts} if p not in known]
-        known.update(zip(new, self._encode(new)))
-        known.update((unit, b"".join([known[p] for p in parts])) for unit, parts in made.items() if len(parts) > 1)
+            found = older.get(unit)
+            if found is None:
+                if unit.isascii() and unit.isalpha():
+                    found = self._word(BLANK + unit)
+                elif m := _MARKED.fullmatch(unit):
+                    word = m[1]
+                    found = known.get(word) or older.get(word)
+                    if found is None:
+                        found = known[word] = self._word(BLANK + word)
+                    found += self._bare(m[2])
+                    if m[3]:
+                        found += self._bare("\n") + self._bare(m[3]) + self._bare(m[4])
+                else:
+                    odd.append(unit)
+                    continue
+            known[unit] = found
+        known.update(zip(odd, self._encode([" " + u for u in odd])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [_SPACE.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        split = [[units[0], *[" " + u for u in units[1:]]] for units in split]
-        if len(self.cache) > CACHED:
-            self.cache.clear()
+        split = [t.split(" ") for t in texts]
+        firsts = self._encode([u[0] for u in split])
+        return [self._rest(first, u, t) for first, u, t in zip(firsts, split, texts)]
+
+    def _rest(self, first: bytes, units: list[str], text: str) -> bytes:
+        if len(self.cache) > CACHED:  # what is used again comes back from the older half
+            self.older, self.cache = self.cache, {}
+        if len(self.bare) > CACHED:
+            self.bare.clear()
         known = self.cache
-        self._learn({u for units in split for u in units if u not in known})
-        made = [b"".join([known[u] for u in units]) for units in split]
-        for long in [u for units in split for u in units if len(u) > CACHED_CHARS]:
-            known.pop(long, None)
+        found = list(map(known.get, islice(units, 1, None)))
+        if None not in found:
+            return first + b"".join(found)
+        new = {u for u, ids in zip(islice(units, 1, None), found) if ids is None}
+        if any(not u or u[0].isspace() for u in new):  # a blank before white space or the end starts no unit
+            first, *units = _SPACE.split(text)
+            first = self._encode([first])[0]
+            new = {u for u in units if u not in known}
+        else:
+            units = units[1:]
+        self._learn(new)
+        made = first + b"".join(map(known.__getitem__, units))
+        for unit in new:
+            if len(unit) > CACHED_CHARS:
+                del known[unit]
         return made
 
 
