@@ -229,8 +229,8 @@ def test_query_rows_checks_names(spark):
 
 
 def test_worksheet_contract_rejects(spark):
-    df = spark.createDataFrame([("1", "p", "l")], "ticket_id string, priority string, servicenow_link string")
-    required = ["ticket_id", "priority", "servicenow_link"]
+    df = spark.createDataFrame([("1", "p", "l")], "ticket_id string, priority string, link string")
+    required = ["ticket_id", "priority", "link"]
     kept = extract.worksheet_contract(df, required)
     assert kept.columns == [*required, "row_hash"]
     assert values(kept, "row_hash") == values(extract.worksheet_contract(df, required, ["ticket_id", "priority"]), "row_hash")

@@ -167,6 +167,16 @@ def test_scratch_needs_a_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_scope_leaves_no_folder(spark):
+    from tidemark.session import scratch_scope
+
+    with scratch_scope(spark):
+        paths = [scratch_path(spark, "scoped") for _ in range(2)]
+        spark.range(5).write.parquet(paths[0])
+        assert Path(paths[0]).exists()
+    assert not any(Path(p).exists() for p in paths)
+
+
 def test_batch_completes_only_what_can_be_read_back(spark, tmp_path):
     from datetime import timedelta
 

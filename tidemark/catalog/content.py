@@ -151,18 +151,18 @@ def name_objects(spark, folder):
 SHEET = [
     "cast(o_orderkey as varchar(20)) as ticket_id", "o_orderpriority as priority", "cast(o_custkey as varchar(20)) as owner",
     "case o_orderkey % 3 when 0 then '31/12/2025 10:00:00' when 1 then '2025-06-01T00:00:00Z' else 'bad' end as updated_at",
-    "concat('http://x/', cast(o_orderkey as varchar(20))) as servicenow_link", "o_totalprice as unused",
+    "concat('http://x/', cast(o_orderkey as varchar(20))) as link", "o_totalprice as unused",
 ]
 SHEET_HASH = ", ".join(PIECE.format(c) for c in ("ticket_id", "priority", "owner", "updated_at"))
 
 
 @query("worksheet_contract", f"""
     select ticket_id, priority, owner, case updated_at when 'bad' then null when '2025-06-01T00:00:00Z'
-      then timestamp '2025-06-01' else timestamp '2025-12-31 10:00:00' end as updated_at, servicenow_link,
+      then timestamp '2025-06-01' else timestamp '2025-12-31 10:00:00' end as updated_at, link,
       md5(concat_ws('|', {SHEET_HASH})) as row_hash from {fx.sql('orders', SHEET)}""")
 def worksheet(spark, folder):
     return worksheet_contract(fx.select(spark, folder, "orders", SHEET),
-                              ["ticket_id", "priority", "owner", "updated_at", "servicenow_link"], date_cols=("updated_at",))
+                              ["ticket_id", "priority", "owner", "updated_at", "link"], date_cols=("updated_at",))
 
 
 LOGGED = [

@@ -83,7 +83,7 @@ def read_header_csv(spark: SparkSession, path: str, schema: str | None = None) -
 
 
 def worksheet_contract(df: DataFrame, required: list[str], hash_cols: list[str] | None = None,
-                       link_col: str = "servicenow_link", date_cols: tuple[str, ...] = (), zone: str = "UTC",
+                       link_col: str = "link", date_cols: tuple[str, ...] = (), zone: str = "UTC",
                        formats=clock.WORKSHEET_FORMATS) -> DataFrame:
     """Required columns in order, dates read as UTC, and a hash that tells changed rows.
 
