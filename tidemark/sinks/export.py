@@ -24,6 +24,8 @@ from tidemark.session import scratch_path
 PART_BYTES = 250 * 1024 * 1024
 #: Bytes that a parquet file takes besides its rows, at least, and more per column.
 FILE_BYTES, COLUMN_BYTES = 2_048, 512
+#: Rows whose largest is at most so many times their mean are counted into files; others are added up.
+EVEN = 3
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -31,6 +33,23 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def _line_bytes(df: DataFrame):
+    return (F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 1).cast("bigint")
+
+
+def _write_capped(df: DataFrame, write, room: int) -> None:
+    """``write(writer)`` into files whose rows, as compact JSON lines, take at most ``room`` bytes.
+
+    The largest row and the mean are measured over all rows. Where they are close, the number of rows
+    that surely fits caps the files, which needs no sort; else each task adds up its rows.
+    """
+    most, mean = df.select(_line_bytes(df).alias("_b")).agg(F.max("_b"), F.avg("_b")).first()
+    if most is None or most <= min(room, EVEN * mean):
+        write(df.write.option("maxRecordsPerFile", max(1, room // (most or 1))))
+    else:
+        write(cut_by_bytes(df, room).write.partitionBy("part"))
+
+
 def cut_by_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
     """Add ``part``: each task numbers its rows so that a part's rows, as compact JSON lines, stay within ``max_bytes``.
 
@@ -38,7 +57,7 @@ def cut_by_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
     row has a part of its own. Bytes are added up over all rows, whatever their sizes.
     """
     names = [*df.columns, "part"]
-    sized = df.withColumn("_bytes", (F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1).cast("bigint"))
+    sized = df.withColumn("_bytes", _line_bytes(df))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, held, part = TaskContext.get().partitionId(), 0, 1
@@ -55,23 +74,24 @@ def cut_by_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
 
 
 def write_parquet_capped(df: DataFrame, path: str, max_bytes: int = PART_BYTES, mode: str = "errorifexists") -> None:
-    """Snappy parquet files of at most ``max_bytes`` (but for a single larger row), one per folder ``part=...``.
+    """Snappy parquet files of at most ``max_bytes`` (but for a single larger row).
 
-    Rows are measured as JSON lines, which are longer than the same rows in parquet.
+    Rows are measured as JSON lines, which are longer than the same rows in parquet. Where their sizes
+    differ much, each file has a folder ``part=...`` of its own.
     """
     room = max(1, max_bytes - FILE_BYTES - COLUMN_BYTES * len(df.columns))
-    cut_by_bytes(df, room).write.mode(mode).option("compression", "snappy").partitionBy("part").parquet(path)
+    _write_capped(df, lambda out: out.mode(mode).option("compression", "snappy").parquet(path), room)
 
 
 def write_csv_gz_parts(df: DataFrame, path: str, rows: int | None = None, max_bytes: int = PART_BYTES,
                        mode: str = "errorifexists") -> None:
     """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, or ``max_bytes``
-    before compression, by the bytes of all rows and then one per folder ``part=...``."""
+    before compression, by the bytes of all rows; where these differ much, one per folder ``part=...``."""
     if rows:
         df.write.mode(mode).options(header=True, compression="gzip", maxRecordsPerFile=int(rows), escape='"').csv(path)
         return
     room = max(1, max_bytes - sum(len(c) + 3 for c in df.columns))
-    cut_by_bytes(df, room).write.mode(mode).options(header=True, compression="gzip", escape='"').partitionBy("part").csv(path)
+    _write_capped(df, lambda out: out.mode(mode).options(header=True, compression="gzip", escape='"').csv(path), room)
 
 
 def write_details_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
