@@ -152,7 +152,8 @@ def test_stream_equals_batch_below_the_watermark_and_resumes(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(rows.schema).parquet(source)
-        buckets.drain(buckets.stream_buckets(stream, "ts"), out, checkpoint)
+        query = buckets.drain(buckets.stream_buckets(stream, "ts"), out, checkpoint)
+        assert buckets.dropped_rows(query) == 0
         return {(r.bucket_start, r.n) for r in spark.read.parquet(out).collect()}
 
     first = run()
@@ -161,6 +162,8 @@ def test_stream_equals_batch_below_the_watermark_and_resumes(spark, tmp_path):
     batch = {(r.bucket_start.replace(tzinfo=None), r.n) for r in windows.count_buckets(rows, "ts").collect()}
     assert first < second < batch
     assert len(batch) - len(second) <= 3
+    rest = {(r.bucket_start, r.n) for r in buckets.held_back(rows, "ts", spark.read.parquet(out)).collect()}
+    assert rest == batch - second
 
 
 def test_scratch_needs_a_shared_folder(spark):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.windows import count_buckets
+
 
 def stream_buckets(stream: DataFrame, ts: str, minutes: int = 5, lateness: str = "10 minutes") -> DataFrame:
     """Rows per slice of a stream; a slice is final once the watermark has passed its end.
@@ -26,3 +28,14 @@ def drain(buckets: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
     query.awaitTermination()
     return query
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed their slice, over the steps the query still reports."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def held_back(rows: DataFrame, ts: str, written: DataFrame, minutes: int = 5) -> DataFrame:
+    """The slices of a source that has ended which its stream never wrote, since no later row moved the watermark."""
+    counted = count_buckets(rows, ts, minutes).withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
+    return counted.join(written.select("bucket_start"), "bucket_start", "left_anti").select("bucket_start", "n")
