@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold_of, row_wise, text_of
+from tidemark.llm.common import fold_of, pieces, row_wise, text_of
 
 #: Bounds of the labelled sample per language: documents, characters of one document, characters in all; and languages.
 SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS, LANGUAGES = 400, 2_000, 30_000, 64
@@ -203,8 +203,9 @@ def with_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
 
     @F.arrow_udf("boolean")
     def has_language(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        return pa.array([found != UNDETERMINED for found, _ in predictor(model)(texts.to_pylist())] if model.languages
-                        else [any(c.isalpha() for c in t) for t in texts.to_pylist()], pa.bool_())
+        predict = predictor(shared.value)
+        if not shared.value.languages:
+            return pa.array([any(c.isalpha() for c in t) for t in texts.to_pylist()], pa.bool_())
+        return pa.array([found != UNDETERMINED for part in pieces(texts.to_pylist()) for found, _ in predict(part)], pa.bool_())
 
     return docs.where(has_language(text_of(text)))
