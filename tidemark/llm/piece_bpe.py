@@ -12,7 +12,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from itertools import chain
+from itertools import chain, compress, pairwise
+from operator import itemgetter, not_
 
 import ahocorasick
 import pyarrow as pa
@@ -20,10 +21,12 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import row_wise
 
-#: Distinct words a Python worker remembers, the longest of them, and compatible pairs it remembers.
-CACHED, CACHED_CHARS, PAIRS = 250_000, 48, 500_000
+#: Half of the distinct words a Python worker remembers, the longest it keeps, and pairs it remembers.
+CACHED, CACHED_CHARS, PAIRS = 200_000, 48, 500_000
 BLANK = "▁"
+_RUNS = re.compile(r"[^\W\d_]+|\d+|_+|[^\w\s]+|\s+")
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}]*")
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 _encoders: dict[tuple, PieceBpe] = {}
 
 
@@ -33,7 +36,9 @@ class PieceBpe:
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         of = self.library
-        self.end_id, self.unknown = end_id, of.unk_id()
+        if of.unk_id() != 0:
+            raise ValueError("the unknown piece must have id 0, which stands for no piece here")
+        self.end_id = end_id
         plain = [i for i in range(of.get_piece_size()) if not (of.is_control(i) or of.is_unknown(i) or of.is_byte(i) or of.is_unused(i))]
         self.ids = {of.id_to_piece(i): i for i in plain}
         self.scores = {of.id_to_piece(i): of.get_score(i) for i in plain}
@@ -41,13 +46,23 @@ class PieceBpe:
         #: Whether texts can be cut before each run of blanks: no piece has a blank after another character.
         self.by_words = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         self.finder = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.finder.add_word(piece, len(piece))
+        for piece, i in self.ids.items():
+            self.finder.add_word(piece, i)
         self.finder.make_automaton()
+        self.single = {p for p in self.ids if len(p) == 1}
+        #: Neighbouring characters of some piece. No merge can cross any other border.
+        self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.words: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.shorter: dict[str, str] = {}
-        self.split: dict[str, tuple[str, str] | None] = {p: ("", "") for p in self.ids if len(p) == 1}
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.tails: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.split: dict[str, tuple[str, str] | None] = {p: ("", "") for p in self.single}
+        #: By id: the piece, its length, and the longest piece it starts with (0: none, the unknown piece's place).
+        self.pieces = [""] * of.get_piece_size()
+        for piece, i in self.ids.items():
+            self.pieces[i] = piece
+        self.sizes = [len(p) for p in self.pieces]
+        self.shorter = [self.ids.get(next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), ""), 0) for p in self.pieces]
         self.ranks = {p: i for i, p in enumerate(sorted((p for p in self.ids if len(p) > 1), key=lambda p: -self.scores[p]))}
         often = Counter(self.scores[p] for p in self.ranks)
         #: Pieces with the score of another, whose order of joining depends on where they stand: runs of blanks.
@@ -81,16 +96,7 @@ class PieceBpe:
         Undoes the later of the two last merges again and again. Before each of them, the pieces that then
         met at the border must not have had a join that comes earlier.
         """
-        if self.halves(right) is None or not left:
-            return self.halves(right) is not None
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            found = self._meet(left, right)
-            self.pairs[key] = found
-        return found
+        return self.halves(right) is not None and (not left or self._meet(left, right))
 
     def _meet(self, left: str, right: str) -> bool:
         ranks, before, both = self.ranks, len(self.ranks) + 1, [left, right]
@@ -109,77 +115,109 @@ class PieceBpe:
             else:  # of equal merges the left one comes first, so a join at the border would come before this one
                 before, right = b + 1, self.halves(right)[0]
 
-    def prefix(self, piece: str) -> str:
-        """The longest piece that this one starts with, itself excepted; empty if there is none."""
-        found = self.shorter.get(piece)
-        if found is None:
-            found = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.ids), "")
-            self.shorter[piece] = found
-        return found
-
-    def known(self, text: str) -> list[str]:
-        """Pieces of a text all of whose characters are pieces."""
-        longest = [1] * len(text)
-        for end, size in self.finder.iter(text):
-            if size > longest[end - size + 1]:
-                longest[end - size + 1] = size
-        failed = bytearray(len(text) + 1)
-        taken: list[str] = []
-        at, piece = 0, text[:longest[0]]
-        compatible = self.compatible
-        while at < len(text):
-            last = taken[-1] if taken else ""
-            while True:
-                end = at + len(piece)
-                if not failed[end] and compatible(last, piece):
+    def known(self, text: str) -> list[int]:
+        """Ids of a text all of whose characters are pieces."""
+        sizes, shorter, fits = self.sizes, self.shorter, self.pairs.get
+        longest = [0] * len(text)
+        for end, piece in self.finder.iter(text):  # of pieces that start together the longest ends last
+            longest[end + 1 - sizes[piece]] = piece
+        failed = 0  # bit field of the places from which nothing leads to the end
+        taken: list[int] = []
+        at, last, piece = 0, 0, longest[0]
+        while True:
+            end = at + sizes[piece]
+            if not failed >> end & 1:
+                fit = fits(last << 20 | piece)
+                if fit is None:
+                    if len(self.pairs) > PAIRS:
+                        self.pairs.clear()
+                    fit = self.pairs[last << 20 | piece] = self.compatible(self.pieces[last], self.pieces[piece])
+                if fit:
                     taken.append(piece)
-                    at = end
-                    piece = text[at:at + longest[at]] if at < len(text) else ""
-                    break
-                piece = self.prefix(piece)
-                if not piece:
-                    failed[at] = 1
-                    at -= len(taken.pop())
-                    piece = last
-                    break
-        return taken
-
-    def word(self, text: str) -> tuple[tuple[int, ...], str]:
-        """Ids, and the same in decimals; characters that are no piece become their bytes and part what is beside them."""
-        ids: list[int] = []
+                    if end == len(text):
+                        return taken
+                    at, last, piece = end, piece, longest[end]
+                    continue
+            piece = shorter[piece]
+            if not piece:
+                failed |= 1 << at
+                piece = taken.pop()
+                at -= sizes[piece]
+                last = taken[-1] if taken else 0
+
+    def word(self, text: str) -> list[int]:
+        """Ids of a word; characters that are no piece become their bytes and part what is beside them."""
+        single = self.single
+        if single.issuperset(text):
+            return self.known(text)
+        made: list[int] = []
         start = 0
         for at, char in enumerate(text):
-            if char not in self.ids:
+            if char not in single:
                 if at > start:
-                    ids += [self.ids[p] for p in self.known(text[start:at])]
+                    made += self.known(text[start:at])
                 start = at + 1
-                ids += [self.bytes[b] for b in char.encode()]
-        if start < len(text):
-            ids += [self.ids[p] for p in self.known(text[start:])]
+                made += [self.bytes[b] for b in char.encode()]
+        return made + self.known(text[start:]) if start < len(text) else made
+
+    def _ids(self, text: str) -> tuple[tuple[int, ...], str]:
+        ids = self.word(text)
         return tuple(ids), " ".join(map(str, ids))
 
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of words without their blank, and the same in decimals.
+
+        Where no piece holds the characters on both sides of a border between letters, digits, marks and white
+        space, no merge crosses it, so a word's parts are learned one by one.
+        """
+        known, older, tails, joined = self.words, self.older, self.tails, self.joined
+        for word in words:
+            found = older.get(word)
+            if found is None:
+                head, *rest = _RUNS.findall(word) or [word]
+                if rest and not any(a[-1] + b[0] in joined for a, b in pairwise([head, *rest])):
+                    found = known.get(head) or older.get(head)
+                    if found is None:
+                        found = self._ids(BLANK + head)
+                        if len(head) <= CACHED_CHARS:
+                            known[head] = found
+                    made = [found]
+                    for part in rest:
+                        tail = tails.get(part)
+                        if tail is None:
+                            tail = self._ids(part)
+                            if len(part) <= CACHED_CHARS:
+                                tails[part] = tail
+                        made.append(tail)
+                    found = tuple(chain.from_iterable(map(_FIRST, made))), " ".join(map(_SECOND, made))
+                else:
+                    found = self._ids(BLANK + word)
+            known[word] = found
+
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a whole text with the end id, and the same in decimals."""
         if not text:
             return [self.end_id], str(self.end_id)
-        words = [BLANK + w for w in text.split(" ")]
-        if BLANK in words or BLANK in text or not self.by_words:
+        if self.by_words and not (BLANK in text or "  " in text or text[0] == " " or text[-1] == " "):
+            words = text.split(" ")
+        else:
             whole = BLANK + text.replace(" ", BLANK)
-            words = _WORDS.findall(whole) if self.by_words else [whole]
-        cache = self.words
-        if len(cache) > CACHED:
-            cache.clear()
-        made = []
-        for word in words:
-            found = cache.get(word)
-            if found is None:
-                found = self.word(word)
-                if len(word) <= CACHED_CHARS:
-                    cache[word] = found
-            made.append(found)
-        ids = list(chain.from_iterable([m[0] for m in made]))
+            words = [w[1:] for w in (_WORDS.findall(whole) if self.by_words else [whole])]
+        if len(self.words) > CACHED:  # what is used again comes back from the older half
+            self.older, self.words, self.tails = self.words, {}, {}
+        found = list(map(self.words.get, words))
+        new = set()
+        if None in found:
+            new = set(compress(words, map(not_, found)))
+            self._learn(new)
+            found = list(map(self.words.__getitem__, words))
+        ids = list(chain.from_iterable(map(_FIRST, found)))
         ids.append(self.end_id)
-        return ids, f"{' '.join([m[1] for m in made])} {self.end_id}"
+        decimals = f"{' '.join(map(_SECOND, found))} {self.end_id}"
+        for word in new:
+            if len(word) > CACHED_CHARS:
+                del self.words[word]
+        return ids, decimals
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
