@@ -91,7 +91,9 @@ class UnitEncoder:
     def _bare(self, piece: str) -> bytes:
         found = self.bare.get(piece)
         if found is None:
-            found = self.bare[piece] = self._word(piece) if piece != "\n" else self._each(["\n"])[0]
+            found = self._word(piece) if piece != "\n" else self._each(["\n"])[0]
+            if len(piece) <= CACHED_CHARS:
+                self.bare[piece] = found
         return found
 
     def _learn(self, units: set[str]) -> None:
@@ -106,7 +108,9 @@ class UnitEncoder:
                     word = m[1]
                     found = known.get(word) or older.get(word)
                     if found is None:
-                        found = known[word] = self._word(BLANK + word)
+                        found = self._word(BLANK + word)
+                        if len(word) <= CACHED_CHARS:
+                            known[word] = found
                     found += self._bare(m[2])
                     if m[3]:
                         found += self._bare("\n") + self._bare(m[3]) + self._bare(m[4])
