@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Characters of text that one step inside a task works on, so that memory does not follow the batch.
-PIECE_CHARS = 4_000_000
+PIECE_CHARS = 1_000_000
 
 
 def text_of(column: str = "text") -> Column:
