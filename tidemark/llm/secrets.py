@@ -27,6 +27,10 @@ _DIGEST = re.compile(r"([0-9a-f]+|[0-9A-F]+)")
 #: Words joined by marks, each all letters (at most one capital run) or all digits: names, versions, dates, paths.
 _NAME = re.compile(r"[+/_=-]*(([A-Z]*[a-z]+|[A-Z]+|[0-9]+|[a-z]+[0-9]{1,4}|[A-Z]+[0-9]{1,4})[+/_=-]+)*([A-Z]*[a-z]+|[A-Z]+|[0-9]+|[a-z]+[0-9]{1,4}|[A-Z]+[0-9]{1,4})?")
 
+_LETTERS = re.compile(r"[A-Za-z]+")
+#: What a run is made of between its marks; a UUID among them is one piece.
+_PIECE = re.compile(rf"(?<![A-Za-z0-9])(?P<uuid>{_UUID.pattern})(?![A-Za-z0-9])|[A-Za-z0-9]+")
+
 _IN_RUN = np.zeros(128, bool)
 _IN_RUN[[ord(c) for c in RUN]] = True
 _encodings: dict[str, object] = {}
@@ -46,10 +50,23 @@ def encoding(path: str):
     return _encodings[path]
 
 
-def known_identifier(run: str) -> bool:
-    """Digests, UUIDs, and what is made of plain words and numbers."""
-    return (len(run) in DIGEST_CHARS and _DIGEST.fullmatch(run) is not None) or _UUID.fullmatch(run) is not None \
-        or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or _NAME.fullmatch(run) is not None
+def _digest(run: str) -> bool:
+    return (len(run) in DIGEST_CHARS and _DIGEST.fullmatch(run) is not None) or _UUID.fullmatch(run) is not None
+
+
+def _tokens(word: str, encode) -> int:
+    """Tokens of a word; capitals are as good as small letters, which vocabularies know better."""
+    return min(len(encode(word)), len(encode(word.lower()))) if word.isupper() else len(encode(word))
+
+
+def known_identifier(run: str, encode=None, most_ratio: float = 2.0) -> bool:
+    """Digests, UUIDs, numbers, and names: what is shaped as words and numbers, and with ``encode`` has the ratio of words too."""
+    if _digest(run) or not any(c.isalpha() for c in run):
+        return True
+    if any(c.isdigit() for c in run) and _NAME.fullmatch(run) is None:
+        return False
+    words = _LETTERS.findall(run)
+    return encode is None or sum(map(len, words)) >= most_ratio * sum(_tokens(w, encode) for w in words)
 
 
 def runs(texts: list[str], least: int) -> list[list[tuple[int, int]]]:
@@ -87,15 +104,49 @@ def base_spans(text: str, long_runs: list[tuple[int, int]]) -> list[tuple[int, i
     return sorted(spans)
 
 
-def random_spans(text: str, long_runs, taken, encode, most_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs of few characters per token that no fixed pattern has touched and that are no known identifier."""
+def random_parts(run: str, barred, encode, least_chars: int, most_ratio: float) -> list[tuple[int, int]]:
+    """The stretches of a run, from mark to mark, that have fewer than ``most_ratio`` characters per token.
+
+    Every piece scores by how far it is below the ratio; numbers score nothing. The stretches are the maximal sums
+    (Ruzzo and Tompa), so words before, between and after them stay outside. ``barred`` places are in none.
+    """
+    total, found = 0.0, []  # (sum before, sum after, start, end)
+    for m in _PIECE.finditer(run):
+        piece = m[0]
+        if m["uuid"] or _digest(piece) or any(a < m.end() and m.start() < b for a, b in barred):
+            total -= 1e9
+            continue
+        score = 0.0 if piece.isdigit() else most_ratio * _tokens(piece, encode) - len(piece)
+        if score <= 0:
+            total += score
+            continue
+        before, total, start = total, total + score, m.start()
+        while True:
+            at = next((i for i in range(len(found) - 1, -1, -1) if found[i][0] < before), -1)
+            if at < 0 or found[at][1] >= total:
+                break
+            before, start = found[at][0], found[at][2]
+            del found[at:]
+        found.append((before, total, start, m.end()))
+    return [(a, b) for _, _, a, b in found if sum(c.isalnum() for c in run[a:b]) >= least_chars and not known_identifier(run[a:b], encode, most_ratio)]
+
+
+def random_spans(text: str, long_runs, taken, encode, most_ratio: float, least_chars: int = 20) -> list[tuple[int, int, int]]:
+    """Runs of few characters per token that are no known identifier, or their parts that are.
+
+    What a fixed pattern has touched, a digest or a UUID is in no span, but what stands beside it in the run may be.
+    """
     spans = []
     for start, end in long_runs:
         run = text[start:end]
-        if known_identifier(run) or any(a < end and start < b for a, _, b in taken):
+        if _digest(run):
             continue
-        if len(run) < most_ratio * len(encode(run)):
+        barred = [(a - start, b - start) for a, _, b in taken if a < end and start < b]
+        whole = not barred and not any(m["uuid"] or _digest(m[0]) for m in _PIECE.finditer(run))
+        if whole and len(run) < most_ratio * len(encode(run)) and not known_identifier(run, encode, most_ratio):
             spans.append((start, 3, end))
+            continue
+        spans += [(start + a, 3, start + b) for a, b in random_parts(run, barred, encode, least_chars, most_ratio)]
     return spans
 
 
@@ -109,8 +160,9 @@ def find_secrets(
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     Spans are kind:start:end in code points, end exclusive, of whole matches. ``random`` spans are runs of at
-    least ``least_chars`` with fewer than ``most_ratio`` characters per token of the tiktoken ``vocabulary``
-    file. Null texts count as empty and have no spans; repeated rows give repeated rows.
+    least ``least_chars``, or their parts between marks, with fewer than ``most_ratio`` characters per token of the
+    tiktoken ``vocabulary`` file. Digests, UUIDs, what has no letter, and words with numbers are none, where the
+    words have the ratio of words. Null texts count as empty and have no spans; repeated rows give repeated rows.
     """
     least = min(least_chars, ACCESS_CHARS, HEX_CHARS)
 
@@ -121,7 +173,7 @@ def find_secrets(
             counts, shas, written = ([], [], [], []), [], []
             for one, found in zip(texts, runs(texts, least)):
                 base = base_spans(one, found)
-                more = random_spans(one, [r for r in found if r[1] - r[0] >= least_chars], base, encode, most_ratio)
+                more = random_spans(one, [r for r in found if r[1] - r[0] >= least_chars], base, encode, most_ratio, least_chars)
                 for kind in range(3):
                     counts[kind].append(sum(s[1] == kind for s in base))
                 counts[3].append(len(more))
