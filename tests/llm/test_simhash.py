@@ -103,3 +103,11 @@ def test_rows_against_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_two_texts_under_one_id_go_or_stay_alone(spark):
+    a, b = "one two three four five six seven eight nine ten", "quite another text about all the birds in the wood"
+    rows = [(3, b), (5, a), (5, b), (8, a), (9, a.upper()), (None, a)]
+    got = one_per_group(frame(spark, rows, clash=True))
+    assert got.columns == frame(spark, rows, clash=True).columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(3, b), (5, a), (None, a)], key=str)

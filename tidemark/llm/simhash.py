@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_wise
+from tidemark.llm.common import row_wise, text_of
 from tidemark.session import cut_lineage
 
 WORDS, BITS, SEED = 3, 2, 42
@@ -61,6 +61,10 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprints_of(texts, words: int, n: int) -> pa.Array:
+    return pa.array(np.fromiter((fingerprint(t, words) for t in texts), "<u8", n).view("<i8"), pa.int64())
+
+
 def distances(fingerprints: np.ndarray, other) -> np.ndarray:
     return np.bitwise_count((fingerprints ^ other).view(np.uint64))  # of signed numbers it would count the absolute value
 
@@ -208,7 +212,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
 
     def make():
-        return lambda texts: [pa.array(np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8"), pa.int64())]
+        return lambda texts: [fingerprints_of(texts, words, len(texts))]
 
     marked = row_wise(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), ["doc_id"], "text", "fp long", make)
     marked = cut_lineage(marked)  # narrow: an id and 64 bits per document
@@ -221,7 +225,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = BITS) -> DataFrame:
-    """The documents with the smallest id of each component, all their columns kept. Rows without an id stay."""
+    """The documents with the smallest id of each component, all their columns kept. Rows without an id stay.
+
+    Rows go by id and fingerprint, so one of several texts under an id may go and another stay.
+    """
+
+    @F.arrow_udf("long")
+    def fingerprints(texts: pa.Array) -> pa.Array:
+        return fingerprints_of((t.as_py() for t in texts), words, len(texts))
+
     found = near_duplicates(docs, doc_id, text, words, radius)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    mark = "_" * (1 + max(map(len, docs.columns)))  # a name no column has
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(doc_id), F.col("fingerprint").alias(mark)).distinct()
+    marked = docs.withColumn(mark, F.lower(F.lpad(F.hex(fingerprints(text_of(text))), 16, "0")))
+    return marked.join(gone, [doc_id, mark], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
