@@ -6,7 +6,8 @@ import pytest
 from helpers_llm import AWKWARD, frame
 
 from tidemark.llm.common import fold_of_id
-from tidemark.llm.language import identify_languages, learn, phrases, suffix_automaton, to_symbols, with_language
+from tidemark.llm import language
+from tidemark.llm.language import automaton, identify_languages, learn, phrases, suffix_automaton, to_symbols, transitions, with_language
 from tidemark.llm.language import _symbols
 
 WORDS = {"en": "the of and with thing ration".split(), "de": "der und nicht schein keit zuüber".split(), "fr": "le éque oiau sur menté dans".split()}
@@ -86,3 +87,49 @@ def test_held_out_accuracy(spark):
     held = [r for r in identify_languages(docs).collect() if r.held_out]
     assert len(held) > 100
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.98
+
+
+def scripts(lang, seed, n=200):
+    """Languages of one script each, of 300 letters and few words; two of them share their letters."""
+    pick = random.Random(f"{lang}{seed}")
+    first = {"ja": 0x4E00, "ko": 0xAC00, "zh": 0x4E00}[lang]
+    own = random.Random(lang)
+    words = ["".join(chr(first + own.randrange(300)) for _ in range(3)) for _ in range(150)]
+    return "".join(pick.choice(words) for _ in range(n))
+
+
+@pytest.mark.parametrize("cells", [40_000_000, 1])
+def test_large_scripts_are_told_apart(spark, monkeypatch, cells):
+    monkeypatch.setattr(language, "CELLS", cells)
+    latin = [(1000 + i, t + " " + "".join(map(chr, range(0x3B1, 0x3C9))) + "".join(map(chr, range(0x430, 0x450))) * 9, lang) for i, t, lang in training()]
+    rows = latin + [(i, scripts(lang, i), lang) for i in range(60) for lang in [["ja", "ko", "zh"][i % 3]]]
+    model = learn(frame(spark, rows))
+    assert model.width > 500
+    predict = language.predictor(model)
+    tests = [(lang, scripts(lang, 5000 + i, 20)) for i in range(5) for lang in ("ja", "ko", "zh")] + [(lang, invented(lang, 9000)) for lang in WORDS]
+    assert [p for p, _ in predict([t for _, t in tests])] == [lang for lang, _ in tests]
+
+
+def test_searched_letters_count_as_in_a_table():
+    pick = random.Random(5)
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    sample, table = "".join(pick.choice(letters) for _ in range(3000)), _symbols(letters)
+    texts = ["".join(pick.choice(letters + ["x", " "]) for _ in range(9)) + sample[at:at + 40] for at in range(0, 2900, 50)]
+    symbols = to_symbols([sample], table)[0].tolist()
+    own = automaton(transitions(symbols), 402)
+    assert own.rare is not None and len(own.rare)
+    parsed = to_symbols(texts, table)
+    assert phrases(*parsed, [own]).tolist() == phrases(*parsed, [suffix_automaton(symbols, 402)]).tolist()
+
+
+def test_every_language_is_learned(spark):
+    def text(k, seed):
+        own = random.Random(k)
+        words = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(20)]
+        pick = random.Random(seed)
+        return " ".join(pick.choice(words) for _ in range(40))
+
+    rows = [(10 * k + n, text(k, n), f"l{k:03}") for k in range(70) for n in range(4)]
+    model = learn(frame(spark, rows))
+    assert model.languages == [f"l{k:03}" for k in range(70)]
+    assert [p for p, _ in language.predictor(model)([text(k, 99) for k in range(70)])] == model.languages
