@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from tidemark.llm import oracles
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.exact import exact_dedup
 from tidemark.llm.html_text import extract_main_text
 from tidemark.llm.language import identify_languages
+from tidemark.llm.merkle import dataset_manifest
 from tidemark.llm.piece_bpe import encode_pieces
 from tidemark.llm.quality import score_quality
 from tidemark.llm.secrets import find_secrets
@@ -82,3 +84,8 @@ def op2(spark, folder):
 @query("op7_html_text")
 def op7(spark, folder):
     return extract_main_text(table(spark, folder, "pages"))
+
+
+@query("op12_merkle", oracles.merkle())
+def op12(spark, folder):
+    return dataset_manifest(table(spark, folder, "documents"))
