@@ -15,6 +15,8 @@ from tidemark.llm.quality import score_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.tokens import token_files
+from tidemark.llm.topk import top_inner_products
+from tidemark.llm.trie import prefix_trie
 from tidemark.llm.warc import archive_round_trip
 from tidemark.session import table
 
@@ -89,3 +91,13 @@ def op7(spark, folder):
 @query("op12_merkle", oracles.merkle())
 def op12(spark, folder):
     return dataset_manifest(table(spark, folder, "documents"))
+
+
+@query("op13_prefix_trie", oracles.prefix_trie())
+def op13(spark, folder):
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
+@query("op11_top_k", oracles.TOP_K)
+def op11(spark, folder):
+    return top_inner_products(table(spark, folder, "embeddings"))

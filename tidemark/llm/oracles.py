@@ -57,3 +57,37 @@ def merkle(depth: int = 5, top: int = 4) -> str:
     {_folds("t", "g", top)}
     select doc_id, leaf, subroot, r.digest as root, sha256(proof) as proof_sha256, folded as folded_root, folded = r.digest as verified
     from g{top}, r"""
+
+
+def prefix_trie() -> str:
+    """By members: a node's subtree holds what its members hold below it, each node counted for its smallest member."""
+    crc = _crc32("cast(c as varchar)")
+    return f"""
+    with o as (select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+        row_number() over (partition by conv_id order by turn nulls first, sha256(concat(strlen(coalesce(role, '')), ':', role, text))) as i
+        from conversations where conv_id is not null),
+    ids as (select c, {crc} % 6 as h from (select distinct c from o)),
+    base as (select ids.c, h, count(o.c) as n from ids left join o on o.c = ids.c - ids.c % 100 and o.i <= h group by ids.c, h),
+    rebuilt as (select base.c, o.i as d, r, x from base join o on o.c = base.c - base.c % 100 and o.i <= h
+      union all select base.c, n + o.i - h, r, x from base join o on o.c = base.c and o.i > h),
+    steps as (select c, d, length(x) as chars, string_agg(sha256(concat(strlen(r), ':', r, x)), '') over (partition by c order by d) as key from rebuilt
+      union all select c, 0, 0, '' from ids),
+    member as (select *, min(c) over (partition by key) as rep, count(*) over (partition by key) as n, max(d) over (partition by c) = d as ends from steps),
+    marked as (select *, ends and c = rep and count(*) filter (ends) over (partition by key) = n as leaf,
+      sum(chars) over below - sum(if(c = rep, chars, 0)) over below as saved,
+      lead(c = rep) over up as child, lag(rep) over up as parent from member
+      window below as (partition by c order by d desc), up as (partition by c order by d)),
+    whole as (select *, bool_or(leaf) over (partition by c) as has_leaf from marked)
+    select min(c) as conv_id, cast(min(d) as bigint) as depth, min(parent) as parent_conv_id, count(*) as n_convs,
+      cast(count(*) filter (child) as bigint) as n_children, count(*) filter (has_leaf) as n_leaves, cast(sum(saved) as bigint) as saved_tokens,
+      sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (ends), '')) as ends_sha256
+    from whole group by key"""
+
+
+TOP_K = """
+    with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+      from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from s qualify rank <= 5"""
