@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import parts, windows
 from tidemark.session import scratch_path
-from tidemark.sinks import export
+from tidemark.sinks import capped, export, publish
 from tidemark.sources import extract
 from tidemark.sources.paged import paged_source
 from tidemark.streaming import buckets
@@ -56,13 +57,13 @@ def test_caps_hold_for_unequal_rows(spark, tmp_path):
 
 
 def test_undated_rows_are_refused_or_set_aside(spark, tmp_path):
-    path, done, aside = str(tmp_path / "data"), str(tmp_path / "done"), str(tmp_path / "aside")
-    rows = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, None)], "id int, day timestamp_ntz")
+    path, aside = str(tmp_path / "data"), str(tmp_path / "aside")
+    rows = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, None)], WEEK_ROWS)
     with pytest.raises(Exception, match="without a day"):
-        export.write_week_once(rows, path, "day", done)
+        export.write_week_once(rows, path, "day")
     for n in (1, 2):
-        assert export.write_week_once(rows, path, "day", done, aside).count() == (n == 1)
-        assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+        assert export.write_week_once(rows, path, "day", aside).count() == (n == 1)
+        assert ids(spark, path) == [1]
         assert [r.id for r in spark.read.option("recursiveFileLookup", "true").parquet(aside).collect()] == [2] * n
 
 
@@ -80,28 +81,87 @@ def test_failed_write_leaves_no_files(spark, tmp_path):
         assert [p for p in Path(path).rglob("part-*")] == []
 
 
+WEEK_ROWS = "id int, day timestamp_ntz"
+
+
+def ids(spark, path):
+    return sorted(r.id for r in export.read_weeks(spark, path, WEEK_ROWS).collect())
+
+
 def test_week_survives_failure_and_is_written_once(spark, tmp_path):
-    path, done = str(tmp_path / "data"), str(tmp_path / "done")
-    rows = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, datetime(2025, 1, 7)), (3, datetime(2025, 1, 13))], "id int, day timestamp_ntz")
+    path = str(tmp_path / "data")
+    rows = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, datetime(2025, 1, 7)), (3, datetime(2025, 1, 13))], WEEK_ROWS)
     first = rows.filter("id < 3")
     broken = first.withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("id")))
     with pytest.raises(Exception, match="lost"):
-        export.write_week_once(broken, path, "day", done)
-    assert export.finished_weeks(spark, done).count() == 0
-    assert [tuple(r)[:3] for r in export.write_week_once(first, path, "day", done).collect()] == [(2025, 2, 2)]
+        export.write_week_once(broken, path, "day")
+    assert export.finished_weeks(spark, path).count() == 0
+    assert [tuple(r)[:3] for r in export.write_week_once(first, path, "day").collect()] == [(2025, 2, 2)]
     kept = files(path, ".parquet")
-    assert [tuple(r)[:3] for r in export.write_week_once(rows, path, "day", done).collect()] == [(2025, 3, 1)]
+    assert [tuple(r)[:3] for r in export.write_week_once(rows, path, "day").collect()] == [(2025, 3, 1)]
     assert set(kept) <= set(files(path, ".parquet"))
-    assert export.write_week_once(rows, path, "day", done).count() == 0
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
-    assert export.finished_weeks(spark, done).count() == 2
+    assert export.write_week_once(rows, path, "day").count() == 0
+    assert ids(spark, path) == [1, 2, 3]
+    assert export.finished_weeks(spark, path).count() == 2
+
+
+def test_a_reader_sees_all_weeks_or_none_wherever_the_run_dies(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "data")
+    old = spark.createDataFrame([(1, datetime(2025, 1, 6))], WEEK_ROWS)
+    new = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, datetime(2025, 1, 13)), (3, datetime(2025, 1, 20))], WEEK_ROWS)
+    export.write_week_once(old, path, "day")
+
+    class Killed(BaseException):
+        """Not an Exception: like a lost driver it runs no clean-up of ours."""
+
+    def dies(name, after):
+        plain = getattr(publish, name) if name != "link" else os.link
+
+        def step(*args, **options):
+            out = plain(*args, **options) if after else None
+            assert ids(spark, path) == ([1, 2, 3] if (name, after) == ("link", True) else [1])
+            raise Killed
+
+        return step
+
+    steps = [("new_run", False), ("write_run", False), ("write_run", True), ("publish", False), ("create_once", False), ("link", False)]
+    for name, after in steps:
+        with monkeypatch.context() as patch, pytest.raises(Killed):
+            patch.setattr(os if name == "link" else publish, name, dies(name, after))
+            export.write_week_once(new, path, "day")
+        assert ids(spark, path) == [1]
+    assert publish.sweep_runs(spark, path, 2) == 8  # four runs had written their two weeks
+    with monkeypatch.context() as patch, pytest.raises(Killed):
+        patch.setattr(os, "link", dies("link", True))
+        export.write_week_once(new, path, "day")
+    assert ids(spark, path) == [1, 2, 3]
+    assert export.write_week_once(new, path, "day").count() == 0
+    assert publish.sweep_runs(spark, path, 2) == 0
+
+
+def test_a_week_that_another_run_publishes_first_is_not_written_twice(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "data")
+    mine = spark.createDataFrame([(1, datetime(2025, 1, 6)), (2, datetime(2025, 1, 13))], WEEK_ROWS)
+    theirs = spark.createDataFrame([(7, datetime(2025, 1, 6))], WEEK_ROWS)
+    plain, done = publish.publish, []
+
+    def late(spark, root, base, slices):
+        if not done:
+            done.append(1)
+            export.write_week_once(theirs, path, "day")
+        return plain(spark, root, base, slices)
+
+    monkeypatch.setattr(publish, "publish", late)
+    assert [tuple(r)[:3] for r in export.write_week_once(mine, path, "day").collect()] == [(2025, 3, 1)]
+    assert ids(spark, path) == [2, 7]
+    assert publish.sweep_runs(spark, path, 2) == 0  # the loser of the first round took its files away
 
 
 def test_no_rows_write_no_week(spark, tmp_path):
-    path, done = str(tmp_path / "data"), str(tmp_path / "done")
-    rows = spark.createDataFrame([], "id int, day timestamp_ntz")
-    assert export.write_week_once(rows, path, "day", done).count() == 0
-    assert export.finished_weeks(spark, done).count() == 0
+    path = str(tmp_path / "data")
+    rows = spark.createDataFrame([], WEEK_ROWS)
+    assert export.write_week_once(rows, path, "day").count() == 0
+    assert export.finished_weeks(spark, path).count() == 0 and ids(spark, path) == []
 
 
 def test_part_files_keep_to_the_cap(spark, tmp_path):
@@ -223,3 +283,159 @@ def test_compression_ratio(spark, tmp_path):
     saved = packed.select(rollups.compression_ratio(F.lit(raw.raw_bytes), F.col("packed")).alias("saved")).first().saved
     assert raw.lines == 5000 and 50 < saved < 100
     assert spark.range(1).select(rollups.compression_ratio(F.lit(0), F.lit(20)).alias("s")).first().s == 0.0
+
+
+def window_ledger(spark, day, rows):
+    from datetime import timedelta
+
+    made = [(k, "pending", day + timedelta(minutes=low), day + timedelta(minutes=high), audited) for k, low, high, audited in rows]
+    ledger = spark.createDataFrame(made, "record_id long, status string, window_start timestamp_ntz, window_end timestamp_ntz, audit_enabled boolean")
+    return ledger.selectExpr("*", "window_start as started_at", "'open' as stage_export", "'open' as stage_transfer", "'open' as stage_audit")
+
+
+def test_window_load_clears_what_a_dead_load_left(spark, tmp_path):
+    from datetime import timedelta
+
+    from tidemark.operators.ledger import with_record
+    from tidemark.plans import ingest
+    from tidemark.sinks import keyed
+
+    day, root = datetime(2025, 1, 1), str(tmp_path / "store")
+    source = spark.range(600).select("id", (F.lit(day).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"))
+    windows = [(1, 0, 60, True), (2, 30, 90, True), (3, 60, 65, False), (4, 100, 200, True), (5, 300, 300, True), (6, 400, 410, True), (7, 590, 700, True)]
+    ledger = window_ledger(spark, day, windows)
+    rules = ingest.LoadRules(day + timedelta(days=2), timedelta(days=9), day - timedelta(days=9), timedelta(days=3), 4)
+
+    def held(k):
+        return [i for i in range(600) if windows[k - 1][1] <= i < windows[k - 1][2]]
+
+    whole = with_record(source, ledger, "ts")
+    left = whole.filter("record_id = 1 or (record_id = 2 and id < 50) or (record_id = 4 and id % 2 = 0)")  # 1 complete, 2 and 4 half done
+    other = left.filter("record_id = 4").withColumn("record_id", F.lit(99).cast("long"))
+    assert keyed.upsert_stored(left.unionByName(other), root, "record_id", 8)
+
+    def stored():
+        found = {}
+        for r in keyed.read_keyed(spark, root, whole.schema).collect():
+            found.setdefault(r.record_id, []).append(r.id)
+        return {k: sorted(v) for k, v in found.items()}
+
+    first = {r.record_id: r for r in ingest.load_windows(ledger, source, "ts", root, rules, 8).collect()}
+    assert {k: (r.status, r.source_count, r.target_count) for k, r in first.items()} == {
+        1: ("completed", 60, 60), 5: ("completed", 0, 0),          # found complete
+        2: ("completed", 60, 60), 3: ("completed", 5, 5), 4: ("completed", 100, 100), 6: ("completed", 10, 10),
+        7: ("pending", None, None)}                                # beyond the batch
+    assert stored() == {**{k: held(k) for k in (1, 2, 3, 4, 6)}, 99: [i for i in held(4) if i % 2 == 0]}
+    again = ingest.load_windows(ledger, source, "ts", root, rules, 8).collect()
+    assert {r.record_id: r.status for r in again} == {k: "completed" for k in range(1, 8)}
+    assert stored() == {**{k: held(k) for k in (1, 2, 3, 4, 6, 7)}, 99: [i for i in held(4) if i % 2 == 0]}
+
+
+def test_a_dead_window_load_changes_nothing_and_a_rival_makes_it_look_again(spark, tmp_path, monkeypatch):
+    from datetime import timedelta
+
+    from tidemark.plans import ingest
+    from tidemark.sinks import keyed
+
+    day, root = datetime(2025, 1, 1), str(tmp_path / "store")
+    source = spark.range(50).select("id", (F.lit(day).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"))
+    ledger = window_ledger(spark, day, [(1, 0, 10, True), (2, 10, 20, True)])
+    rules = ingest.LoadRules(day + timedelta(days=2), timedelta(days=9), day - timedelta(days=9), timedelta(days=3), 5)
+    schema = source.withColumn("record_id", F.lit(1).cast("long")).schema
+    plain = publish.publish
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="lost"):
+        patch.setattr(publish, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        ingest.load_windows(ledger, source, "ts", root, rules, 4)
+    assert keyed.read_keyed(spark, root, schema).count() == 0 and publish.sweep_runs(spark, root, 1) == 0
+    done = []
+
+    def late(spark, root, base, slices):
+        if not done:
+            done.append(1)
+            ingest.load_windows(ledger.filter("record_id = 2"), source, "ts", root, rules, 4)
+        return plain(spark, root, base, slices)
+
+    monkeypatch.setattr(publish, "publish", late)
+    out = ingest.load_windows(ledger, source, "ts", root, rules, 4).collect()
+    assert {(r.record_id, r.status, r.target_count) for r in out} == {(1, "completed", 10), (2, "completed", 10)}
+    assert keyed.read_keyed(spark, root, schema).count() == 20
+
+
+def test_one_long_row_changes_neither_layout_nor_schema(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 2).selectExpr("id", "case when id = 500 then repeat('x', 400000) else 'x' end as t", "array(id, null) as a", "named_struct('k', id) as s")
+    path = str(tmp_path / "out")
+    export.write_parquet_capped(rows, path, max_bytes=100_000)
+    found = files(path, ".parquet")
+    assert {p.parent for p in found} == {Path(path)} and spark.read.parquet(path).dtypes == rows.dtypes
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "a", "s.k").collect())) == [(i, [i, None], i) for i in range(1000)]
+    manifest = {Path(r.file_path).name: r for r in capped.written_files(spark, path).collect()}
+    assert {p.name: p.stat().st_size for p in found} == {name: r.file_bytes for name, r in manifest.items()}
+    assert sum(r.rows for r in manifest.values()) == 1000 and all(r.started_at <= r.finished_at for r in manifest.values())
+
+
+def test_types_survive_the_capped_writer(spark, tmp_path):
+    rows = spark.sql("""select cast(1 as tinyint) a, cast(2.50 as decimal(9,2)) b, date'2025-01-02' c, timestamp_ntz'2025-01-02 03:04:05.123456' d,
+        timestamp'2025-01-02 03:04:05' e, x'00ff' f, map('k', array(1, null)) g, cast(null as string) h, true i, cast('nan' as double) j""")
+    path = str(tmp_path / "out")
+    export.write_parquet_capped(rows.union(rows), path)
+    back = spark.read.parquet(path)
+    assert back.dtypes == rows.dtypes
+    assert [str(r) for r in back.collect()] == [str(r) for r in rows.union(rows).collect()]
+
+
+def test_capped_modes(spark, tmp_path):
+    path, rows = str(tmp_path / "out"), spark.range(100)
+    export.write_parquet_capped(rows, path)
+    with pytest.raises(FileExistsError):
+        export.write_parquet_capped(rows, path)
+    export.write_parquet_capped(rows, path, mode="append")
+    assert spark.read.parquet(path).count() == 200 and capped.written_files(spark, path).agg(F.sum("rows")).first()[0] == 200
+    export.write_parquet_capped(rows, path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 100
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    empty = str(tmp_path / "empty")
+    export.write_csv_gz_parts(rows.limit(0), empty)
+    assert files(empty, ".gz") == [] and capped.written_files(spark, empty).count() == 0
+
+
+def test_failed_capped_write_leaves_nothing_and_a_second_attempt_counts_once(spark, tmp_path):
+    rows = spark.range(0, 10_000, 1, 8)
+    bad = rows.withColumn("x", F.when(F.col("id") == 9_999, F.raise_error(F.lit("broken row"))).otherwise(F.col("id").cast("string")))
+    with pytest.raises(Exception, match="broken row"):
+        export.write_parquet_capped(bad, str(tmp_path / "out"), 1_000)
+    assert list(tmp_path.iterdir()) == []
+    # A staged file of an attempt that does not count, as a lost executor leaves it, never reaches the target.
+    options = {"staging": str(tmp_path / "_run"), "target": str(tmp_path / "kept"), "mode": "errorifexists"}
+    (tmp_path / "_run").mkdir()
+    for name in ("part-counts", "part-lost"):
+        (tmp_path / "_run" / name).write_text("x")
+    capped.CappedWriter(options).commit([capped.TaskFiles([capped.Written("part-counts", None, 1, 1, 1, 0.0, 1.0)]), None])
+    assert [p.name for p in sorted((tmp_path / "kept").iterdir())] == ["_manifest", "part-counts"]
+
+
+def test_keyed_files_close_with_their_key(spark, tmp_path):
+    rows = spark.range(300).select((F.col("id") % 3).cast("string").alias("s"), F.floor(F.col("id") / 30).alias("part"), "id", F.concat(F.lit("line "), "id").alias("line"))
+    path = str(tmp_path / "out")
+    export.write_keyed_lines(rows.repartition(7), path, "s", order=("id",))
+    found = {r.key: r for r in capped.written_files(spark, path).collect()}
+    assert set(found) == {f"{s}/{p}" for s in range(3) for p in range(10)} and len(files(path, ".json")) == 30
+    for key, r in found.items():
+        s, part = map(int, key.split("/"))
+        want = [f"line {i}" for i in range(300) if i % 3 == s and i // 30 == part]
+        assert Path(r.file_path).read_text().splitlines() == want and r.bytes == r.file_bytes == sum(len(x) + 1 for x in want)
+
+
+def test_csv_is_split_by_whole_lines_as_they_stand(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    body = [f'{i},"a ""quoted"", é",, x ' for i in range(500)] + ["id,t,u,v"]  # a row that reads like the header is a row
+    for n in range(3):
+        (source / f"f{n}.csv").write_text("\n".join(["id,t,u,v", *body[n::3]]) + "\n", encoding="utf-8")
+    export.split_csv(spark, str(source), out, rows=40, max_bytes=1_000)
+    texts = [gzip.open(p, "rt", encoding="utf-8").read() for p in files(out, ".csv.gz")]
+    lines = [t.splitlines() for t in texts]
+    assert all(x[0] == "id,t,u,v" and len(x) <= 41 for x in lines) and all(len(t.encode()) <= 1_000 for t in texts)
+    assert sorted(line for x in lines for line in x[1:]) == sorted(body)
+    (source / "odd.csv").write_text("id,t,u,w\n1,2,3,4\n")
+    with pytest.raises(Exception, match="header"):
+        export.split_csv(spark, str(source), str(tmp_path / "odd"))

@@ -10,7 +10,7 @@ from tidemark.catalog.registry import query
 from tidemark.operators import parts, records, rollups
 from tidemark.plans import ingest
 from tidemark.session import scratch_path, table
-from tidemark.sinks import export
+from tidemark.sinks import capped, export
 from tidemark.sources import extract
 from tidemark.sources.paged import paged_source
 from tidemark.streaming import buckets
@@ -30,7 +30,7 @@ def ndjson_round_trip(spark, folder):
 def parquet_round_trip(spark, folder):
     path = scratch_path(spark, "parquet")
     export.write_parquet_capped(table(spark, folder, "orders"), path, max_bytes=200_000)
-    return spark.read.parquet(path).drop("part")
+    return spark.read.parquet(path)
 
 
 @query("parquet_part_sizes", "select true as capped, count(*) as rows, cast(sum(strlen(text)) as bigint) as bytes from documents")
@@ -50,6 +50,15 @@ def csv_gz_round_trip(spark, folder):
     return extract.read_header_csv(spark, path, ORDER_SCHEMA)
 
 
+@query("split_csv", ALL_ORDERS)
+def split_csv(spark, folder):
+    """CSV files cut line by line into gzip parts, read back."""
+    whole, path = scratch_path(spark, "whole"), scratch_path(spark, "split")
+    table(spark, folder, "orders").write.option("header", True).csv(whole)
+    export.split_csv(spark, whole, path, rows=4_000, max_bytes=100_000)
+    return extract.read_header_csv(spark, path, ORDER_SCHEMA)
+
+
 @query("write_details_csv", """
     select o_orderkey, o_orderpriority || ', "x"' as label, o_totalprice from orders""")
 def details_round_trip(spark, folder):
@@ -65,13 +74,13 @@ def details_round_trip(spark, folder):
       1 as runs from orders where o_orderkey % 50 <> 7 group by 1, 2""")
 def weeks_once(spark, folder):
     """Half the rows first, then all twice: each week is written by the first run that sees it; some rows have no day."""
-    path, done, undated = (scratch_path(spark, n) for n in ("weeks", "weeks-manifest", "weeks-undated"))
+    path, undated = (scratch_path(spark, n) for n in ("weeks", "weeks-undated"))
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 50 != 7, F.col("o_orderdate")))
     early = orders.filter("o_orderdate < timestamp_ntz'1998-01-05'")  # a Monday, so no week is cut
     for run in (early, orders, orders):
-        export.write_week_once(run, path, "o_orderdate", done, undated)
-    runs = export.finished_weeks(spark, done).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).cast("int").alias("runs"))
-    rows = spark.read.parquet(path).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).alias("rows"))
+        export.write_week_once(run, path, "o_orderdate", undated)
+    runs = export.finished_weeks(spark, path).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).cast("int").alias("runs"))
+    rows = export.read_weeks(spark, path, ORDER_SCHEMA).groupBy("iso_year", "iso_week").agg(F.count(F.lit(1)).alias("rows"))
     return rows.join(runs, ["iso_year", "iso_week"])
 
 
@@ -150,6 +159,28 @@ def part_files(spark, folder):
         F.md5(F.array_join(F.array_sort(F.collect_list(doc)), ",").cast("binary")).alias("docs"))
 
 
+@query("manifest_files", f"""
+    with recursive d as (select source, doc_id, octet_length(encode(to_json({{'source': source, 'doc_id': doc_id, 'text': text}}))) + 1 as bytes,
+        row_number() over (partition by source order by doc_id) as pos from documents),
+    walk as (select source, doc_id, bytes, pos, cast(1 as bigint) as part, bytes as held from d where pos = 1
+      union all select d.source, d.doc_id, d.bytes, d.pos,
+        case when w.held > 0 and w.held + d.bytes > {FILE_CAP} then w.part + 1 else w.part end,
+        case when w.held > 0 and w.held + d.bytes > {FILE_CAP} then d.bytes else w.held + d.bytes end
+      from walk w join d on d.source = w.source and d.pos = w.pos + 1)
+    select source || '/' || part as key, count(*) as rows, cast(sum(bytes) as bigint) as bytes, cast(sum(bytes) as bigint) as file_bytes,
+      true as there, true as timed from walk group by source, part""")
+def manifest_files(spark, folder):
+    """One row per file of a run: its key, rows and bytes, whether the file is there, and whether its times are in order."""
+    path = scratch_path(spark, "keyed")
+    lines = ingest.record_lines(table(spark, folder, "documents").select("source", "doc_id", "text"), "source", ("doc_id",))
+    export.write_keyed_lines(parts.assign_parts(lines, "source", ["doc_id"], "bytes", FILE_CAP), path, "source", order=("doc_id",))
+    files = capped.written_files(spark, path)
+    found = export.manifest(spark.read.text(path)).select(F.regexp_extract("file_path", "[^/]+$", 0).alias("name"), F.col("rows").alias("lines"))
+    named = files.withColumn("name", F.regexp_extract("file_path", "[^/]+$", 0)).join(found, "name", "left")
+    return named.select("key", "rows", "bytes", "file_bytes", F.col("lines").eqNullSafe(F.col("rows")).alias("there"),
+                        ((F.col("started_at") <= F.col("finished_at")) & (F.col("finished_at") <= F.current_timestamp())).alias("timed"))
+
+
 @query("record_lines", """
     select o_orderkey as record_id, '{"record_id":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","note":null}' as line,
       cast(length('{"record_id":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","note":null}') + 1 as bigint) as bytes

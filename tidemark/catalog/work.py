@@ -11,8 +11,10 @@ from tidemark.catalog.registry import query
 from tidemark.functions import clock
 from tidemark.operators import ledger as led
 from tidemark.operators import packing
+from tidemark.operators.windows import bucket_minutes
 from tidemark.plans import ingest
 from tidemark.session import scratch_path, table
+from tidemark.sinks import keyed
 
 NOW, AGE, OPEN_FROM = datetime(2000, 6, 1), timedelta(days=1500), datetime(1997, 1, 1)
 OLDEST = NOW - AGE
@@ -55,6 +57,32 @@ def reconcile_windows(spark, folder):
     return led.reconcile_windows(orders, orders.filter("o_orderstatus <> 'P'"), pending, "o_orderdate")
 
 
+SLICES_SQL = """(select distinct cast(epoch(time_bucket(interval '5 minutes', ts)) as bigint) as record_id,
+    time_bucket(interval '5 minutes', ts) as window_start, time_bucket(interval '5 minutes', ts) + interval '20 minutes' as window_end from events)"""
+
+
+def _slices(spark, folder):
+    """Windows of 20 minutes that begin every 5, so four hold each instant."""
+    starts = bucket_minutes(table(spark, folder, "events").select("ts"), "ts", 5, "window_start").select("window_start").distinct()
+    return starts.select(F.unix_seconds(F.col("window_start").cast("timestamp")).alias("record_id"), F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                         (F.col("window_start") + F.expr("interval 20 minutes")).cast("timestamp_ntz").alias("window_end"))
+
+
+@query("reconcile_slices", f"""
+    select record_id, source_count, target_count, source_count = target_count as equal from (
+      select record_id, count(e.ts) as source_count, count(e.ts) filter (event_type <> 'error') as target_count
+      from {SLICES_SQL} w left join events e on e.ts >= w.window_start and e.ts < w.window_end group by record_id)""")
+def reconcile_slices(spark, folder):
+    events = table(spark, folder, "events")
+    return led.reconcile_windows(events, events.filter("event_type <> 'error'"), _slices(spark, folder), "ts")
+
+
+@query("window_members", f"""
+    select event_id, w.record_id from {SLICES_SQL} w join events e on e.ts >= w.window_start and e.ts <= w.window_end""")
+def window_members(spark, folder):
+    return led.with_record(table(spark, folder, "events").select("event_id", "ts"), _slices(spark, folder), "ts", closed="both").drop("ts")
+
+
 @query("clean_target", f"""
     select l_orderkey as record_id, l_linenumber, l_partkey from lineitem where l_linestatus = 'F'
       and l_orderkey not in (select record_id from {ACTION_SQL} where action = 'clean_and_process')""")
@@ -183,6 +211,37 @@ def load_batch(spark, folder):
     return out.select("record_id", "status", "reason", "source_count", "target_count")
 
 
+WINDOW_RULES = ingest.LoadRules(NOW, AGE, OPEN_FROM, AGE, batch=30)
+LATE = "window_start >= {0}'2000-05-20' and window_start < {0}'2000-06-05'"  # some windows end after NOW
+WINDOW_SQL = f"""
+    with r as (select * from {CHECKED_SQL} where {LATE.format("timestamp ")}),
+    c as (select r.record_id, count(*) as sc, sum(l_partkey) as parts,
+        count(*) filter (r.record_id % 7 = 0 or (r.record_id % 5 = 0 and l_linenumber % 2 = 0)) as tc,
+        sum(l_partkey) filter (r.record_id % 7 = 0 or (r.record_id % 5 = 0 and l_linenumber % 2 = 0)) as old_parts
+      from r join lineitem l on l_shipdate >= window_start and l_shipdate < window_end where status in ('pending', 'failed_permanently') group by 1),
+    a as (select r.*, coalesce(sc, 0) as sc, coalesce(tc, 0) as tc, parts, old_parts, r.status = 'pending' and audit_enabled and coalesce(sc, 0) = coalesce(tc, 0) as ok
+      from r left join c using (record_id)),
+    p as (select record_id from a where status = 'pending' and not ok order by window_start, record_id limit {WINDOW_RULES.batch}),
+    b as (select *, record_id in (from p) as loaded from a)
+    select record_id, case when ok or loaded then 'completed' else status end as status, case when ok or loaded then sc end as source_count,
+      case when ok or loaded then sc end as target_count, case when loaded then sc else tc end as stored,
+      cast(coalesce(case when loaded then parts else old_parts end, 0) as bigint) as parts from b"""
+
+
+@query("load_windows", WINDOW_SQL)
+def load_windows(spark, folder):
+    """A table that holds some records whole and some by half; what it holds afterwards is counted per record."""
+    root = scratch_path(spark, "store")
+    late = _ledger(spark, folder).filter(LATE.format("timestamp_ntz"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    held = led.with_record(lines, late.filter("status = 'pending'"), "l_shipdate")
+    keyed.upsert_stored(held.filter("record_id % 7 = 0 or (record_id % 5 = 0 and l_linenumber % 2 = 0)"), root, led.KEY)
+    out = ingest.load_windows(late, lines, "l_shipdate", root, WINDOW_RULES)
+    stored = keyed.read_keyed(spark, root, held.schema).groupBy(led.KEY).agg(F.count(F.lit(1)).alias("stored"), F.sum("l_partkey").alias("parts"))
+    return out.join(stored, led.KEY, "left").select(
+        "record_id", "status", "source_count", "target_count", F.coalesce("stored", F.lit(0)).alias("stored"), F.coalesce("parts", F.lit(0)).alias("parts"))
+
+
 ALERTS_SQL = f"""(select run_id, run_s, case when run_s <= 0 or k * 300 < 1400 then 'completed' else 'timeout' end as outcome,
     case when run_s <= 0 then 0 when k * 300 < 1400 then k else 5 end as alerts,
     case when run_s <= 0 then 1 when k * 300 < 1400 then k + 1 else 5 end as checks

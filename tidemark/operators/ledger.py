@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
+from tidemark.operators.intervals import count_in_windows, join_windows
 from tidemark.operators.ordered import small_side
 
 # Stages in flow order, and the ledger's columns.
@@ -58,25 +59,23 @@ def reconcile_counts(source: DataFrame, target: DataFrame, key: str = KEY, windo
     ).withColumn("equal", F.col("source_count") == F.col("target_count"))
 
 
-def with_record(rows: DataFrame, records: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+def with_record(rows: DataFrame, records: DataFrame, ts: str, key: str = KEY, closed: str = "left") -> DataFrame:
     """Rows of a table that knows no records, each with the record in whose window its time lies.
 
-    Windows are half-open. They are cut into days, so the match is an equi join on the day; rows
-    outside the span of all windows are filtered at the scan. A row in two windows appears twice.
+    A row in two windows appears twice; rows outside the span of all windows are filtered at the scan.
     """
-    span = records.agg(F.min("window_start"), F.max("window_end")).first()
-    if span[0] is None:
-        return rows.limit(0).join(records.select(key).limit(0), how="cross")
-    days = F.sequence(F.to_date("window_start"), F.to_date(F.col("window_end") - F.expr("interval 1 microsecond")))
-    cut = small_side(records.filter("window_start < window_end").select(key, "window_start", "window_end", F.explode(days).alias("_day")))
-    near = rows.filter((F.col(ts) >= clock.instant(span[0])) & (F.col(ts) < clock.instant(span[1])))
-    met = near.withColumn("_day", F.to_date(ts)).join(cut, "_day")
-    return met.filter((F.col(ts) >= F.col("window_start")) & (F.col(ts) < F.col("window_end"))).select(*rows.columns, key)
-
-
-def reconcile_windows(source: DataFrame, target: DataFrame, records: DataFrame, ts: str, key: str = KEY) -> DataFrame:
-    """``reconcile_counts`` for tables without a record id: rows in each record's window, on both sides."""
-    return reconcile_counts(with_record(source.select(ts), records, ts, key), with_record(target.select(ts), records, ts, key), key, records)
+    return join_windows(rows, ts, records, key, closed=closed)
+
+
+def reconcile_windows(source: DataFrame, target: DataFrame, records: DataFrame, ts: str, key: str = KEY, closed: str = "left") -> DataFrame:
+    """``reconcile_counts`` for tables without a record id: rows in each record's window, on both sides.
+
+    Both sides go through one count over the time line, so windows may be short, many and overlapping.
+    """
+    sides = source.select(F.col(ts), F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionAll(
+        target.select(F.col(ts), F.lit(0).alias("_s"), F.lit(1).alias("_t")))
+    counts = count_in_windows(sides, ts, records, key, {"source_count": F.col("_s"), "target_count": F.col("_t")}, closed=closed)
+    return counts.withColumn("equal", F.col("source_count") == F.col("target_count"))
 
 
 def clean_target(target: DataFrame, judged: DataFrame, key: str = KEY) -> DataFrame:

@@ -1,97 +1,65 @@
-"""Writers. Files appear only when the whole job commits.
-
-A week load replaces the folders of its weeks one after another at that moment, so a reader should go by the
-manifest, whose rows come last.
-"""
+"""Writers. Files appear only when the whole job commits; the weeks of a load appear together (see ``publish``)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from datetime import datetime
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import clock
-from tidemark.operators.parts import part_numbers
+from tidemark.operators.ordered import small_side
 from tidemark.operators.windows import bucket_minutes
-from tidemark.session import scratch_path
+from tidemark.sinks import publish
+from tidemark.sinks.capped import csv_lines, write_capped
 
 PART_BYTES = 250 * 1024 * 1024
-#: Bytes that a parquet file takes besides its rows, at least, and more per column.
-FILE_BYTES, COLUMN_BYTES = 2_048, 512
-#: Rows whose largest is at most so many times their mean are counted into files; others are added up.
-EVEN = 3
-
-
+#: Twice as fast as the usual 6, at a few hundredths more bytes.
+GZIP_LEVEL = 4
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One compact JSON object per line, nulls kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def _line_bytes(df: DataFrame):
-    return (F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 1).cast("bigint")
-
+def write_parquet_capped(df: DataFrame, path: str, max_bytes: int = PART_BYTES, mode: str = "errorifexists") -> None:
+    """Snappy parquet files of at most ``max_bytes`` on disk (but for a single larger row); see ``capped``."""
+    write_capped(df, path, "parquet", max_bytes, ".snappy.parquet", mode)
 
-def _write_capped(df: DataFrame, write, room: int) -> None:
-    """``write(writer)`` into files whose rows, as compact JSON lines, take at most ``room`` bytes.
 
-    The largest row and the mean are measured over all rows. Where they are close, the number of rows
-    that surely fits caps the files, which needs no sort; else each task adds up its rows.
-    """
-    most, mean = df.select(_line_bytes(df).alias("_b")).agg(F.max("_b"), F.avg("_b")).first()
-    if most is None or most <= min(room, EVEN * mean):
-        write(df.write.option("maxRecordsPerFile", max(1, room // (most or 1))))
-    else:
-        write(cut_by_bytes(df, room).write.partitionBy("part"))
+def write_csv_gz_parts(df: DataFrame, path: str, rows: int | None = None, max_bytes: int = PART_BYTES,
+                       mode: str = "errorifexists") -> None:
+    """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, and ``max_bytes``
+    before compression (but for a single larger row)."""
+    lines, header = csv_lines(df)
+    write_capped(lines, path, "lines", max_bytes, ".csv.gz", mode, rows, gzip="true", header=header, level=str(GZIP_LEVEL))
 
 
-def cut_by_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
-    """Add ``part``: each task numbers its rows so that a part's rows, as compact JSON lines, stay within ``max_bytes``.
+def split_csv(spark: SparkSession, path: str, out: str, rows: int | None = None, max_bytes: int = PART_BYTES,
+              mode: str = "errorifexists", level: int = GZIP_LEVEL) -> None:
+    """Cut the CSV files of ``path`` into gzip files of whole lines as they stand, each below one header line.
 
-    A part belongs to one task, so writing by part needs no shuffle and gives one file each; a larger
-    row has a part of its own. Bytes are added up over all rows, whatever their sizes.
+    Lines are not taken apart into columns, so a file's text comes out as it went in; a quoted value must not hold
+    a line end. Every input file begins with the same header, which is checked; blank lines go.
     """
-    names = [*df.columns, "part"]
-    sized = df.withColumn("_bytes", _line_bytes(df))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held, part = TaskContext.get().partitionId(), 0, 1
-        for batch in batches:
-            sizes = batch.column(batch.num_columns - 1).to_numpy()
-            if not len(sizes):
-                continue
-            numbers, held = part_numbers(np.asarray(sizes), max_bytes, held, part)
-            part = int(numbers[-1])
-            labels = pa.array([f"{task:05d}-{n:05d}" for n in numbers])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], labels], names=names)
-
-    return sized.mapInArrow(number, T.StructType([*df.schema.fields, T.StructField("part", T.StringType())]))
+    header = spark.read.text(path).first()
+    if header is None:
+        raise ValueError(f"{path} has no header")
+    whole = T.StructType([T.StructField(header.value, T.StringType())])
+    # One column whose separator no text has: the reader only finds line ends, drops each file's header and checks it.
+    lines = spark.read.schema(whole).options(header=True, enforceSchema=False, sep="\u0001", quote="", escape="").csv(path)
+    ended = lines.select(F.concat(F.col(f"`{header.value}`"), F.lit("\n")).alias("line"))
+    write_capped(ended, out, "lines", max_bytes, ".csv.gz", mode, rows, gzip="true", header=header.value + "\n", level=str(level))
 
 
-def write_parquet_capped(df: DataFrame, path: str, max_bytes: int = PART_BYTES, mode: str = "errorifexists") -> None:
-    """Snappy parquet files of at most ``max_bytes`` (but for a single larger row).
+def write_keyed_lines(parted: DataFrame, path: str, stream: str, line: str = "line", order: tuple[str, ...] = (), mode: str = "errorifexists") -> None:
+    """Ready-made lines as one NDJSON file per (stream, part), as numbered by ``assign_parts``, with a manifest of them.
 
-    Rows are measured as JSON lines, which are longer than the same rows in parquet. Where their sizes
-    differ much, each file has a folder ``part=...`` of its own.
+    A part's rows meet in one task, which their cap bounds, and keep ``order`` inside their file.
     """
-    room = max(1, max_bytes - FILE_BYTES - COLUMN_BYTES * len(df.columns))
-    _write_capped(df, lambda out: out.mode(mode).option("compression", "snappy").parquet(path), room)
-
-
-def write_csv_gz_parts(df: DataFrame, path: str, rows: int | None = None, max_bytes: int = PART_BYTES,
-                       mode: str = "errorifexists") -> None:
-    """Gzip CSV files of whole rows, each with one header line: at most ``rows`` of them, or ``max_bytes``
-    before compression, by the bytes of all rows; where these differ much, one per folder ``part=...``."""
-    if rows:
-        df.write.mode(mode).options(header=True, compression="gzip", maxRecordsPerFile=int(rows), escape='"').csv(path)
-        return
-    room = max(1, max_bytes - sum(len(c) + 3 for c in df.columns))
-    _write_capped(df, lambda out: out.mode(mode).options(header=True, compression="gzip", escape='"').csv(path), room)
+    rows = parted.select(stream, "part", *order, F.concat(line, F.lit("\n")).alias("line"))
+    met = rows.repartition(stream, "part").sortWithinPartitions(stream, "part", *order)
+    write_capped(met.select(stream, "part", "line"), path, "lines", 1 << 62, ".json", mode, keys=2)
 
 
 def write_details_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -124,53 +92,63 @@ def write_buckets(df: DataFrame, path: str, ts: str, minutes: int = 5, mode: str
         "ignoreNullFields", "false").json(path)
 
 
+WEEK = ("iso_year", "iso_week")
 _WEEKS = "iso_year int, iso_week int, rows bigint, finished_at timestamp"
 
 
-def finished_weeks(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """Weeks recorded as complete; none when nothing was ever recorded."""
-    try:
-        return spark.read.schema(_WEEKS).parquet(manifest_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _WEEKS)
+def _weeks(spark: SparkSession, slices: list[publish.Slice]) -> DataFrame:
+    rows = [(*(v for _, v in s.values), s.rows, datetime.fromisoformat(s.at)) for s in slices]
+    return spark.createDataFrame(rows, _WEEKS.replace("timestamp", "timestamp_ntz")).withColumn("finished_at", F.col("finished_at").cast("timestamp"))
 
 
-def write_week_once(df: DataFrame, path: str, day: str, manifest_path: str, undated_path: str | None = None) -> DataFrame:
-    """Write the rows of every ISO week that is not finished yet; return the weeks written now.
+def finished_weeks(spark: SparkSession, root: str) -> DataFrame:
+    """The published weeks, their rows and when they were published; none when nothing ever was."""
+    return _weeks(spark, publish.current(spark, root).slices)
 
-    A week counts as finished only by its manifest row, appended after its data is committed. A run
-    that dies in between repeats that week and replaces its directory; other weeks stay untouched.
-    The weeks to write are counted first, over the day column alone, and fixed; rows are then read
-    once, and nothing is read back. Rows without a day belong to no week: each run puts them into a
-    new folder below ``undated_path``, or is refused where none is given.
+
+def read_weeks(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The rows of all published weeks; ``schema`` is that of the rows, without their week."""
+    return publish.read_state(spark, root, f"{schema}, iso_year int, iso_week int")
+
+
+def write_week_once(df: DataFrame, root: str, day: str, undated_path: str | None = None) -> DataFrame:
+    """Publish the rows of every ISO week that is not published yet; return the weeks published now.
+
+    All weeks of a run appear at once, when its version of the state does (see ``publish``). A run that
+    fails deletes what it wrote; one that is killed leaves folders that no reader sees and ``sweep_runs``
+    deletes. Where another run publishes first, the weeks are looked up again. They are counted over the
+    day column alone; rows are then read once. Rows without a day belong to no week: each run puts them
+    into a new folder below ``undated_path``, or is refused where none is given.
     """
-    spark = df.sparkSession
-    weeks = ["iso_year", "iso_week"]
-    known = F.col(day).isNotNull()
+    spark, known = df.sparkSession, F.col(day).isNotNull()
     if undated_path is None:
         checked = df.withColumn(day, F.when(known, F.col(day)).otherwise(F.raise_error(F.lit("row without a day"))))
     else:
-        df.filter(~known).write.parquet(f"{undated_path}/{scratch_path(spark, 'run').rpartition('/')[2]}")
+        df.filter(~known).write.parquet(f"{undated_path}/{publish.new_run()}")
         checked = df.filter(known)
     dated = checked.withColumns({"iso_year": clock.iso_year(F.col(day)), "iso_week": clock.iso_week(F.col(day))})
-    new = dated.groupBy(*weeks).agg(F.count(F.lit(1)).alias("rows")).join(
-        finished_weeks(spark, manifest_path).select(*weeks).distinct(), weeks, "left_anti")
-    rows = [(r.iso_year, r.iso_week, r.rows) for r in new.collect()]  # one row per week
-    fresh = spark.createDataFrame(rows, "iso_year int, iso_week int, rows bigint")
-    if rows:
-        seen = Observation()
-        todo = dated.join(F.broadcast(fresh.select(*weeks)), weeks, "left_semi").observe(seen, F.count(F.lit(1)).alias("n"))
-        todo.hint("rebalance", F.col("iso_year"), F.col("iso_week")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*weeks).parquet(path)
-        if seen.get["n"] != sum(r[2] for r in rows):
-            raise RuntimeError("the input changed while its weeks were written")
-    fresh = spark.createDataFrame(fresh.withColumn("finished_at", F.current_timestamp()).collect(), _WEEKS)
-    if rows:
-        fresh.coalesce(1).write.mode("append").parquet(manifest_path)
-    return fresh
+    counts = {(("iso_year", r.iso_year), ("iso_week", r.iso_week)): r.n for r in dated.groupBy(*WEEK).agg(F.count(F.lit(1)).alias("n")).collect()}
+    while True:
+        base = publish.current(spark, root)
+        new = {week: n for week, n in counts.items() if week not in base.by_value()}
+        if not new:
+            return _weeks(spark, [])
+        run = publish.new_run()
+        try:
+            fresh = small_side(spark.createDataFrame([tuple(v for _, v in week) for week in new], "iso_year int, iso_week int"))
+            seen = Observation()
+            todo = dated.join(fresh, list(WEEK), "left_semi").observe(seen, F.count(F.lit(1)).alias("n"))
+            publish.write_run(todo, root, list(WEEK), run)
+            if seen.get["n"] != sum(new.values()):
+                raise RuntimeError("the input changed while its weeks were written")
+            at = publish.now_text()
+            made = [publish.Slice(week, run, n, at) for week, n in sorted(new.items())]
+            if publish.publish(spark, root, base, base.slices + made):
+                return _weeks(spark, made)
+        except Exception:
+            publish.forget_run(spark, root, run, len(WEEK))
+            raise
+        publish.forget_run(spark, root, run, len(WEEK))
 
 
 def manifest(df: DataFrame, started=None, finished=None) -> DataFrame:
