@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import fixtures as fx
 from tidemark.catalog.registry import query
-from tidemark.operators import filters, people, rollups
+from tidemark.operators import filters, people, rollups, sketches
 from tidemark.plans import fleet
-from tidemark.session import table
+from tidemark.session import scratch_path, table
 from tidemark.sources.extract import extract_window, query_rows
 
 JAN, FEB = datetime(1998, 1, 1), datetime(1998, 2, 1)
@@ -131,8 +131,7 @@ def latest_per_key(spark, folder):
     ).withColumn("ram", F.col("ram").cast("double"))
 
 
-def _compute(df, dims):
-    return rollups.compute_stats(df, dims, order=("ts", "row_id"))
+_compute = rollups.compute_unit_stats(("ts", "row_id"))
 
 
 def _storage(df, dims):
@@ -351,3 +350,16 @@ def fleet_chain(spark, folder):
     })
     request = replace(REQUEST, terms={"owner_mgr_chain": ["3", "17"]}, owner_or_chain=True)
     return fleet.details({"compute": hosts}, request, ["pri_owner", "hostname"]).select("ts", "pri_owner", "hostname")
+
+
+@query("window_distinct", """
+    with e as (select cast(ts as date) as day, event_type as service, user_id from events),
+    f as (select min(day) as first from e)
+    select cast(first + cast((day - first) // 7 * 7 + 6 as integer) as date) as window_day, service, count(distinct user_id) as n_distinct, true as exact
+    from e, f group by 1, 2""")
+def window_distinct(spark, folder):
+    """Distinct users per seven stored days and service, from each day's sketch and users."""
+    path = scratch_path(spark, "days")
+    events = table(spark, folder, "events").selectExpr("ts", "event_type as service", "user_id")
+    sketches.store_days(events, path, "ts", "UTC", "user_id", ["service"])
+    return sketches.window_distinct(spark, path, ["service"], days=7)

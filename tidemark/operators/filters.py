@@ -100,10 +100,14 @@ def filter_status(df: DataFrame, kind: str, status: str) -> DataFrame:
     return df.filter(status_test(kind, status))
 
 
-def project_fields(df: DataFrame, concepts: list[str], kind: str, ts: str = "ts", stats=None) -> DataFrame:
-    """Time, the concepts under their common names, and the kind's statistics."""
-    stats = STATS[kind] if stats is None else stats
-    return df.select(ts, *[F.col(CONCEPTS[c][kind]).alias(c) for c in concepts], *stats)
+def project_fields(df: DataFrame, concepts: list[str], kind: str, ts: str = "ts", stats=None, names: dict[str, dict[str, str]] = CONCEPTS) -> DataFrame:
+    """Time, the concepts under their common names, and the kind's statistics.
+
+    ``names`` says which column holds a concept in each kind of inventory. A concept it does not list, or not
+    for this kind, is read under its own name.
+    """
+    stats = STATS.get(kind, ()) if stats is None else stats
+    return df.select(ts, *[F.col(names.get(c, {}).get(kind, c)).alias(c) for c in concepts], *stats)
 
 
 # Log level ranks.

@@ -109,3 +109,26 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], amount: Colu
     totals = placed.select(*where, shown(F.col("_local") + F.col("_offset")).alias(name))
     return by_window(null_safe_join(df, large, keys, "left_anti")).unionByName(
         null_safe_join(hot.drop("_amount"), totals, where))
+
+
+def as_of(rows: DataFrame, markers: DataFrame, keys: list[str], at: str, held: str, chunks: int = 0) -> DataFrame:
+    """Add ``held`` of the group's last marker at or before the row, null before the first.
+
+    ``markers`` has ``keys``, ``at`` and ``held``. Rows and markers go through one sort, in which the last marker
+    is carried on; no row looks through a list. With ``chunks`` the sequence is cut by range into so many pieces,
+    each of which begins with the last marker of the pieces before it, so a group of any size is spread.
+    """
+    both = rows.withColumns({held: F.lit(None).cast(markers.schema[held].dataType), "_marks": F.lit(1)}).unionByName(
+        markers.select(*keys, at, held).withColumn("_marks", F.lit(0)), allowMissingColumns=True)
+    place = [at, "_marks"]
+    if not chunks:
+        carried = Window.partitionBy(*keys).orderBy(*place).rowsBetween(Window.unboundedPreceding, 0)
+        return both.withColumn(held, F.last(held, ignorenulls=True).over(carried)).filter("_marks = 1").drop("_marks")
+    cut = ordered_chunks(both, keys, place, chunks)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*place).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    entries = cut.groupBy(*keys, "_chunk").agg(F.max_by(held, F.when(F.col("_marks") == 0, F.col(at))).alias("_entry"))
+    entries = entries.select(*keys, "_chunk", F.last("_entry", ignorenulls=True).over(before).alias("_entry"))
+    local = cut.withColumn(held, F.last(held, ignorenulls=True).over(inside)).filter("_marks = 1")
+    joined = null_safe_join(local, entries, [*keys, "_chunk"])
+    return joined.withColumn(held, F.coalesce(held, "_entry")).drop("_marks", "_chunk", "_entry")

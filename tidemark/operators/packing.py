@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import GROUP_ROWS, null_safe_join, running_total
+from tidemark.operators.ordered import GROUP_ROWS, as_of, null_safe_join, running_total
 from tidemark.session import cut_lineage
 
 
@@ -198,11 +198,12 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
     plan = listed.mapInArrow(simulate, schema)
     short = running_total(jobs.filter(~is_long), [group, "_len"], seq, F.lit(1).cast("long"), "_rank",
                           max_rows, chunks.get(False, 0))
-    placed = null_safe_join(short, plan.filter(~long), [group, "_len"])
-    mine = F.element_at(F.filter("_pieces", lambda p: (p["lo"] <= F.col("_rank")) & (F.col("_rank") < p["hi"])), 1)
+    pieces = plan.filter(~long).select(group, "_len", F.explode("_pieces").alias("_p")).withColumn("_rank", F.col("_p.lo"))
+    # The pieces of a length cover all its ranks, so a job's piece is the last one that begins at or before its rank.
+    placed = as_of(short, pieces, [group, "_len"], "_rank", "_p", chunks.get(False, 0))
     at = F.col("_rank") - F.col("_p.lo")
     nth = F.call_function("div", at, F.col("_p.per_lane"))
-    placed = placed.withColumn("_p", mine).withColumns({
+    placed = placed.withColumns({
         "lane": (F.col("_p.lane") + F.col("_p.step") * nth).cast("long"),
         "start_s": (F.col("_p.start") + (at % F.col("_p.per_lane")) * F.col("_len")).cast("long"),
     })

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import small_side
+from tidemark.operators.rollups import UnitStats
 
 
 def direct_reports(users: DataFrame, execs: DataFrame) -> DataFrame:
@@ -38,15 +39,20 @@ def rows_per_person(df: DataFrame, owner: str = "pri_owner", chain: str = "owner
     )
 
 
-def exec_rollup(inventory: DataFrame, users: DataFrame, execs: DataFrame, stats) -> DataFrame:
-    """``stats`` per (exec, report) over rows with the report as owner or in the chain.
+def exec_rollup(inventory: DataFrame, users: DataFrame, execs: DataFrame, stats, dims: tuple[str, ...] = (),
+                owner: str = "pri_owner", chain: str = "owner_mgr_chain") -> DataFrame:
+    """``stats`` per (exec, report) and ``dims`` over rows with the report as owner or in the chain.
 
     An exec without reports gets the rows it owns. The either-or match is one equi join on the
     person: each row lists its people without repeats, so nothing has to be deduplicated after.
-    Someone high up is in every chain; a counted, small target list is broadcast, so the inventory
-    is not shuffled by person, and adaptive execution splits such a person otherwise.
+    Statistics that can be merged (``UnitStats``) are first taken per distinct owner, chain and unit, so what is
+    listed by person follows the distinct chains and not the inventory's rows. Someone high up is in
+    every chain; a counted, small target list is broadcast, so the listed rows are not shuffled by
+    person, and adaptive execution splits such a person otherwise.
     """
-    targets = small_side(exec_targets(users, execs))
-    wanted = rows_per_person(inventory).join(targets, "person")
+    targets, keys = small_side(exec_targets(users, execs)), ["exec_id", "person", *dims]
+    mergeable = isinstance(stats, UnitStats)
+    rows = stats.partials(inventory, [owner, chain, *dims]) if mergeable else inventory
+    wanted = rows_per_person(rows, owner, chain).join(targets, "person")
     wanted = wanted.filter(F.col("has_reports") | F.col("is_owner"))
-    return stats(wanted, ["exec_id", "person"])
+    return stats.finish(stats.merge(wanted, keys), keys) if mergeable else stats(wanted, keys)

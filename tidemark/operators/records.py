@@ -21,23 +21,37 @@ def map_records(df: DataFrame, fn: Callable[[dict], dict], schema: str, on_error
     out_schema = T.StructType.fromDDL(f"{schema}, ok boolean, error string" if on_error == "collect" else schema)
     arrow_schema = to_arrow_schema(out_schema)
 
-    def checked(record: dict) -> dict:
-        """One output row, converted as it will be, so that a wrong value is the record's own error."""
-        row = {**fn(record), "ok": True} if on_error == "collect" else {**fn(record)}
-        return pa.RecordBatch.from_pylist([row], schema=arrow_schema).to_pylist()[0] if on_error != "fail" else row
+    def converted(rows: list[dict]) -> list[pa.RecordBatch]:
+        """The rows as Arrow. A batch that cannot be converted is halved until the rows at fault stand alone."""
+        try:
+            return [pa.RecordBatch.from_pylist(rows, schema=arrow_schema)]
+        except Exception as error:
+            if on_error == "fail":
+                raise
+            if len(rows) == 1:
+                return [failed(error)] if on_error == "collect" else []
+        half = len(rows) // 2
+        return converted(rows[:half]) + converted(rows[half:])
+
+    def failed(error: Exception) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([failure(error)], schema=arrow_schema)
+
+    def failure(error: Exception) -> dict:
+        return {"ok": False, "error": f"{type(error).__name__}: {error}"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for record in batch.to_pylist():
                 try:
-                    rows.append(checked(record))
+                    rows.append({**fn(record), "ok": True} if on_error == "collect" else {**fn(record)})
                 except Exception as error:
                     if on_error == "fail":
                         raise
                     if on_error == "collect":
-                        rows.append({"ok": False, "error": f"{type(error).__name__}: {error}"})
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                        rows.append(failure(error))
+            if rows:
+                yield from converted(rows)
 
     return df.mapInArrow(run, out_schema)
 

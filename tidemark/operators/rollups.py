@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
@@ -14,6 +16,9 @@ from tidemark.functions import clock
 from tidemark.operators.ordered import small_side
 from tidemark.session import cut_lineage
 
+#: Buckets of one top-level key that are nested into one value at most.
+NESTED_BUCKETS = 200_000
+
 
 def count_window(df: DataFrame, ts: str, start, end, closed: str = "both") -> DataFrame:
     """One row with the number of rows in the window, 0 when there are none."""
@@ -70,55 +75,88 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str], fields
     return ordered.groupBy(*keys).agg(latest(ordered, fields).alias("_last")).select(*keys, "_last.*")
 
 
-def _two_step(df: DataFrame, dims: list[str], unit: str, order: list[str], sums: dict[str, str],
-              mean: str, held: dict[str, str], units: str) -> DataFrame:
-    """Shared shape of the fleet statistics.
+@dataclass(frozen=True)
+class UnitStats:
+    """Fleet statistics whose parts can be merged: call it with rows and dimensions, or take its steps apart.
 
-    Step 1 groups by (dims, unit): partial sums and the unit's latest row. Step 2 folds the units.
-    The distinct count is then a plain count, with no distinct shuffle and no join back.
+    ``partials`` groups by (keys, unit): sums and the unit's latest row, by an ``order`` that tells its rows
+    apart. ``merge`` brings partials of finer keys to coarser ones. ``finish`` folds the units, so the distinct
+    count is a plain count, with no distinct shuffle and no join back.
     """
-    ordered = with_order_key(df, order)
-    first = ordered.groupBy(*dims, unit).agg(
-        *[F.sum(c).alias(f"_{n}") for n, c in sums.items()],
-        F.sum(mean).alias("_mean_sum"),
-        F.count(mean).alias("_mean_n"),
-        latest(ordered, list(held.values())).alias("_last"),
-    )
-    known = F.col(unit).isNotNull()
-    return first.groupBy(*dims).agg(
-        F.count(unit).alias(units),
-        *[F.coalesce(F.sum(f"_{n}").cast("double"), F.lit(0.0)).alias(n) for n in sums],
-        (F.sum("_mean_sum").cast("double") / F.nullif(F.sum("_mean_n"), F.lit(0))).alias("_mean"),
-        *[F.coalesce(F.sum(F.when(known, F.col(f"_last.{c}"))).cast("double"), F.lit(0.0)).alias(n)
-          for n, c in held.items()],
-    )
 
+    order: tuple[str, ...]
+    unit: str
+    units: str
+    sums: tuple[tuple[str, str], ...]
+    mean: str
+    held: tuple[tuple[str, str], ...]
+    shown: Callable[[DataFrame, list[str]], DataFrame]
+
+    def partials(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        ordered = with_order_key(df, list(self.order))
+        return ordered.groupBy(*keys, self.unit).agg(
+            *[F.sum(c).alias(f"_{n}") for n, c in self.sums],
+            F.sum(self.mean).alias("_mean_sum"), F.count(self.mean).alias("_mean_n"),
+            latest(ordered, [c for _, c in self.held]).alias("_last"), F.max("_order").alias("_order"),
+        )
 
-def compute_stats(df: DataFrame, dims: list[str], order, host: str = "hostname") -> DataFrame:
-    """Compute metrics per group; cores and memory are summed over each host's latest row.
+    def merge(self, partials: DataFrame, keys: list[str]) -> DataFrame:
+        held = [f"_last.{c}" for _, c in self.held]
+        if isinstance(partials.schema["_order"].dataType, T.StructType):
+            last = F.max_by("_last", "_order")
+        else:
+            last = F.struct(*[F.max_by(c, "_order").alias(c.partition(".")[2]) for c in held])
+        return partials.groupBy(*keys, self.unit).agg(
+            *[F.sum(f"_{n}").alias(f"_{n}") for n, _ in self.sums],
+            F.sum("_mean_sum").alias("_mean_sum"), F.sum("_mean_n").alias("_mean_n"), last.alias("_last"), F.max("_order").alias("_order"),
+        )
 
-    ``order`` must tell a host's rows apart, or the latest of equals is left open.
-    """
-    out = _two_step(
-        df, dims, host, list(order),
-        {"run_rate": "total_runrate", "core_hours": "core_hours", "ram_hours": "ram_hours"},
-        "cpu_30d", {"core_count": "core_count", "ram": "ram"}, "count",
-    )
-    return out.select(*dims, "count", "run_rate", "core_hours", "ram_hours",
-                      (F.col("_mean") * 100).alias("efficiency"), "core_count", "ram")
+    def finish(self, partials: DataFrame, dims: list[str]) -> DataFrame:
+        known = F.col(self.unit).isNotNull()
+        out = partials.groupBy(*dims).agg(
+            F.count(self.unit).alias(self.units),
+            *[F.coalesce(F.sum(f"_{n}").cast("double"), F.lit(0.0)).alias(n) for n, _ in self.sums],
+            (F.sum("_mean_sum").cast("double") / F.nullif(F.sum("_mean_n"), F.lit(0))).alias("_mean"),
+            *[F.coalesce(F.sum(F.when(known, F.col(f"_last.{c}"))).cast("double"), F.lit(0.0)).alias(n) for n, c in self.held],
+        )
+        return self.shown(out, dims)
 
+    def __call__(self, df: DataFrame, dims: list[str]) -> DataFrame:
+        return self.finish(self.partials(df, dims), dims)
 
-def storage_stats(df: DataFrame, dims: list[str], order, disk: str = "mount_point") -> DataFrame:
-    """Storage metrics per group; sizes are summed over each disk's latest row by a unique ``order``."""
-    out = _two_step(
-        df, dims, disk, list(order), {"run_rate": "runrate", "disk_hours": "disk_hours"},
-        "used_pct", {"total_size": "totalsize", "used_size": "usedsize"}, "disk_count",
-    )
+
+def _compute_columns(out: DataFrame, dims: list[str]) -> DataFrame:
+    return out.select(*dims, "count", "run_rate", "core_hours", "ram_hours", (F.col("_mean") * 100).alias("efficiency"), "core_count", "ram")
+
+
+def _storage_columns(out: DataFrame, dims: list[str]) -> DataFrame:
     share = F.when(F.col("total_size") != 0, F.col("used_size") / F.col("total_size") * 100).otherwise(0.0)
     return out.select(*dims, "disk_count", "run_rate", "disk_hours", F.col("_mean").alias("efficiency"),
                       "total_size", "used_size", share.alias("disk_efficiency"))
 
 
+def compute_unit_stats(order, host: str = "hostname") -> UnitStats:
+    """Compute metrics; cores and memory are summed over each host's latest row."""
+    return UnitStats(tuple(order), host, "count", (("run_rate", "total_runrate"), ("core_hours", "core_hours"), ("ram_hours", "ram_hours")),
+                     "cpu_30d", (("core_count", "core_count"), ("ram", "ram")), _compute_columns)
+
+
+def storage_unit_stats(order, disk: str = "mount_point") -> UnitStats:
+    """Storage metrics; sizes are summed over each disk's latest row."""
+    return UnitStats(tuple(order), disk, "disk_count", (("run_rate", "runrate"), ("disk_hours", "disk_hours")),
+                     "used_pct", (("total_size", "totalsize"), ("used_size", "usedsize")), _storage_columns)
+
+
+def compute_stats(df: DataFrame, dims: list[str], order, host: str = "hostname") -> DataFrame:
+    """Compute metrics per group; ``order`` must tell a host's rows apart, or the latest of equals is left open."""
+    return compute_unit_stats(order, host)(df, dims)
+
+
+def storage_stats(df: DataFrame, dims: list[str], order, disk: str = "mount_point") -> DataFrame:
+    """Storage metrics per group, by a unique ``order``."""
+    return storage_unit_stats(order, disk)(df, dims)
+
+
 def distinct_values(column: str, exact: bool = False, rsd: float = 0.01) -> Column:
     """Aggregate: distinct values; the approximate form keeps a sketch of fixed size per group."""
     return F.count_distinct(column) if exact else F.approx_count_distinct(column, rsd)
@@ -172,13 +210,18 @@ def nested_stats(df: DataFrame, dims: list[str], stats, size: int | None = None,
     return stats(df.join(kept, keys, "left_semi"), keys)
 
 
-def nest_buckets(df: DataFrame, dims: list[str]) -> DataFrame:
+def nest_buckets(df: DataFrame, dims: list[str], max_buckets: int = NESTED_BUCKETS) -> DataFrame:
     """Fold bucket rows into one nested JSON object per top-level key; leaves hold the metrics.
 
-    There is one row per top-level key, so no task holds all trees, but a key's tree is one value:
-    state a ``size`` for ``nested_terms`` or ``nested_stats`` where a key may have very many buckets.
+    There is one row per top-level key, and a key's tree is one value. So the buckets of every key are counted
+    first, and a key of more than ``max_buckets`` fails the job before anything is gathered: state a ``size``
+    for ``nested_terms`` or ``nested_stats`` there.
     """
     metrics = [c for c in df.columns if c not in dims]
+    df = cut_lineage(df)  # buckets, counted and folded
+    most = df.groupBy(dims[0]).agg(F.count(F.lit(1)).alias("n")).agg(F.max_by(dims[0], "n"), F.max("n")).first()
+    if most[1] is not None and most[1] > max_buckets:
+        raise ValueError(f"{dims[0]} {most[0]!r} has {most[1]} buckets, more than the {max_buckets} that one tree may hold")
     out = df.withColumn("_tree", F.struct(*metrics))
     for depth in range(len(dims) - 1, 0, -1):
         entry = F.struct(F.col(dims[depth]).cast("string").alias("key"), F.col("_tree").alias("value"))

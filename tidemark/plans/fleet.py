@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import clock
 from tidemark.operators import filters
 from tidemark.operators.people import exec_rollup
-from tidemark.operators.rollups import compute_stats, nested_stats, storage_stats
+from tidemark.operators.rollups import compute_unit_stats, nested_stats, storage_unit_stats
 from tidemark.operators.trends import trend
 
 @dataclass(frozen=True)
@@ -70,9 +70,7 @@ def selected(inventory: DataFrame, kind: str, request: FleetRequest, ts: str = "
 
 def _stats(kind: str, request: FleetRequest, disk: str):
     order = request.order[kind]
-    if kind == "compute":
-        return lambda df, dims: compute_stats(df, dims, order)
-    return lambda df, dims: storage_stats(df, dims, order, disk)
+    return compute_unit_stats(order) if kind == "compute" else storage_unit_stats(order, disk)
 
 
 def _dims(kind: str, request: FleetRequest) -> list[str]:
@@ -121,7 +119,11 @@ def exec_snapshot(inventories: dict[str, DataFrame], request: FleetRequest, user
             rows = rows.withColumn("pri_owner", F.col(owner))
 
         def report(df, people, stats=stats, dims=dims):
-            return nested_stats(df, dims, stats, request.bucket_size, tuple(people)) if dims else stats(df, people)
+            return nested_stats(df, dims, stats, request.bucket_size, tuple(people))
 
-        out[kind] = exec_rollup(rows, users, execs, report)
+        if dims and request.bucket_size is not None:
+            out[kind] = exec_rollup(rows, users, execs, report)
+        else:
+            rows = rows.filter(reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])) if dims else rows
+            out[kind] = exec_rollup(rows, users, execs, stats, tuple(dims))
     return out

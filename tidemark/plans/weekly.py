@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.links import extract_links, plan_destinations
+from tidemark.functions import texts
+from tidemark.operators.links import extract_links
+from tidemark.session import cut_lineage
 
 
 def weekly_prefix(base: str, run_date: date) -> str:
@@ -21,7 +23,10 @@ def transfer_plan(results: DataFrame, src: str, body: str, base: str, run_date:
     A URL is stored under its own name. A prefix is copied object by object (``plan_copies``) below
     the week's folder, which is its destination here and may be shared.
     """
-    links, folder = extract_links(results, src, body), weekly_prefix(base, run_date)
-    urls = plan_destinations(links.filter(F.col("kind") == "url"), "value", folder)
-    prefixes = links.filter(F.col("kind") == "prefix").withColumns({"dest_key": F.lit(folder), "duplicate": F.lit(False)})
-    return urls.unionByName(prefixes)
+    folder = weekly_prefix(base, run_date)
+    links = cut_lineage(extract_links(results, src, body))  # narrow, and read twice: by row and by key
+    key = F.when(F.col("kind") == "url", texts.under(folder, texts.url_base_name(F.col("value")))).otherwise(F.lit(folder))
+    planned = links.withColumn("dest_key", key)
+    repeated = planned.filter("kind = 'url'").groupBy("kind", "dest_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    marked = planned.join(repeated, ["kind", "dest_key"], "left")
+    return marked.select(*links.columns, "dest_key", F.col("_n").isNotNull().alias("duplicate"))

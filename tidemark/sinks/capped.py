@@ -200,7 +200,6 @@ class CappedWriter(DataSourceArrowWriter):
         cap, most, suffix = int(options["maxbytes"]), int(options["maxrows"]), options["suffix"]
         kind, wrap = (_Parquet, _Rows) if options["kind"] == "parquet" else (_Lines, _LineBatch)
         store, folder = store_of(self.run)
-        store.create_dir(folder, recursive=True)
         task, out, attempt = TaskContext.get().partitionId(), None, uuid.uuid4().hex[:12]
         for batch in iterator:
             if not batch.num_rows:
@@ -251,9 +250,7 @@ class CappedWriter(DataSourceArrowWriter):
         store.delete_dir(staged)
 
     def abort(self, messages: list[TaskFiles | None]) -> None:
-        store, staged = store_of(self.run)
-        if store.get_file_info(staged).type != pafs.FileType.NotFound:
-            store.delete_dir(staged)
+        _drop(self.run)
 
 
 class CappedFiles(DataSource):
@@ -265,11 +262,24 @@ class CappedFiles(DataSource):
         return CappedWriter(self.options)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _exists(path: str) -> bool:
     store, place = store_of(path)
     return store.get_file_info(place).type != pafs.FileType.NotFound
 
 
+def _drop(folder: str) -> None:
+    """Delete a run's folder, also while tasks that are being stopped still close their files in it."""
+    store, place = store_of(folder)
+    for wait in (0.0, 0.1, 0.5, 2.0):
+        time.sleep(wait)
+        if not _exists(folder):
+            return
+        try:
+            store.delete_dir(place)
+        except OSError:
+            continue
+
+
 def write_capped(df: DataFrame, path: str, kind: str, max_bytes: int, suffix: str, mode: str = "errorifexists", max_rows: int | None = None,
                  keys: int = 0, **options: str) -> None:
     """Write ``df`` below ``path`` in files of at most ``max_bytes`` (but for a single larger row) and ``max_rows``.
@@ -280,7 +290,7 @@ def write_capped(df: DataFrame, path: str, kind: str, max_bytes: int, suffix: st
     if mode not in ("errorifexists", "error", "overwrite", "append", "ignore"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = prepare(df.sparkSession)
-    if _exists(spark, path):
+    if _exists(path):
         if mode == "ignore":
             return
         if mode in ("errorifexists", "error"):
@@ -290,7 +300,12 @@ def write_capped(df: DataFrame, path: str, kind: str, max_bytes: int, suffix: st
     folder, _, name = target.rpartition("/")
     given = {"target": target, "staging": f"{folder}/_{name}-{uuid.uuid4().hex}", "kind": kind, "maxbytes": max_bytes, "maxrows": max_rows or 1 << 62,
              "suffix": suffix, "keys": keys, "mode": mode, **options}
-    df.write.format("tidemark_capped").mode("append").options(**given).save()
+    store, staged = store_of(given["staging"])
+    store.create_dir(staged, recursive=True)  # here and not in tasks, so that none that outlives an abort brings it back
+    try:
+        df.write.format("tidemark_capped").mode("append").options(**given).save()
+    finally:
+        _drop(given["staging"])
 
 
 def csv_lines(df: DataFrame, *keys: str) -> tuple[DataFrame, str]:

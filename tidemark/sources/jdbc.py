@@ -27,13 +27,13 @@ def window_options(url: str, table: str, ts: str, start, end, parts: int, fetch_
     }
 
 
-def jdbc_window(spark: SparkSession, url: str, table: str, ts: str, start, end, parts: int = 8, **options) -> DataFrame:
-    """Rows with ``start <= ts <= end``; the filter is pushed into each range's query.
+def jdbc_window(spark: SparkSession, url: str, table: str, ts: str, start, end, parts: int = 8, closed: str = "both", **options) -> DataFrame:
+    """Rows with ``start <= ts <= end``, or ``ts < end`` with ``closed="left"``; the filter is pushed into each range's query.
 
     The split only spreads the work: the filter alone decides which rows come back.
     """
     reader = spark.read.format("jdbc").options(**window_options(url, table, ts, start, end, parts), **options)
     df = reader.load()
     kind = df.schema[ts].dataType
-    opened, closed = (F.lit(clock.utc_naive(v)).cast(kind) for v in (start, end))
-    return df.filter(F.col(ts).between(opened, closed))
+    first, last = (F.lit(clock.utc_naive(v)).cast(kind) for v in (start, end))
+    return df.filter(clock.within(F.col(ts), first, last, closed))
