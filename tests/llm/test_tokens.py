@@ -14,18 +14,27 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def plain():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
-def test_units_give_the_ids_of_the_whole_text(plain):
-    pick, encode = random.Random(5), UnitEncoder(PATH, 2, True)
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_units_give_the_ids_of_the_whole_text(ordinary):
+    plain = Tokenizer.from_file(PATH)
+    if ordinary:
+        plain.encode_special_tokens = True
+    pick, encode = random.Random(5), UnitEncoder(PATH, 2, ordinary)
     signs = ["ab c", "  \n\tthe of's \x1c\x85\xa0", "▁ aé漢\U0001f600x", "0123 456-", "thneringo ", "Wört.\nÄb, ", "<|endoftext|> a"]
     texts = ["".join(pick.choice(s) for _ in range(pick.randint(0, 50))) for _ in range(400) for s in signs]
+    assert encode([]) == [] and encode([""]) == [b""]
     assert [np.frombuffer(b, "<u2").tolist() for b in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_strings_become_their_ids(spark, plain):
+    got = token_files(frame(spark, [(1, "a<|endoftext|>b"), (2, "<|endoftext|>"), (3, "x <|endoftext|> y  z")]), PATH, 2).collect()
+    assert plain.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    assert [r.n_tokens for r in sorted(got)] == [4, 2, len(plain.encode("x <|endoftext|> y  z", add_special_tokens=False).ids) + 1]
+
+
 def test_files_hold_ids_in_order(spark, plain, tmp_path):
     rows = AWKWARD + [(50 - n, f"Text number {n}, with {n * n} in it.") for n in range(40)]
     folder = str(tmp_path / "set")

@@ -16,10 +16,10 @@ import os
 import re
 import zlib
 from collections.abc import Callable
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from tidemark.session import scratch_path
 
 #: Half of the distinct units whose ids a Python worker remembers, and the longest unit it remembers.
 CACHED, CACHED_CHARS = 300_000, 48
+#: Characters whose units are looked up together.
+STEP_CHARS = 4_000_000
 BLANK = "Ġ"  # how byte-level vocabularies write a blank
 _SPACE = re.compile(r" (?=\S)")
 _LINE = re.compile(r" ?\S+")
@@ -45,6 +47,8 @@ class UnitEncoder:
 
     A unit runs from a blank that a visible character follows to the next such blank. The vocabulary's
     splitting pattern never joins characters over such a place, so the ids of a text are those of its units.
+    Texts are split and their distinct units found by Arrow; only those are looked up, and the ids of all units
+    are gathered at once.
     """
 
     def __init__(self, path: str, width: int, ordinary: bool):
@@ -53,6 +57,8 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special and not ordinary else None
         self.model = self.tokenizer.model
         self.kind = np.dtype(f"<u{width}")
         if self.tokenizer.get_vocab_size() > np.iinfo(self.kind).max + 1:
@@ -78,12 +84,11 @@ class UnitEncoder:
         cut.update(zip(others, self._each(others)))
         return [cut[u] for u in units]
 
-    def _word(self, word: str) -> bytes:
-        """Ids of letters, the first maybe after BLANK, or of marks: one piece to the splitting pattern, so merges alone decide."""
+    def _word(self, word: str, blank: str = "") -> bytes:
+        """Ids of letters, maybe after BLANK, or of marks: one piece to the splitting pattern, so merges alone decide."""
         if not word.isascii():
-            blank = word[0] == BLANK
-            word = BLANK * blank + word[blank:].encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.one[t.id] for t in self.model.tokenize(word)])
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.one[t.id] for t in self.model.tokenize(blank + word)])
 
     def _each(self, units: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
@@ -96,57 +101,92 @@ class UnitEncoder:
                 self.bare[piece] = found
         return found
 
-    def _learn(self, units: set[str]) -> None:
-        """Remember units, with the blank before them."""
-        known, older, odd = self.cache, self.older, []
+    def _rest_of(self, m: re.Match) -> bytes:
+        """Ids of a marked word after its first letters."""
+        found = self._bare(m[2]) if m[2] else b""
+        return found + self._bare("\n") + self._bare(m[3]) + (self._bare(m[4]) if m[4] else b"") if m[3] else found
+
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """Ids of units that the cache lacks, with the blank before them; remembered unless they are long."""
+        known, older, odd, made = self.cache, self.older, [], {}
         for unit in units:
             found = older.get(unit)
             if found is None:
                 if unit.isascii() and unit.isalpha():
-                    found = self._word(BLANK + unit)
+                    found = self._word(unit, BLANK)
                 elif m := _MARKED.fullmatch(unit):
                     word = m[1]
                     found = known.get(word) or older.get(word)
                     if found is None:
-                        found = self._word(BLANK + word)
+                        found = self._word(word, BLANK)
                         if len(word) <= CACHED_CHARS:
                             known[word] = found
-                    found += self._bare(m[2])
-                    if m[3]:
-                        found += self._bare("\n") + self._bare(m[3]) + self._bare(m[4])
+                    found += self._rest_of(m)
                 else:
                     odd.append(unit)
                     continue
-            known[unit] = found
-        known.update(zip(odd, self._encode([" " + u for u in odd])))
+            made[unit] = found
+        made.update(zip(odd, self._encode([" " + u for u in odd])))
+        known.update((u, ids) for u, ids in made.items() if len(u) <= CACHED_CHARS)
+        return [made[u] for u in units]
+
+    def _first(self, unit: str) -> bytes:
+        """Ids of the unit that a text begins with, without a blank before it."""
+        if m := _MARKED.fullmatch(unit):
+            return self._bare(m[1]) + self._rest_of(m)
+        return self._each([unit])[0]
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        known = self.cache
+        found = list(map(known.get, units))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            for i, ids in zip(new, self._learn([units[i] for i in new])):
+                found[i] = ids
+        return found
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        firsts = self._encode([u[0] for u in split])
-        return [self._rest(first, u, t) for first, u, t in zip(firsts, split, texts)]
+    def _apart(self, text: str) -> bytes:
+        """Ids of a text that is not simply words between blanks: blanks before white space or the end, or special strings."""
+        if self.special and self.special.search(text):
+            return self._each([text])[0]
+        first, *units = _SPACE.split(text)
+        return self._each([first])[0] + b"".join(self._units(units))
 
-    def _rest(self, first: bytes, units: list[str], text: str) -> bytes:
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHED:  # what is used again comes back from the older half
             self.older, self.cache = self.cache, {}
         if len(self.bare) > CACHED:
             self.bare.clear()
-        known = self.cache
-        found = list(map(known.get, islice(units, 1, None)))
-        if None not in found:
-            return first + b"".join(found)
-        new = {u for u, ids in zip(islice(units, 1, None), found) if ids is None}
-        if any(not u or u[0].isspace() for u in new):  # a blank before white space or the end starts no unit
-            first, *units = _SPACE.split(text)
-            first = self._encode([first])[0]
-            new = {u for u in units if u not in known}
-        else:
-            units = units[1:]
-        self._learn(new)
-        made = first + b"".join(map(known.__getitem__, units))
-        for unit in new:
-            if len(unit) > CACHED_CHARS:
-                del known[unit]
-        return made
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        units, place = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        is_first = np.zeros(len(place), bool)
+        is_first[ends[:-1]] = True
+        follows = np.zeros(len(units), bool)
+        follows[place[~is_first]] = True
+        odd = np.array([not u or u[0].isspace() for u in units], bool) & follows  # no unit of its own after a blank
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        apart = np.zeros(len(texts), bool)
+        apart[owner[odd[place] & ~is_first]] = True
+        if self.special:
+            apart |= np.array([self.special.search(t) is not None for t in texts], bool)
+        wanted = np.flatnonzero(follows & ~odd)
+        table = [b""] * len(units)
+        for i, ids in zip(wanted.tolist(), self._units([units[i] for i in wanted])):
+            table[i] = ids
+        table += [self._apart(t) if alone else self._first(units[place[at]]) for t, alone, at in zip(texts, apart, ends[:-1])]
+        place[ends[:-1]] = len(units) + np.arange(len(texts))
+        size = self.kind.itemsize
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) // size
+        starts = np.cumsum(lengths) - lengths
+        count = lengths[place]
+        count[apart[owner] & ~is_first] = 0
+        stops = np.cumsum(count)
+        taken = np.repeat(starts[place] - (stops - count), count) + np.arange(stops[-1] if len(stops) else 0)
+        flat = np.frombuffer(b"".join(table), self.kind)[taken]
+        bounds = np.concatenate([[0], stops])[ends]
+        return [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def unit_encoder(path: str, width: int, ordinary: bool) -> UnitEncoder:
@@ -167,7 +207,7 @@ def _write_part(folder: str, end_id: int, make: Callable, kind: str):
         with files.open_output_stream(f"{place}/{name}.bin") as out:
             for batch in batches:
                 start = 0
-                for part in pieces(batch.column(1).to_pylist()):
+                for part in pieces(batch.column(1).to_pylist(), STEP_CHARS):
                     for made in encode(part):
                         out.write(made)
                         out.write(end)
@@ -186,12 +226,12 @@ def _write_part(folder: str, end_id: int, make: Callable, kind: str):
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
-    width: int = 2, ordinary: bool = True, parts: int | None = None,
+    width: int = 2, ordinary: bool = False, parts: int | None = None,
 ) -> None:
     """Encode whole texts (null: empty), append ``end_id`` to each, and write the set to ``folder``.
 
-    ``ordinary`` reads the vocabulary's special strings as ordinary text. Rows of one doc_id follow each
-    other in the order of their texts; null ids come first. A task that is repeated writes files of other
+    The vocabulary's special strings inside a text become their ids, as the library has it; ``ordinary`` reads
+    them as ordinary text. Rows of one doc_id follow each other in the order of their texts; null ids come first. A task that is repeated writes files of other
     names, and only those of the attempt that counts get into the manifest.
     """
     spark = docs.sparkSession
