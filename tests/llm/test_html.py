@@ -1,10 +1,12 @@
 import html
+import random
 import re
+import tracemalloc
 
 import pyarrow.parquet as pq
 import pytest
 
-from tidemark.llm.html_text import extract_main_text, host_of, main_text, parse, templates
+from tidemark.llm.html_text import extract_main_text, host_of, main_text, parse, path_of, templates
 
 PAGES = "page_id long, url string, html string"
 
@@ -19,7 +21,7 @@ def test_boilerplate_goes_and_the_rest_stays():
     <p>One <span class=ad>BUY</span> two<br>three&nbsp;<b>bold</b>ly<aside>side</aside><p>Four<form>f <input value="x"></form><ul><li>a<li>b</ul>
     <table><tr><td>x<td>y</table><section class="comments"><article class="comment"><p>c1</article></section><footer>foot</footer></article></main></div>
     <aside>s</aside><script>if (a<b) "</p>"</script><!-- c --><p>after</body>"""
-    assert alone(page) == "Title & more\n\nOne two three boldly\n\nFour\n\na\n\nb\n\nx y"
+    assert alone(page) == "Title & more\n\nOne two three boldly\n\nFour\n\na\n\nb\n\nx y\n\nafter"
 
 
 def test_broken_markup():
@@ -55,7 +57,7 @@ def test_articles_in_comments_and_teasers_are_not_the_page():
     assert alone(f"<div class=post>{body}</div><div class='related'><article>a</article><article>b</article></div>") == body
     assert alone(f"<div class=post>{body}</div><div class='has-promo'><article>a</article></div>") == body
     assert alone(f"<div class=post>{body}</div><div class=more><article>a</article></div>") == f"{body}\n\na"
-    assert alone(f"<div class='page has-sidebar'><article>{body}</article><div class=related><article>a</article></div></div><p>after</p>") == body
+    assert alone(f"<div class='page has-sidebar'><article>{body}</article><div class=related><article>a</article></div></div><p>after</p>") == f"{body}\n\nafter"
 
 
 def test_forms_around_a_page_are_wrappers():
@@ -113,11 +115,59 @@ def test_no_window_over_a_host(spark):
     hosted = spark.createDataFrame(rows, "host string, page string")
     made = templates(hosted)
     assert "Window" not in made._jdf.queryExecution().toString()
-    assert [(r.once, [t.split("=")[0] for t in r.texts]) for r in made.collect()] == [([">p"], [">p"])]
+    p = path_of("", "p")
+    assert [(r.once, [t.split("=")[0] for t in r.texts]) for r in made.collect()] == [([p], [p])]
 
 
 def test_hosts_and_paths():
     assert host_of("http://A.Example.com:80/x") == "a.example.com"
     assert host_of(None) == host_of("::") == host_of("http://[") == ""
     elements, blocks = parse("<div class='a b'><p>x")
-    assert [p for p, _ in elements] == [">div.a-b", ">div.a-b>p"] and blocks[0].path == ">div.a-b>p"
+    outer = path_of("", "div.a-b")
+    assert [p for p, _ in elements] == [outer, path_of(outer, "p")] and blocks[0].path == path_of(outer, "p")
+
+
+def test_title_and_lead_before_an_article_stay():
+    assert alone("<h1>Title</h1><p>lead</p><article><p>The text of the article, which is the longest part.</p></article>") == (
+        "Title\n\nlead\n\nThe text of the article, which is the longest part.")
+
+
+def words(pick, n):
+    return " ".join("".join(pick.choice("abcdefghijklmnop") for _ in range(pick.randint(2, 9))) for _ in range(n))
+
+
+def test_site_text_goes_from_anywhere_by_its_template_alone(spark):
+    """Hosts whose classes tell nothing: site text before, inside and after the main element, articles of any shape."""
+    pick, rows, kept, site_texts = random.Random(11), [], {}, {}
+    for host in range(12):
+        own = [words(pick, pick.randint(3, 12)) for _ in range(7)]
+        tag, inner = pick.choice(["main", "article", "div"]), f"k{host}"
+        for n in range(pick.choice([5, 9, 30])):
+            blocks = [f"Head {words(pick, 3)}", *[words(pick, pick.randint(5, 60)) for _ in range(pick.randint(2, 8))]]
+            body = "".join(f"<p>{b}</p>" for b in blocks[1:])
+            page = (f"<body><div class=a><p>{own[0]}</p><ul><li>{own[1]}<li>{own[2]}</ul></div><{tag} class={inner}><div class=b><p>{own[3]}</p></div>"
+                    f"<h1>{blocks[0]}</h1>{body}<div class=c><p>{own[4]}</p><p>{own[5]}</p></div></{tag}><div class=d><p>{own[6]}</p></div></body>")
+            key = host * 100 + n
+            rows.append((key, f"http://h{host}.example.com/{n}", page))
+            kept[key], site_texts[key] = blocks, own
+    got = {r.page_id: r.text.split("\n\n") for r in extract_main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    right = sum(len(set(got[k]) & set(kept[k])) for k in kept)
+    assert right / sum(map(len, kept.values())) >= 0.95 and right / sum(len(got[k]) for k in kept) >= 0.95
+    without = {k: alone(page).split("\n\n") for k, _, page in rows}
+    assert all(set(site_texts[k]) <= set(without[k]) for k in kept)  # so it is the template that takes them out
+
+
+def test_near_copies_of_an_article_stay_whole(spark):
+    story = [f"The paragraph {n} that all copies share, word for word." for n in "abcdef"]
+    rows = [(n, f"http://x.example.com/{n}", f"<nav>n</nav><article>{''.join(f'<p>{t}</p>' for t in story)}<p>Copy {'abcdefghij'[n]} ends so.</p></article>") for n in range(10)]
+    for r in extract_main_text(spark.createDataFrame(rows, PAGES)).collect():
+        assert r.text.split("\n\n") == [*story, f"Copy {'abcdefghij'[r.page_id]} ends so."]
+
+
+def test_deep_and_long_pages_stay_small():
+    tracemalloc.start()
+    assert alone("<div class=x>" * 100_000 + "deep" + "</div>" * 100_000) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    long = "word " * 2_000_000
+    assert alone(f"<article><p>{long}</p></article>") == long.strip()

@@ -1,11 +1,12 @@
 """Main text of web pages by template deduction from equivalence classes.
 
-Pages of one host share a template. A page's tokens are its elements by path and its text blocks outside the
-article. Tokens with the same occurrence vector, i.e. found equally often on the same pages of the host, form a
+Pages of one host share a template. A page's tokens are its elements by path and its text blocks, those inside an
+article as long as they are short. Tokens with the same occurrence vector, i.e. found equally often on the same pages of the host, form a
 class. A class is part of the template if many pages have it; it is applied to a page only where its tokens come
 in the template's order, and classes nest in it by their places. Text blocks in the template are the site's own
-words, and so are texts that differ by their numbers only and stand among such words in elements of one path. The
-article is then all that is left in the remaining slots, or the page's article or main element. What menus, headers,
+words, and so are texts that differ by their numbers only and stand among such words in elements of one path. Inside
+an article such blocks go where they are the smaller part of it; where they are the larger part, the pages have
+copies of one article. The article is then all that is left in the remaining slots. What menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments are called is known beforehand, since a host with one
 page has no template. A wrapper that is called so but holds most of the page's text and an article is none of these,
 nor is a form around an article or most of the text.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 from urllib.parse import urlsplit
 
@@ -24,10 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
+from tidemark.operators.ordered import small_side
 from tidemark.session import cut_lineage
 
 #: Share of a host's pages, and number of pages, that a template class needs.
 LEAST_SHARE, LEAST_PAGES = 0.5, 3
+#: Characters of a block inside an article that may be the site's own.
+SITE_CHARS = 300
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -94,6 +99,7 @@ class Ruled:
 class Block(NamedTuple):
     text: str
     path: str
+    tag: str
     dropped: bool
     article: bool
 
@@ -135,6 +141,11 @@ def _attributes(tag: str, raw: str, in_article: bool) -> tuple[str, int]:
     return label, max(BY_NAME if out else 0, _named_out(tag, found.get("class", "").split(), found.get("id", "").strip(), in_article))
 
 
+def path_of(above: str, name: str) -> str:
+    """An element's path as a digest of its parent's and its own name, so that a deep page costs no more per element."""
+    return xxhash.xxh64_hexdigest(f"{above}>{name}")
+
+
 class Page:
     """The elements of a page as (path, blocks before it), and its text blocks.
 
@@ -147,6 +158,7 @@ class Page:
         self.stack = [Element("", "", False, False, False, -1)]
         self.keep = wrappers
         self.opened = self.free = 0
+        self.tags: Counter[str] = Counter()  #: of the open elements
         self.ruled: list[Ruled] = []
         self.elements: list[tuple[str, int]] = []
         self.blocks: list[Block] = []
@@ -176,7 +188,7 @@ class Page:
             text = _SPACE.sub(" ", html.unescape("".join(self.words))).strip()
             if text:
                 holder = self.holder()
-                self.blocks.append(Block(text, holder.path, holder.dropped, holder.article))
+                self.blocks.append(Block(text, holder.path, holder.tag, holder.dropped, holder.article))
                 if holder.within >= 0:
                     self.ruled[holder.within].direct += len(text) * (not holder.gone)
                 else:
@@ -198,8 +210,12 @@ class Page:
             self.open(tag, raw)
 
     def close(self, tags: set[str], stops: frozenset[str]) -> None:
+        if not any(self.tags[t] for t in tags):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag in tags:
+                for element in self.stack[depth:]:
+                    self.tags[element.tag] -= 1
                 del self.stack[depth:]
                 return
             if self.stack[depth].tag in stops:
@@ -220,7 +236,8 @@ class Page:
                     within = len(self.ruled) - 1
         if tag in ARTICLE and not gone and within >= 0:
             self.ruled[within].has_article = True
-        path = f"{above.path}>{tag}{label}"
+        path = path_of(above.path, tag + label)
+        self.tags[tag] += 1
         self.stack.append(Element(tag, path, dropped, above.article or (tag in ARTICLE and not dropped), gone, within))
         if tag not in INLINE:
             self.elements.append((path, len(self.blocks)))
@@ -261,23 +278,20 @@ def text_token(block: Block) -> str:
 def numbered_token(block: Block) -> str | None:
     """The token of a text without its numbers; none where it has no number, and for headings."""
     text = _NUMBER.sub("0", block.text)
-    if not _NUMBER.search(text) or block.path.rpartition(">")[2].partition(".")[0] in HEADINGS:
+    if not _NUMBER.search(text) or block.tag in HEADINGS:
         return None
     return f"{block.path}#={xxhash.xxh64_hexdigest(text)}"
 
 
 def page_tokens(page: str) -> list[tuple[str, int, int]]:
-    """(token, times, first place) of a page.
-
-    Texts inside an article are no tokens: copies of an article on several pages are not the site's own words.
-    """
+    """(token, times, first place) of a page. Long texts inside an article are no tokens: no site repeats such of its own there."""
     elements, blocks = parse(page)
     times: dict[str, list[int]] = {}
     for place, (path, _) in enumerate(elements):
         times.setdefault(path, [0, place])[0] += 1
     for block in blocks:
-        if not block.dropped and not block.article:
-            for token in (text_token(block), numbered_token(block)):
+        if not block.dropped and (not block.article or len(block.text) <= SITE_CHARS):
+            for token in (text_token(block), None if block.article else numbered_token(block)):
                 if token:
                     times.setdefault(token, [0, len(elements)])[0] += 1
     return [(token, *v) for token, v in times.items()]
@@ -304,15 +318,16 @@ def free_blocks(blocks: list[Block], own_texts: set[str], numbered: set[str]) ->
 
 
 def main_text(page: str, ordered: list[str], own_texts: set[str], numbered: set[str] | None) -> str:
-    """The article of a page: its article blocks where they are most of what is left after the template, or all that is left."""
+    """The article of a page: all that is left after what is ruled out and the template's own texts."""
     elements, blocks = parse(page)
     left = [b for b in blocks if not b.dropped]
     if ordered and in_order(elements, ordered):
         free = {id(b) for b in free_blocks([b for b in left if not b.article], own_texts, numbered or set())}
-        left = [b for b in left if b.article or id(b) in free]
-    inside = [b for b in left if b.article]
-    if 2 * sum(len(b.text) for b in inside) > sum(len(b.text) for b in left):
-        left = inside
+        inside = [b for b in left if b.article]
+        own = {id(b) for b in inside if len(b.text) <= SITE_CHARS and text_token(b) in own_texts}
+        if 2 * sum(len(b.text) for b in inside if id(b) in own) >= sum(len(b.text) for b in inside):
+            own = set()  # pages with copies of one article
+        left = [b for b in left if (id(b) not in own if b.article else id(b) in free)]
     return "\n\n".join(b.text for b in left)
 
 
@@ -383,7 +398,8 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     without a readable host share the template of the host "". Repeated rows give repeated rows.
     """
     hosted = _with_host(pages, url, page, F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"))
-    known = cut_lineage(templates(hosted))
+    # Templates go to the pages: broadcast where they are measured small, else an ordinary join that may split a hot host.
+    known = small_side(templates(hosted))
     id_type = pages.schema[page_id].dataType.simpleString()
     joined = hosted.join(known, "host", "left").select("page_id", "url", "page", "once", "texts", "numbered")
     return joined.mapInArrow(_extract, f"page_id {id_type}, url string, text string, n_chars long")
