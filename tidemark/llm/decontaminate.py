@@ -2,7 +2,10 @@
 
 A passage within k edits of a benchmark item of m characters shares at least m + 1 - q - k*q character q-grams
 with it, all on diagonals at most k beside the passage's own. So shared q-grams are counted in overlapping bands
-of diagonals, bands that meet the bound are regions, and a banded alignment decides on each region.
+of diagonals, bands that meet the bound are regions, and a banded alignment decides on each region. Counts are kept
+for bands that occur only and are added up in steps of bounded size, so a text and an item that repeat one q-gram
+over and over cost time, not memory. An item too short for a q-gram to tell it is looked for as it stands, as whole
+words, by an automaton of all such items.
 
 Texts and items are compared as their letters and digits in lower case, with one blank for anything between.
 """
@@ -20,10 +23,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.llm.common import pieces, row_wise, text_of
 
 #: Length of a q-gram (a power of two, as the hash doubles), edits allowed per character of an item, and the
-#: shortest item that is looked for: one of fewer characters says nothing about its source.
+#: shortest item that is looked for with edits; shorter ones are looked for exactly.
 Q, EDITS, LEAST_CHARS = 8, 0.08, 24
-#: Characters and items of one block of the benchmark; every block is held against all texts.
-BLOCK_CHARS, BLOCK_ITEMS = 4_000_000, 1_024
+#: Characters of one block of the benchmark, about 20 bytes each in a task; every block is held against all texts.
+BLOCK_CHARS = 8_000_000
+#: Pairs of equal q-grams, one in a text and one in an item, that are counted at a time.
+STEP = 1 << 19
 #: Bits of a q-gram's place in the first filter, and of the coarse diagonal blocks.
 FILTER_BITS, COARSE_BITS = 22, 9
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # 2**64 / golden ratio, odd
@@ -41,6 +46,7 @@ class Items(NamedTuple):
     owners: np.ndarray  #: item of each, by place in ids
     offsets: np.ndarray  #: where it starts in the item
     present: np.ndarray  #: first filter
+    short: dict[str, list[int]]  #: places in ids of the items that are looked for exactly, by their words
 
 
 def _fold_table() -> np.ndarray:
@@ -81,8 +87,8 @@ def gram_hashes(symbols: np.ndarray) -> np.ndarray:
 
 
 def prepare_items(rows: list[tuple]) -> Items | None:
-    """``rows``: (id, text). Texts that fold to the same symbols under one id count once."""
-    ids, symbols = [], []
+    """``rows``: (id, text). Texts that fold to the same symbols under one id count once; texts without any are not looked for."""
+    ids, symbols, short = [], [], {}
     for item_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1])):
         folded = fold([text])[0]
         while len(folded) and folded[-1] == BLANK:
@@ -90,18 +96,57 @@ def prepare_items(rows: list[tuple]) -> Items | None:
         if len(folded) >= LEAST_CHARS:
             ids.append(item_id)
             symbols.append(folded)
-    if not ids:
+        elif len(folded):
+            short.setdefault(_words(folded), []).append(item_id)
+    if not ids and not short:
         return None
-    lengths = np.array([len(s) for s in symbols])
+    lengths = np.array([len(s) for s in symbols], np.int64)
     edits = np.minimum((lengths * EDITS).astype(np.int64), (lengths - Q) // Q)
     grams = [gram_hashes(s) for s in symbols]
-    hashes = np.concatenate(grams)
+    hashes = np.concatenate([np.empty(0, np.uint64), *grams])
     order = np.argsort(hashes, kind="stable")
     present = np.zeros(1 << FILTER_BITS, bool)
     present[hashes >> np.uint64(64 - FILTER_BITS)] = True
-    owners = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
-    offsets = np.concatenate([np.arange(len(g)) for g in grams])
-    return Items(ids, symbols, edits, lengths + 1 - Q - edits * Q, hashes[order], owners[order], offsets[order], present)
+    owners = np.repeat(np.arange(len(ids), dtype=np.int32), [len(g) for g in grams])
+    offsets = np.concatenate([np.empty(0, np.int32), *[np.arange(len(g), dtype=np.int32) for g in grams]])
+    exact = {}
+    for words, owners_of in short.items():
+        exact[words] = list(range(len(ids), len(ids) + len(owners_of)))
+        ids += owners_of
+    return Items(ids, symbols, edits, lengths + 1 - Q - edits * Q, hashes[order], owners[order], offsets[order], present, exact)
+
+
+def _words(symbols: np.ndarray) -> str:
+    return symbols.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+_automata: dict[int, tuple] = {}
+
+
+def _automaton(items: Items):
+    """Of the short items with a blank on both sides; one per Python worker and set of items."""
+    key = id(items)
+    if key not in _automata:
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for words, places in items.short.items():
+            found.add_word(f" {words} ", (len(words), places))
+        found.make_automaton()
+        _automata.clear()
+        _automata[key] = (items, found)
+    return _automata[key][1]
+
+
+def short_passages(symbols: np.ndarray, ends: np.ndarray, items: Items):
+    """(item, text, first, last) of every short item that stands as whole words in a text; places among all symbols."""
+    start = 0
+    for text, end in enumerate(ends.tolist()):
+        for last, (size, places) in _automaton(items).iter(f" {_words(symbols[start:end])} "):
+            first = start + last - 1 - size
+            for item in places:
+                yield item, text, first, first + size - 1
+        start = end
 
 
 def whole(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int] | None:
@@ -140,6 +185,24 @@ def align(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, in
     return (int(cost[end]), int(began[end]), end) if cost[end] <= most else None
 
 
+def _tally(parts) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of all parts and how often each occurs; a part is reduced before the next is made."""
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for part in parts:
+        found, times = np.unique(part, return_counts=True)
+        both = np.concatenate([keys, found])
+        order = np.argsort(both, kind="stable")
+        both, times = both[order], np.concatenate([counts, times])[order]
+        first = np.flatnonzero(np.diff(both, prepend=both[0] - 1)) if len(both) else np.empty(0, np.int64)
+        keys, counts = both[first], np.add.reduceat(times, first) if len(first) else counts
+    return keys, counts
+
+
+def _times(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, counts[at], 0)
+
+
 def regions(symbols: np.ndarray, ends: np.ndarray, items: Items):
     """(item, text, lowest diagonal, highest diagonal) of every band with enough shared q-grams."""
     hashes = gram_hashes(symbols)
@@ -149,31 +212,42 @@ def regions(symbols: np.ndarray, ends: np.ndarray, items: Items):
     places, texts = places[inside], texts[inside]
     low = np.searchsorted(items.grams, hashes[places], "left")
     high = np.searchsorted(items.grams, hashes[places], "right")
-    times = high - low
-    total = int(times.sum())
-    if not total:
+    del hashes
+    known = high > low
+    places, texts, low, times = places[known], texts[known], low[known], (high - low)[known]
+    if not len(places):
         return
-    entries = np.arange(total) - np.repeat(np.cumsum(times) - times - low, times)
-    owner, diagonal, text = items.owners[entries], np.repeat(places, times) - items.offsets[entries], np.repeat(texts, times)
-    # A first, coarse count: bands that cannot reach the bound even with all of their two coarse blocks go.
+    reach = np.cumsum(times)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(reach, np.arange(STEP, reach[-1], STEP), "right"), [len(places)]]))
     shift = int(max(len(s) for s in items.symbols))
+
+    def pairs():
+        """(item, diagonal, text) of equal q-grams, some STEP at a time."""
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            n = times[a:b]
+            entries = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - low[a:b], n)
+            yield items.owners[entries].astype(np.int64), np.repeat(places[a:b], n) - items.offsets[entries] + shift, np.repeat(texts[a:b], n)
+
+    # A first, coarse count: bands that cannot reach the bound even with all of their two coarse blocks go.
     width = (int(len(symbols)) + shift >> COARSE_BITS) + 3
     coarse = max(COARSE_BITS, int(4 * items.edits.max() + 2).bit_length())
-    block = (diagonal + shift) >> coarse
-    count = np.bincount(owner * width + block, minlength=width * len(items.ids)).reshape(-1, width)
-    around = count.copy()
-    around[:, 1:] += count[:, :-1]
-    around[:, :-1] += count[:, 1:]
-    kept = around[owner, block] >= items.bounds[owner]
-    owner, diagonal, text = owner[kept], diagonal[kept], text[kept]
-    if not len(owner):
+    keys, counts = _tally(owner * width + (diagonal >> coarse) for owner, diagonal, _ in pairs())
+    around = counts + _times(keys, counts, keys - 1) + _times(keys, counts, keys + 1)
+    rich = keys[around >= items.bounds[keys // width]]
+    if not len(rich):
         return
     # Bands of two steps that start at every step: wherever a ring of 2k + 1 diagonals lies, one band holds it.
-    step = 2 * items.edits[owner] + 1
-    band = (diagonal + shift) // step + 1
-    span = int(band.max()) + 2
-    key = (owner * len(ends) + text) * span + band
-    keys, shared = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+    span = len(symbols) + shift + 4
+
+    def banded():
+        for owner, diagonal, text in pairs():
+            key = owner * width + (diagonal >> coarse)
+            kept = rich[np.minimum(np.searchsorted(rich, key), len(rich) - 1)] == key
+            owner, diagonal, text = owner[kept], diagonal[kept], text[kept]
+            key = (owner * len(ends) + text) * span + diagonal // (2 * items.edits[owner] + 1) + 1
+            yield np.concatenate([key, key - 1])
+
+    keys, shared = _tally(banded())
     keys = keys[shared >= items.bounds[keys // span // len(ends)]]
     if not len(keys):
         return
@@ -190,7 +264,10 @@ def find_passages(texts: list[str], items: Items) -> list[dict]:
     """Per text, its items: place of the item to (edits, start, end), the fewest edits, then the first place."""
     symbols, ends, at = fold(texts)
     found: list[dict] = [{} for _ in texts]
-    if len(symbols) < Q:
+    if items.short:
+        for item, text, first, last in short_passages(symbols, ends, items):
+            found[text].setdefault(item, (0, int(at[first]), int(at[last]) + 1))
+    if len(symbols) < Q or not items.symbols:
         return found
     starts = np.concatenate([[0], ends[:-1]])
     for item, text, low, high in regions(symbols, ends, items):
@@ -209,8 +286,8 @@ def find_passages(texts: list[str], items: Items) -> list[dict]:
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[Items]:
     """The benchmark in blocks of bounded size, by a hash of the id; one block for any usual benchmark."""
     rows = benchmark.select(F.col(f"`{item_id}`").alias("id"), text_of(text).alias("text"))
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    blocks = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["chars"] or 0) // BLOCK_CHARS))
+    size = rows.agg(F.sum(F.length("text") + 16).alias("chars")).first()
+    blocks = max(1, -(-(size["chars"] or 0) // BLOCK_CHARS))
     made = []
     for block in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).distinct().collect()
@@ -224,8 +301,9 @@ def find_leaks(
     """One row per document and benchmark item that occurs in it: doc_id, item_id, edits, start_char, end_char.
 
     Positions are code points of the whole text, end exclusive, of the passage with the fewest edits, of equals
-    the first. Null texts and items count as empty. Items under LEAST_CHARS folded characters are not looked
-    for. Repeated documents give repeated rows; an empty benchmark or table gives none.
+    the first. Null texts and items count as empty; an item without a letter or digit is not looked for, one of
+    fewer than LEAST_CHARS folded characters is found as whole words, without edits. Texts of any length are read
+    whole. Repeated documents give repeated rows; an empty benchmark or table gives none.
     """
     spark = docs.sparkSession
     id_type = benchmark.schema[item_id].dataType.simpleString()
