@@ -133,3 +133,19 @@ def test_every_language_is_learned(spark):
     model = learn(frame(spark, rows))
     assert model.languages == [f"l{k:03}" for k in range(70)]
     assert [p for p, _ in language.predictor(model)([text(k, 99) for k in range(70)])] == model.languages
+
+
+def test_languages_that_are_not_asked_for_go_and_unknown_ones_are_filled(spark):
+    import pyarrow.parquet as pq
+
+    rows = [(r["doc_id"], r["text"], r["lang"] if r["doc_id"] % 3 else None) for r in pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()]
+    docs = frame(spark, rows)
+    true = {r["doc_id"]: r["lang"] for r in pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()}
+    asked = sorted({v for v in true.values() if v})[:2]
+    kept = {name: with_language(docs, languages=(name,)).collect() for name in asked}
+    for name, found in kept.items():
+        right = [r for r in found if true[r.doc_id] == name]
+        assert len(right) >= 0.95 * len(found) and len(right) >= 0.9 * sum(v == name for v in true.values())
+        assert all(r.lang is not None for r in found)
+    assert not {r.doc_id for r in kept[asked[0]]} & {r.doc_id for r in kept[asked[1]]}
+    assert {r.lang for r in with_language(docs).collect() if true[r.doc_id] == asked[0] and r.doc_id % 3 == 0} >= {asked[0]}

@@ -49,7 +49,7 @@ def test_whole_run_against_brute_force(spark):
     want = []
     for i, text in brute_force(docs, bench):
         ids = [*library.encode(text), 2]
-        want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+        want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest(), ids))
     assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == sorted(want)
 
 

@@ -275,15 +275,28 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return found.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents whose text has a language, with all their columns; texts without any letter go."""
+def with_language(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", languages: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """The documents whose text is predicted to be in one of ``languages`` (any learned one by default), with all their columns.
+
+    A null ``lang`` is filled with the prediction; a stated one stays. Texts without any letter go. Where nothing
+    could be learned, texts with a letter stay, unless languages are asked for.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, doc_id, text, lang))
 
-    @F.arrow_udf("boolean")
-    def has_language(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("string")
+    def predicted(texts: pa.Array) -> pa.Array:
         predict = predictor(shared.value)
         if not shared.value.languages:
-            return pa.array([any(c.isalpha() for c in t) for t in texts.to_pylist()], pa.bool_())
-        return pa.array([found != UNDETERMINED for part in pieces(texts.to_pylist()) for found, _ in predict(part)], pa.bool_())
-
-    return docs.where(has_language(text_of(text)))
+            return pa.array(["" if any(c.isalpha() for c in t) else None for t in texts.to_pylist()], pa.string())
+        return pa.array([None if found == UNDETERMINED else found for part in pieces(texts.to_pylist()) for found, _ in predict(part)], pa.string())
+
+    mark = "_" * (1 + max(map(len, docs.columns)))  # a name no column has
+    # Not deterministic to the planner, or it would predict once for the filter and again for the column.
+    found = docs.withColumn(mark, predicted.asNondeterministic()(text_of(text))).where(F.col(mark).isNotNull())
+    if languages is not None:
+        found = found.where(F.col(mark).isin(list(languages)))
+    kind = docs.schema[lang].dataType
+    filled = F.coalesce(F.col(f"`{lang}`"), F.nullif(F.col(mark), F.lit("")).cast(kind)).alias(lang)
+    return found.select(*[filled if c == lang else F.col(f"`{c}`") for c in docs.columns])

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_wise, text_of
+from tidemark.operators.ordered import small_side
 from tidemark.session import cut_lineage
 
 WORDS, BITS, SEED = 3, 2, 42
@@ -203,39 +204,49 @@ def components(edges: DataFrame) -> DataFrame:
     return edges
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = BITS) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id.
-
-    The component is named by its smallest doc_id; null ids are not used as names, so a component of null ids
-    only has a null name. Null texts count as empty; texts without a word have fingerprint 0 and link like any
-    other. Rows of one doc_id and different texts are different members with the same id.
-    """
+def _fingerprinted(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(doc_id, key, fp): a row's id, a hash of its text, and its fingerprint. Narrow, and fixed."""
 
     def make():
         return lambda texts: [fingerprints_of(texts, words, len(texts))]
 
-    marked = row_wise(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), ["doc_id"], "text", "fp long", make)
-    marked = cut_lineage(marked)  # narrow: an id and 64 bits per document
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _key(text).alias("key"), F.col(f"`{text}`").alias("text"))
+    return cut_lineage(row_wise(rows, ["doc_id", "key"], "text", "fp long", make))
+
+
+def _key(text: str):
+    return F.xxhash64(text_of(text))
+
+
+def _named(marked: DataFrame, radius: int) -> DataFrame:
+    """``marked`` with the component_id of every row."""
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct.select("fp"), radius))
     placed = distinct.join(roots, distinct.fp == roots.u, "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
     names = cut_lineage(placed.groupBy("root").agg(F.min("first").alias("component_id")))
-    named = cut_lineage(placed.join(names, "root").select("fp", "component_id"))
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(cut_lineage(placed.join(names, "root").select("fp", "component_id")), "fp")
 
 
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = BITS) -> DataFrame:
-    """The documents with the smallest id of each component, all their columns kept. Rows without an id stay.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = BITS) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
-    Rows go by id and fingerprint, so one of several texts under an id may go and another stay.
+    The component is named by its smallest doc_id; null ids are not used as names, so a component of null ids
+    only has a null name. Null texts count as empty; texts without a word have fingerprint 0 and link like any
+    other; texts of any length are read whole. Rows of one doc_id and different texts are different members with
+    the same id. An empty table gives no rows.
     """
+    named = _named(_fingerprinted(docs, doc_id, text, words), radius)
+    return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
-    @F.arrow_udf("long")
-    def fingerprints(texts: pa.Array) -> pa.Array:
-        return fingerprints_of((t.as_py() for t in texts), words, len(texts))
 
-    found = near_duplicates(docs, doc_id, text, words, radius)
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = BITS) -> DataFrame:
+    """The documents with the smallest id of each component, all their columns kept. Rows without an id stay.
+
+    Rows go by their id and a hash of their text, so one of several texts under an id may go and another stay, and
+    texts are fingerprinted once. What goes is decided on narrow rows; it is broadcast where it is measured small.
+    """
+    named = _named(_fingerprinted(docs, doc_id, text, words), radius)
     mark = "_" * (1 + max(map(len, docs.columns)))  # a name no column has
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(doc_id), F.col("fingerprint").alias(mark)).distinct()
-    marked = docs.withColumn(mark, F.lower(F.lpad(F.hex(fingerprints(text_of(text))), 16, "0")))
-    return marked.join(gone, [doc_id, mark], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = named.where("doc_id != component_id").select(F.col("doc_id").alias(doc_id), F.col("key").alias(mark)).distinct()
+    left = docs.withColumn(mark, _key(text)).join(small_side(gone), [doc_id, mark], "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
