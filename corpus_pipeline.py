@@ -18,19 +18,25 @@ from tidemark.session import prepare, scratch_path, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; texts that are null or have no letter go."""
+    """Documents in one of the learned languages; texts that are null or have no letter go, a null ``lang`` is predicted.
+
+    Repeated rows stay for the next stage; a tie of languages falls as in the operator.
+    """
     prepare(spark)
     return with_language(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for A-Z and a-z, the row with the largest doc_id."""
+    """Of texts that are equal but for A-Z and a-z, the row with the largest doc_id; of repeated rows, one."""
     prepare(spark)
     return keep_one_copy(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints link them, directly or through others, the one with the smallest doc_id."""
+    """Of documents whose fingerprints link them, directly or through others, the one with the smallest doc_id.
+
+    Linked are fingerprints of 3-word shingles at 2 bits or less; rows without an id stay.
+    """
     prepare(spark)
     return one_per_group(docs)
 
@@ -41,9 +47,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document its numbers of piece ids and the digests of these ids and of the text decoded from them."""
+    """Per document its number of piece ids, the digests of these ids and of the text decoded from them, and the ids."""
     prepare(spark)
-    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), end_id=2)
+    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), end_id=2, with_ids=True).drop("decoded")
 
 
 STAGES = [
