@@ -14,7 +14,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import capped, export, publish
 from tidemark.sources import extract
 from tidemark.sources.paged import paged_source
-from tidemark.streaming import buckets
+from tidemark.streaming import buckets, slices
 
 
 def files(path, suffix):
@@ -226,6 +226,26 @@ def test_stream_equals_batch_below_the_watermark_and_resumes(spark, tmp_path):
     assert rest == batch - second
 
 
+def test_a_stream_that_ends_counts_every_row_once_and_lists_late_ones(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    rows = spark.range(200).select("id", F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0,0,0,id*30)").alias("ts"))
+    slices.use_timers(spark)
+
+    def run(part):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        slices.drain_to_end(slices.finished_slices(stream, "ts"), out, checkpoint)
+        return [tuple(r) for r in spark.read.parquet(out).collect()]
+
+    first = run(rows.filter("id < 100"))
+    assert len(first) == 7 and all(n == 10 and not late for _, n, late in first)  # up to 10 minutes before the last row
+    late = run(rows.filter("id between 100 and 150 or id in (3, 4, 12)"))
+    assert sorted(n for _, n, is_late in late if is_late) == [1, 2]
+    done = run(spark.createDataFrame([(151, datetime(2025, 1, 1, 1, 15, 30)), (-1, slices.END), (-2, None)], rows.schema))
+    batch = {r.bucket_start: r.n for r in windows.count_buckets(rows.filter("id <= 151"), "ts").collect()}
+    assert {at: n for at, n, is_late in done if not is_late} == batch and len(done) == len(batch) + 2
+
+
 def test_scratch_needs_a_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

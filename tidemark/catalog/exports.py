@@ -15,7 +15,7 @@ from tidemark.session import scratch_path, table
 from tidemark.sinks import capped, export
 from tidemark.sources import extract
 from tidemark.sources.paged import paged_source
-from tidemark.streaming import buckets
+from tidemark.streaming import buckets, slices
 
 ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 ALL_ORDERS = "select * from orders"
@@ -289,3 +289,17 @@ def stream_buckets(spark, folder):
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     buckets.drain(buckets.stream_buckets(stream, "ts"), path, checkpoint)
     return spark.read.schema("bucket_start timestamp_ntz, n bigint").parquet(path)
+
+
+@query("finished_slices", "select time_bucket(interval '5 minutes', ts) as bucket_start, count(*) as n, false as late from events group by 1")
+def finished_slices(spark, folder):
+    """All slices of a stream that ends: the end mark flushes those that the watermark has not passed."""
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("ended", "slices", "slices-checkpoint"))
+    events = table(spark, folder, "events").select("event_id", "ts")
+    mark = spark.range(1).select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(slices.END).cast(events.schema["ts"].dataType).alias("ts"))
+    events.unionByName(mark).write.parquet(source)
+    slices.use_timers(spark)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    slices.drain_to_end(slices.finished_slices(stream, "ts"), path, checkpoint)
+    out = spark.read.schema(slices.OUT).parquet(path)
+    return out.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
