@@ -13,11 +13,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions import clock
-from tidemark.operators.ordered import small_side
+from tidemark.operators.ordered import null_safe_join, small_side
 from tidemark.session import cut_lineage
 
 #: Buckets of one top-level key that are nested into one value at most.
 NESTED_BUCKETS = 200_000
+#: Combinations that ``nested_terms`` counts one by one; of more it counts only the frequent ones.
+MOST_COUNTS = 5_000_000
+#: Cells for the keys that a sketch does not name, and the fewest and most keys that it tracks.
+CELLS, LEAST_TRACKED, MOST_TRACKED = 4_096, 1_024, 1_000_000
 
 
 def count_window(df: DataFrame, ts: str, start, end, closed: str = "both") -> DataFrame:
@@ -166,35 +170,87 @@ def distinct_count(df: DataFrame, column: str, exact: bool = False, rsd: float =
     return df.agg(distinct_values(column, exact, rsd).alias("n_distinct"))
 
 
-def nested_terms(df: DataFrame, dims: list[str], size: int | None = None, within: tuple[str, ...] = ()) -> DataFrame:
+def _key_hash(df: DataFrame, name: str) -> Column:
+    """A long that is the same for keys that grouping holds equal."""
+    number = isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+    return F.xxhash64(F.col(name) + F.lit(0.0) if number else F.col(name))  # -0.0 + 0.0 is 0.0
+
+
+def _ranked(level: DataFrame, parent: list[str], name: str, size: int) -> DataFrame:
+    order = [F.col("n").desc(), F.col(name).asc()]
+    if not parent:
+        return level.orderBy(*order).limit(size)
+    rank = F.row_number().over(Window.partitionBy(*parent).orderBy(*order))
+    return level.withColumn("_rank", rank).filter(F.col("_rank") <= size).drop("_rank")
+
+
+def frequent_keys(df: DataFrame, parent: list[str], name: str, size: int, cells: int = CELLS) -> DataFrame:
+    """The ``size`` largest keys of each parent with their exact row counts, without counting every key.
+
+    A sketch of frequent items per parent names candidates. The next pass counts each of them exactly and all
+    other keys together, in ``cells`` cells by hash. A cell with fewer rows than the parent's last kept candidate
+    holds no key that belongs in the result. Only the keys of the other cells are counted one by one: none where
+    keys are skewed, all where they are alike, so the answer never rests on what the sketch saw. Each pass
+    reduces before its shuffle, to at most the candidates and cells of each parent in the first two.
+    """
+    top = max(1, min(4 * size, MOST_TRACKED))
+    tracked = min(max(LEAST_TRACKED, 4 * top), MOST_TRACKED)
+    groups = parent or ["_all"]
+    keyed = df.withColumn("_hash", _key_hash(df, name))
+    keyed = (keyed if parent else keyed.withColumn("_all", F.lit(0))).select(*groups, name, "_hash")
+    sketched = keyed.groupBy(*groups).agg(F.expr(f"approx_top_k(_hash, {top}, {tracked})").alias("_top"))
+    named = sketched.select(*groups, F.explode("_top.item").alias("_hash"), F.lit(True).alias("_named"))
+    marked = null_safe_join(keyed, small_side(named), [*groups, "_hash"], "left")
+    cell = F.when(F.col("_named").isNull(), F.pmod("_hash", F.lit(cells)))
+    marked = marked.select(*groups, name, cell.alias("_cell"))
+    known = F.when(F.col("_cell").isNull(), F.col(name)).alias(name)
+    counted = cut_lineage(marked.groupBy(*groups, "_cell", known).agg(F.count(F.lit(1)).alias("n")))
+    sure = counted.filter(F.col("_cell").isNull()).select(*groups, name, "n")
+    last = _ranked(sure, groups, name, size).groupBy(*groups).agg(F.min("n").alias("_last"), F.count(F.lit(1)).alias("_kept"))
+    last = last.filter(F.col("_kept") == size).drop("_kept")
+    open_cells = null_safe_join(counted.filter(F.col("_cell").isNotNull()), last, groups, "left").filter(
+        F.col("_last").isNull() | (F.col("n") >= F.col("_last")))
+    open_cells = cut_lineage(open_cells.select(*groups, "_cell"))
+    if not open_cells.isEmpty():
+        rest = null_safe_join(marked.filter(F.col("_cell").isNotNull()), small_side(open_cells), [*groups, "_cell"], "left_semi")
+        sure = sure.unionByName(rest.groupBy(*groups, name).agg(F.count(F.lit(1)).alias("n")))
+    return _ranked(sure if parent else sure.drop("_all"), parent, name, size)
+
+
+def nested_terms(df: DataFrame, dims: list[str], size: int | None = None, within: tuple[str, ...] = (),
+                 most_counts: int = MOST_COUNTS) -> DataFrame:
     """Row counts of nested buckets: all of them, or at each level the ``size`` largest keys of each parent.
 
     Ranks use a bucket's full count, before its children are cut; ties go to the smaller key. Each
     combination of ``within`` values has buckets of its own and is never cut.
 
-    Rows are read and counted once, when this is called; the counts are checkpointed and each level
-    works on them. The top level is a plain top-n, deeper ones are ranked per parent with the rank
-    limit applied before the shuffle.
+    With a ``size`` the combinations are estimated first, when this is called. Up to about ``most_counts``
+    are counted in one more scan, and each level works on the checkpointed counts. More of them are never
+    listed: ``frequent_keys`` finds each level from the rows of the level above. Both give the same buckets.
     """
     outer = list(within)
     present = reduce(Column.__and__, [F.col(d).isNotNull() for d in dims])
-    counts = df.filter(present).groupBy(*outer, *dims).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.filter(present).select(*outer, *dims)
+    counts = rows.groupBy(*outer, *dims).agg(F.count(F.lit(1)).alias("n"))
     if size is None:
         return counts
+    hashable = all(isinstance(rows.schema[d].dataType, T.AtomicType) for d in dims)
+    if hashable and rows.agg(F.approx_count_distinct(F.xxhash64(*outer, *dims))).first()[0] > most_counts:
+        kept = None
+        for depth, name in enumerate(dims, start=1):
+            parent = [*outer, *dims[:depth - 1]]
+            level = rows if kept is None else null_safe_join(rows, small_side(kept.select(*parent)), parent, "left_semi")
+            kept = cut_lineage(frequent_keys(level, parent, name, size))
+        return kept
     counts = cut_lineage(counts)
     kept = None
     for depth, name in enumerate(dims, start=1):
         path = [*outer, *dims[:depth]]
         parent = path[:-1]
-        level = counts if kept is None else counts.join(kept.select(*parent), parent, "left_semi")
+        level = counts if kept is None else null_safe_join(counts, kept.select(*parent), parent, "left_semi")
         if depth < len(dims):
             level = level.groupBy(*path).agg(F.sum("n").alias("n"))
-        order = [F.col("n").desc(), F.col(name).asc()]
-        if not parent:
-            kept = level.orderBy(*order).limit(size)
-        else:
-            rank = F.row_number().over(Window.partitionBy(*parent).orderBy(*order))
-            kept = level.withColumn("_rank", rank).filter(F.col("_rank") <= size).drop("_rank")
+        kept = _ranked(level, parent, name, size)
     return kept
 
 
