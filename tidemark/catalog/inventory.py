@@ -184,15 +184,15 @@ def nested_terms(spark, folder):
 
 
 @query("nested_terms_frequent", """
-    with c as (select l_shipmode, l_suppkey, l_partkey, count(*) as n from lineitem
-        where l_shipmode is not null and l_suppkey is not null and l_partkey is not null group by all),
-    a as (select l_shipmode from (select l_shipmode, row_number() over (order by sum(n) desc, l_shipmode) as r from c group by 1) where r <= 3),
-    b as (select l_shipmode, l_suppkey from (select l_shipmode, l_suppkey, row_number() over (
-        partition by l_shipmode order by sum(n) desc, l_suppkey) as r from c join a using (l_shipmode) group by 1, 2) where r <= 3)
-    select l_shipmode, l_suppkey, l_partkey, n from (select c.*, row_number() over (
-        partition by c.l_shipmode, c.l_suppkey order by n desc, l_partkey) as r from c join b using (l_shipmode, l_suppkey)) where r <= 3""")
+    with c as (select l_returnflag, l_suppkey, l_partkey, count(*) as n from lineitem
+        where l_returnflag is not null and l_suppkey is not null and l_partkey is not null group by all),
+    a as (select l_returnflag from (select l_returnflag, row_number() over (order by sum(n) desc, l_returnflag) as r from c group by 1) where r <= 3),
+    b as (select l_returnflag, l_suppkey from (select l_returnflag, l_suppkey, row_number() over (
+        partition by l_returnflag order by sum(n) desc, l_suppkey) as r from c join a using (l_returnflag) group by 1, 2) where r <= 3)
+    select l_returnflag, l_suppkey, l_partkey, n from (select c.*, row_number() over (
+        partition by c.l_returnflag, c.l_suppkey order by n desc, l_partkey) as r from c join b using (l_returnflag, l_suppkey)) where r <= 3""")
 def nested_terms_frequent(spark, folder):
-    return rollups.nested_terms(table(spark, folder, "lineitem"), ["l_shipmode", "l_suppkey", "l_partkey"], 3, most_counts=0)
+    return rollups.nested_terms(table(spark, folder, "lineitem"), ["l_returnflag", "l_suppkey", "l_partkey"], 3, most_counts=0)
 
 
 @query("nested_stats", NESTED_SQL + fx.compute_stats_sql(
