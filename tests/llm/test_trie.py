@@ -39,11 +39,11 @@ def brute(rows):
                     hashlib.sha256(",".join(map(str, sorted(ends[p]))).encode()).hexdigest()) for p, m in members.items()), key=str)
 
 
-def check(spark, rows):
+def check(spark, rows, **options):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     for name in [*CLASH, "path", "shard", "skel", "depth", "base"]:
         df = df.selectExpr("*", f"'x' as {name}")
-    assert sorted(map(tuple, prefix_trie(df).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, prefix_trie(df, **options).collect()), key=str) == brute(rows)
 
 
 @pytest.mark.parametrize("kinds", [2, 40])
@@ -60,6 +60,24 @@ def test_copies_over_all_shards_and_a_long_conversation(spark):
     check(spark, copies + long)
 
 
+@pytest.mark.parametrize("segment", [5, 7, 1_024])
+def test_long_conversations_are_cut(spark, segment):
+    pick = random.Random(segment)
+    starts = [[pick.choice("ab") for _ in range(60)] for _ in range(3)]
+    rows = []
+    for c in pick.sample(range(1_000), 150) + [100, 200, 300]:
+        turns = list(pick.choice(starts)[:pick.choice([1, 4, 5, 7, 10, 14, 15, 35, 60])])
+        if pick.random() < 0.4:
+            turns += pick.choices("xyz", k=pick.choice([1, 6, 20]))
+        rows += [(c, None if t % 11 == 10 else t, "user", text * (1 + t % 3)) for t, text in enumerate(turns)]
+    rows += [(c, 5, "user", "again") for c in (401, 402) for _ in range(33)]  # runs of equal rows over several cuts
+    check(spark, list(dict.fromkeys(rows)) + rows[-66:], segment=segment)
+
+
+def test_copies_of_a_long_conversation_over_all_shards(spark):
+    check(spark, [(c, t, "user", f"turn {t}") for c in range(1_001, 1_400) for t in range(23)] + [(1_400, t, "user", f"turn {t}") for t in range(400)], segment=8)
+
+
 def test_single_turnless_and_empty(spark):
     check(spark, [(7, 0, "user", "alone")])
     check(spark, [(c, 0, "user", "x") for c in (101, 102, 103, 104, 105, 106)])  # no conversation 100: shortened to nothing
