@@ -76,3 +76,32 @@ def test_rows(spark):
     assert got[21].base_sha256 == hashlib.sha256(b"assign:0:49,hex:9:49").hexdigest()
     assert got[1].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert find_secrets(frame(spark, []), VOCABULARY).count() == 0
+
+
+LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ALPHABETS = {"lower": LOWER, "upper": LOWER.upper(), "letters": LOWER + LOWER.upper(), "lower and digits": LOWER + DIGITS,
+             "base64": LOWER + LOWER.upper() + DIGITS + "+/", "url": LOWER + LOWER.upper() + DIGITS + "-_"}
+
+
+def recall(alphabet, length, keys=300):
+    """Share of random keys among words that a ``random`` span covers whole."""
+    pick, encode, caught = random.Random(f"{alphabet} {length}"), encoding(VOCABULARY).encode_ordinary, 0
+    for _ in range(keys):
+        key = "".join(pick.choices(alphabet, k=length))
+        text = f"the value of this is {key} and more"
+        found = runs([text], 20)[0]
+        spans = random_spans(text, found, base_spans(text, found), encode, 2.0)
+        caught += any(a <= 21 and b >= 21 + length for a, _, b in spans)
+    return caught / keys
+
+
+@pytest.mark.parametrize("length", [20, 32, 40, 64])
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_recall_of_random_keys(name, length):
+    least = 0.85 if name in ("lower", "upper", "letters") else 0.95
+    assert recall(ALPHABETS[name], length) >= least
+
+
+def test_given_texts_hold_no_random_span(spark):
+    found = find_secrets(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), VOCABULARY)
+    assert found.where("n_random > 0").count() <= found.count() // 1_000
