@@ -134,3 +134,18 @@ def test_running_total_of_fractions_is_the_same_by_both_plans(spark):
     plans = [packing.lane_schedule(df, "lane", ["seq"], "dur", n).orderBy("seq").collect() for n in (10_000, 400, 50)]
     assert [tuple(r) for r in plans[0]] == [tuple(r.asDict()[c] for c in plans[0][0].asDict()) for r in plans[1]]
     assert [r.start_min for r in plans[0]] == [r.start_min for r in plans[2]]
+
+
+def test_jobs_are_packed_in_tasks_of_bounded_rows(spark, monkeypatch):
+    from tidemark.operators import ordered
+
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100, raising=False)
+    df = spark.range(3000).selectExpr("id % 60 as grp", "id as seq", "id % 7 + 1 as dur")
+    got = packing.pack_lanes(df, "grp", ["seq"], "dur", 60).withColumn("task", F.spark_partition_id()).collect()
+    tasks = {}
+    for r in got:
+        tasks[r.task] = tasks.get(r.task, 0) + 1
+    assert len(got) == 3000 and max(tasks.values()) < 400, sorted(tasks.values())[-3:]
+    for g in range(3):
+        mine = sorted((r.seq, r.dur, r.lane, r.start_s) for r in got if r.grp == g)
+        assert [m[2:] for m in mine] == loop([m[1] for m in mine], 60)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import GROUP_ROWS, as_of, null_safe_join, running_total
+from tidemark.operators.ordered import GROUP_ROWS, as_of, dealt, null_safe_join, running_total
 from tidemark.session import cut_lineage
 
 
@@ -169,10 +169,12 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
         F.count(F.lit(1)).alias("n")
     ))
     long = F.col("_len").isNull()
-    sizes = lengths.groupBy(long.alias("long")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).collect()
+    sizes = lengths.groupBy(long.alias("long")).agg(
+        F.max("n").alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("pairs")).collect()
+    counted = {r.long: r["all"] for r in sizes}
     chunks = {r.long: 2 * -(-r["all"] // max_rows) if r.most > max_rows else 0 for r in sizes}
     # At most horizon + 1 lengths per group, so the gathered list is bounded whatever the group's size.
-    listed = lengths.groupBy(group).agg(
+    listed = dealt(lengths, [group], sum(r.pairs for r in sizes)).groupBy(group).agg(
         F.collect_list(F.when(~long, F.struct("_len", "n"))).alias("pairs"),
         F.coalesce(F.sum(F.when(long, F.col("n"))), F.lit(0)).alias("long_lanes"),
     )
@@ -197,10 +199,10 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
 
     plan = listed.mapInArrow(simulate, schema)
     short = running_total(jobs.filter(~is_long), [group, "_len"], seq, F.lit(1).cast("long"), "_rank",
-                          max_rows, chunks.get(False, 0))
+                          max_rows, chunks.get(False, 0), rows=counted.get(False, 0))
     pieces = plan.filter(~long).select(group, "_len", F.explode("_pieces").alias("_p")).withColumn("_rank", F.col("_p.lo"))
     # The pieces of a length cover all its ranks, so a job's piece is the last one that begins at or before its rank.
-    placed = as_of(short, pieces, [group, "_len"], "_rank", "_p", chunks.get(False, 0))
+    placed = as_of(short, pieces, [group, "_len"], "_rank", "_p", chunks.get(False, 0), counted.get(False, 0))
     at = F.col("_rank") - F.col("_p.lo")
     nth = F.call_function("div", at, F.col("_p.per_lane"))
     placed = placed.withColumns({
@@ -209,17 +211,17 @@ def pack_lanes(df: DataFrame, group: str, seq: list[str], dur: str, horizon: int
     })
     out = placed.select(*df.columns, "lane", "start_s")
     if True in chunks:
-        wide = _long_jobs(jobs.filter(is_long), plan.filter(long), group, seq, max_rows, chunks[True])
+        wide = _long_jobs(jobs.filter(is_long), plan.filter(long), group, seq, max_rows, chunks[True], counted[True])
         out = out.unionByName(wide.select(*out.columns))
     return out.withColumn("end_s", F.col("start_s") + F.coalesce(F.col(dur), F.lit(0)))
 
 
-def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], max_rows: int, chunks: int) -> DataFrame:
+def _long_jobs(jobs: DataFrame, plan: DataFrame, group: str, seq: list[str], max_rows: int, chunks: int, rows: int) -> DataFrame:
     """Jobs over the horizon: one lane each, shortest first, after the shared lanes.
 
     In a group of only such jobs the last one placed stays at the end of the list.
     """
-    ranked = running_total(jobs, [group], ["_len", *seq], F.lit(1).cast("long"), "_rank", max_rows, chunks)
+    ranked = running_total(jobs, [group], ["_len", *seq], F.lit(1).cast("long"), "_rank", max_rows, chunks, rows=rows)
     by_length = jobs.groupBy(group, "_len").agg(F.count(F.lit(1)).alias("n"))
     shortest = by_length.groupBy(group).agg(F.min_by("n", "_len").alias("_ties"), F.sum("n").alias("_n"))
     both = null_safe_join(null_safe_join(ranked, plan.select(group, "_ahead", "_short"), [group]), shortest, [group])
