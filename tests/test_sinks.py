@@ -459,3 +459,14 @@ def test_csv_is_split_by_whole_lines_as_they_stand(spark, tmp_path):
     (source / "odd.csv").write_text("id,t,u,w\n1,2,3,4\n")
     with pytest.raises(Exception, match="header"):
         export.split_csv(spark, str(source), str(tmp_path / "odd"))
+
+
+def test_texts_are_written_by_the_tasks_that_read_them(spark, tmp_path, monkeypatch):
+    from tidemark.catalog import exports
+    from tidemark.sinks import capped
+
+    spark.range(0, 800, 1, 8).selectExpr("id as doc_id", "repeat('x', cast(id as int)) as text").write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    monkeypatch.setattr(exports, "scratch_path", lambda spark, label: str(tmp_path / label))
+    assert [tuple(r) for r in exports.parquet_part_sizes(spark, str(tmp_path / "in")).collect()] == [(True, 800, 800 * 799 // 2)]
+    names = [r.file_path.rpartition("/")[2] for r in capped.written_files(spark, str(tmp_path / "sizes")).collect()]
+    assert len({n.split("-")[1] for n in names}) == 8  # as many tasks as input files, not a fixed number

@@ -37,9 +37,9 @@ def parquet_round_trip(spark, folder):
 
 @query("parquet_part_sizes", "select true as capped, count(*) as rows, cast(sum(strlen(text)) as bigint) as bytes from documents")
 def parquet_part_sizes(spark, folder):
-    """Texts of a few and of many thousand bytes, in the order of their sizes, under a cap of 300,000."""
+    """Texts of a few and of many thousand bytes, each task's in the order of their sizes, under a cap of 300,000."""
     path = scratch_path(spark, "sizes")
-    texts = table(spark, folder, "documents").select("doc_id", "text").coalesce(2).sortWithinPartitions(F.length("text"))
+    texts = table(spark, folder, "documents").select("doc_id", "text").sortWithinPartitions(F.length("text"))
     export.write_parquet_capped(texts, path, max_bytes=300_000)
     rows = spark.read.parquet(path).select((F.col("_metadata.file_size") <= 300_000).alias("capped"), F.octet_length("text").alias("b"))
     return rows.groupBy("capped").agg(F.count(F.lit(1)).alias("rows"), F.sum("b").alias("bytes"))
