@@ -470,3 +470,20 @@ def test_texts_are_written_by_the_tasks_that_read_them(spark, tmp_path, monkeypa
     assert [tuple(r) for r in exports.parquet_part_sizes(spark, str(tmp_path / "in")).collect()] == [(True, 800, 800 * 799 // 2)]
     names = [r.file_path.rpartition("/")[2] for r in capped.written_files(spark, str(tmp_path / "sizes")).collect()]
     assert len({n.split("-")[1] for n in names}) == 8  # as many tasks as input files, not a fixed number
+
+
+def test_a_change_is_written_by_tasks_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from tidemark.sinks import keyed
+
+    monkeypatch.setattr(publish, "TASK_BYTES", 4_000, raising=False)
+    root = str(tmp_path / "store")
+    rows = spark.range(4_000).selectExpr("id % 5 as k", "id", "if(id % 2 = 0, null, 'x') as t", "array(id) as a")
+    assert keyed.upsert_stored(rows, root, "k", 4)
+    files = [str(p) for p in Path(root).rglob("*.parquet")]
+    assert max(r.n for r in spark.read.parquet(*files).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()) < 300
+    assert keyed.upsert_stored(spark.range(3).selectExpr("cast(2 as bigint) as k", "id", "'y' as t", "array(id) as a"), root, "k", 4)
+    back = [tuple(r) for r in keyed.read_keyed(spark, root, rows.schema).collect()]
+    kept = [tuple(r) for r in rows.filter("k <> 2").collect()]
+    assert sorted(map(repr, back)) == sorted(map(repr, kept + [(2, i, "y", [i]) for i in range(3)]))
