@@ -7,7 +7,7 @@ import pytest
 from helpers_llm import AWKWARD, frame
 from tokenizers import Tokenizer
 
-from tidemark.llm.tokens import UnitEncoder, part_bases, token_files
+from tidemark.llm.tokens import UnitEncoder, part_bases, token_files, unit_starts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,6 +29,43 @@ def test_units_give_the_ids_of_the_whole_text(ordinary):
     assert [np.frombuffer(b, "<u2").tolist() for b in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_wide_white_space_and_other_alphabets(plain):
+    pick, encode = random.Random(7), UnitEncoder(PATH, 2, False)
+    spaces = " \t\n\v\f\r\x1c\x1f\x85\xa0\u1680\u2003\u200b\u2028\u202f\u205f\u3000"
+    signs = [spaces, "  a", "'s", "×÷éÀÿ", "Łőſƀɏ", "Жщё҂", "Ωλ", "漢字。", "“—…", "\U0001f600\u0301", "aZ09.,-"]
+    texts = ["".join(pick.choice(pick.choice(use)) for _ in range(pick.randint(0, 12))) for use in (pick.sample(signs, 3) for _ in range(6000))]
+    assert [np.frombuffer(b, "<u2").tolist() for b in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_units_are_pieces_of_the_pattern():
+    def units(*texts):
+        data = "".join(texts).encode()
+        at, opened = unit_starts(np.frombuffer(data, np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts[:-1])]))
+        return [(data[a:b].decode(), bool(o)) for a, b, o in zip(at, [*at[1:], len(data)], opened)]
+
+    assert units("One tëst, 12.\n\nEnd ", " x") == [(u, False) for u in ["One", " tëst", ",", " 12", ".", "\n", "\n", "End", " ", " x"]]
+    assert units("a it's, so  漢 b.") == [("a", False), (" it's,", True), (" so", False), (" ", False), (" 漢", True), (" b", False), (".", False)]
+
+
+def test_new_words_go_to_the_library_at_once():
+    class Counted:
+        calls = 0
+
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            Counted.calls += 1
+            return getattr(self.inner, name)
+
+    encode = UnitEncoder(PATH, 2, False)
+    for name in {"tokenizer", "merger", "model"} & vars(encode).keys():
+        setattr(encode, name, Counted(getattr(encode, name)))
+    words = [chr(97 + n % 26) + chr(97 + n // 26 % 26) + "qzk" + chr(97 + n // 676) for n in range(2000)]
+    encode([" ".join(words), ", ".join(words) + "."])
+    assert Counted.calls <= 5
+
+
 def test_special_strings_become_their_ids(spark, plain):
     got = token_files(frame(spark, [(1, "a<|endoftext|>b"), (2, "<|endoftext|>"), (3, "x <|endoftext|> y  z")]), PATH, 2).collect()
     assert plain.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]

@@ -24,53 +24,124 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filesystem, fresh, pieces, text_of
+from tidemark.llm.common import filesystem, fresh, text_of
 from tidemark.session import scratch_path
 
-#: Half of the distinct units whose ids a Python worker remembers, and the longest unit it remembers.
-CACHED, CACHED_CHARS = 300_000, 48
-#: Characters whose units are looked up together.
-STEP_CHARS = 4_000_000
-BLANK = "Ġ"  # how byte-level vocabularies write a blank
-_SPACE = re.compile(r" (?=\S)")
+#: Half of the distinct units whose ids a Python worker remembers, and the bytes of the longest unit it remembers.
+CACHED, CACHED_BYTES = 300_000, 48
+#: Bytes of text whose units are looked up together.
+STEP_BYTES = 4_000_000
 _LINE = re.compile(r" ?\S+")
-#: A word with marks after it, and maybe a line's end and the first word of the next line with its marks. The
-#: vocabulary's splitting pattern parts letters from a run of marks (apostrophes are special), marks from a line's
-#: end, and that from letters.
-_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]*"
-_MARKED = re.compile(rf"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
+#: Classes of bytes, as the vocabulary's splitting pattern sees them. A two-byte letter goes by its first byte.
+BLANK, SPACE, LETTER, DIGIT, MARK, FOLLOWS, OPEN = range(7)
+#: First bytes of U+00C0 to U+027F (without the signs of multiplication and division) and of U+0400 to U+047F, letters all.
+_LEADS = bytes([*range(0xC3, 0xCA), 0xD0, 0xD1])
 _encoders: dict[tuple, UnitEncoder] = {}
 
 
+def _class_of(byte: int) -> int:
+    char = chr(byte)
+    if byte == 0x20 or char in "\t\n\v\f\r":
+        return BLANK if byte == 0x20 else SPACE
+    if byte < 0x20 or char in "'\x7f":  # an apostrophe may start a contraction; control characters are left to the library
+        return OPEN
+    if byte < 0x80:
+        return LETTER if char.isalpha() else DIGIT if char.isdigit() else MARK
+    return FOLLOWS if byte < 0xC0 else LETTER if byte in _LEADS else OPEN
+
+
+def _rule_of(before: int, here: int) -> int:
+    """1: a unit starts at a byte of class ``here``. 2: it does if the white space ends there, before the text does."""
+    if before <= SPACE:
+        return 2 if here <= SPACE else int(before != BLANK)
+    return int(before != here)
+
+
+_CLASSES = bytes(map(_class_of, range(256)))
+_RULES = bytes(_rule_of(pair >> 3, pair & 7) for pair in range(64)) + bytes(192)
+_BLANKS = np.frombuffer(_CLASSES, np.uint8) <= SPACE
+#: White space beyond ASCII, in UTF-8 as numbers of three bytes; those of two bytes with a last byte of zero.
+_WIDE = [int.from_bytes(chr(c).encode().ljust(3, b"\0")) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def _before_visible(data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Which bytes are blanks that something visible follows; the splitting pattern starts a piece at each."""
+    found = np.zeros(len(kinds), bool)
+    np.logical_and(kinds[:-1] == BLANK, kinds[1:] > SPACE, out=found[:-1])
+    at = np.flatnonzero(found[:-1] & (kinds[1:] == OPEN)) + 1
+    at = at[data[at] >= 0x80]
+    if len(at):
+        first, second, third = (data[np.minimum(at + k, len(data) - 1)].astype(np.int64) for k in range(3))
+        code = first << 16 | second << 8 | np.where(first < 0xE0, 0, third)
+        found[at[np.isin(code, _WIDE)] - 1] = False
+    return found
+
+
+def unit_starts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where units start in texts laid end to end in UTF-8, which start at ``starts`` (none is empty), and which units are open.
+
+    Most units are pieces of the splitting pattern: a run of letters, of digits or of marks, maybe with a blank
+    before it, or white space. Where a character has another class (an apostrophe, most other alphabets), the
+    text from one blank to the next, by ``_before_visible``, is one open unit, which may hold many pieces. The
+    pattern never joins characters of two units, so the ids of a text are those of its units.
+    """
+    kinds = np.frombuffer(bytearray(data.tobytes().translate(_CLASSES)), np.uint8)
+    follows = np.flatnonzero(kinds == FOLLOWS)
+    lead = data[follows - 1]
+    letter = (kinds[follows - 1] == LETTER) & (lead >= 0x80) & ((lead != 0xC3) | ((data[follows] != 0x97) & (data[follows] != 0xB7)))
+    kinds[follows] = np.where(letter, LETTER, OPEN)
+    rules = np.zeros(len(kinds), np.uint8)
+    rules[1:] = np.frombuffer(((kinds[:-1] << 3) | kinds[1:]).tobytes().translate(_RULES), np.uint8)
+    inner = np.flatnonzero(rules == 2)
+    ends = np.zeros(len(kinds) + 1, bool)
+    ends[starts] = ends[-1] = True
+    after = inner + 1
+    rules[inner] = ~ends[after] & (kinds[np.minimum(after, len(kinds) - 1)] > SPACE)
+    rules[starts] = 1
+    at = np.flatnonzero(rules)
+    if not (kinds == OPEN).any():
+        return at, np.zeros(len(at), bool)
+    whole = _before_visible(data, kinds)
+    whole[starts - 1] = False  # a text's last byte has nothing after it
+    whole[starts] = True
+    at = np.flatnonzero(whole | (rules == 1))
+    own = np.flatnonzero(whole[at])
+    is_open = np.logical_or.reduceat(np.maximum.reduceat(kinds, at) == OPEN, own)
+    keep = whole[at] | ~np.repeat(is_open, np.diff(np.append(own, len(at))))
+    opened = np.zeros(len(at), bool)
+    opened[own] = is_open
+    return at[keep], opened[keep]
+
+
 class UnitEncoder:
     """Byte-level BPE of the tokenizers library, with the ids of recurring units remembered.
 
-    A unit runs from a blank that a visible character follows to the next such blank. The vocabulary's
-    splitting pattern never joins characters over such a place, so the ids of a text are those of its units.
-    Texts are split and their distinct units found by Arrow; only those are looked up, and the ids of all units
-    are gathered at once.
+    Texts are cut into units as ``unit_starts`` has it, and their distinct units found by Arrow. The library
+    encodes those that are not remembered, many at once, and the ids of all units are gathered at once.
     """
 
     def __init__(self, path: str, width: int, ordinary: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special and not ordinary else None
-        self.model = self.tokenizer.model
+        self.special = [] if ordinary else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype(f"<u{width}")
         if self.tokenizer.get_vocab_size() > np.iinfo(self.kind).max + 1:
             raise ValueError(f"ids of {path} need more than {width} bytes")
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # byte-level vocabularies write the other bytes as 256 and on
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.one = [np.array(i, self.kind).tobytes() for i in range(self.tokenizer.get_vocab_size())]
+        self.merger = Tokenizer(self.tokenizer.model)  #: takes pieces as they are, in the vocabulary's letters, one a line
+        self.merger.pre_tokenizer = CharDelimiterSplit("\n")
+        vocab = self.tokenizer.get_vocab()
+        self.covers = np.zeros(max(vocab.values()) + 1, np.int64)  #: bytes of text that an id stands for
+        self.covers[list(vocab.values())] = list(map(len, vocab))
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.cache: dict[str, bytes] = {}  #: ids of units that follow a blank, the blank's included
-        self.older: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}  #: ids of words that start a line, and of runs of marks
+        self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, units: list[str]) -> list[bytes]:
         """Ids of each unit. Units without white space inside go as the lines of one text, whose line ends are then cut out."""
@@ -84,109 +155,66 @@ class UnitEncoder:
         cut.update(zip(others, self._each(others)))
         return [cut[u] for u in units]
 
-    def _word(self, word: str, blank: str = "") -> bytes:
-        """Ids of letters, maybe after BLANK, or of marks: one piece to the splitting pattern, so merges alone decide."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.one[t.id] for t in self.model.tokenize(blank + word)])
-
     def _each(self, units: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
-    def _bare(self, piece: str) -> bytes:
-        found = self.bare.get(piece)
-        if found is None:
-            found = self._word(piece) if piece != "\n" else self._each(["\n"])[0]
-            if len(piece) <= CACHED_CHARS:
-                self.bare[piece] = found
-        return found
-
-    def _rest_of(self, m: re.Match) -> bytes:
-        """Ids of a marked word after its first letters."""
-        found = self._bare(m[2]) if m[2] else b""
-        return found + self._bare("\n") + self._bare(m[3]) + (self._bare(m[4]) if m[4] else b"") if m[3] else found
-
-    def _learn(self, units: list[str]) -> list[bytes]:
-        """Ids of units that the cache lacks, with the blank before them; remembered unless they are long."""
-        known, older, odd, made = self.cache, self.older, [], {}
-        for unit in units:
-            found = older.get(unit)
-            if found is None:
-                if unit.isascii() and unit.isalpha():
-                    found = self._word(unit, BLANK)
-                elif m := _MARKED.fullmatch(unit):
-                    word = m[1]
-                    found = known.get(word) or older.get(word)
-                    if found is None:
-                        found = self._word(word, BLANK)
-                        if len(word) <= CACHED_CHARS:
-                            known[word] = found
-                    found += self._rest_of(m)
-                else:
-                    odd.append(unit)
-                    continue
-            made[unit] = found
-        made.update(zip(odd, self._encode([" " + u for u in odd])))
-        known.update((u, ids) for u, ids in made.items() if len(u) <= CACHED_CHARS)
-        return [made[u] for u in units]
-
-    def _first(self, unit: str) -> bytes:
-        """Ids of the unit that a text begins with, without a blank before it."""
-        if m := _MARKED.fullmatch(unit):
-            return self._bare(m[1]) + self._rest_of(m)
-        return self._each([unit])[0]
-
-    def _units(self, units: list[str]) -> list[bytes]:
-        known = self.cache
+    def _merge(self, units: list[bytes]) -> list[bytes]:
+        """Ids of units that are one piece each and no white space, so that merges alone decide."""
+        if not units:
+            return []
+        lines = b"\n".join(units)
+        text = lines.decode("latin-1")
+        for byte in set(lines) & self.letters.keys() - {10}:
+            text = text.replace(chr(byte), self.letters[byte])
+        ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.searchsorted(np.cumsum(self.covers[ids]), np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))) + 1
+        flat, ends = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _ids_of(self, units: list[bytes], odd: np.ndarray) -> list[bytes]:
+        """Ids of distinct units; ``odd`` are those that may hold many pieces, or white space alone."""
+        known, older = self.cache, self.older
         found = list(map(known.get, units))
         new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            for i, ids in zip(new, self._learn([units[i] for i in new])):
+        made = list(map(older.get, map(units.__getitem__, new)))
+        for i, ids in zip(new, made):
+            found[i] = ids
+        lacking = [i for i, ids in zip(new, made) if ids is None]
+        hard = odd[lacking].tolist()
+        for group, encode in (
+            ([i for i, is_odd in zip(lacking, hard) if not is_odd], self._merge),
+            ([i for i, is_odd in zip(lacking, hard) if is_odd], lambda units: self._encode([u.decode() for u in units])),
+        ):
+            for i, ids in zip(group, encode([units[i] for i in group])):
                 found[i] = ids
+        known.update((units[i], found[i]) for i in new if len(units[i]) <= CACHED_BYTES)
         return found
 
-    def _apart(self, text: str) -> bytes:
-        """Ids of a text that is not simply words between blanks: blanks before white space or the end, or special strings."""
-        if self.special and self.special.search(text):
-            return self._each([text])[0]
-        first, *units = _SPACE.split(text)
-        return self._each([first])[0] + b"".join(self._units(units))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text, as bytes."""
         if len(self.cache) > CACHED:  # what is used again comes back from the older half
             self.older, self.cache = self.cache, {}
-        if len(self.bare) > CACHED:
-            self.bare.clear()
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
-        coded = split.flatten().dictionary_encode()
-        units, place = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
-        is_first = np.zeros(len(place), bool)
-        is_first[ends[:-1]] = True
-        follows = np.zeros(len(units), bool)
-        follows[place[~is_first]] = True
-        odd = np.array([not u or u[0].isspace() for u in units], bool) & follows  # no unit of its own after a blank
-        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
-        apart = np.zeros(len(texts), bool)
-        apart[owner[odd[place] & ~is_first]] = True
-        if self.special:
-            apart |= np.array([self.special.search(t) is not None for t in texts], bool)
-        wanted = np.flatnonzero(follows & ~odd)
-        table = [b""] * len(units)
-        for i, ids in zip(wanted.tolist(), self._units([units[i] for i in wanted])):
-            table[i] = ids
-        table += [self._apart(t) if alone else self._first(units[place[at]]) for t, alone, at in zip(texts, apart, ends[:-1])]
-        place[ends[:-1]] = len(units) + np.arange(len(texts))
-        size = self.kind.itemsize
-        lengths = np.fromiter(map(len, table), np.int64, len(table)) // size
-        starts = np.cumsum(lengths) - lengths
-        count = lengths[place]
-        count[apart[owner] & ~is_first] = 0
-        stops = np.cumsum(count)
-        taken = np.repeat(starts[place] - (stops - count), count) + np.arange(stops[-1] if len(stops) else 0)
-        flat = np.frombuffer(b"".join(table), self.kind)[taken]
-        bounds = np.concatenate([[0], stops])[ends]
-        return [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+        size = int(bounds[-1] - bounds[0])
+        if not size:
+            return [b""] * len(texts)
+        data = np.frombuffer(texts.buffers()[2], np.uint8, size, int(bounds[0]))
+        bounds = bounds - bounds[0]
+        at, opened = unit_starts(data, bounds[:-1][np.diff(bounds) > 0])
+        stops = np.append(at, size)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(stops), pa.py_buffer(data)]).dictionary_encode()
+        place = coded.indices.to_numpy()
+        odd = np.zeros(len(coded.dictionary), bool)
+        odd[place[opened | _BLANKS[data[stops[1:] - 1]]]] = True
+        made = pa.array(self._ids_of(coded.dictionary.to_pylist(), odd), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(made.buffers()[1], np.int64, len(made) + 1)[np.searchsorted(stops, bounds)].tolist()
+        flat = memoryview(made.buffers()[2])
+        found = [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        for special in self.special:
+            for i in np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)).tolist():
+                found[i] = self._each([texts[i].as_py().decode()])[0]
+        return found
 
 
 def unit_encoder(path: str, width: int, ordinary: bool) -> UnitEncoder:
@@ -197,6 +225,16 @@ def unit_encoder(path: str, width: int, ordinary: bool) -> UnitEncoder:
     return _encoders[key]
 
 
+def _steps(texts: pa.Array):
+    """Consecutive runs of whole texts, each of about ``STEP_BYTES`` or of a single longer text."""
+    stops = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(stops, (stops[at - 1] if at else 0) + STEP_BYTES)) + 1
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def _write_part(folder: str, end_id: int, make: Callable, kind: str):
     def run(batches):
         encode, number = make(), TaskContext.get().partitionId()
@@ -206,14 +244,12 @@ def _write_part(folder: str, end_id: int, make: Callable, kind: str):
         size, ids, offsets, docs, nulls = np.dtype(kind).itemsize, 0, [0], [], 0
         with files.open_output_stream(f"{place}/{name}.bin") as out:
             for batch in batches:
-                start = 0
-                for part in pieces(batch.column(1).to_pylist(), STEP_CHARS):
+                for part in _steps(batch.column(1)):
                     for made in encode(part):
                         out.write(made)
                         out.write(end)
                         ids += len(made) // size + 1
                         offsets.append(ids)
-                    start += len(part)
                 nulls += batch.column(0).null_count
                 docs.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
         for end_of, data in (("off", np.array(offsets, "<u8")), ("doc", np.concatenate([np.empty(0, "<i8"), *docs]))):
