@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers_llm import AWKWARD, frame
 from tokenizers import Tokenizer
@@ -86,6 +87,12 @@ def test_files_hold_ids_in_order(spark, plain, tmp_path):
     assert len(flat) == start
 
 
+def test_bytes_that_are_no_text_are_refused():
+    odd = pa.StringArray.from_buffers(1, pa.py_buffer(np.array([0, 3], "<i4")), pa.py_buffer(b"a\xc3b"))
+    with pytest.raises(pa.ArrowInvalid):
+        UnitEncoder(PATH, 2, False)(odd)
+
+
 def test_empty_table_and_narrow_ids(spark):
     assert token_files(frame(spark, []), PATH, 2).count() == 0
     with pytest.raises(ValueError):

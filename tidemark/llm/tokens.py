@@ -194,7 +194,9 @@ class UnitEncoder:
         """Ids of each text, as bytes."""
         if len(self.cache) > CACHED:  # what is used again comes back from the older half
             self.older, self.cache = self.cache, {}
-        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_binary())
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        texts.validate(full=True)  # units are found in bytes, which must be UTF-8
+        texts = texts.cast(pa.large_binary())
         bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
         size = int(bounds[-1] - bounds[0])
         if not size:
@@ -207,7 +209,7 @@ class UnitEncoder:
         place = coded.indices.to_numpy()
         odd = np.zeros(len(coded.dictionary), bool)
         odd[place[opened | _BLANKS[data[stops[1:] - 1]]]] = True
-        made = pa.array(self._ids_of(coded.dictionary.to_pylist(), odd), pa.large_binary()).take(coded.indices)
+        made = pa.array(self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), odd), pa.large_binary()).take(coded.indices)
         ends = np.frombuffer(made.buffers()[1], np.int64, len(made) + 1)[np.searchsorted(stops, bounds)].tolist()
         flat = memoryview(made.buffers()[2])
         found = [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
